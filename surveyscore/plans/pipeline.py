@@ -1,0 +1,50 @@
+"""Raw calls to scored rounds."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from surveyscore import schema as S
+from surveyscore.operators import combine, enrich, scoring
+from surveyscore.plans.rounds import build_rounds
+from surveyscore.plans.spec import Registry
+
+
+def score_round(resp: DataFrame, name: str, region: DataFrame | None = None, **how) -> DataFrame:
+    """Score one round in the wide layout. Region is looked up on score rows, not on responses:
+    it depends on the AC alone, and there are far fewer score rows."""
+    out = scoring.score_all(resp, **how)
+    return _tagged(out, region).selectExpr(*[f"`{c}`" for c in out.columns],
+                                           *(["REGION"] if region is not None else []),
+                                           f"'{name}' AS ROUND")
+
+
+def _tagged(score: DataFrame, region: DataFrame | None) -> DataFrame:
+    return score if region is None else enrich.with_region(score, region)
+
+
+def build_com(ep: DataFrame, pp: DataFrame, bc: DataFrame, region: DataFrame | None = None) -> DataFrame:
+    """Pooled round COM: the three rounds' responses scored together."""
+    return score_round(combine.pool_rounds(ep, pp, bc), "COM", region)
+
+
+def score_responses(resp: DataFrame, region: DataFrame | None = None, form: str = "long",
+                    pooled: str | None = "COM", scopes=tuple(S.SCOPES)) -> DataFrame:
+    """Score responses tagged with ROUND: every round, and the pooled one, in a single pass."""
+    long = _tagged(scoring.score_rounds(resp, pooled, scopes), region)
+    tail = (*(["REGION"] if region is not None else []), "ROUND")
+    long = long.select(*S.layout(list(scopes), tuple(tail)))
+    if form == "long":
+        return long
+    if form != "wide":
+        raise ValueError("form is 'long' or 'wide'")
+    rounds = ["BC", "EP", "PP"] + ([pooled] if pooled else [])
+    return combine.combine_rounds_wide(long, rounds)
+
+
+def run(raw: DataFrame, registry: Registry, states, rounds=("BC", "EP", "PP"), form: str = "long",
+        geo=None, geo_remap=None, region=None, pooled: str | None = "COM") -> DataFrame:
+    """All requested rounds of the requested states, scored."""
+    specs = registry.rounds(states, rounds)
+    resp = build_rounds(raw, specs, registry.books, geo, geo_remap)
+    return score_responses(resp, region, form, pooled)
