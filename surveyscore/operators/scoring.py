@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyscore import schema as S
@@ -42,53 +42,62 @@ def counts_by_region(resp: DataFrame) -> DataFrame:
     return resp.groupBy("AC_ID", "REGION", "RES1").agg(F.count("DN").alias("RES_REGIONWISE_AC"))
 
 
-def _with_metrics(df: DataFrame, s: Scope, by=(), on_tie: str = "first") -> DataFrame:
-    """Add the nine metrics of a scope to rows that carry a partial count ``__n``.
+def _with_windows(df: DataFrame, scopes: list[Scope], by=()) -> DataFrame:
+    """Add label count, total, best and second-best label per scope to partial counts ``__n``.
 
-    Order of labels: count descending, then label, for winner and runner-up alike. A NULL scope
-    key keeps counts, percentages and maximum, but names no winner.
+    Order of labels: count descending, then label, for winner and runner-up alike. The scopes
+    share the partitioning of ``df``, so this adds sorts but no exchange.
+    """
+    counts, bests, seconds = {}, {}, {}
+    for s in scopes:
+        c, t, first, second = (f"__{s.name}_{x}" for x in ("c", "t", "1", "2"))
+        keys = [*by, *s.keys]
+        whole = Window.partitionBy(*keys)
+        rank = f"struct(-`{c}` AS c, RES1 AS l)"
+        counts[c] = F.sum("__n").over(Window.partitionBy(*keys, "RES1"))
+        bests[t] = F.sum("__n").over(whole)
+        bests[first] = F.min(F.expr(rank)).over(whole)
+        seconds[second] = F.min(F.expr(f"CASE WHEN NOT (RES1 <=> `{first}`.l) THEN {rank} END")).over(whole)
+    return df.withColumns(counts).withColumns(bests).withColumns(seconds)
+
+
+def _with_metrics(df: DataFrame, scopes: list[Scope], on_tie: str = "first") -> DataFrame:
+    """The nine metrics of every scope, from its windows.
+
+    A NULL scope key keeps counts, percentages and maximum, but names no winner. Shares are held
+    in whole hundredths until the end; each stage reads the columns of the one before, so no
+    expression is written out twice.
     """
     if on_tie not in ("first", "draw"):
         raise ValueError("on_tie is 'first' or 'draw'")
-    keys = [*by, *s.keys]
-    whole, label = Window.partitionBy(*keys), Window.partitionBy(*keys, "RES1")
-    rank = F.struct((-F.col("__c")).alias("c"), F.col("RES1").alias("l"))
-    df = (
-        df.withColumn("__c", F.sum("__n").over(label))
-        .withColumns({"__t": F.sum("__n").over(whole), "__1": F.min(rank).over(whole)})
-        .withColumn("__2", F.min(F.when(~F.col("RES1").eqNullSafe(F.col("__1.l")), rank)).over(whole))
-    )
-    total = F.col("__t")
-    top, second = -F.col("__1.c"), -F.col("__2.c")
-    h1, h2 = fn.hundredths(top, total), fn.hundredths(second, total)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in s.keys])
-
-    def named(c: Column) -> Column:
-        return F.when(known, c)
-
-    winner = F.col("__1.l")
-    if on_tie == "draw":
-        winner = F.when(top == second, F.lit("DRAW")).otherwise(winner)
-    df = df.withColumns({
-        s.count: F.col("__c"),
-        s.pct: fn.pct("__c", total),
-        s.max_pct: fn.as_pct(h1),
-        s.winner: named(winner),
-        s.second: named(fn.as_pct(h2)),
-        s.runner_up: named(F.col("__2.l")),
-        s.margin: named(fn.as_pct(h1 - h2)),
-    })
-    return df.withColumns({
-        s.band: fn.margin_bucket(s.margin),
-        s.summary: fn.summary_text(s.winner, s.margin, s.runner_up),
-    }).drop("__c", "__t", "__1", "__2")
+    shares, names, texts = {}, {}, {}
+    for s in scopes:
+        c, t, first, second = (F.col(f"__{s.name}_{x}") for x in ("c", "t", "1", "2"))
+        h, h1, h2 = (f"__{s.name}_{x}" for x in ("h", "h1", "h2"))
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in s.keys])
+        shares[s.count] = c
+        shares[h] = fn.hundredths(c, t)
+        shares[h1] = fn.hundredths(-first["c"], t)
+        shares[h2] = F.when(known, fn.hundredths(-second["c"], t))
+        won = first["l"]
+        if on_tie == "draw":
+            won = F.when(first["c"] == second["c"], F.lit("DRAW")).otherwise(won)
+        shares[s.winner] = F.when(known, won)
+        shares[s.runner_up] = F.when(known, second["l"])
+        names[s.pct] = fn.as_pct(F.col(h))
+        names[s.max_pct] = fn.as_pct(F.col(h1))
+        names[s.second] = fn.as_pct(F.col(h2))
+        names[s.margin] = fn.as_pct(F.col(h1) - F.col(h2))
+        texts[s.band] = fn.margin_bucket(s.margin)
+        texts[s.summary] = fn.summary_text(s.winner, s.margin, s.runner_up)
+    return df.withColumns(shares).withColumns(names).withColumns(texts)
 
 
 def scope_table(resp: DataFrame, scope: Scope | str, by=(), on_tie: str = "first") -> DataFrame:
     """One row per scope key and label with all nine metrics."""
     s = _scope(scope)
     base = resp.groupBy(*by, *s.keys, "RES1").agg(F.count("DN").alias("__n"))
-    out = _with_metrics(base.repartition(*by, *s.keys), s, by, on_tie)
+    out = _with_metrics(_with_windows(base.repartition(*by, *s.keys), [s], by), [s], on_tie)
     return out.select(*by, *s.keys, "RES1", *s.columns)
 
 
@@ -168,8 +177,8 @@ def score_base(base: DataFrame, scopes=tuple(SCOPES), by=(), on_tie: str = "firs
         base = base.repartition(*by, key)
         if not folded:
             base, folded = _fold(base, by), True
-        for s in group:
-            base = _with_metrics(base, s, by, on_tie)
+        base = _with_windows(base, group, by)
+    base = _with_metrics(base, chosen, on_tie)
     front = [c for c in S.SCORE_KEYS if c in base.columns]
     tail = [c for c in ("REGION",) if c in base.columns]
     return base.select(*front, *[c for s in chosen for c in s.columns], *tail, *by)

@@ -9,6 +9,7 @@ check the compiled one.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,10 @@ _USED = [
     "N_PARTY", "PARTY", "VENDOR_ID", "CASTE",
 ]
 
+BRANCH = "__branch"
+
 _BRANCH_SCHEMA = T.StructType([
+    T.StructField(BRANCH, T.IntegerType()),
     T.StructField("branch_id", T.StringType()),
     T.StructField("__unit", T.StringType()),
     T.StructField("ROUND", T.StringType()),
@@ -97,15 +101,15 @@ def _coarse_filter(branches: list[Branch], raw: DataFrame) -> list[Column]:
     return out
 
 
-def tag_branches(raw: DataFrame, branches: list[Branch]) -> DataFrame:
-    """One row per (call, branch it belongs to).
+def tag_branches(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int]) -> DataFrame:
+    """One row per (call, branch it belongs to); the branch is a small integer.
 
     Branches are grouped by the two leading letters of their campaign patterns, so a call is
     tested against the branches of its own state only.
     """
     if len(branches) == 1:
         b = branches[0]
-        return raw.filter(branch_predicate(b, raw)).withColumn("branch_id", F.lit(b.branch_id))
+        return raw.filter(branch_predicate(b, raw)).withColumn(BRANCH, F.lit(numbers[b.branch_id]))
     groups = defaultdict(list)
     for b in branches:
         codes = {_literal_prefix(p)[:2] for p in b.campaign_like}
@@ -113,49 +117,57 @@ def tag_branches(raw: DataFrame, branches: list[Branch]) -> DataFrame:
         groups[code if len(code) == 2 else None].append(b)
 
     def hits(group: list[Branch]) -> Column:
-        return F.array(*[F.when(branch_predicate(b, raw), F.lit(b.branch_id)) for b in group])
+        return F.array(*[F.when(branch_predicate(b, raw), F.lit(numbers[b.branch_id])) for b in group])
 
     arrays = [hits(groups.pop(None))] if None in groups else []
     if groups:
         code, chain = F.substring("Campaign_Name", 1, 2), None
         for prefix, group in groups.items():
             chain = (F.when if chain is None else chain.when)(code == prefix, hits(group))
-        arrays.append(F.coalesce(chain, F.array().cast("array<string>")))
-    found = F.array_compact(F.concat(*arrays) if len(arrays) > 1 else arrays[0])
+        arrays.append(F.coalesce(chain, F.array().cast("array<int>")))
+    # array_except drops the NULLs of branches that do not match and, unlike a lambda filter,
+    # leaves the predicates in generated code.
+    none = F.array(F.lit(None).cast("int"))
+    found = F.array_except(F.concat(*arrays) if len(arrays) > 1 else arrays[0], none)
     coarse = _coarse_filter(branches, raw)
     out = raw.filter(_all(coarse)) if coarse else raw
-    return out.withColumn("branch_id", F.explode(found))
+    return out.withColumn(BRANCH, F.explode(found))
 
 
-def _collapsed(raw: DataFrame, branches: list[Branch]) -> DataFrame:
+def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int]) -> DataFrame:
     """Tag and de-duplicate within each branch. Both rules give the same columns."""
     out = []
     for style in ("latest", "colmax"):
         group = [b for b in branches if b.dedup == style]
         if not group:
             continue
-        tagged = tag_branches(raw, group)
+        tagged = tag_branches(raw, group, numbers)
         code = F.substring("Campaign_Name", 1, 2).alias("STATE_CODE")
         if style == "colmax":
-            rows = dedup.collapse_max(tagged.select("branch_id", code, *_USED), ["branch_id", "DN"])
+            rows = dedup.collapse_max(tagged.select(BRANCH, code, *_USED), [BRANCH, "DN"])
         else:
             # The call id, when there is one, settles equal times; otherwise all columns do.
             extra = ["CALL_ID"] if "CALL_ID" in raw.columns else []
             rows = dedup.latest_per_key(
-                tagged.select("branch_id", code, *_USED, *extra), ["branch_id", "DN"],
+                tagged.select(BRANCH, code, *_USED, *extra), [BRANCH, "DN"],
                 tie=extra or None,
             ).drop(*extra)
         out.append(rows)
     return union_all(out)
 
 
+def _numbers(specs: list[StateRoundSpec]) -> dict[str, int]:
+    return {b.branch_id: i for i, b in enumerate(b for s in specs for b in s.branches)}
+
+
 def _branch_rows(specs: list[StateRoundSpec]):
+    numbers = _numbers(specs)
     for s in specs:
         unit = s.key
         for b in s.branches:
             # Numbers are unique per state after its union only where the spec asks for it.
             yield (
-                b.branch_id, unit if s.dedup_after_union else f"{unit}/{b.branch_id}", s.round,
+                numbers[b.branch_id], b.branch_id, unit if s.dedup_after_union else f"{unit}/{b.branch_id}", s.round,
                 b.ordering, b.book, b.spelling.base if b.spelling else None,
                 dict(b.spelling.letters) if b.spelling else None, b.geo, b.geo_state, s.date_only,
             )
@@ -228,7 +240,7 @@ def _excluded(df: DataFrame, branches: list[Branch]) -> DataFrame:
 def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, remap) -> DataFrame:
     branches = [b for s in specs for b in s.branches]
     spark = df.sparkSession
-    df = df.join(rule_table(spark, _branch_rows(specs), _BRANCH_SCHEMA), "branch_id")
+    df = df.join(rule_table(spark, _branch_rows(specs), _BRANCH_SCHEMA), BRANCH)
 
     seq = F.col("N_PARTY")
     kinds = {b.ordering for b in branches}
@@ -238,7 +250,8 @@ def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, re
         maps = {b.branch_id: b.vendors for b in branches if b.ordering == "vendor"}
         df = decode.assign_ordering(df, maps, branch_id=F.col("branch_id"), out="__vseq")
         seq = F.when(F.col("__ordering") == "vendor", F.col("__vseq")).otherwise(seq)
-    df = df.withColumn("N_PARTY", seq).drop("__vseq", "PARTY", "VENDOR_ID")
+    if kinds != {"n_party"}:
+        df = df.withColumn("N_PARTY", seq)
 
     label = None
     if any(b.book for b in branches):
@@ -247,11 +260,11 @@ def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, re
     if any(b.spelling for b in branches):
         spelled = decode.spelled_label("N_PARTY", "DTMF_REP", F.col("__base"), F.col("__letters"))
         label = spelled if label is None else F.coalesce(label, spelled)
-    df = df.withColumn("RES1", label).drop("__r1")
-    df = df.filter(F.col("RES1").isNotNull() & (F.col("RES1") != ""))
-
-    df = df.withColumn("AC_ID", fn.ac_id("STATE_CODE", "AC_NO")) \
-        .withColumn("PC_ID", fn.pc_id("STATE_CODE", "PC_NO"))
+    df = df.withColumns({
+        "RES1": label,
+        "AC_ID": fn.ac_id("STATE_CODE", "AC_NO"),
+        "PC_ID": fn.pc_id("STATE_CODE", "PC_NO"),
+    }).filter("RES1 IS NOT NULL AND RES1 <> ''")
     df = _geo_checked(df, branches, geo, remap)
     df = _post_filter(df, branches)
     df = _excluded(df, branches)
@@ -285,7 +298,7 @@ def build_rounds(raw: DataFrame, specs: list[StateRoundSpec], books: Codebook |
     """Canonical responses of all specs, tagged with ROUND, from one scan per de-duplication rule."""
     S.require(raw, ["Campaign_Name", *_USED], "raw calls")
     branches = [b for s in specs for b in s.branches]
-    return _finish(_collapsed(raw, branches), specs, books or Codebook(), geo, geo_remap)
+    return _finish(_collapsed(raw, branches, _numbers(specs)), specs, books or Codebook(), geo, geo_remap)
 
 
 def build_round(raw: DataFrame, specs, books: Codebook | None = None, geo=None, geo_remap=None) -> DataFrame:
@@ -298,5 +311,6 @@ def build_by_branch(raw: DataFrame, specs, books: Codebook | None = None, geo=No
                     geo_remap=None) -> DataFrame:
     """The same result with one scan per branch: the form a reader would write by hand."""
     specs = [specs] if isinstance(specs, StateRoundSpec) else list(specs)
-    rows = union_all([_collapsed(raw, [b]) for s in specs for b in s.branches])
+    numbers = _numbers(specs)
+    rows = union_all([_collapsed(raw, [b], numbers) for s in specs for b in s.branches])
     return _finish(rows, specs, books or Codebook(), geo, geo_remap).select(*S.CANONICAL_COLUMNS)

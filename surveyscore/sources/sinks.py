@@ -54,9 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="surveyscore-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.mkdtemp(prefix="surveyscore-")
 
 
 def materialise(df: DataFrame, name: str | None = None, path: str | None = None,
@@ -75,6 +73,9 @@ def materialise(df: DataFrame, name: str | None = None, path: str | None = None,
 
 
 def save_scores(df: DataFrame, path: str) -> None:
-    """Store score rows partitioned by round and state, so reports prune to what they show."""
+    """Store score rows partitioned by round and state, so reports prune to what they show.
+
+    The rebalance hint lets AQE merge small partitions and split a heavy state over tasks.
+    """
     by = [c for c in ("ROUND", "state") if c in df.columns]
-    df.repartition(*by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
