@@ -208,11 +208,12 @@ def spelled_label(ordering: Column | str, answer: Column | str, base: Column, le
     """First-key label under a spelling rule; ``letters`` is a map of letter to label."""
     code = F.col(ordering) if isinstance(ordering, str) else ordering
     key = fn.first_key(answer)
-    step = F.when(F.length(key) == 1, key.try_cast("int")) - base
-    n = F.length(code)
-    pos = F.when((step >= 0) & (step < n - 1), step + 1) \
-        .when(step == F.greatest(n - 1, F.lit(3)), n)
-    return F.try_element_at(letters, F.substr(code, pos, F.lit(1)))
+    # The code laid out by key: a short one leaves a gap before its last letter.
+    front = F.greatest(F.length(code) - 1, F.lit(3))
+    keys = F.concat(F.rpad(F.left(code, F.length(code) - 1), front, F.lit(" ")), F.right(code, F.lit(1)))
+    place = F.when(F.length(key) == 1, key.try_cast("int")) - base + 1
+    letter = F.substr(keys, F.when(place > 0, place), F.lit(1))
+    return F.try_element_at(letters, letter)
 
 
 def decode_spelled(df: DataFrame, spelling: Spelling, ordering: str = "N_PARTY",

@@ -12,7 +12,7 @@ from collections import defaultdict
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,9 @@ BRANCH = "__branch"
 _BRANCH_SCHEMA = T.StructType([
     T.StructField(BRANCH, T.IntegerType()),
     T.StructField("branch_id", T.StringType()),
+    T.StructField("__spec", T.StringType()),
     T.StructField("__unit", T.StringType()),
+    T.StructField("__source", T.IntegerType()),
     T.StructField("ROUND", T.StringType()),
     T.StructField("__ordering", T.StringType()),
     T.StructField("__book", T.StringType()),
@@ -163,12 +165,13 @@ def _numbers(specs: list[StateRoundSpec]) -> dict[str, int]:
 def _branch_rows(specs: list[StateRoundSpec]):
     numbers = _numbers(specs)
     for s in specs:
-        unit = s.key
         for b in s.branches:
-            # Numbers are unique per state after its union only where the spec asks for it.
+            source = numbers[b.exclude_numbers_of] if b.exclude_numbers_of else None
             yield (
-                numbers[b.branch_id], b.branch_id, unit if s.dedup_after_union else f"{unit}/{b.branch_id}", s.round,
-                b.ordering, b.book, b.spelling.base if b.spelling else None,
+                numbers[b.branch_id], b.branch_id, s.key,
+                # Numbers are unique across the branches of a state only where the spec asks for it.
+                None if s.dedup_after_union else b.branch_id, source, s.round, b.ordering, b.book,
+                b.spelling.base if b.spelling else None,
                 dict(b.spelling.letters) if b.spelling else None, b.geo, b.geo_state, s.date_only,
             )
 
@@ -223,18 +226,15 @@ def _post_filter(df: DataFrame, branches: list[Branch]) -> DataFrame:
     return df if chain is None else df.filter(chain.otherwise(F.lit(True)))
 
 
-def _excluded(df: DataFrame, branches: list[Branch]) -> DataFrame:
-    """Drop numbers that another branch has decoded. Rows are unique per (branch, number) here."""
-    pairs = defaultdict(list)
-    for b in branches:
-        if b.exclude_numbers_of:
-            pairs[b.exclude_numbers_of].append(b.branch_id)
-    for source, targets in pairs.items():
-        gone = df.filter(F.col("branch_id") == source).select(
-            F.explode(F.array(*[F.lit(t) for t in targets])).alias("branch_id"), "DN"
-        )
-        df = df.join(gone, ["branch_id", "DN"], "left_anti")
-    return df
+def _excluded(df: DataFrame) -> DataFrame:
+    """Drop numbers that another branch of the same state has decoded.
+
+    A window over (state, number) sees which branches hold the number: at most one row per
+    branch, and no second scan as a self-join would need.
+    """
+    held = F.collect_set(BRANCH).over(Window.partitionBy("__spec", "DN"))
+    gone = F.col("DN").isNotNull() & F.array_contains("__held", F.col("__source"))
+    return df.withColumn("__held", held).filter(~F.coalesce(gone, F.lit(False))).drop("__held")
 
 
 def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, remap) -> DataFrame:
@@ -264,10 +264,11 @@ def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, re
         "RES1": label,
         "AC_ID": fn.ac_id("STATE_CODE", "AC_NO"),
         "PC_ID": fn.pc_id("STATE_CODE", "PC_NO"),
-    }).filter("RES1 IS NOT NULL AND RES1 <> ''")
+    }).filter("RES1 <> ''")
     df = _geo_checked(df, branches, geo, remap)
     df = _post_filter(df, branches)
-    df = _excluded(df, branches)
+    if any(b.exclude_numbers_of for b in branches):
+        df = _excluded(df)
     if not all(b.emit for b in branches):
         df = df.filter(~F.col("branch_id").isin(*[b.branch_id for b in branches if not b.emit]))
     rules = {b.branch_id: b.recode for b in branches if b.recode}
@@ -282,8 +283,9 @@ def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, re
         df = df.withColumn("RES2", F.lit(""))
 
     if any(s.dedup_after_union for s in specs):
-        # States that keep duplicates across branches carry the branch in __unit, so one pass serves all.
-        df = dedup.latest_per_key(df, ["__unit", "DN"], tie=["branch_id"])
+        # A state that keeps duplicates across branches has the branch in __unit, so one pass
+        # serves all states. The exclusion above leaves the rows partitioned for it.
+        df = dedup.latest_per_key(df, ["__spec", "DN", "__unit"], tie=["branch_id"])
     if all(s.date_only for s in specs):
         df = df.withColumn("Start_Time", F.col("Start_Time").cast("date"))
     elif any(s.date_only for s in specs):
