@@ -36,20 +36,24 @@ class Spelling:
     """Rule of a spelled book: the first option sits on key ``base``, the next one key up.
 
     The last letter (normally "others") sits on ``base + max(length - 1, 3)``, so a
-    three-letter code leaves one key unused.
+    three-letter code leaves one key unused. After 9 comes 0.
     """
 
     base: int
     letters: Mapping[str, str]
 
-    def arms(self, orderings: Iterable[str]) -> list[Arm]:
-        """Write the rule out as first-key arms for a closed list of orderings."""
+    def arms(self, orderings: Iterable[str], keys: str | None = None, position: int = 1) -> list[Arm]:
+        """Write the rule out as arms for a closed list of orderings.
+
+        ``keys`` names the key of each letter where a question was laid out differently.
+        """
         out = []
         for code in orderings:
             for i, letter in enumerate(code):
                 step = i if i < len(code) - 1 else max(i, 3)
+                digit = keys[i] if keys else str((self.base + step) % 10)
                 if letter in self.letters:
-                    out.append(Arm(1, code, str(self.base + step), self.letters[letter]))
+                    out.append(Arm(position, code, digit, self.letters[letter]))
         return out
 
 
@@ -211,8 +215,8 @@ def spelled_label(ordering: Column | str, answer: Column | str, base: Column, le
     # The code laid out by key: a short one leaves a gap before its last letter.
     front = F.greatest(F.length(code) - 1, F.lit(3))
     keys = F.concat(F.rpad(F.left(code, F.length(code) - 1), front, F.lit(" ")), F.right(code, F.lit(1)))
-    place = F.when(F.length(key) == 1, key.try_cast("int")) - base + 1
-    letter = F.substr(keys, F.when(place > 0, place), F.lit(1))
+    step = F.pmod(F.when(F.length(key) == 1, key.try_cast("int")) - base, F.lit(10))
+    letter = F.substr(keys, step + 1, F.lit(1))
     return F.try_element_at(letters, letter)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from surveyscore import schema as S
 from surveyscore.operators import combine, enrich, scoring
-from surveyscore.plans.rounds import build_rounds
+from surveyscore.plans.rounds import SCORED, build_rounds
 from surveyscore.plans.spec import Registry
 
 
@@ -46,5 +46,5 @@ def run(raw: DataFrame, registry: Registry, states, rounds=("BC", "EP", "PP"), f
         geo=None, geo_remap=None, region=None, pooled: str | None = "COM") -> DataFrame:
     """All requested rounds of the requested states, scored."""
     specs = registry.rounds(states, rounds)
-    resp = build_rounds(raw, specs, registry.books, geo, geo_remap)
+    resp = build_rounds(raw, specs, registry.books, geo, geo_remap, tie=SCORED)
     return score_responses(resp, region, form, pooled)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PAGE_SIZE = 30  # fixed value: rows of a report page
@@ -55,10 +55,31 @@ def clamp_page(page, pages: int) -> int:
 
 
 def page_rows(df: DataFrame, page=1, size: int = PAGE_SIZE, total: int | None = None) -> DataFrame:
-    """One page in report order. Only the scalar row count reaches the driver."""
+    """One page in report order. Only the scalar row count reaches the driver.
+
+    Rows are counted per constituency first, so only the one or few constituencies the page falls
+    into are ranked. A late page costs no more than the first; nothing sorts the whole table in
+    one task.
+    """
     total = df.count() if total is None else total
-    n = clamp_page(page, page_count(total, size))
-    return sort_rows(df).offset((n - 1) * size).limit(size)
+    start = (clamp_page(page, page_count(total, size)) - 1) * size
+    place = ["state", "AC_NO"]
+    before = Window.orderBy(*[F.col(c).asc_nulls_last() for c in place])  # one row per constituency
+    groups = df.groupBy(*place).agg(F.count(F.lit(1)).alias("__n")).select(
+        *[F.col(c).alias(f"__{c}") for c in place], "__n",
+        (F.sum("__n").over(before) - F.col("__n")).alias("__first"),
+    )
+    on_page = groups.filter((F.col("__first") < start + size) & (F.col("__first") + F.col("__n") > start))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in place]
+    within = Window.partitionBy(*[f"__{c}" for c in place]).orderBy(*_order(df))
+    at = F.col("__first") + F.row_number().over(within)
+    rows = df.join(on_page, same).withColumn("__at", at)
+    rows = rows.filter((F.col("__at") > start) & (F.col("__at") <= start + size))
+    return sort_rows(rows.select(*df.columns))
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    return df.limit(n)
 
 
 @dataclass

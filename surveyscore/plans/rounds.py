@@ -136,7 +136,8 @@ def tag_branches(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, i
     return out.withColumn(BRANCH, F.explode(found))
 
 
-def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int]) -> DataFrame:
+def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int],
+               tie: list[str] | None = None) -> DataFrame:
     """Tag and de-duplicate within each branch. Both rules give the same columns."""
     out = []
     for style in ("latest", "colmax"):
@@ -148,12 +149,11 @@ def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int
         if style == "colmax":
             rows = dedup.collapse_max(tagged.select(BRANCH, code, *_USED), [BRANCH, "DN"])
         else:
-            # The call id, when there is one, settles equal times; otherwise all columns do.
-            extra = ["CALL_ID"] if "CALL_ID" in raw.columns else []
-            rows = dedup.latest_per_key(
-                tagged.select(BRANCH, code, *_USED, *extra), [BRANCH, "DN"],
-                tie=extra or None,
-            ).drop(*extra)
+            # Equal times are settled by the call id, when there is one; otherwise by all columns.
+            by = ["CALL_ID"] if "CALL_ID" in raw.columns else tie
+            extra = ["CALL_ID"] if by == ["CALL_ID"] else []
+            tagged = tagged.select(BRANCH, code, *_USED, *extra)
+            rows = dedup.latest_per_key(tagged, [BRANCH, "DN"], tie=by).drop(*extra)
         out.append(rows)
     return union_all(out)
 
@@ -295,12 +295,21 @@ def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, re
     return df.select(*S.CANONICAL_COLUMNS, "ROUND")
 
 
+# What a score depends on. Calls that agree on all of these score alike, whichever is kept.
+SCORED = ["STATE_CODE", "state", "DTMF_REP", "N_PARTY", "PARTY", "VENDOR_ID", "AC_NO", "PC_NO"]
+
+
 def build_rounds(raw: DataFrame, specs: list[StateRoundSpec], books: Codebook | None = None,
-                 geo: DataFrame | None = None, geo_remap: DataFrame | None = None) -> DataFrame:
-    """Canonical responses of all specs, tagged with ROUND, from one scan per de-duplication rule."""
+                 geo: DataFrame | None = None, geo_remap: DataFrame | None = None,
+                 tie: list[str] | None = None) -> DataFrame:
+    """Canonical responses of all specs, tagged with ROUND, from one scan per de-duplication rule.
+
+    ``tie`` orders calls of one number at one time (default: all columns). With ``SCORED`` the
+    scan can skip respondent details that only the canonical rows carry.
+    """
     S.require(raw, ["Campaign_Name", *_USED], "raw calls")
     branches = [b for s in specs for b in s.branches]
-    return _finish(_collapsed(raw, branches, _numbers(specs)), specs, books or Codebook(), geo, geo_remap)
+    return _finish(_collapsed(raw, branches, _numbers(specs), tie), specs, books or Codebook(), geo, geo_remap)
 
 
 def build_round(raw: DataFrame, specs, books: Codebook | None = None, geo=None, geo_remap=None) -> DataFrame:

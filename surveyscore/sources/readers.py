@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,3 +99,9 @@ def read_dim(spark: SparkSession, path, schema: T.StructType, fmt: str = "parque
     """Geography or region table, with AC_ID added so it can be joined to responses."""
     df = read_csv(spark, path, schema) if fmt == "csv" else read_parquet(spark, path, schema)
     return df.withColumn("AC_ID", fn.ac_id("State_Code", "AC_NO"))
+
+
+def with_tally(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """Count rows while they are read, at no extra pass; read ``.get["rows"]`` after an action."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

@@ -68,6 +68,13 @@ def test_drop_table(spark):
     assert not spark.catalog.tableExists("old_scores")
 
 
+def test_tally_counts_while_reading(spark):
+    df, seen = readers.with_tally(spark.range(7))
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == 7
+    assert report.preview(spark.range(50)).count() == 10
+
+
 def test_read_many(spark):
     a, b = spark.range(2), spark.range(3)
     assert readers.read_many({"a": a, "b": b}).count() == readers.read_many([a, b]).count() == 5
