@@ -138,7 +138,11 @@ def tag_branches(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, i
 
 def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int],
                tie: list[str] | None = None) -> DataFrame:
-    """Tag and de-duplicate within each branch. Both rules give the same columns."""
+    """Tag and de-duplicate within each branch. Both rules give the same columns.
+
+    The number comes before the branch in the keys: sorts compare the first key by a binary
+    prefix, which tells numbers apart at once but a handful of branches hardly.
+    """
     out = []
     for style in ("latest", "colmax"):
         group = [b for b in branches if b.dedup == style]
@@ -147,13 +151,13 @@ def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int
         tagged = tag_branches(raw, group, numbers)
         code = F.substring("Campaign_Name", 1, 2).alias("STATE_CODE")
         if style == "colmax":
-            rows = dedup.collapse_max(tagged.select(BRANCH, code, *_USED), [BRANCH, "DN"])
+            rows = dedup.collapse_max(tagged.select(BRANCH, code, *_USED), ["DN", BRANCH])
         else:
             # Equal times are settled by the call id, when there is one; otherwise by all columns.
             by = ["CALL_ID"] if "CALL_ID" in raw.columns else tie
             extra = ["CALL_ID"] if by == ["CALL_ID"] else []
             tagged = tagged.select(BRANCH, code, *_USED, *extra)
-            rows = dedup.latest_per_key(tagged, [BRANCH, "DN"], tie=by).drop(*extra)
+            rows = dedup.latest_per_key(tagged, ["DN", BRANCH], tie=by).drop(*extra)
         out.append(rows)
     return union_all(out)
 
