@@ -1,4 +1,3 @@
 from surveyscore.functions.scalars import (  # noqa: F401
-    ac_id, first_key, has_more_keys, hundredths, like_any, margin_bucket, pc_id, pct,
-    state_like, summary_text, time_window, valid_answer_expr,
+    ac_id, first_key, hundredths, margin_bucket, pc_id, pct, summary_text,
 )

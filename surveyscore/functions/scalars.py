@@ -1,9 +1,11 @@
-"""Column expressions shared by the operators. All stay inside Catalyst; there are no UDFs."""
+"""Expressions shared by the operators, as Spark SQL text and as columns.
 
-from __future__ import annotations
+Plans of many branches hold thousands of small expressions. Writing them as SQL text crosses from
+Python to the JVM once per expression instead of once per node. Arguments are column names or SQL
+text. There are no UDFs.
+"""
 
-from functools import reduce
-from operator import or_
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,96 +14,129 @@ from pyspark.sql import types as T
 # Answers that carry no key press.
 EMPTY_ANSWERS = ("", ",,")
 
-# Upper bound of each margin band, in hundredths of a percent, and its label.
-MARGIN_BANDS = ((500, "0-5%"), (1000, "6-10%"), (2000, "11-20%"), (3000, "21-30%"))
+# Upper bound of each margin band in percent, and its label.
+MARGIN_BANDS = ((5, "0-5%"), (10, "6-10%"), (20, "11-20%"), (30, "21-30%"))
 MARGIN_ABOVE = "Above 30%"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def text(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(name: str) -> str:
+    """A column name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def numbers(values) -> str:
+    return ", ".join(str(int(v)) for v in values)
+
 
+# ---- SQL text ----------------------------------------------------------------------------
 
-def hundredths(part: Column | str, total: Column | str) -> Column:
+
+def hundredths_sql(part: str, total: str) -> str:
     """Percentage in whole hundredths, rounded half up; NULL for an empty total.
 
     Integer arithmetic keeps the result exact, so equal shares compare equal and the value
     does not depend on how an engine rounds doubles.
     """
-    p, t = _col(part), _col(total)
-    wide = (p * F.lit(20000) + t).cast("long")
-    return F.when(t > 0, F.call_function("div", wide, (t * F.lit(2)).cast("long")))
-
+    return f"CASE WHEN {total} > 0 THEN (({part}) * 20000 + {total}) div ({total} * 2) END"
 
-def as_pct(h: Column) -> Column:
-    return h.cast("double") / F.lit(100.0)
 
-
-def pct(part: Column | str, total: Column | str) -> Column:
-    """``part`` of ``total`` in percent with two decimals."""
-    return as_pct(hundredths(part, total))
+def as_pct_sql(hundredths: str) -> str:
+    return f"CAST({hundredths} AS DOUBLE) / 100.0D"
 
 
-def margin_bucket(margin: Column | str) -> Column:
+def margin_bucket_sql(margin: str) -> str:
     """Band of a margin in percent. NULL and negative margins fall in the last band."""
-    m = _col(margin)
-    out, low = None, None
+    arms, low = "", None
     for top, label in MARGIN_BANDS:
-        inside = (m >= F.lit(0.0)) if low is None else (m > F.lit(low / 100.0))
-        inside = inside & (m <= F.lit(top / 100.0))
-        out = F.when(inside, F.lit(label)) if out is None else out.when(inside, F.lit(label))
+        above = f"{margin} >= 0" if low is None else f"{margin} > {low}"
+        arms += f" WHEN {above} AND {margin} <= {top} THEN {text(label)}"
         low = top
-    return out.otherwise(F.lit(MARGIN_ABOVE))
+    return f"CASE{arms} ELSE {text(MARGIN_ABOVE)} END"
 
 
-def summary_text(winner: Column | str, margin: Column | str, runner_up: Column | str) -> Column:
+def summary_sql(winner: str, margin: str, runner_up: str) -> str:
     """``W m (R)``; ``DRAW`` for a draw; NULL when a part is NULL."""
-    w, m, r = _col(winner), _col(margin), _col(runner_up)
-    text = F.concat(w, F.lit(" "), m.cast("string"), F.lit(" ("), r, F.lit(")"))
-    return F.when(w == F.lit("DRAW"), F.lit("DRAW")).otherwise(text)
+    return (f"CASE WHEN {winner} = 'DRAW' THEN 'DRAW' "
+            f"ELSE concat({winner}, ' ', CAST({margin} AS STRING), ' (', {runner_up}, ')') END")
 
 
-def valid_answer_expr(answer: Column | str = "DTMF_REP") -> Column:
-    a = _col(answer)
-    return a.isNotNull() & ~a.isin(*EMPTY_ANSWERS)
+def valid_answer_sql(answer: str = "DTMF_REP") -> str:
+    empty = ", ".join(text(a) for a in EMPTY_ANSWERS)
+    return f"{answer} IS NOT NULL AND {answer} NOT IN ({empty})"
 
 
-def first_key(answer: Column | str) -> Column:
-    return F.substring_index(_col(answer), ",", 1)
+def first_key_sql(answer: str) -> str:
+    return f"substring_index({answer}, ',', 1)"
 
 
-def has_more_keys(answer: Column | str) -> Column:
-    return F.contains(_col(answer), F.lit(","))
+def more_keys_sql(answer: str) -> str:
+    return f"contains({answer}, ',')"
 
 
-def like_any(col: Column | str, patterns) -> Column:
+def like_any_sql(col: str, patterns) -> str:
     """Disjunction of LIKE patterns. Catalyst turns plain prefixes into pushed StartsWith."""
-    c = _col(col)
-    return reduce(or_, [c.like(p) for p in patterns])
+    return "(" + " OR ".join(f"{col} LIKE {text(p)}" for p in patterns) + ")"
 
 
-def state_like(col: Column | str, pattern: str) -> Column:
+def state_like_sql(col: str, pattern: str) -> str:
     """State names occur in several cases, so the match ignores case; ``_`` is one character."""
-    return F.upper(_col(col)).like(pattern.upper())
+    return f"upper({col}) LIKE {text(pattern.upper())}"
 
 
-def time_window(col: Column | str, start: str | None = None, end: str | None = None,
-                end_inclusive: bool = False, dtype: T.DataType | None = None) -> Column:
+def time_window_sql(col: str, start: str | None = None, end: str | None = None,
+                    end_inclusive: bool = False, dtype: T.DataType | None = None) -> str:
     """Time range. Only the literal is cast, to the column's own type, so it can be pushed down."""
-    c = _col(col)
-    as_time = (lambda s: F.lit(s).cast(dtype or T.TimestampType()))
+    kind = (dtype or T.TimestampType()).simpleString()
     parts = []
     if start is not None:
-        parts.append(c >= as_time(start))
+        parts.append(f"{col} >= CAST({text(start)} AS {kind})")
     if end is not None:
-        parts.append(c <= as_time(end) if end_inclusive else c < as_time(end))
+        parts.append(f"{col} {'<=' if end_inclusive else '<'} CAST({text(end)} AS {kind})")
     if not parts:
-        raise ValueError("time_window needs a start or an end")
-    return reduce(lambda a, b: a & b, parts)
+        raise ValueError("a time window needs a start or an end")
+    return " AND ".join(parts)
+
+
+def ac_id_sql(code: str, ac_no: str) -> str:
+    return f"concat({code}, '-AC-', CAST({ac_no} AS STRING))"
+
+
+def pc_id_sql(code: str, pc_no: str) -> str:
+    return f"concat({code}, '-', CAST({pc_no} AS STRING))"
+
+
+# ---- columns -----------------------------------------------------------------------------
+
+
+def hundredths(part: str, total: str) -> Column:
+    return F.expr(hundredths_sql(part, total))
+
+
+def pct(part: str, total: str) -> Column:
+    """``part`` of ``total`` in percent with two decimals."""
+    return F.expr(as_pct_sql(hundredths_sql(part, total)))
+
+
+def margin_bucket(margin: str) -> Column:
+    return F.expr(margin_bucket_sql(margin))
+
+
+def summary_text(winner: str, margin: str, runner_up: str) -> Column:
+    return F.expr(summary_sql(winner, margin, runner_up))
+
+
+def first_key(answer: str) -> Column:
+    return F.expr(first_key_sql(answer))
 
 
-def ac_id(code: Column | str, ac_no: Column | str) -> Column:
-    return F.concat(_col(code), F.lit("-AC-"), _col(ac_no).cast("string"))
+def ac_id(code: str, ac_no: str) -> Column:
+    return F.expr(ac_id_sql(code, ac_no))
 
 
-def pc_id(code: Column | str, pc_no: Column | str) -> Column:
-    return F.concat(_col(code), F.lit("-"), _col(pc_no).cast("string"))
+def pc_id(code: str, pc_no: str) -> Column:
+    return F.expr(pc_id_sql(code, pc_no))

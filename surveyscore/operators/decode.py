@@ -11,7 +11,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,55 +175,52 @@ def _later_lookup(df: DataFrame, book: Codebook | DataFrame) -> DataFrame:
     return arms
 
 
-def decode_first(df: DataFrame, book: Codebook | DataFrame, book_id: Column | str = "main",
-                 ordering: str = "N_PARTY", answer: str = "DTMF_REP", out: str = "RES1") -> DataFrame:
-    """Label of the first key; NULL when no arm fits.
+def _key(literal: str, col: str | None) -> str:
+    return fn.text(literal) if col is None else col
+
+
+def decode_first(df: DataFrame, book: Codebook | DataFrame, book_id: str = "main",
+                 ordering: str = "N_PARTY", answer: str = "DTMF_REP", out: str = "RES1",
+                 book_col: str | None = None) -> DataFrame:
+    """Label of the first key; NULL when no arm fits. ``book_col`` names a book per row.
 
     The lookup is unique per (book, ordering, digit, has further keys), so the join never
     multiplies rows.
     """
-    b = F.lit(book_id) if isinstance(book_id, str) else book_id
     look = _first_lookup(df, book)
-    cond = (
-        (b == F.col("__b")) & (F.col(ordering) == F.col("__o"))
-        & (fn.first_key(answer) == F.col("__d")) & (fn.has_more_keys(answer) == F.col("__m"))
-    )
+    on = (f"{_key(book_id, book_col)} = __b AND {ordering} = __o "
+          f"AND {fn.first_key_sql(answer)} = __d AND {fn.more_keys_sql(answer)} = __m")
     return (
-        df.join(look, cond, "left")
+        df.join(look, F.expr(on), "left")
         .withColumn(out, F.col("__label"))
         .drop("__b", "__o", "__d", "__m", "__label")
     )
 
 
-def decode_later(df: DataFrame, book: Codebook | DataFrame, book_id: Column | str = "main",
-                 ordering: str = "N_PARTY", answer: str = "DTMF_REP", out: str = "RES2") -> DataFrame:
+def decode_later(df: DataFrame, book: Codebook | DataFrame, book_id: str = "main",
+                 ordering: str = "N_PARTY", answer: str = "DTMF_REP", out: str = "RES2",
+                 book_col: str | None = None) -> DataFrame:
     """Label of a later key. Among the arms whose digit follows some comma, the first one wins."""
-    b = F.lit(book_id) if isinstance(book_id, str) else book_id
     look = _later_lookup(df, book)
-    hit = F.filter("__arms", lambda a: F.contains(F.col(answer), F.concat(F.lit(","), a["d"])))
-    return (
-        df.join(look, (b == F.col("__b")) & (F.col(ordering) == F.col("__o")), "left")
-        .withColumn(out, F.get(hit, 0)["l"])
-        .drop("__b", "__o", "__arms")
-    )
+    on = f"{_key(book_id, book_col)} = __b AND {ordering} = __o"
+    hit = f"get(filter(__arms, a -> contains({answer}, concat(',', a.d))), 0).l"
+    return df.join(look, F.expr(on), "left").withColumn(out, F.expr(hit)).drop("__b", "__o", "__arms")
 
 
-def spelled_label(ordering: Column | str, answer: Column | str, base: Column, letters: Column) -> Column:
+def spelled_sql(ordering: str, answer: str, base: str, letters: str) -> str:
     """First-key label under a spelling rule; ``letters`` is a map of letter to label."""
-    code = F.col(ordering) if isinstance(ordering, str) else ordering
-    key = fn.first_key(answer)
+    key = fn.first_key_sql(answer)
     # The code laid out by key: a short one leaves a gap before its last letter.
-    front = F.greatest(F.length(code) - 1, F.lit(3))
-    keys = F.concat(F.rpad(F.left(code, F.length(code) - 1), front, F.lit(" ")), F.right(code, F.lit(1)))
-    step = F.pmod(F.when(F.length(key) == 1, key.try_cast("int")) - base, F.lit(10))
-    letter = F.substr(keys, step + 1, F.lit(1))
-    return F.try_element_at(letters, letter)
+    front = f"greatest(length({ordering}) - 1, 3)"
+    keys = f"concat(rpad(left({ordering}, length({ordering}) - 1), {front}, ' '), right({ordering}, 1))"
+    step = f"pmod(CASE WHEN length({key}) = 1 THEN try_cast({key} AS INT) END - {base}, 10)"
+    return f"try_element_at({letters}, substr({keys}, {step} + 1, 1))"
 
 
 def decode_spelled(df: DataFrame, spelling: Spelling, ordering: str = "N_PARTY",
                    answer: str = "DTMF_REP", out: str = "RES1") -> DataFrame:
-    letters = F.create_map(*[F.lit(x) for kv in spelling.letters.items() for x in kv])
-    return df.withColumn(out, spelled_label(ordering, answer, F.lit(spelling.base), letters))
+    letters = "map(" + ", ".join(fn.text(x) for kv in spelling.letters.items() for x in kv) + ")"
+    return df.withColumn(out, F.expr(spelled_sql(ordering, answer, str(spelling.base), letters)))
 
 
 _VENDOR_SCHEMA = T.StructType([
@@ -234,25 +231,22 @@ _VENDOR_SCHEMA = T.StructType([
 
 
 def assign_ordering(df: DataFrame, vendor_map: Mapping, default: str = UNSET_ORDERING,
-                    branch_id: Column | str = "main", vendor: str = "VENDOR_ID",
-                    out: str = "SEQ") -> DataFrame:
+                    vendor: str = "VENDOR_ID", out: str = "SEQ", branch_col: str | None = None) -> DataFrame:
     """Ordering from the vendor id.
 
-    ``vendor_map`` is ``{ordering: ids}`` or ``{branch: {ordering: ids}}``; ids may be quoted.
-    A vendor that no rule names gets ``default``, which no arm matches.
+    ``vendor_map`` is ``{ordering: ids}``, or with ``branch_col`` ``{branch: {ordering: ids}}``;
+    ids may be quoted. A vendor that no rule names gets ``default``, which no arm matches.
     """
-    if not any(isinstance(v, Mapping) for v in vendor_map.values()):
-        vendor_map = {branch_id if isinstance(branch_id, str) else "main": vendor_map}
     rows = {}
-    for branch, orderings in vendor_map.items():
+    for branch, orderings in (vendor_map if branch_col else {"main": vendor_map}).items():
         for code, ids in orderings.items():
             for i in ids:
                 rows.setdefault((branch, int(i)), code)
     look = rule_table(df.sparkSession, [(*k, v) for k, v in rows.items()], _VENDOR_SCHEMA)
-    b = F.lit(branch_id) if isinstance(branch_id, str) else branch_id
+    on = f"{_key('main', branch_col)} = __b AND {vendor} = __v"
     return (
-        df.join(look, (b == F.col("__b")) & (F.col(vendor) == F.col("__v")), "left")
-        .withColumn(out, F.coalesce(F.col("__seq"), F.lit(default)))
+        df.join(look, F.expr(on), "left")
+        .withColumn(out, F.expr(f"coalesce(__seq, {fn.text(default)})"))
         .drop("__b", "__v", "__seq")
     )
 
@@ -278,25 +272,22 @@ _RECODE_SCHEMA = T.StructType([
 ])
 
 
-def recode(df: DataFrame, rules, branch_id: Column | str = "main", pc: str = "PC_ID",
-           label: str = "RES1") -> DataFrame:
+def recode(df: DataFrame, rules, pc: str = "PC_ID", label: str = "RES1",
+           branch_col: str | None = None) -> DataFrame:
     """Alliance recode; the first rule that fits wins, other labels stay.
 
-    ``rules`` is a list of ``Recode`` or ``{branch: [Recode, ...]}``.
+    ``rules`` is a list of ``Recode``, or with ``branch_col`` ``{branch: [Recode, ...]}``.
     """
-    if not isinstance(rules, Mapping):
-        rules = {branch_id if isinstance(branch_id, str) else "main": rules}
     rows = {}
-    for branch, items in rules.items():
+    for branch, items in (rules if branch_col else {"main": rules}).items():
         for rule in items:
             for p in rule.pc_ids:
                 for lab in rule.labels:
                     rows.setdefault((branch, p, lab), rule.to)
     look = rule_table(df.sparkSession, [(*k, v) for k, v in rows.items()], _RECODE_SCHEMA)
-    b = F.lit(branch_id) if isinstance(branch_id, str) else branch_id
-    cond = (b == F.col("__b")) & (F.col(pc) == F.col("__p")) & (F.col(label) == F.col("__l"))
+    on = f"{_key('main', branch_col)} = __b AND {pc} = __p AND {label} = __l"
     return (
-        df.join(look, cond, "left")
-        .withColumn(label, F.coalesce(F.col("__to"), F.col(label)))
+        df.join(look, F.expr(on), "left")
+        .withColumn(label, F.expr(f"coalesce(__to, {label})"))
         .drop("__b", "__p", "__l", "__to")
     )

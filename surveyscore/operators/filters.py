@@ -11,7 +11,7 @@ from surveyscore.functions import scalars as fn
 
 def valid_answer(df: DataFrame, answer: str = "DTMF_REP") -> DataFrame:
     """Keep calls with at least one key press."""
-    return df.filter(fn.valid_answer_expr(answer))
+    return df.filter(fn.valid_answer_sql(answer))
 
 
 def like(df: DataFrame, col: str, pattern: str) -> DataFrame:
@@ -19,15 +19,15 @@ def like(df: DataFrame, col: str, pattern: str) -> DataFrame:
 
 
 def like_any(df: DataFrame, col: str, patterns) -> DataFrame:
-    return df.filter(fn.like_any(col, patterns))
+    return df.filter(fn.like_any_sql(col, patterns))
 
 
 def not_like(df: DataFrame, col: str, patterns) -> DataFrame:
-    return df.filter(~fn.like_any(col, patterns))
+    return df.filter("NOT " + fn.like_any_sql(col, patterns))
 
 
 def state_prefix(df: DataFrame, pattern: str, col: str = "state") -> DataFrame:
-    return df.filter(fn.state_like(col, pattern))
+    return df.filter(fn.state_like_sql(col, pattern))
 
 
 def question_type(df: DataFrame, value: str, col: str = "Q2_Type") -> DataFrame:
@@ -36,7 +36,7 @@ def question_type(df: DataFrame, value: str, col: str = "Q2_Type") -> DataFrame:
 
 def in_time(df: DataFrame, start: str | None = None, end: str | None = None,
             end_inclusive: bool = False, col: str = "Start_Time") -> DataFrame:
-    return df.filter(fn.time_window(col, start, end, end_inclusive, df.schema[col].dataType))
+    return df.filter(fn.time_window_sql(col, start, end, end_inclusive, df.schema[col].dataType))
 
 
 def pc_in(df: DataFrame, numbers, col: str = "PC_NO") -> DataFrame:

@@ -8,8 +8,6 @@ serve all windows of all scopes, because every window key starts with one of the
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,17 +46,17 @@ def _with_windows(df: DataFrame, scopes: list[Scope], by=()) -> DataFrame:
     Order of labels: count descending, then label, for winner and runner-up alike. The scopes
     share the partitioning of ``df``, so this adds sorts but no exchange.
     """
-    counts, bests, seconds = {}, {}, {}
+    counts, bests, seconds = [], [], []
     for s in scopes:
         c, t, first, second = (f"__{s.name}_{x}" for x in ("c", "t", "1", "2"))
-        keys = [*by, *s.keys]
-        whole = Window.partitionBy(*keys)
-        rank = f"struct(-`{c}` AS c, RES1 AS l)"
-        counts[c] = F.sum("__n").over(Window.partitionBy(*keys, "RES1"))
-        bests[t] = F.sum("__n").over(whole)
-        bests[first] = F.min(F.expr(rank)).over(whole)
-        seconds[second] = F.min(F.expr(f"CASE WHEN NOT (RES1 <=> `{first}`.l) THEN {rank} END")).over(whole)
-    return df.withColumns(counts).withColumns(bests).withColumns(seconds)
+        keys = ", ".join([*by, *s.keys])
+        rank = f"struct(-{c} AS c, RES1 AS l)"
+        counts.append(f"sum(__n) OVER (PARTITION BY {keys}, RES1) AS {c}")
+        bests.append(f"sum(__n) OVER (PARTITION BY {keys}) AS {t}")
+        bests.append(f"min({rank}) OVER (PARTITION BY {keys}) AS {first}")
+        other = f"CASE WHEN NOT (RES1 <=> {first}.l) THEN {rank} END"
+        seconds.append(f"min({other}) OVER (PARTITION BY {keys}) AS {second}")
+    return df.selectExpr("*", *counts).selectExpr("*", *bests).selectExpr("*", *seconds)
 
 
 def _with_metrics(df: DataFrame, scopes: list[Scope], on_tie: str = "first") -> DataFrame:
@@ -70,27 +68,32 @@ def _with_metrics(df: DataFrame, scopes: list[Scope], on_tie: str = "first") ->
     """
     if on_tie not in ("first", "draw"):
         raise ValueError("on_tie is 'first' or 'draw'")
-    shares, names, texts = {}, {}, {}
+    shares, names, texts = [], [], []
     for s in scopes:
-        c, t, first, second = (F.col(f"__{s.name}_{x}") for x in ("c", "t", "1", "2"))
-        h, h1, h2 = (f"__{s.name}_{x}" for x in ("h", "h1", "h2"))
-        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in s.keys])
-        shares[s.count] = c
-        shares[h] = fn.hundredths(c, t)
-        shares[h1] = fn.hundredths(-first["c"], t)
-        shares[h2] = F.when(known, fn.hundredths(-second["c"], t))
-        won = first["l"]
+        c, t, first, second, h, h1, h2 = (f"__{s.name}_{x}" for x in ("c", "t", "1", "2", "h", "h1", "h2"))
+        known = " AND ".join(f"{k} IS NOT NULL" for k in s.keys)
+        won = f"{first}.l"
         if on_tie == "draw":
-            won = F.when(first["c"] == second["c"], F.lit("DRAW")).otherwise(won)
-        shares[s.winner] = F.when(known, won)
-        shares[s.runner_up] = F.when(known, second["l"])
-        names[s.pct] = fn.as_pct(F.col(h))
-        names[s.max_pct] = fn.as_pct(F.col(h1))
-        names[s.second] = fn.as_pct(F.col(h2))
-        names[s.margin] = fn.as_pct(F.col(h1) - F.col(h2))
-        texts[s.band] = fn.margin_bucket(s.margin)
-        texts[s.summary] = fn.summary_text(s.winner, s.margin, s.runner_up)
-    return df.withColumns(shares).withColumns(names).withColumns(texts)
+            won = f"CASE WHEN {first}.c = {second}.c THEN 'DRAW' ELSE {won} END"
+        shares += [
+            f"{c} AS {s.count}",
+            f"{fn.hundredths_sql(c, t)} AS {h}",
+            f"{fn.hundredths_sql(f'-{first}.c', t)} AS {h1}",
+            f"CASE WHEN {known} THEN {fn.hundredths_sql(f'-{second}.c', t)} END AS {h2}",
+            f"CASE WHEN {known} THEN {won} END AS {s.winner}",
+            f"CASE WHEN {known} THEN {second}.l END AS {s.runner_up}",
+        ]
+        names += [
+            f"{fn.as_pct_sql(h)} AS {s.pct}",
+            f"{fn.as_pct_sql(h1)} AS {s.max_pct}",
+            f"{fn.as_pct_sql(h2)} AS {fn.quoted(s.second)}",
+            f"{fn.as_pct_sql(f'({h1} - {h2})')} AS {s.margin}",
+        ]
+        texts += [
+            f"{fn.margin_bucket_sql(s.margin)} AS {s.band}",
+            f"{fn.summary_sql(s.winner, s.margin, s.runner_up)} AS {s.summary}",
+        ]
+    return df.selectExpr("*", *shares).selectExpr("*", *names).selectExpr("*", *texts)
 
 
 def scope_table(resp: DataFrame, scope: Scope | str, by=(), on_tie: str = "first") -> DataFrame:
@@ -199,12 +202,11 @@ def score_scope(resp: DataFrame, scope: Scope | str, on_tie: str = "first",
     seconds = runner_up(resp, s, "dense")
     order = out.columns
     out = out.drop(s.second, s.runner_up, s.margin, s.band, s.summary).join(seconds, list(s.keys), "left")
-    h = (F.round(F.col(s.max_pct) * 100) - F.round(F.col(s.second) * 100)).cast("long")
-    out = out.withColumn(s.margin, fn.as_pct(h))
-    return out.withColumns({
-        s.band: fn.margin_bucket(s.margin),
-        s.summary: fn.summary_text(s.winner, s.margin, s.runner_up),
-    }).select(*order)
+    h = f"CAST(round({s.max_pct} * 100) - round({fn.quoted(s.second)} * 100) AS BIGINT)"
+    return out.selectExpr("*", f"{fn.as_pct_sql(h)} AS {s.margin}").selectExpr(
+        "*", f"{fn.margin_bucket_sql(s.margin)} AS {s.band}",
+        f"{fn.summary_sql(s.winner, s.margin, s.runner_up)} AS {s.summary}",
+    ).select(*order)
 
 
 def score_all(resp: DataFrame, on_tie: str = "first", by=()) -> DataFrame:

@@ -10,9 +10,8 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,36 +48,32 @@ _BRANCH_SCHEMA = T.StructType([
 ])
 
 
-def _all(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)
+def _all(parts: list[str]) -> str:
+    return " AND ".join(f"({p})" for p in parts) if parts else "true"
 
 
-def _any(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, parts)
-
-
-def branch_predicate(b: Branch, raw: DataFrame) -> Column:
+def branch_predicate(b: Branch, raw: DataFrame) -> str:
     """Condition under which a raw call belongs to a branch."""
     parts = []
     if b.campaign_like:
-        parts.append(fn.like_any("Campaign_Name", b.campaign_like))
+        parts.append(fn.like_any_sql("Campaign_Name", b.campaign_like))
     if b.campaign_not_like:
-        parts.append(~fn.like_any("Campaign_Name", b.campaign_not_like))
+        parts.append("NOT " + fn.like_any_sql("Campaign_Name", b.campaign_not_like))
     if b.state_prefix:
-        parts.append(fn.state_like("state", b.state_prefix))
+        parts.append(fn.state_like_sql("state", b.state_prefix))
     if b.q2_type:
-        parts.append(F.col("Q2_Type") == b.q2_type)
+        parts.append(f"Q2_Type = {fn.text(b.q2_type)}")
     if b.start or b.end:
         kind = raw.schema["Start_Time"].dataType
-        parts.append(fn.time_window("Start_Time", b.start, b.end, b.end_inclusive, kind))
+        parts.append(fn.time_window_sql("Start_Time", b.start, b.end, b.end_inclusive, kind))
     if b.pc_in:
-        parts.append(F.col("PC_NO").isin(*b.pc_in))
+        parts.append(f"PC_NO IN ({fn.numbers(b.pc_in)})")
     if b.pc_not_in:
-        parts.append(~F.col("PC_NO").isin(*b.pc_not_in))
+        parts.append(f"PC_NO NOT IN ({fn.numbers(b.pc_not_in)})")
     if b.pc_known:
-        parts.append(F.col("PC_NO").isNotNull())
+        parts.append("PC_NO IS NOT NULL")
     if b.dedup == "colmax":
-        parts.append(fn.valid_answer_expr())
+        parts.append(fn.valid_answer_sql())
     return _all(parts)
 
 
@@ -87,19 +82,19 @@ def _literal_prefix(pattern: str) -> str:
     return pattern[:cut]
 
 
-def _coarse_filter(branches: list[Branch], raw: DataFrame) -> list[Column]:
+def _coarse_filter(branches: list[Branch], raw: DataFrame) -> list[str]:
     """Conditions implied by every branch that the scan can evaluate on its own statistics."""
     out = []
     if all(b.campaign_like for b in branches):
         prefixes = sorted({_literal_prefix(p) for b in branches for p in b.campaign_like})
         short = [p for p in prefixes if not any(p != q and p.startswith(q) for q in prefixes)]
         if all(short):
-            out.append(_any([F.col("Campaign_Name").startswith(p) for p in short]))
+            out.append(" OR ".join(f"startswith(Campaign_Name, {fn.text(p)})" for p in short))
     if all(b.start for b in branches):
         kind = raw.schema["Start_Time"].dataType
-        out.append(fn.time_window("Start_Time", min(b.start for b in branches), dtype=kind))
+        out.append(fn.time_window_sql("Start_Time", min(b.start for b in branches), dtype=kind))
     if all(b.dedup == "colmax" for b in branches):
-        out.append(fn.valid_answer_expr())
+        out.append(fn.valid_answer_sql())
     return out
 
 
@@ -118,22 +113,21 @@ def tag_branches(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, i
         code = codes.pop() if len(codes) == 1 else ""
         groups[code if len(code) == 2 else None].append(b)
 
-    def hits(group: list[Branch]) -> Column:
-        return F.array(*[F.when(branch_predicate(b, raw), F.lit(numbers[b.branch_id])) for b in group])
+    def hits(group: list[Branch]) -> str:
+        tests = [f"CASE WHEN {branch_predicate(b, raw)} THEN {numbers[b.branch_id]} END" for b in group]
+        return f"array({', '.join(tests)})"
 
     arrays = [hits(groups.pop(None))] if None in groups else []
     if groups:
-        code, chain = F.substring("Campaign_Name", 1, 2), None
-        for prefix, group in groups.items():
-            chain = (F.when if chain is None else chain.when)(code == prefix, hits(group))
-        arrays.append(F.coalesce(chain, F.array().cast("array<int>")))
+        arms = [f"WHEN {fn.text(prefix)} THEN {hits(group)}" for prefix, group in groups.items()]
+        own = f"CASE substring(Campaign_Name, 1, 2) {' '.join(arms)} END"
+        arrays.append(f"coalesce({own}, CAST(array() AS ARRAY<INT>))")
     # array_except drops the NULLs of branches that do not match and, unlike a lambda filter,
     # leaves the predicates in generated code.
-    none = F.array(F.lit(None).cast("int"))
-    found = F.array_except(F.concat(*arrays) if len(arrays) > 1 else arrays[0], none)
+    found = f"concat({', '.join(arrays)})" if len(arrays) > 1 else arrays[0]
     coarse = _coarse_filter(branches, raw)
     out = raw.filter(_all(coarse)) if coarse else raw
-    return out.withColumn(BRANCH, F.explode(found))
+    return out.selectExpr("*", f"explode(array_except({found}, array(CAST(NULL AS INT)))) AS {BRANCH}")
 
 
 def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int],
@@ -149,14 +143,14 @@ def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int
         if not group:
             continue
         tagged = tag_branches(raw, group, numbers)
-        code = F.substring("Campaign_Name", 1, 2).alias("STATE_CODE")
+        code = "substring(Campaign_Name, 1, 2) AS STATE_CODE"
         if style == "colmax":
-            rows = dedup.collapse_max(tagged.select(BRANCH, code, *_USED), ["DN", BRANCH])
+            rows = dedup.collapse_max(tagged.selectExpr(BRANCH, code, *_USED), ["DN", BRANCH])
         else:
             # Equal times are settled by the call id, when there is one; otherwise by all columns.
             by = ["CALL_ID"] if "CALL_ID" in raw.columns else tie
             extra = ["CALL_ID"] if by == ["CALL_ID"] else []
-            tagged = tagged.select(BRANCH, code, *_USED, *extra)
+            tagged = tagged.selectExpr(BRANCH, code, *_USED, *extra)
             rows = dedup.latest_per_key(tagged, ["DN", BRANCH], tie=by).drop(*extra)
         out.append(rows)
     return union_all(out)
@@ -184,50 +178,43 @@ def _geo_checked(df: DataFrame, branches: list[Branch], geo: DataFrame | None,
                  remap: DataFrame | None) -> DataFrame:
     semi = [b for b in branches if b.geo == "semi"]
     moved = [b for b in branches if b.geo == "remap"]
+    here = "__geo_state = __s AND AC_NO = __a"
     if semi:
         if geo is None:
             raise ValueError("these branches check the geography; pass geo=")
-        dim = geo.select(F.col("State_Code").alias("__s"), F.col("AC_NO").alias("__a"))
-        on = (F.col("__geo_state") == F.col("__s")) & (F.col("AC_NO") == F.col("__a"))
+        dim = geo.selectExpr("State_Code AS __s", "AC_NO AS __a")
         if len(semi) == len(branches):
-            df = df.join(dim, on, "left_semi")
+            df = df.join(dim, F.expr(here), "left_semi")
         else:
-            dim = dim.distinct().withColumn("__found", F.lit(True))
-            on = on & (F.col("__geo") == "semi")
-            keep = F.col("__found").isNotNull() | ~F.col("__geo").eqNullSafe(F.lit("semi"))
-            df = df.join(dim, on, "left").filter(keep).drop("__s", "__a", "__found")
+            df = df.join(dim.distinct(), F.expr(f"{here} AND __geo = 'semi'"), "left")
+            df = df.filter("__s IS NOT NULL OR NOT (__geo <=> 'semi')").drop("__s", "__a")
     if moved:
         if remap is None:
             raise ValueError("these branches take the PC from the geography; pass geo_remap=")
-        dim = remap.select(F.col("State_Code").alias("__s"), F.col("AC_NO").alias("__a"),
-                           F.col("PC_No").alias("__pc")).distinct()
-        on = (F.col("__geo_state") == F.col("__s")) & (F.col("AC_NO") == F.col("__a")) \
-            & (F.col("__geo") == "remap")
-        is_moved = F.col("__geo").eqNullSafe(F.lit("remap"))
-        df = df.join(dim, on, "left").filter(~is_moved | F.col("__s").isNotNull())
-        df = df.withColumns({
-            "PC_NO": F.when(is_moved, F.col("__pc")).otherwise(F.col("PC_NO")),
-            "PC_ID": F.when(is_moved, fn.pc_id("__s", "__pc")).otherwise(F.col("PC_ID")),
+        dim = remap.selectExpr("State_Code AS __s", "AC_NO AS __a", "PC_No AS __pc").distinct()
+        df = df.join(dim, F.expr(f"{here} AND __geo = 'remap'"), "left")
+        df = df.filter("__s IS NOT NULL OR NOT (__geo <=> 'remap')").withColumns({
+            "PC_NO": F.expr("CASE WHEN __geo <=> 'remap' THEN __pc ELSE PC_NO END"),
+            "PC_ID": F.expr(f"CASE WHEN __geo <=> 'remap' THEN {fn.pc_id_sql('__s', '__pc')} ELSE PC_ID END"),
         }).drop("__s", "__a", "__pc")
     return df
 
 
-def _post_filter(df: DataFrame, branches: list[Branch]) -> DataFrame:
+def _post_filter(df: DataFrame, branches: list[Branch], numbers: Mapping[str, int]) -> DataFrame:
     """Conditions that a branch puts on its finished rows."""
-    chain = None
+    arms = ""
     for b in branches:
         parts = []
         if b.post_pc_in:
-            parts.append(F.col("PC_NO").isin(*b.post_pc_in))
+            parts.append(f"PC_NO IN ({fn.numbers(b.post_pc_in)})")
         if b.post_pc_not_in:
-            parts.append(~F.col("PC_NO").isin(*b.post_pc_not_in))
+            parts.append(f"PC_NO NOT IN ({fn.numbers(b.post_pc_not_in)})")
         if b.post_start or b.post_end:
             kind = df.schema["Start_Time"].dataType
-            parts.append(fn.time_window("Start_Time", b.post_start, b.post_end, dtype=kind))
+            parts.append(fn.time_window_sql("Start_Time", b.post_start, b.post_end, dtype=kind))
         if parts:
-            step = F.when if chain is None else chain.when
-            chain = step(F.col("branch_id") == b.branch_id, _all(parts))
-    return df if chain is None else df.filter(chain.otherwise(F.lit(True)))
+            arms += f" WHEN {numbers[b.branch_id]} THEN {_all(parts)}"
+    return df.filter(f"CASE {BRANCH}{arms} ELSE true END") if arms else df
 
 
 def _excluded(df: DataFrame) -> DataFrame:
@@ -236,53 +223,52 @@ def _excluded(df: DataFrame) -> DataFrame:
     A window over (state, number) sees which branches hold the number: at most one row per
     branch, and no second scan as a self-join would need.
     """
-    held = F.collect_set(BRANCH).over(Window.partitionBy("__spec", "DN"))
-    gone = F.col("DN").isNotNull() & F.array_contains("__held", F.col("__source"))
-    return df.withColumn("__held", held).filter(~F.coalesce(gone, F.lit(False))).drop("__held")
+    held = f"collect_set({BRANCH}) OVER (PARTITION BY __spec, DN) AS __held"
+    gone = "DN IS NOT NULL AND array_contains(__held, __source)"
+    return df.selectExpr("*", held).filter(f"NOT coalesce({gone}, false)").drop("__held")
 
 
 def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, remap) -> DataFrame:
     branches = [b for s in specs for b in s.branches]
-    spark = df.sparkSession
-    df = df.join(rule_table(spark, _branch_rows(specs), _BRANCH_SCHEMA), BRANCH)
+    numbers = _numbers(specs)
+    df = df.join(rule_table(df.sparkSession, _branch_rows(specs), _BRANCH_SCHEMA), BRANCH)
 
-    seq = F.col("N_PARTY")
-    kinds = {b.ordering for b in branches}
+    seq, kinds = "N_PARTY", {b.ordering for b in branches}
     if "party" in kinds:
-        seq = F.when(F.col("__ordering") == "party", F.col("PARTY")).otherwise(seq)
+        seq = f"CASE WHEN __ordering = 'party' THEN PARTY ELSE {seq} END"
     if "vendor" in kinds:
         maps = {b.branch_id: b.vendors for b in branches if b.ordering == "vendor"}
-        df = decode.assign_ordering(df, maps, branch_id=F.col("branch_id"), out="__vseq")
-        seq = F.when(F.col("__ordering") == "vendor", F.col("__vseq")).otherwise(seq)
+        df = decode.assign_ordering(df, maps, out="__vseq", branch_col="branch_id")
+        seq = f"CASE WHEN __ordering = 'vendor' THEN __vseq ELSE {seq} END"
     if kinds != {"n_party"}:
-        df = df.withColumn("N_PARTY", seq)
+        df = df.withColumn("N_PARTY", F.expr(seq))
 
-    label = None
+    labels = []
     if any(b.book for b in branches):
-        df = decode.decode_first(df, books, F.col("__book"), out="__r1")
-        label = F.col("__r1")
+        df = decode.decode_first(df, books, out="__r1", book_col="__book")
+        labels.append("__r1")
     if any(b.spelling for b in branches):
-        spelled = decode.spelled_label("N_PARTY", "DTMF_REP", F.col("__base"), F.col("__letters"))
-        label = spelled if label is None else F.coalesce(label, spelled)
+        labels.append(decode.spelled_sql("N_PARTY", "DTMF_REP", "__base", "__letters"))
     df = df.withColumns({
-        "RES1": label,
+        "RES1": F.expr(f"coalesce({', '.join(labels)})"),
         "AC_ID": fn.ac_id("STATE_CODE", "AC_NO"),
         "PC_ID": fn.pc_id("STATE_CODE", "PC_NO"),
     }).filter("RES1 <> ''")
-    df = _geo_checked(df, branches, geo, remap)
-    df = _post_filter(df, branches)
+    df = _post_filter(_geo_checked(df, branches, geo, remap), branches, numbers)
     if any(b.exclude_numbers_of for b in branches):
         df = _excluded(df)
-    if not all(b.emit for b in branches):
-        df = df.filter(~F.col("branch_id").isin(*[b.branch_id for b in branches if not b.emit]))
+    hidden = [numbers[b.branch_id] for b in branches if not b.emit]
+    if hidden:
+        df = df.filter(f"{BRANCH} NOT IN ({fn.numbers(hidden)})")
     rules = {b.branch_id: b.recode for b in branches if b.recode}
     if rules:
-        df = decode.recode(df, rules, F.col("branch_id"))
-    if any(b.later_keys for b in branches):
-        df = decode.decode_later(df, books, F.col("__book"))
-        on = [b.branch_id for b in branches if b.later_keys]
-        if len(on) < len(branches):
-            df = df.withColumn("RES2", F.when(F.col("branch_id").isin(*on), F.col("RES2")).otherwise(F.lit("")))
+        df = decode.recode(df, rules, branch_col="branch_id")
+    later = [numbers[b.branch_id] for b in branches if b.later_keys]
+    if later:
+        df = decode.decode_later(df, books, book_col="__book")
+        if len(later) < len(branches):
+            res2 = f"CASE WHEN {BRANCH} IN ({fn.numbers(later)}) THEN RES2 ELSE '' END"
+            df = df.withColumn("RES2", F.expr(res2))
     else:
         df = df.withColumn("RES2", F.lit(""))
 
@@ -290,13 +276,13 @@ def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, re
         # A state that keeps duplicates across branches has the branch in __unit, so one pass
         # serves all states. The exclusion above leaves the rows partitioned for it.
         df = dedup.latest_per_key(df, ["__spec", "DN", "__unit"], tie=["branch_id"])
+    start = "Start_Time"
     if all(s.date_only for s in specs):
-        df = df.withColumn("Start_Time", F.col("Start_Time").cast("date"))
+        start = "CAST(Start_Time AS DATE) AS Start_Time"
     elif any(s.date_only for s in specs):
-        kind = df.schema["Start_Time"].dataType
-        day = F.col("Start_Time").cast("date").cast(kind)
-        df = df.withColumn("Start_Time", F.when(F.col("__day"), day).otherwise(F.col("Start_Time")))
-    return df.select(*S.CANONICAL_COLUMNS, "ROUND")
+        kind = df.schema["Start_Time"].dataType.simpleString()
+        start = f"CASE WHEN __day THEN CAST(CAST(Start_Time AS DATE) AS {kind}) ELSE Start_Time END AS Start_Time"
+    return df.selectExpr(*[start if c == "Start_Time" else c for c in S.CANONICAL_COLUMNS], "ROUND")
 
 
 # What a score depends on. Calls that agree on all of these score alike, whichever is kept.
