@@ -1,8 +1,7 @@
 """Geography and region lookups, and number exclusion.
 
-Dimension frames carry no broadcast hint: Spark broadcasts them when their size estimate (or,
-with AQE, their measured size) is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-shuffles, with skew handling on the response side.
+Dimension frames are counted before they are broadcast. One beyond the bound is joined by a
+shuffle, where AQE splits a heavy constituency on the response side.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyscore.functions import scalars as fn
+from surveyscore.rules import broadcast_if_small
 
 
 def geo_check(df: DataFrame, geo: DataFrame, states, unique: bool = True) -> DataFrame:
@@ -19,6 +19,7 @@ def geo_check(df: DataFrame, geo: DataFrame, states, unique: bool = True) -> Dat
     ``unique=False`` repeats a row for each matching geography row, as an inner join does.
     """
     dim = geo.filter(F.col("State_Code").isin(*states)).select("AC_NO")
+    dim = broadcast_if_small(dim.distinct() if unique else dim)
     return df.join(dim, "AC_NO", "left_semi" if unique else "inner").select(*df.columns)
 
 
@@ -29,7 +30,7 @@ def geo_remap(df: DataFrame, remap: DataFrame, states) -> DataFrame:
         .select("State_Code", "AC_NO", F.col("PC_No").alias("__pc"))
         .distinct()
     )
-    out = df.drop("PC_NO", "PC_ID", "State_Code").join(dim, "AC_NO")
+    out = df.drop("PC_NO", "PC_ID", "State_Code").join(broadcast_if_small(dim), "AC_NO")
     return (
         out.withColumn("PC_NO", F.col("__pc"))
         .withColumn("PC_ID", fn.pc_id("State_Code", "__pc"))
@@ -49,7 +50,7 @@ def region_dim(region: DataFrame, keys=("AC_ID",), unique: bool = True) -> DataF
 
 def with_region(df: DataFrame, region: DataFrame, keys=("AC_ID",), unique: bool = True) -> DataFrame:
     """Left lookup: a row without a region is kept with REGION NULL."""
-    return df.join(region_dim(region, keys, unique), list(keys), "left")
+    return df.join(broadcast_if_small(region_dim(region, keys, unique)), list(keys), "left")
 
 
 def exclude_numbers(df: DataFrame, numbers: DataFrame, key: str = "DN") -> DataFrame:

@@ -14,8 +14,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import replace
 
+from pyspark.sql import DataFrame
+
 from surveyscore.operators.decode import Arm, Codebook, Spelling
 from surveyscore.plans.spec import Branch, Registry, StateRoundSpec
+from surveyscore.rules import bounded_rows
 
 # Option letters read out in every state.
 COMMON = {"B": "BJP", "I": "INC", "O": "OTHERS"}
@@ -229,6 +232,27 @@ def bc_registry(schedule: Iterable[Mapping], second: Codebook | None = None) ->
     return reg
 
 
+def read_schedule(df: DataFrame) -> list[dict]:
+    """Calling schedule from a stored table with one row per (branch, ordering).
+
+    Columns: ``branch``, ``state``, ``ordering``, ``vendor_ids`` and optionally ``q2_type``,
+    ``pc_in``, ``campaign_like``, ``start``, ``end``; lists are comma-separated.
+    """
+    entries: dict[str, dict] = {}
+    for r in bounded_rows(df):
+        row = {k: v for k, v in r.asDict().items() if v not in (None, "")}
+        entry = entries.setdefault(row.pop("branch"), {"vendors": {}})
+        ids = tuple(int(v) for v in str(row.pop("vendor_ids")).split(","))
+        code = row.pop("ordering")
+        entry["vendors"][code] = entry["vendors"].get(code, ()) + ids
+        if "pc_in" in row:
+            row["pc_in"] = tuple(int(n) for n in str(row["pc_in"]).split(","))
+        if "campaign_like" in row:
+            row["campaign_like"] = tuple(row["campaign_like"].split(","))
+        entry.update(row)
+    return [entries[b] for b in sorted(entries)]
+
+
 def merge(*registries: Registry) -> Registry:
     """One registry of several, so that all rounds can run together."""
     book = Codebook()

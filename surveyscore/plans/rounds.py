@@ -21,7 +21,7 @@ from surveyscore.operators import decode, dedup
 from surveyscore.operators.combine import union_all
 from surveyscore.operators.decode import Codebook
 from surveyscore.plans.spec import Branch, StateRoundSpec
-from surveyscore.rules import rule_table
+from surveyscore.rules import broadcast_if_small, rule_table
 
 # What the build reads from a raw call. Other respondent details are never scanned.
 _USED = [
@@ -182,16 +182,17 @@ def _geo_checked(df: DataFrame, branches: list[Branch], geo: DataFrame | None,
     if semi:
         if geo is None:
             raise ValueError("these branches check the geography; pass geo=")
-        dim = geo.selectExpr("State_Code AS __s", "AC_NO AS __a")
+        dim = broadcast_if_small(geo.selectExpr("State_Code AS __s", "AC_NO AS __a").distinct())
         if len(semi) == len(branches):
             df = df.join(dim, F.expr(here), "left_semi")
         else:
-            df = df.join(dim.distinct(), F.expr(f"{here} AND __geo = 'semi'"), "left")
+            df = df.join(dim, F.expr(f"{here} AND __geo = 'semi'"), "left")
             df = df.filter("__s IS NOT NULL OR NOT (__geo <=> 'semi')").drop("__s", "__a")
     if moved:
         if remap is None:
             raise ValueError("these branches take the PC from the geography; pass geo_remap=")
         dim = remap.selectExpr("State_Code AS __s", "AC_NO AS __a", "PC_No AS __pc").distinct()
+        dim = broadcast_if_small(dim)
         df = df.join(dim, F.expr(f"{here} AND __geo = 'remap'"), "left")
         df = df.filter("__s IS NOT NULL OR NOT (__geo <=> 'remap')").withColumns({
             "PC_NO": F.expr("CASE WHEN __geo <=> 'remap' THEN __pc ELSE PC_NO END"),

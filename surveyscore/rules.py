@@ -1,7 +1,7 @@
-"""Rule tables: small, driver-held configuration turned into joinable frames.
+"""Rule tables (driver-held configuration as joinable frames) and the check before a broadcast.
 
-A rule table is broadcast only when its row count has been checked against ``MAX_RULE_ROWS``.
-A larger one is still joined, with the join strategy left to Spark.
+Nothing is broadcast before its row count has been checked. A larger table is still joined, with
+the join strategy left to Spark.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 MAX_RULE_ROWS = 200_000
+MAX_DIM_ROWS = 500_000  # rows of a dimension of a few short columns: some tens of megabytes
 
 
 def rule_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
@@ -31,3 +32,13 @@ def bounded_rows(df: DataFrame, max_rows: int = MAX_RULE_ROWS) -> list:
     if len(rows) > max_rows:
         raise ValueError(f"rule table has more than {max_rows} rows; join it as a frame instead")
     return rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Mark a dimension for broadcast after counting it; leave a larger one to a shuffled join.
+
+    The count is a job over the dimension alone. Without it a dimension that is itself computed
+    has no useful size estimate, and the large side would be shuffled before AQE can tell.
+    """
+    bound = MAX_DIM_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if df.count() <= bound else df

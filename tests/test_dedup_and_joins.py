@@ -60,6 +60,19 @@ def test_region_keeps_rows_and_does_not_multiply(spark):
     assert rows(enrich.with_region(df, region, ("AC_ID", "PC_ID")), "REGION") == [("EAST",), (None,), (None,)]
 
 
+def test_large_dimension_is_not_broadcast(spark, monkeypatch):
+    from surveyscore import rules
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "AC_NO int, x string")
+    geo = spark.createDataFrame([("S", 1), ("S", 1), ("T", 2)], "State_Code string, AC_NO int")
+    plan = enrich.geo_check(df, geo, ["S"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    monkeypatch.setattr(rules, "MAX_DIM_ROWS", 0)
+    shuffled = enrich.geo_check(df, geo, ["S"])
+    assert "strategy=broadcast" not in shuffled._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(shuffled) == [(1, "a")]
+
+
 def test_remap_replaces_constituency(spark):
     df = calls(spark, [{"DN": "1", "AC_NO": 1, "PC_NO": 7}, {"DN": "2", "AC_NO": 5, "PC_NO": 7}])
     remap = spark.createDataFrame([("AS", 1, 12)], "State_Code string, AC_NO int, PC_No int")

@@ -125,6 +125,16 @@ def test_bc_schedule(spark):
     assert rows(out, "DN", "N_PARTY", "RES1") == [("1", "BYIO", "YSRCP"), ("2", "TYIO", "TDP")]
 
 
+def test_stored_schedule(spark):
+    df = spark.createDataFrame(
+        [("b", "ap", "TYIO", "1,3", "PM_2024", "1,8"), ("b", "ap", "YTIO", "4", "PM_2024", "1,8"),
+         ("c", "ga", "BIO", "2", None, "")],
+        "branch string, state string, ordering string, vendor_ids string, q2_type string, pc_in string")
+    entries = presets.read_schedule(df)
+    assert entries[0] == {"state": "ap", "q2_type": "PM_2024", "pc_in": (1, 8), "vendors": {"TYIO": (1, 3), "YTIO": (4,)}}
+    assert presets.bc_registry(entries).select(["bc_ga"])[0].branches[0].campaign_like == ("GA-BC-PC%",)
+
+
 def test_all_states_compile_to_few_scans(spark, tmp_path):
     calls(spark, [one_call("TYIO", "5", 0)]).write.parquet(str(tmp_path / "raw"))
     raw = spark.read.parquet(str(tmp_path / "raw"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from surveyscore import schema as S
 from workload import adapter as A
 
-RAW = """raw AS (
+RAW = """raw AS MATERIALIZED (
   SELECT o_orderkey AS CALL_ID,
     CASE WHEN o_orderkey % 251 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS DN,
     'R' || n_regionkey || '-' || CASE o_orderstatus WHEN 'F' THEN 'BC' WHEN 'O' THEN 'EP' ELSE 'PP' END
@@ -79,7 +79,7 @@ MIXED = A.books().books["mixed"]
 CODE = "substr(Campaign_Name, 1, 2)"
 
 # Latest call per state, round and number; then drop what does not decode.
-RESP = f"""resp AS (
+RESP = f"""resp AS MATERIALIZED (
   SELECT DN, Start_Time, DTMF_REP, state, {CODE} || '-AC-' || AC_NO AS AC_ID, AC_NO,
     {CODE} || '-' || PC_NO AS PC_ID, PC_NO, PART_NO, GENDER, AGE, N_PARTY, RES1, '' AS RES2, CASTE,
     substr(Campaign_Name, 4, 2) AS ROUND
