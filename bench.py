@@ -13,7 +13,7 @@ import time
 
 HEADLINE = [
     "score_all", "all_rounds_long", "dedup_latest", "dedup_latest_events", "dedup_colmax",
-    "decode_first", "decode_later", "join_region_left", "round_bc", "round_by_branch", "round_ep",
+    "decode_first", "decode_later", "join_region_left", "round_bc", "round_ep",
     "round_pp", "round_pp_party", "run_all_states", "combine_rounds_wide", "report_page",
 ]
 

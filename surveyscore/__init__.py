@@ -2,6 +2,6 @@
 
 from surveyscore.operators.decode import Arm, Codebook, Recode, Spelling  # noqa: F401
 from surveyscore.operators.scoring import score_all, score_rounds, score_scope  # noqa: F401
-from surveyscore.plans.pipeline import run, score_responses  # noqa: F401
+from surveyscore.plans.run import run, score_responses  # noqa: F401
 from surveyscore.plans.rounds import build_round, build_rounds  # noqa: F401
 from surveyscore.plans.spec import Branch, Registry, StateRoundSpec  # noqa: F401

@@ -5,22 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from surveyscore import schema as S
-from surveyscore.operators import combine, enrich, scoring
+from surveyscore.operators import combine, enrich, filters, scoring
 from surveyscore.plans.rounds import SCORED, build_rounds
 from surveyscore.plans.spec import Registry
 
 
-def score_round(resp: DataFrame, name: str, region: DataFrame | None = None, **how) -> DataFrame:
-    """Score one round in the wide layout. Region is looked up on score rows, not on responses:
-    it depends on the AC alone, and there are far fewer score rows."""
-    out = scoring.score_all(resp, **how)
-    return _tagged(out, region).selectExpr(*[f"`{c}`" for c in out.columns],
-                                           *(["REGION"] if region is not None else []),
-                                           f"'{name}' AS ROUND")
+def _with_region(score: DataFrame, region: DataFrame | None) -> DataFrame:
+    """Region is looked up on score rows, not on responses: it depends on the AC alone, and there
+    are far fewer score rows."""
+    return score if region is None else enrich.with_region(score, region)
 
 
-def _tagged(score: DataFrame, region: DataFrame | None) -> DataFrame:
-    return score if region is None else enrich.with_region(score, region)
+def score_round(resp: DataFrame, name: str, region: DataFrame | None = None, **how) -> DataFrame:
+    """Score one round in the wide layout."""
+    return filters.with_round(_with_region(scoring.score_all(resp, **how), region), name)
 
 
 def build_com(ep: DataFrame, pp: DataFrame, bc: DataFrame, region: DataFrame | None = None) -> DataFrame:
@@ -31,7 +29,7 @@ def build_com(ep: DataFrame, pp: DataFrame, bc: DataFrame, region: DataFrame | N
 def score_responses(resp: DataFrame, region: DataFrame | None = None, form: str = "long",
                     pooled: str | None = "COM", scopes=tuple(S.SCOPES)) -> DataFrame:
     """Score responses tagged with ROUND: every round, and the pooled one, in a single pass."""
-    long = _tagged(scoring.score_rounds(resp, pooled, scopes), region)
+    long = _with_region(scoring.score_rounds(resp, pooled, scopes), region)
     tail = (*(["REGION"] if region is not None else []), "ROUND")
     long = long.select(*S.layout(list(scopes), tuple(tail)))
     if form == "long":

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from surveyscore import schema as S
 from surveyscore.functions import scalars as fn
 from surveyscore.operators import combine, decode, dedup, enrich, filters, scoring
-from surveyscore.plans import pipeline, report
+from surveyscore.plans import report
 from surveyscore.plans.rounds import build_by_branch, build_round, build_rounds
+from surveyscore.plans.run import build_com, run, score_responses
 from surveyscore.plans.spec import Branch, StateRoundSpec
 from surveyscore.sources import readers, sinks
 from workload import adapter as A
@@ -335,15 +336,15 @@ def combine_rounds_wide_from_bc(spark, sf):
 
 
 def _counts(scope):
-    def run(spark, sf):
+    def counted(spark, sf):
         return scoring.scope_counts(A.responses(spark, sf), scope)
-    QUERIES[f"score_counts_{scope}"] = run
+    QUERIES[f"score_counts_{scope}"] = counted
 
 
 def _scored(scope):
-    def run(spark, sf):
+    def scored(spark, sf):
         return scoring.score_scope(A.responses(spark, sf), scope)
-    QUERIES[f"score_scope_{scope}"] = run
+    QUERIES[f"score_scope_{scope}"] = scored
 
 
 for _s in S.SCOPES:
@@ -479,18 +480,18 @@ def round_overlap(spark, sf):
 def round_com(spark, sf):
     resp = A.responses(spark, sf)
     ep, pp, bc = (resp.filter(F.col("ROUND") == r) for r in ("EP", "PP", "BC"))
-    return pipeline.build_com(ep, pp, bc, A.region_map(spark, sf))
+    return build_com(ep, pp, bc, A.region_map(spark, sf))
 
 
 @query
 def all_rounds_long(spark, sf):
-    return pipeline.score_responses(A.responses(spark, sf), A.region_map(spark, sf))
+    return score_responses(A.responses(spark, sf), A.region_map(spark, sf))
 
 
 @query
 def run_all_states(spark, sf):
     """Raw calls of all states and rounds, through the full build, to scored rounds."""
-    return pipeline.run(A.raw_calls(spark, sf), A.registry(), A.STATES, geo=A.geo(spark, sf),
+    return run(A.raw_calls(spark, sf), A.registry(), A.STATES, geo=A.geo(spark, sf),
                         geo_remap=A.geo_remap(spark, sf), region=A.region_map(spark, sf))
 
 
