@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from surveyscore.llm import byte_bpe, decontaminate, secrets, token_count
+from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, minhash_dedup, secrets, token_count
 
 QUERIES = {}
 
@@ -55,3 +55,26 @@ def op6_secret_scan(spark, sf):
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
                         F.sha2(joined(f"filter(spans, s -> s.kind != '{secrets.ADDED}')"), 256).alias("base_sha256"),
                         joined("spans").alias("spans"))
+
+
+@query
+def op8_chat_format(spark, sf):
+    control = spark.sql("""SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+                           FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)""")
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(control)
+    back = chat_format.read_windows(chat_format.format_windows(rows))
+    loss = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query
+def op10_embedding_dedup(spark, sf):
+    return embedding_dedup.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op4_minhash_dedup(spark, sf):
+    return minhash_dedup.near_duplicates(table(spark, sf, "documents"), percent=85)
