@@ -11,9 +11,11 @@ from __future__ import annotations
 import base64
 import os
 import uuid
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -159,12 +161,13 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
         table = [b"".join(back[c] for c in name) for name in written(shared.value)]
         for batch in batches:
             for piece in pieces(batch):
-                column = piece.column(1)
-                values = column.values.to_numpy(zero_copy_only=False)
-                if len(values) and values.min() < 0:
+                sizes = [n or 0 for n in pc.list_value_length(piece.column(1)).to_pylist()]
+                ids = piece.column(1).flatten().to_pylist()
+                if ids and min(ids) < 0:
                     raise ValueError("negative token id")
-                texts = [b"".join([table[i] for i in v.values.to_numpy(zero_copy_only=False)]) if v.is_valid else b""
-                         for v in column]
+                parts = list(map(table.__getitem__, ids))
+                ends = list(accumulate(sizes))
+                texts = [b"".join(parts[e - n:e]) for n, e in zip(sizes, ends)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0).cast(arrow.field(0).type), pa.array(texts, pa.binary())], schema=arrow)
 

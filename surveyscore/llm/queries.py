@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, minhash_dedup, secrets, token_count
+from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, minhash_dedup, secrets, token_count, toxicity
 
 QUERIES = {}
 
@@ -78,3 +78,11 @@ def op10_embedding_dedup(spark, sf):
 @query
 def op4_minhash_dedup(spark, sf):
     return minhash_dedup.near_duplicates(table(spark, sf, "documents"), percent=85)
+
+
+@query
+def op9_toxicity(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    weights = toxicity.train(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    return toxicity.score(docs, weights).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("offending").alias("n_offending"))
