@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, minhash_dedup, secrets, token_count, toxicity
+from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, maxent_lm, minhash_dedup, secrets, token_count, toxicity
 
 QUERIES = {}
 
@@ -24,6 +24,11 @@ def op1_token_counts(spark, sf):
     return token_count.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op2_lm_score(spark, sf):
+    return maxent_lm.score(table(spark, sf, "documents"), maxent_lm.held_out(F.col("doc_id")))
+
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
