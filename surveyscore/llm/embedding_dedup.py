@@ -25,12 +25,13 @@ from surveyscore.llm.store import store
 
 COSINE = 0.9
 LINES = 64
-FIRST = 16  # lines compared for all pairs; the others only for pairs that may still pass
+FIRST = 24  # lines compared for all pairs; the others only for pairs that may still pass
 RECALL = 0.9999  # of pairs exactly at the least cosine; nearer pairs collide more often
 WIDTH = 2.0  # half-width of a window, in standard deviations of a pair at the least cosine
 REACH = 5.0  # the same for the line that blocks are sorted along
 BLOCK = 8192  # rows of a block
 TILE = 512  # rows compared at a time
+STEPS = 16  # of projected values in the half-width of a window
 SEED = 20_240
 
 
@@ -51,24 +52,39 @@ def project(vectors: np.ndarray, lines: int) -> np.ndarray:
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(np.float64)
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def colliding(a: np.ndarray, b: np.ndarray, half: float, first: int, least: int, least_first: int):
-    """Index pairs of two tiles whose windows collide on at least ``least`` lines."""
-    count = np.zeros((len(a), len(b)), np.uint8)
+def steps(lens: np.ndarray, half: float) -> np.ndarray:
+    """Projections in steps of a sixteenth of the half-width, as bytes; one row per line.
+
+    Clipping brings values together only beyond the range of 256 steps, some 14 units wide.
+    """
+    return np.clip(np.floor(lens * (STEPS / half)) + 128, 0, 255).astype(np.uint8).T.copy()
+
+
+def colliding(a: np.ndarray, b: np.ndarray, first: int, least: int, least_first: int):
+    """Index pairs of two tiles whose windows collide on at least ``least`` lines.
+
+    Values within the half-width are at most ``STEPS + 1`` steps apart, so no collision is missed.
+    """
+    shape = a.shape[1], b.shape[1]
+    count, apart, near = np.zeros(shape, np.uint8), np.empty(shape, np.uint8), np.empty(shape, bool)
+    moved = a + np.uint8(STEPS + 1)
     for k in range(first):
-        count += np.abs(a[:, k, None] - b[None, :, k]) <= half
+        np.subtract(moved[k][:, None], b[k][None, :], out=apart)
+        np.less_equal(apart, 2 * STEPS + 2, out=near)
+        count += near.view(np.uint8)
     i, j = np.nonzero(count >= least_first)
-    out = []
+    kept = []
     for at in range(0, len(i), 1 << 16):
         x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-        total = count[x, y] + (np.abs(a[x, first:] - b[y, first:]) <= half).sum(axis=1)
-        out.append((x[total >= least], y[total >= least]))
-    if not out:
-        return i, j
-    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+        more = (moved[first:, x] - b[first:, y] <= 2 * STEPS + 2).sum(axis=0)
+        kept.append(count[x, y] + more >= least)
+    kept = np.concatenate([np.zeros(0, bool), *kept])
+    return i[kept], j[kept]
 
 
 def spanning(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray):
@@ -108,13 +124,13 @@ def compare(vectors: np.ndarray, weights: np.ndarray, split: int, same: bool, co
     first = min(FIRST, lines)
     least, least_first = calibrate(lines, WIDTH, recall), calibrate(first, WIDTH, 1 - (1 - recall) / 4)
     half = WIDTH * math.sqrt(2 - 2 * cosine)
-    lens = project(vectors, lines)
+    lens = steps(project(vectors, lines), half)
     n, linked, links = len(vectors), np.zeros(len(vectors), np.int64), [np.zeros((0, 2), np.int64)]
     left = [np.arange(s, min(s + TILE, split)) for s in range(0, split, TILE)]
     right = left if same else [np.arange(s, min(s + TILE, n)) for s in range(split, n, TILE)]
     for x, r in enumerate(left):
         for c in right[x:] if same else right:
-            i, j = colliding(lens[r], lens[c], half, first, least, least_first)
+            i, j = colliding(lens[:, r], lens[:, c], first, least, least_first)
             if same and r[0] == c[0]:
                 i, j = i[i < j], j[i < j]
             if not len(i):
@@ -167,7 +183,8 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
     lengths; rows that share an id are one node. A row without an id takes part in no link, has a
     null component and is kept.
     """
-    rows = embeddings.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = "array<float>" if dict(embeddings.dtypes)[vector_col] == "array<float>" else "array<double>"
+    rows = embeddings.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("v"))
     usable = F.expr("""id is not null and v is not null and size(v) > 0
         and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x != 0)""")
     keyed = rows.select("id", F.when(usable, F.xxhash64("v")).alias("h"), F.when(usable, F.xxhash64(F.lit(1), "v")).alias("g"),
