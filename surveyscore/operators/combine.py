@@ -56,14 +56,19 @@ def combine_rounds_wide(long: DataFrame, rounds, base: str | None = None, keys=t
     """Wide form: one row per row key, metrics of each round under a ``ROUND_`` prefix.
 
     ``base`` keeps only rows present in that round (a left join from it); by default no row is
-    lost. One conditional aggregation replaces a chain of joins.
+    lost. A round that is not listed is an error. One conditional aggregation replaces a chain of
+    joins; constituency attributes come from one whole row.
     """
     attrs = [c for c in (*S.SCORE_KEYS, "REGION") if c in long.columns and c not in keys]
     metrics = metrics or [c for c in long.columns if c not in (*keys, *attrs, "ROUND")]
-    aggs = [F.min(c).alias(c) for c in attrs]
+    aggs = [F.min(F.struct(*attrs)).alias("__attrs")] if attrs else []
     for r in rounds:
         aggs += [F.max(F.when(F.col("ROUND") == r, F.col(m))).alias(f"{r}_{m}") for m in metrics]
     if base is not None:
         aggs.append(F.max(F.col("ROUND") == base).alias("__base"))
-    out = long.filter(F.col("ROUND").isin(*rounds)).groupBy(*keys).agg(*aggs)
-    return out.filter("__base").drop("__base") if base is not None else out
+    stray = F.raise_error(F.concat(F.lit("round not listed: "), F.coalesce("ROUND", F.lit("NULL"))))
+    listed = F.when(F.coalesce(F.col("ROUND").isin(*rounds), F.lit(False)), F.col("ROUND")).otherwise(stray)
+    out = long.withColumn("ROUND", listed).groupBy(*keys).agg(*aggs)
+    if base is not None:
+        out = out.filter("__base").drop("__base")
+    return out.select(*keys, *(["__attrs.*"] if attrs else []), *[c for c in out.columns if c not in (*keys, "__attrs")])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyscore.functions import scalars as fn
-from surveyscore.rules import bounded_rows, rule_table
+from surveyscore.rules import broadcast_if_small, rule_table
 
 UNSET_ORDERING = "SET_SEQ"  # fixed value: ordering of a vendor that no rule names
 FORMS = ("both", "prefix", "exact")
@@ -99,14 +99,6 @@ class Codebook:
         self.books.setdefault(book_id, []).extend(arms)
         return self
 
-    @classmethod
-    def load(cls, df: DataFrame) -> Codebook:
-        """Read a stored arm table (``ARM_SCHEMA``) whose size is within the rule bound."""
-        book = cls()
-        for r in sorted(bounded_rows(df), key=lambda r: (r.book_id, r.position, r.ord)):
-            book.add(r.book_id, [Arm(r.position, r.ordering, r.digit, r.label, r.form)])
-        return book
-
     def rows(self):
         for book_id, arms in self.books.items():
             for ord_, a in enumerate(arms):
@@ -151,7 +143,7 @@ def _first_lookup(df: DataFrame, book: Codebook | DataFrame) -> DataFrame:
     multi = F.when(F.col("form") == "prefix", F.array(F.lit(True))) \
         .when(F.col("form") == "exact", F.array(F.lit(False))) \
         .otherwise(F.array(F.lit(True), F.lit(False)))
-    return (
+    return broadcast_if_small(
         book.filter(F.col("position") == 1)
         .select("book_id", "ordering", "digit", F.explode(multi).alias("__m"), "ord", "label")
         .groupBy(F.col("book_id").alias("__b"), F.col("ordering").alias("__o"),
@@ -172,7 +164,7 @@ def _later_lookup(df: DataFrame, book: Codebook | DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("ord", F.col("digit").alias("d"),
                                                   F.col("label").alias("l")))).alias("__arms"))
     )
-    return arms
+    return broadcast_if_small(arms)
 
 
 def _key(literal: str, col: str | None) -> str:

@@ -41,10 +41,13 @@ def collapse_max(df: DataFrame, keys="DN", columns=None) -> DataFrame:
 
 
 def distinct_scores(df: DataFrame, keys=tuple(S.ROW_KEYS)) -> DataFrame:
-    """One row per key. Other columns take their minimum, so the pick does not depend on order.
+    """One whole row per key: the least by its other columns in their order, NULL first.
 
     Equal rows are cut first: that step is hash-based and combines on the map side, whatever the
     column types.
     """
     rest = [c for c in df.columns if c not in keys]
-    return df.distinct().groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest]).select(*df.columns)
+    if not rest:
+        return df.distinct()
+    least = df.distinct().groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
+    return least.select(*keys, "__row.*").select(*df.columns)

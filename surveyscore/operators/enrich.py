@@ -13,28 +13,34 @@ from surveyscore.functions import scalars as fn
 from surveyscore.rules import broadcast_if_small
 
 
-def geo_check(df: DataFrame, geo: DataFrame, states, unique: bool = True) -> DataFrame:
-    """Keep rows whose AC number exists in the geography of ``states``.
+def _same_place(code: str):
+    """AC numbers start anew in every state, so a place is a state and a number."""
+    return (F.col(code) == F.col("__s")) & (F.col("AC_NO") == F.col("__a"))
 
-    ``unique=False`` repeats a row for each matching geography row, as an inner join does.
+
+def geo_check(df: DataFrame, geo: DataFrame, states, unique: bool = True, code: str = "STATE_CODE") -> DataFrame:
+    """Keep rows whose state and AC number exist in the geography of ``states``.
+
+    ``code`` is the column with a row's state. ``unique=False`` repeats a row for each matching
+    geography row, as an inner join does.
     """
-    dim = geo.filter(F.col("State_Code").isin(*states)).select("AC_NO")
+    dim = geo.filter(F.col("State_Code").isin(*states)).select(F.col("State_Code").alias("__s"), F.col("AC_NO").alias("__a"))
     dim = broadcast_if_small(dim.distinct() if unique else dim)
-    return df.join(dim, "AC_NO", "left_semi" if unique else "inner").select(*df.columns)
+    return df.join(dim, _same_place(code), "left_semi" if unique else "inner").select(*df.columns)
 
 
-def geo_remap(df: DataFrame, remap: DataFrame, states) -> DataFrame:
-    """Take the PC number and PC id from the geography, keyed by AC number; drop unknown ACs."""
+def geo_remap(df: DataFrame, remap: DataFrame, states, code: str = "STATE_CODE") -> DataFrame:
+    """Take the PC number and PC id from the geography, keyed by state and AC; drop unknown ACs."""
     dim = (
         remap.filter(F.col("State_Code").isin(*states))
-        .select("State_Code", "AC_NO", F.col("PC_No").alias("__pc"))
+        .select(F.col("State_Code").alias("__s"), F.col("AC_NO").alias("__a"), F.col("PC_No").alias("__pc"))
         .distinct()
     )
-    out = df.drop("PC_NO", "PC_ID", "State_Code").join(broadcast_if_small(dim), "AC_NO")
+    out = df.drop("PC_NO", "PC_ID").join(broadcast_if_small(dim), _same_place(code))
     return (
         out.withColumn("PC_NO", F.col("__pc"))
-        .withColumn("PC_ID", fn.pc_id("State_Code", "__pc"))
-        .drop("__pc", "State_Code")
+        .withColumn("PC_ID", fn.pc_id("__s", "__pc"))
+        .drop("__pc", "__s", "__a")
     )
 
 
@@ -57,6 +63,9 @@ def exclude_numbers(df: DataFrame, numbers: DataFrame, key: str = "DN") -> DataF
     """Drop rows whose number is listed. A NULL in the list removes nothing.
 
     The list is cut to distinct numbers first (with map-side combine), so a repeated number
-    does not make one join partition heavy.
+    does not make one join partition heavy. Rows without a number match nothing; they are dealt
+    out by a hash of the row instead of meeting in one partition.
     """
-    return df.join(numbers.select(key).distinct(), key, "left_anti")
+    listed = numbers.select(F.col(key).alias("__n")).where("__n IS NOT NULL").distinct()
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
+    return df.join(listed, F.coalesce(F.col(key).cast("string"), spread) == F.col("__n").cast("string"), "left_anti")

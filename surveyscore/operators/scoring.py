@@ -59,7 +59,24 @@ def _with_windows(df: DataFrame, scopes: list[Scope], by=()) -> DataFrame:
     return df.selectExpr("*", *counts).selectExpr("*", *bests).selectExpr("*", *seconds)
 
 
-def _with_metrics(df: DataFrame, scopes: list[Scope], on_tie: str = "first") -> DataFrame:
+def _with_dense_seconds(df: DataFrame, s: Scope, by=()) -> DataFrame:
+    """Replace a scope's runner-up by every label of the second-highest distinct percentage.
+
+    Shares are known by now, so this is two more windows over the same partitions; labels that
+    share the place repeat the row.
+    """
+    keys = ", ".join([*by, *s.keys])
+    known = " AND ".join(f"{k} IS NOT NULL" for k in s.keys)
+    h, h1, h2 = (f"__{s.name}_{x}" for x in ("h", "h1", "h2"))
+    below = f"max(CASE WHEN {h} < {h1} THEN {h} END) OVER (PARTITION BY {keys}) AS __below"
+    labels = f"collect_set(CASE WHEN {h} = __below THEN RES1 END) OVER (PARTITION BY {keys})"
+    out = df.drop(s.runner_up, h2).selectExpr("*", below)
+    out = out.selectExpr("*", f"CASE WHEN {known} THEN {labels} END AS __labels")
+    out = out.selectExpr("*", f"explode_outer(__labels) AS {s.runner_up}")
+    return out.selectExpr("*", f"CASE WHEN {s.runner_up} IS NOT NULL THEN __below END AS {h2}").drop("__below", "__labels")
+
+
+def _with_metrics(df: DataFrame, scopes: list[Scope], on_tie: str = "first", method: str = "row", by=()) -> DataFrame:
     """The nine metrics of every scope, from its windows.
 
     A NULL scope key keeps counts, percentages and maximum, but names no winner. Shares are held
@@ -68,6 +85,10 @@ def _with_metrics(df: DataFrame, scopes: list[Scope], on_tie: str = "first") ->
     """
     if on_tie not in ("first", "draw"):
         raise ValueError("on_tie is 'first' or 'draw'")
+    if method not in ("row", "dense"):
+        raise ValueError("method is 'row' or 'dense'")
+    if method == "dense" and len(scopes) > 1:
+        raise ValueError("tied runners-up repeat rows: score one scope at a time")
     shares, names, texts = [], [], []
     for s in scopes:
         c, t, first, second, h, h1, h2 = (f"__{s.name}_{x}" for x in ("c", "t", "1", "2", "h", "h1", "h2"))
@@ -93,7 +114,10 @@ def _with_metrics(df: DataFrame, scopes: list[Scope], on_tie: str = "first") ->
             f"{fn.margin_bucket_sql(s.margin)} AS {s.band}",
             f"{fn.summary_sql(s.winner, s.margin, s.runner_up)} AS {s.summary}",
         ]
-    return df.selectExpr("*", *shares).selectExpr("*", *names).selectExpr("*", *texts)
+    df = df.selectExpr("*", *shares)
+    if method == "dense":
+        df = _with_dense_seconds(df, scopes[0], by)
+    return df.selectExpr("*", *names).selectExpr("*", *texts)
 
 
 def scope_table(resp: DataFrame, scope: Scope | str, by=(), on_tie: str = "first") -> DataFrame:
@@ -163,14 +187,20 @@ def preaggregate(resp: DataFrame, by=()) -> DataFrame:
 
 
 def _fold(base: DataFrame, by=()) -> DataFrame:
+    """One row per row key; its attributes come from one whole row."""
     carried = [c for c in (*_CARRIED_NUMBERS, *_CARRIED_TEXTS) if c in base.columns]
-    return base.groupBy(*by, *S.ROW_KEYS).agg(
-        F.sum("__n").alias("__n"), *[F.min(c).alias(c) for c in carried]
-    )
+    if not carried:
+        return base.groupBy(*by, *S.ROW_KEYS).agg(F.sum("__n").alias("__n"))
+    out = base.groupBy(*by, *S.ROW_KEYS).agg(F.sum("__n").alias("__n"), F.min(F.struct(*carried)).alias("__row"))
+    return out.select(*by, *S.ROW_KEYS, "__n", "__row.*")
+
 
+def score_base(base: DataFrame, scopes=tuple(SCOPES), by=(), on_tie: str = "first", method: str = "row") -> DataFrame:
+    """Score a pre-aggregate. One exchange by PC and one by AC, whichever scopes ask for them.
 
-def score_base(base: DataFrame, scopes=tuple(SCOPES), by=(), on_tie: str = "first") -> DataFrame:
-    """Score a pre-aggregate. One exchange by PC and one by AC, whichever scopes ask for them."""
+    A stored pre-aggregate serves any number of scopes, rounds and pools without another look at
+    the responses.
+    """
     chosen = [_scope(s) for s in scopes]
     folded = False
     for key in ("PC_ID", "AC_ID"):
@@ -181,7 +211,7 @@ def score_base(base: DataFrame, scopes=tuple(SCOPES), by=(), on_tie: str = "firs
         if not folded:
             base, folded = _fold(base, by), True
         base = _with_windows(base, group, by)
-    base = _with_metrics(base, chosen, on_tie)
+    base = _with_metrics(base, chosen, on_tie, method, by)
     front = [c for c in S.SCORE_KEYS if c in base.columns]
     tail = [c for c in ("REGION",) if c in base.columns]
     return base.select(*front, *[c for s in chosen for c in s.columns], *tail, *by)
@@ -193,20 +223,7 @@ def score_scope(resp: DataFrame, scope: Scope | str, on_tie: str = "first",
 
     ``method="dense"`` takes the runner-up by dense rank; tied runners-up repeat the row.
     """
-    s = _scope(scope)
-    out = score_base(preaggregate(resp, by), (s,), by, on_tie)
-    if method == "row":
-        return out
-    if by:
-        raise ValueError("the dense runner-up is scored one round at a time")
-    seconds = runner_up(resp, s, "dense")
-    order = out.columns
-    out = out.drop(s.second, s.runner_up, s.margin, s.band, s.summary).join(seconds, list(s.keys), "left")
-    h = f"CAST(round({s.max_pct} * 100) - round({fn.quoted(s.second)} * 100) AS BIGINT)"
-    return out.selectExpr("*", f"{fn.as_pct_sql(h)} AS {s.margin}").selectExpr(
-        "*", f"{fn.margin_bucket_sql(s.margin)} AS {s.band}",
-        f"{fn.summary_sql(s.winner, s.margin, s.runner_up)} AS {s.summary}",
-    ).select(*order)
+    return score_base(preaggregate(resp, by), (_scope(scope),), by, on_tie, method)
 
 
 def score_all(resp: DataFrame, on_tie: str = "first", by=()) -> DataFrame:
@@ -214,14 +231,19 @@ def score_all(resp: DataFrame, on_tie: str = "first", by=()) -> DataFrame:
     return score_base(preaggregate(resp, by), tuple(SCOPES), by, on_tie)
 
 
+def pooled_base(base: DataFrame, pooled: str = "COM") -> DataFrame:
+    """A pre-aggregate by ROUND with every row also filed under the round ``pooled``."""
+    return base.withColumn("ROUND", F.explode(F.array(F.col("ROUND"), F.lit(pooled))))
+
+
 def score_rounds(resp: DataFrame, pooled: str | None = "COM", scopes=tuple(SCOPES),
-                 on_tie: str = "first") -> DataFrame:
+                 on_tie: str = "first", method: str = "row") -> DataFrame:
     """Score every ROUND of ``resp``, and all rounds pooled, from one pass over the responses.
 
     Pooled counts are sums of the per-round counts (a number counts once per round), so each
-    pre-aggregated row is simply also filed under ``pooled``.
+    pre-aggregated row is simply also filed under ``pooled``. ``method="dense"`` takes one scope.
     """
     base = preaggregate(resp, ("ROUND",))
     if pooled is not None:
-        base = base.withColumn("ROUND", F.explode(F.array(F.col("ROUND"), F.lit(pooled))))
-    return score_base(base, scopes, ("ROUND",), on_tie)
+        base = pooled_base(base, pooled)
+    return score_base(base, scopes, ("ROUND",), on_tie, method)

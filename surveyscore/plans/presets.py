@@ -12,13 +12,12 @@ constituencies). It is a parameter: ``bc_registry(schedule)``.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import replace
+from dataclasses import fields, replace
 
 from pyspark.sql import DataFrame
 
-from surveyscore.operators.decode import Arm, Codebook, Spelling
+from surveyscore.operators.decode import Arm, Codebook, Recode, Spelling
 from surveyscore.plans.spec import Branch, Registry, StateRoundSpec
-from surveyscore.rules import bounded_rows
 
 # Option letters read out in every state.
 COMMON = {"B": "BJP", "I": "INC", "O": "OTHERS"}
@@ -235,21 +234,38 @@ def bc_registry(schedule: Iterable[Mapping], second: Codebook | None = None) ->
 def read_schedule(df: DataFrame) -> list[dict]:
     """Calling schedule from a stored table with one row per (branch, ordering).
 
-    Columns: ``branch``, ``state``, ``ordering``, ``vendor_ids`` and optionally ``q2_type``,
-    ``pc_in``, ``campaign_like``, ``start``, ``end``; lists are comma-separated.
+    Columns: ``branch``, ``state``, ``ordering`` and ``vendor_ids`` (both null for a branch that
+    does not order by vendor), and any field of ``Branch``, ``letters`` (a map) or ``base``. Lists
+    are arrays, or text with commas between the values. An unknown column, or rows of one branch
+    that disagree, are errors. Branches are conditions of a plan, so the table is read whole.
     """
+    lists = {f.name: int if "int" in str(f.type) else str for f in fields(Branch)
+             if str(f.type).startswith("tuple[") and f.name != "recode"}
+    known = {"branch", "state", "ordering", "vendor_ids", "letters", "base", "ordering_from"} | {f.name for f in fields(Branch)}
+    unknown = [c for c in df.columns if c not in known - {"vendors", "branch_id", "spelling"}]
+    if unknown:
+        raise ValueError(f"unknown columns of a schedule: {unknown}")
+
+    def listed(value, kind) -> tuple:
+        parts = value.split(",") if isinstance(value, str) else value
+        return tuple(kind(p.strip() if isinstance(p, str) else p) for p in parts)
+
     entries: dict[str, dict] = {}
-    for r in bounded_rows(df):
-        row = {k: v for k, v in r.asDict().items() if v not in (None, "")}
-        entry = entries.setdefault(row.pop("branch"), {"vendors": {}})
-        ids = tuple(int(v) for v in str(row.pop("vendor_ids")).split(","))
-        code = row.pop("ordering")
-        entry["vendors"][code] = entry["vendors"].get(code, ()) + ids
-        if "pc_in" in row:
-            row["pc_in"] = tuple(int(n) for n in str(row["pc_in"]).split(","))
-        if "campaign_like" in row:
-            row["campaign_like"] = tuple(row["campaign_like"].split(","))
-        entry.update(row)
+    for r in df.toLocalIterator():
+        row = {k: v for k, v in r.asDict(recursive=True).items() if v not in (None, "")}
+        branch, code, ids = row.pop("branch"), row.pop("ordering", None), row.pop("vendor_ids", None)
+        if "ordering_from" in row:
+            row["ordering"] = row.pop("ordering_from")
+        row |= {name: listed(row[name], kind) for name, kind in lists.items() if name in row}
+        if "recode" in row:
+            row["recode"] = tuple(Recode(tuple(x["pc_ids"]), tuple(x["labels"]), x["to"]) for x in row["recode"])
+        entry = entries.setdefault(branch, row | {"vendors": {}})
+        if {k: v for k, v in entry.items() if k != "vendors"} != row:
+            raise ValueError(f"rows of branch {branch} disagree")
+        if (code is None) != (ids is None):
+            raise ValueError(f"branch {branch}: ordering and vendor_ids go together")
+        if code is not None:
+            entry["vendors"][code] = entry["vendors"].get(code, ()) + listed(str(ids) if isinstance(ids, int) else ids, int)
     return [entries[b] for b in sorted(entries)]
 
 

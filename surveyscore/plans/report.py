@@ -59,16 +59,19 @@ def page_rows(df: DataFrame, page=1, size: int = PAGE_SIZE, total: int | None =
 
     Rows are counted per constituency first, so only the one or few constituencies the page falls
     into are ranked. A late page costs no more than the first; nothing sorts the whole table in
-    one task.
+    one task: the first window goes over states, the second over the constituencies of each.
     """
     total = df.count() if total is None else total
     start = (clamp_page(page, page_count(total, size)) - 1) * size
     place = ["state", "AC_NO"]
-    before = Window.orderBy(*[F.col(c).asc_nulls_last() for c in place])  # one row per constituency
-    groups = df.groupBy(*place).agg(F.count(F.lit(1)).alias("__n")).select(
-        *[F.col(c).alias(f"__{c}") for c in place], "__n",
-        (F.sum("__n").over(before) - F.col("__n")).alias("__first"),
-    )
+    states = Window.orderBy(F.col("state").asc_nulls_last())  # one row per state
+    inside = Window.partitionBy("state").orderBy(F.col("AC_NO").asc_nulls_last())
+    groups = df.groupBy(*place).agg(F.count(F.lit(1)).alias("__n"))
+    starts = groups.groupBy("state").agg(F.sum("__n").alias("__s")).select(
+        F.col("state").alias("__state"), (F.sum("__s").over(states) - F.col("__s")).alias("__before"))
+    groups = groups.withColumn("__at", F.sum("__n").over(inside) - F.col("__n")).join(
+        starts, F.col("state").eqNullSafe(F.col("__state")))
+    groups = groups.select("__state", F.col("AC_NO").alias("__AC_NO"), "__n", (F.col("__before") + F.col("__at")).alias("__first"))
     on_page = groups.filter((F.col("__first") < start + size) & (F.col("__first") + F.col("__n") > start))
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in place]
     within = Window.partitionBy(*[f"__{c}" for c in place]).orderBy(*_order(df))

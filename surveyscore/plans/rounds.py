@@ -90,9 +90,16 @@ def _coarse_filter(branches: list[Branch], raw: DataFrame) -> list[str]:
         short = [p for p in prefixes if not any(p != q and p.startswith(q) for q in prefixes)]
         if all(short):
             out.append(" OR ".join(f"startswith(Campaign_Name, {fn.text(p)})" for p in short))
+    kind = raw.schema["Start_Time"].dataType
     if all(b.start for b in branches):
-        kind = raw.schema["Start_Time"].dataType
         out.append(fn.time_window_sql("Start_Time", min(b.start for b in branches), dtype=kind))
+    if all(b.end for b in branches):
+        out.append(fn.time_window_sql("Start_Time", end=max(b.end for b in branches), end_inclusive=True, dtype=kind))
+    if all(b.q2_type for b in branches):
+        kinds = ", ".join(sorted({fn.text(b.q2_type) for b in branches}))
+        out.append(f"Q2_Type IN ({kinds})")
+    if all(b.pc_in for b in branches):
+        out.append(f"PC_NO IN ({fn.numbers(sorted({n for b in branches for n in b.pc_in}))})")
     if all(b.dedup == "colmax" for b in branches):
         out.append(fn.valid_answer_sql())
     return out
@@ -300,7 +307,8 @@ def build_rounds(raw: DataFrame, specs: list[StateRoundSpec], books: Codebook |
     """
     S.require(raw, ["Campaign_Name", *_USED], "raw calls")
     branches = [b for s in specs for b in s.branches]
-    return _finish(_collapsed(raw, branches, _numbers(specs), tie), specs, books or Codebook(), geo, geo_remap)
+    books = Codebook() if books is None else books
+    return _finish(_collapsed(raw, branches, _numbers(specs), tie), specs, books, geo, geo_remap)
 
 
 def build_round(raw: DataFrame, specs, books: Codebook | None = None, geo=None, geo_remap=None) -> DataFrame:
@@ -315,4 +323,4 @@ def build_by_branch(raw: DataFrame, specs, books: Codebook | None = None, geo=No
     specs = [specs] if isinstance(specs, StateRoundSpec) else list(specs)
     numbers = _numbers(specs)
     rows = union_all([_collapsed(raw, [b], numbers) for s in specs for b in s.branches])
-    return _finish(rows, specs, books or Codebook(), geo, geo_remap).select(*S.CANONICAL_COLUMNS)
+    return _finish(rows, specs, Codebook() if books is None else books, geo, geo_remap).select(*S.CANONICAL_COLUMNS)

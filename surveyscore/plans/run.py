@@ -10,6 +10,9 @@ from surveyscore.plans.rounds import SCORED, build_rounds
 from surveyscore.plans.spec import Registry
 
 
+USUAL_ROUNDS = ("BC", "EP", "PP")
+
+
 def _with_region(score: DataFrame, region: DataFrame | None) -> DataFrame:
     """Region is looked up on score rows, not on responses: it depends on the AC alone, and there
     are far fewer score rows."""
@@ -22,13 +25,23 @@ def score_round(resp: DataFrame, name: str, region: DataFrame | None = None, **h
 
 
 def build_com(ep: DataFrame, pp: DataFrame, bc: DataFrame, region: DataFrame | None = None) -> DataFrame:
-    """Pooled round COM: the three rounds' responses scored together."""
-    return score_round(combine.pool_rounds(ep, pp, bc), "COM", region)
+    """Pooled round COM of three frames: each is counted on its own, and the counts are summed."""
+    base = combine.union_all([scoring.preaggregate(r) for r in (ep, pp, bc)])
+    return filters.with_round(_with_region(scoring.score_base(base), region), "COM")
+
+
+def com_of(resp: DataFrame, region: DataFrame | None = None) -> DataFrame:
+    """Pooled round COM of responses that are one frame already: one pass over them."""
+    return score_round(resp, "COM", region)
 
 
 def score_responses(resp: DataFrame, region: DataFrame | None = None, form: str = "long",
-                    pooled: str | None = "COM", scopes=tuple(S.SCOPES)) -> DataFrame:
-    """Score responses tagged with ROUND: every round, and the pooled one, in a single pass."""
+                    pooled: str | None = "COM", scopes=tuple(S.SCOPES), rounds=()) -> DataFrame:
+    """Score responses tagged with ROUND: every round, and the pooled one, in a single pass.
+
+    The wide form has columns for the usual rounds and any further ``rounds``; a round of the data
+    that is not among them is an error when the result is read.
+    """
     long = _with_region(scoring.score_rounds(resp, pooled, scopes), region)
     tail = (*(["REGION"] if region is not None else []), "ROUND")
     long = long.select(*S.layout(list(scopes), tuple(tail)))
@@ -36,13 +49,13 @@ def score_responses(resp: DataFrame, region: DataFrame | None = None, form: str
         return long
     if form != "wide":
         raise ValueError("form is 'long' or 'wide'")
-    rounds = ["BC", "EP", "PP"] + ([pooled] if pooled else [])
-    return combine.combine_rounds_wide(long, rounds)
+    listed = [*USUAL_ROUNDS, *rounds, *([pooled] if pooled else [])]
+    return combine.combine_rounds_wide(long, list(dict.fromkeys(listed)))
 
 
-def run(raw: DataFrame, registry: Registry, states, rounds=("BC", "EP", "PP"), form: str = "long",
+def run(raw: DataFrame, registry: Registry, states, rounds=USUAL_ROUNDS, form: str = "long",
         geo=None, geo_remap=None, region=None, pooled: str | None = "COM") -> DataFrame:
     """All requested rounds of the requested states, scored."""
     specs = registry.rounds(states, rounds)
     resp = build_rounds(raw, specs, registry.books, geo, geo_remap, tie=SCORED)
-    return score_responses(resp, region, form, pooled)
+    return score_responses(resp, region, form, pooled, rounds=[s.round for s in specs])

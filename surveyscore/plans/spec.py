@@ -2,11 +2,43 @@
 
 from __future__ import annotations
 
+import datetime
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
 
+from pyspark.sql import DataFrame
+
 from surveyscore.operators.decode import Codebook, Recode, Spelling
 
+_MOMENT = re.compile(r"(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:\.(\d{1,6}))?)?)?")
+
+
+def moment(value) -> str | None:
+    """A date or time in one padded form, so that texts compare as the times do."""
+    if value is None:
+        return None
+    found = _MOMENT.fullmatch(value.strip()) if isinstance(value, str) else None
+    if isinstance(value, datetime.datetime):
+        at = value
+    elif isinstance(value, datetime.date):
+        return value.isoformat()
+    elif found is None:
+        raise ValueError(f"not a date or time: {value!r}")
+    else:
+        day = [int(x) for x in found.group(1, 2, 3)]
+        if found[4] is None:
+            return datetime.date(*day).isoformat()
+        at = datetime.datetime(*day, *[int(x or 0) for x in found.group(4, 5, 6)], int((found[7] or "").ljust(6, "0") or 0))
+    return at.isoformat(" ", "seconds") if not at.microsecond else at.isoformat(" ")
+
+
+def _listed(name: str, value, kind) -> tuple:
+    """A list field; a text in its place is refused, not taken letter by letter."""
+    if isinstance(value, (str, bytes)) or isinstance(value, Mapping):
+        raise ValueError(f"{name}: {value!r} is not a list")
+    return tuple(kind(v) for v in value or ())
+
 
 @dataclass(frozen=True)
 class Branch:
@@ -44,6 +76,20 @@ class Branch:
     emit: bool = True
 
     def __post_init__(self):
+        for f in fields(self):
+            value = getattr(self, f.name)
+            if f.name in ("start", "end", "post_start", "post_end"):
+                value = moment(value)
+            elif str(f.type).startswith("tuple[int"):
+                value = _listed(f.name, value, int)
+            elif str(f.type).startswith("tuple[str"):
+                value = _listed(f.name, value, str)
+            elif f.name == "vendors":
+                value = {code: _listed(f"vendors of {code}", ids, int) for code, ids in (value or {}).items()}
+                empty = [code for code, ids in value.items() if not ids]
+                if empty:
+                    raise ValueError(f"{self.branch_id}: no vendor for {empty}")
+            object.__setattr__(self, f.name, value)
         if self.dedup not in ("latest", "colmax"):
             raise ValueError(f"{self.branch_id}: dedup {self.dedup!r}")
         if self.ordering not in ("n_party", "party", "vendor"):
@@ -71,27 +117,74 @@ class StateRoundSpec:
 
 def spec_from_dict(data: Mapping) -> StateRoundSpec:
     """Build a spec from plain data (for example parsed JSON), so rounds can live in files."""
-    tuples = {f.name for f in fields(Branch) if "tuple[" in str(f.type)}
-    branches = []
-    for item in data["branches"]:
-        b = {k: tuple(v) if k in tuples and k != "recode" else v for k, v in item.items()}
-        if "spelling" in b:
-            b["spelling"] = Spelling(**b["spelling"])
-        if "recode" in b:
-            b["recode"] = tuple(
-                Recode(tuple(r["pc_ids"]), tuple(r["labels"]), r["to"]) for r in b["recode"]
-            )
-        branches.append(Branch(**b))
     rest = {k: v for k, v in data.items() if k != "branches"}
-    return StateRoundSpec(branches=tuple(branches), **rest)
+    return StateRoundSpec(branches=tuple(branch_from_dict(b) for b in data["branches"]), **rest)
+
+
+def branch_from_dict(data: Mapping) -> Branch:
+    """A branch from plain data; an unknown field, or a text where a list is due, is an error."""
+    b = dict(data)
+    if b.get("spelling") is not None:
+        b["spelling"] = Spelling(**b["spelling"])
+    if b.get("recode") is not None:
+        b["recode"] = tuple(Recode(_listed("pc_ids", r["pc_ids"], str), _listed("labels", r["labels"], str), r["to"])
+                            for r in b["recode"])
+    return Branch(**b)
+
+
+# One row per branch. Lists are arrays; a null field takes the branch's default.
+BRANCH_TABLE = """
+    round string, state string, dedup_after_union boolean, date_only boolean, branch_id string,
+    campaign_like array<string>, campaign_not_like array<string>, state_prefix string, q2_type string,
+    start string, end string, end_inclusive boolean, pc_in array<int>, pc_not_in array<int>, pc_known boolean,
+    dedup string, ordering string, vendors map<string,array<int>>, book string,
+    spelling struct<base:int,letters:map<string,string>>, later_keys boolean,
+    recode array<struct<pc_ids:array<string>,labels:array<string>,to:string>>, geo string, geo_state string,
+    post_pc_in array<int>, post_pc_not_in array<int>, post_start string, post_end string,
+    exclude_numbers_of string, emit boolean
+"""
+_SPEC_FIELDS = ("round", "state", "dedup_after_union", "date_only")
+
+
+def branch_rows(specs) -> list[dict]:
+    """Specs as rows of ``BRANCH_TABLE``."""
+    out = []
+    for s in specs:
+        for b in s.branches:
+            row = {f: getattr(s, f) for f in _SPEC_FIELDS} | {f.name: getattr(b, f.name) for f in fields(b)}
+            row["spelling"] = b.spelling and {"base": b.spelling.base, "letters": dict(b.spelling.letters)}
+            row["recode"] = [{"pc_ids": r.pc_ids, "labels": r.labels, "to": r.to} for r in b.recode]
+            out.append(row)
+    return out
+
+
+def read_registry(branches: DataFrame, books=None) -> Registry:
+    """Specs from a stored table with columns of ``BRANCH_TABLE`` (any of them may be absent).
+
+    Branches become conditions of a plan, so their table is read by the driver, whole; ``books``
+    may stay a stored arm table. Unknown columns and repeated branch ids are errors; branches of a
+    state keep the order of their ids.
+    """
+    specs: dict[tuple, list] = {}
+    for r in branches.orderBy("round", "state", "branch_id").toLocalIterator():
+        row = {k: v for k, v in r.asDict(recursive=True).items() if v is not None}
+        about = {k: row.pop(k) for k in _SPEC_FIELDS if k in row}
+        specs.setdefault(tuple(sorted(about.items())), []).append(branch_from_dict(row))
+    found = [StateRoundSpec(branches=tuple(b), **dict(about)) for about, b in specs.items()]
+    keys = [s.key for s in found]
+    ids = [b.branch_id for s in found for b in s.branches]
+    for what, names in (("spec", keys), ("branch", ids)):
+        if len(set(names)) < len(names):
+            raise ValueError(f"{what} listed twice: {sorted({n for n in names if names.count(n) > 1})}")
+    return Registry(found, books)
 
 
 class Registry:
     """Specs by key such as ``ep_ap``, and the books they decode with."""
 
-    def __init__(self, specs=(), books: Codebook | None = None):
+    def __init__(self, specs=(), books: Codebook | DataFrame | None = None):
         self._specs: dict[str, StateRoundSpec] = {}
-        self.books = books or Codebook()
+        self.books = Codebook() if books is None else books
         for s in specs:
             self.add(s)
 

@@ -26,14 +26,6 @@ def rule_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     return F.broadcast(df) if len(rows) <= MAX_RULE_ROWS else df
 
 
-def bounded_rows(df: DataFrame, max_rows: int = MAX_RULE_ROWS) -> list:
-    """Read a stored rule table to the driver, refusing one that exceeds the bound."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"rule table has more than {max_rows} rows; join it as a frame instead")
-    return rows
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Mark a dimension for broadcast after counting it; leave a larger one to a shuffled join.
 

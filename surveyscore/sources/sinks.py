@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,27 +43,25 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors reach, named by ``spark.checkpoint.dir``.
-
-    A machine-local folder stands in only where the setting is absent and Spark runs in one
-    process.
-    """
+    """Folder that all executors reach, named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="surveyscore-")
+    return named.rstrip("/")
 
 
 def materialise(df: DataFrame, name: str | None = None, path: str | None = None,
                 partition_by=()) -> DataFrame:
     """Store a result as parquet and read it back, which also ends its lineage.
 
-    The target is ``path``, or a fresh sub-folder of the shared folder.
+    The target is ``path``, or a fresh sub-folder of the shared folder, which goes when the
+    session's file system closes; ``drop_stored`` removes it sooner.
     """
     spark = df.sparkSession
     target = path or f"{shared_folder(spark)}/{name or 'result'}-{uuid.uuid4().hex}"
+    if path is None:
+        files, at = _file_system(spark, target)
+        files.deleteOnExit(at)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -72,10 +69,25 @@ def materialise(df: DataFrame, name: str | None = None, path: str | None = None,
     return spark.read.schema(df.schema).parquet(target)
 
 
-def save_scores(df: DataFrame, path: str) -> None:
+def _file_system(spark: SparkSession, target: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Remove the folder of a frame that ``materialise`` returned."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        files, at = _file_system(df.sparkSession, folder)
+        files.delete(at, True)
+
+
+def save_scores(df: DataFrame, path: str, replace_all: bool = False) -> None:
     """Store score rows partitioned by round and state, so reports prune to what they show.
 
+    Only the rounds and states that ``df`` holds are replaced; ``replace_all`` empties the folder.
+
     The rebalance hint lets AQE merge small partitions and split a heavy state over tasks.
     """
     by = [c for c in ("ROUND", "state") if c in df.columns]
-    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    kind = "static" if replace_all else "dynamic"
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", kind).partitionBy(*by).parquet(path)

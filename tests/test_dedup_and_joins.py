@@ -43,10 +43,13 @@ def test_hot_number_is_cut_before_the_exchange(spark):
 
 
 def test_geo_check_and_fan_out(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "AC_NO int, x string")
+    df = spark.createDataFrame([(1, "S", "a"), (2, "S", "b"), (3, "S", "c"), (None, "S", "d"), (2, "T", "e"), (1, "T", "f")],
+                               "AC_NO int, STATE_CODE string, x string")
     geo = spark.createDataFrame([("S", 1), ("S", 1), ("T", 2)], "State_Code string, AC_NO int")
-    assert rows(enrich.geo_check(df, geo, ["S"])) == [(1, "a")]
-    assert rows(enrich.geo_check(df, geo, ["S"], unique=False)) == [(1, "a"), (1, "a")]
+    assert rows(enrich.geo_check(df, geo, ["S"])) == [(1, "S", "a")]
+    # the number of one state says nothing of another's
+    assert rows(enrich.geo_check(df, geo, ["S", "T"]), "x") == [("a",), ("e",)]
+    assert rows(enrich.geo_check(df, geo, ["S"], unique=False)) == [(1, "S", "a"), (1, "S", "a")]
 
 
 def test_region_keeps_rows_and_does_not_multiply(spark):
@@ -63,21 +66,37 @@ def test_region_keeps_rows_and_does_not_multiply(spark):
 def test_large_dimension_is_not_broadcast(spark, monkeypatch):
     from surveyscore import rules
 
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "AC_NO int, x string")
+    df = spark.createDataFrame([(1, "S", "a"), (2, "S", "b")], "AC_NO int, STATE_CODE string, x string")
     geo = spark.createDataFrame([("S", 1), ("S", 1), ("T", 2)], "State_Code string, AC_NO int")
     plan = enrich.geo_check(df, geo, ["S"])._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan
     monkeypatch.setattr(rules, "MAX_DIM_ROWS", 0)
     shuffled = enrich.geo_check(df, geo, ["S"])
     assert "strategy=broadcast" not in shuffled._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(shuffled) == [(1, "a")]
+    assert rows(shuffled) == [(1, "S", "a")]
 
 
 def test_remap_replaces_constituency(spark):
     df = calls(spark, [{"DN": "1", "AC_NO": 1, "PC_NO": 7}, {"DN": "2", "AC_NO": 5, "PC_NO": 7}])
-    remap = spark.createDataFrame([("AS", 1, 12)], "State_Code string, AC_NO int, PC_No int")
-    out = enrich.geo_remap(filters.derive_ids(df), remap, ["AS"])
-    assert rows(out, "DN", "PC_NO", "PC_ID") == [("1", 12, "AS-12")]
+    remap = spark.createDataFrame([("AP", 1, 12), ("BR", 5, 3)], "State_Code string, AC_NO int, PC_No int")
+    out = enrich.geo_remap(filters.derive_ids(df), remap, ["AP", "BR"])
+    assert rows(out, "DN", "PC_NO", "PC_ID") == [("1", 12, "AP-12")]
+
+
+def test_distinct_scores_keeps_a_whole_row(spark):
+    df = spark.createDataFrame([("a", "p", "s", "x", "zeta", 1), ("a", "p", "s", "x", "alpha", 9)],
+                               "AC_ID string, PC_ID string, N_PARTY string, RES1 string, state string, AC_NO int")
+    assert rows(dedup.distinct_scores(df), "state", "AC_NO") == [("alpha", 9)]
+
+
+def test_rows_without_a_number_are_dealt_out(spark):
+    df = spark.range(2000).selectExpr("CAST(NULL AS STRING) AS DN", "id")
+    listed = spark.createDataFrame([("2",)], "DN string")
+    out = enrich.exclude_numbers(df, listed.hint("merge"))
+    assert out.count() == 2000
+    key = "coalesce(DN, concat(char(0), CAST(xxhash64(DN, id) AS STRING)))"
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(coalesce(DN" in plan and df.selectExpr(f"{key} AS k").distinct().count() == 2000
 
 
 def test_excluded_list_with_null_removes_nothing_extra(spark):

@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from surveyscore.plans import report
 from surveyscore.schema import GEO_SCHEMA, SchemaError
@@ -59,6 +60,30 @@ def test_materialise_and_stored_scores(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "scores"))
     plan = stored.filter("ROUND = 'BC' AND state = 'T'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ROUND" in plan and stored.count() == 3
+    sinks.drop_stored(kept)
+    with pytest.raises(Exception):
+        spark.read.parquet(kept.inputFiles()[0].rsplit("/", 1)[0]).count()
+
+
+def test_saving_one_round_keeps_the_others(spark, tmp_path):
+    df = spark.createDataFrame([("S", "BC", 1), ("S", "EP", 2), ("T", "BC", 3)], "state string, ROUND string, n int")
+    path = str(tmp_path / "scores")
+    for name in ("BC", "EP"):
+        sinks.save_scores(df.filter(F.col("ROUND") == name), path)
+    assert rows(spark.read.parquet(path), "n") == [(1,), (2,), (3,)]
+    sinks.save_scores(df.filter("ROUND = 'EP'").withColumn("n", F.lit(7)), path)
+    assert rows(spark.read.parquet(path), "n") == [(1,), (3,), (7,)]
+    sinks.save_scores(df.filter("ROUND = 'EP'"), path, replace_all=True)
+    assert rows(spark.read.parquet(path), "n") == [(2,)]
+
+
+def test_the_shared_folder_must_be_named():
+    class Unnamed:
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+    with pytest.raises(RuntimeError):
+        sinks.shared_folder(Unnamed)
 
 
 def test_drop_table(spark):

@@ -8,9 +8,12 @@ constituencies are missing from it and others occur several times.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from surveyscore import Arm, Branch, Codebook, Recode, Registry, Spelling, StateRoundSpec
 from surveyscore.plans.rounds import build_rounds
+from surveyscore.plans.spec import BRANCH_TABLE, branch_rows, read_registry
+from surveyscore.sources.sinks import materialise
 
 RAW_COLUMNS = [
     "o_orderkey AS CALL_ID",
@@ -32,7 +35,7 @@ RAW_COLUMNS = [
     "CASE WHEN o_totalprice >= 250000 THEN 'ABCDO' ELSE 'BAO' END AS PARTY",
     "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'ABCDO' WHEN 'BUILDING' THEN 'BCDAO'"
     " WHEN 'FURNITURE' THEN 'CDABO' WHEN 'HOUSEHOLD' THEN 'DABCO' ELSE 'BAO' END AS N_PARTY",
-    "cast(CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE n_nationkey * 10 + c_custkey % 10 END AS int) AS AC_NO",
+    "cast(CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE n_nationkey % 18 * 10 + c_custkey % 10 END AS int) AS AC_NO",
     "n_nationkey AS PC_NO",
     "cast(o_custkey % 30 AS string) AS PART_NO",
     "'-' AS EPIC_NO",
@@ -82,7 +85,7 @@ def _supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STATE = "concat('R', n_regionkey) AS State_Code"
-_AC = "cast(n_nationkey * 10 + s_suppkey % 10 AS int) AS AC_NO"
+_AC = "cast(n_nationkey % 18 * 10 + s_suppkey % 10 AS int) AS AC_NO"  # starts anew in each state
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,6 +185,19 @@ def registry() -> Registry:
     return reg
 
 
+def stored_registry(spark: SparkSession) -> Registry:
+    """The BC specs and their arms, written to tables and read back from them."""
+    reg = registry()
+    specs = [s for s in reg.select(reg.keys()) if s.round == "BC"]
+    rows = [tuple(r[f.name] for f in schema_of(BRANCH_TABLE)) for r in branch_rows(specs)]
+    table = materialise(spark.createDataFrame(rows, BRANCH_TABLE), "branches")
+    return read_registry(table, materialise(reg.books.to_df(spark), "arms"))
+
+
+def schema_of(ddl: str):
+    return T.StructType.fromDDL(ddl).fields
+
+
 def party_registry() -> Registry:
     """Round PP built by party collapse."""
     reg = Registry(books=books())

@@ -7,6 +7,7 @@ ranking by ROW_NUMBER, one grouping per scope.
 from __future__ import annotations
 
 from surveyscore import schema as S
+from surveyscore.operators.decode import Arm
 from workload import adapter as A
 
 RAW = """raw AS MATERIALIZED (
@@ -25,7 +26,7 @@ RAW = """raw AS MATERIALIZED (
     CASE WHEN o_totalprice >= 250000 THEN 'ABCDO' ELSE 'BAO' END AS PARTY,
     CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'ABCDO' WHEN 'BUILDING' THEN 'BCDAO' WHEN 'FURNITURE' THEN 'CDABO'
       WHEN 'HOUSEHOLD' THEN 'DABCO' ELSE 'BAO' END AS N_PARTY,
-    CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE CAST(n_nationkey * 10 + c_custkey % 10 AS INTEGER) END AS AC_NO,
+    CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE CAST(n_nationkey % 18 * 10 + c_custkey % 10 AS INTEGER) END AS AC_NO,
     n_nationkey AS PC_NO,
     CAST(o_custkey % 30 AS VARCHAR) AS PART_NO,
     CASE WHEN c_acctbal < 5000 THEN 'F' ELSE 'M' END AS GENDER,
@@ -37,7 +38,7 @@ RAW = """raw AS MATERIALIZED (
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 _SUPPLIED = "FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
-_AC = "CAST(n_nationkey * 10 + s_suppkey % 10 AS INTEGER)"
+_AC = "CAST(n_nationkey % 18 * 10 + s_suppkey % 10 AS INTEGER)"
 GEO = f"geo AS (SELECT 'R' || n_regionkey AS State_Code, {_AC} AS AC_NO {_SUPPLIED})"
 REMAP = f"""remap AS (SELECT 'R' || n_regionkey AS State_Code, {_AC} AS AC_NO,
   CAST(n_nationkey * 2 + (s_suppkey % 10) // 5 AS INTEGER) AS PC_No {_SUPPLIED})"""
@@ -74,7 +75,15 @@ def case_later(arms, seq="N_PARTY", ans="DTMF_REP") -> str:
     return "CASE " + "\n".join(lines) + " ELSE NULL END"
 
 
-MAIN = A.books().books["main"]
+# The labels of the first keys, written out by hand so that the spelling rule is checked, not repeated.
+_KEYS = {
+    "ABCDO": ("1 ALPHA", "2 BRAVO", "3 CHARLIE", "4 DELTA", "5 OTHERS"),
+    "BCDAO": ("1 BRAVO", "2 CHARLIE", "3 DELTA", "4 ALPHA", "5 OTHERS"),
+    "CDABO": ("1 CHARLIE", "2 DELTA", "3 ALPHA", "4 BRAVO", "5 OTHERS"),
+    "DABCO": ("1 DELTA", "2 ALPHA", "3 BRAVO", "4 CHARLIE", "5 OTHERS"),
+    "BAO": ("1 BRAVO", "2 ALPHA", "4 OTHERS"),
+}
+MAIN = [Arm(1, code, *key.split()) for code, keys in _KEYS.items() for key in keys] + A.later_arms()
 MIXED = A.books().books["mixed"]
 CODE = "substr(Campaign_Name, 1, 2)"
 
@@ -167,7 +176,7 @@ def one_scope(name, select, tie="first") -> str:
     return with_(RAW, RESP, scope_ctes(name, tie=tie)) + select
 
 
-LONG_AC = with_(RAW, RESP, POOL, score_ctes(["ac"], "pool", ("ROUND",)))
+LONG = with_(RAW, RESP, POOL, score_ctes(ALL, "pool", ("ROUND",)))
 
 ORACLE: dict[str, str] = {}
 
@@ -211,8 +220,9 @@ ORACLE["project_canonical"] = W + f"""SELECT DN, CAST(Start_Time AS DATE) AS Sta
   ELSE DTMF_REP END AS RES1, '' AS RES2, CASTE FROM raw"""
 ORACLE["project_constants"] = W + """SELECT CALL_ID, DN, '' AS RES2, 'Ruritania' AS state_name, 0 AS VALID_NUM,
   CAST(NULL AS INTEGER) AS VENDOR_NO FROM raw"""
-ORACLE["clean_scores"] = BASE + """SELECT AC_ID, PC_ID, N_PARTY, RES1, min(state) AS state, min(AC_NO) AS AC_NO,
-  min(PC_NO) AS PC_NO, min(ROUND) AS ROUND FROM resp GROUP BY 1, 2, 3, 4"""
+ORACLE["clean_scores"] = BASE + """SELECT AC_ID, PC_ID, N_PARTY, RES1, state, AC_NO, PC_NO, ROUND FROM (
+  SELECT *, row_number() OVER (PARTITION BY AC_ID, PC_ID, N_PARTY, RES1
+    ORDER BY state NULLS FIRST, AC_NO NULLS FIRST, PC_NO NULLS FIRST, ROUND NULLS FIRST) AS rn FROM resp) WHERE rn = 1"""
 ORACLE["reorder_scores"] = scored(["seq_pc"])
 ORACLE["wide_layout"] = scored(ALL, f"""SELECT {', '.join('s."' + c + '"' for c in S.WIDE_LAYOUT[:-2])},
   REGION, 'ALL' AS ROUND FROM scored s LEFT JOIN region_ac g ON s.AC_ID = g.AC_ID""", extra=REGIONS)
@@ -271,12 +281,14 @@ ORACLE["dedup_colmax"] = W + f"""SELECT DN, {', '.join(f'max({c}) AS {c}' for c
 # ---- joins -------------------------------------------------------------------------------
 
 ORACLE["join_geo_semi"] = with_(RAW, GEO) + """SELECT CALL_ID, AC_NO FROM raw
-  WHERE AC_NO IN (SELECT AC_NO FROM geo WHERE State_Code IN ('R0', 'R2'))"""
+  WHERE EXISTS (SELECT 1 FROM geo WHERE geo.AC_NO = raw.AC_NO AND State_Code = substr(Campaign_Name, 1, 2)
+    AND State_Code IN ('R0', 'R2'))"""
 ORACLE["join_geo_fan_out"] = with_(RAW, GEO) + """SELECT t.CALL_ID, t.AC_NO FROM raw t
-  LEFT JOIN geo b ON t.AC_NO = b.AC_NO WHERE b.State_Code IN ('R0', 'R2')"""
+  JOIN geo b ON t.AC_NO = b.AC_NO AND b.State_Code = substr(Campaign_Name, 1, 2) WHERE b.State_Code IN ('R0', 'R2')"""
 ORACLE["join_geo_remap"] = with_(RAW, REMAP) + """SELECT CALL_ID, t.AC_NO, b.PC_No AS PC_NO,
   b.State_Code || '-' || b.PC_No AS PC_ID
-  FROM raw t JOIN (SELECT DISTINCT * FROM remap WHERE State_Code = 'R1') b ON t.AC_NO = b.AC_NO"""
+  FROM raw t JOIN (SELECT DISTINCT * FROM remap WHERE State_Code = 'R1') b
+  ON t.AC_NO = b.AC_NO AND b.State_Code = substr(Campaign_Name, 1, 2)"""
 ORACLE["join_region_left"] = with_(RAW, RESP, *REGIONS) + """SELECT DN, ROUND, r.AC_ID, RES1, REGION
   FROM resp r LEFT JOIN region_ac g ON r.AC_ID = g.AC_ID"""
 ORACLE["join_region_left2"] = with_(RAW, RESP, REGION) + """SELECT DN, ROUND, r.AC_ID, r.PC_ID, RES1, REGION
@@ -286,18 +298,18 @@ ORACLE["anti_join_numbers"] = W + """SELECT CALL_ID, DN FROM raw t WHERE NOT EXI
 ORACLE["combine_scopes"] = scored(ALL)
 
 
-def wide(scope, rounds, src, keep_from=None) -> str:
+def wide(scopes, rounds, src, keep_from=None, start=None) -> str:
     attrs = "min(AC_NO) AS AC_NO, min(PC_NO) AS PC_NO, min(state) AS state"
     cols = ", ".join(f"max(CASE WHEN ROUND = '{r}' THEN \"{c}\" END) AS \"{r}_{c}\""
-                     for r in rounds for c in S.SCOPES[scope].columns)
+                     for r in rounds for s in scopes for c in S.SCOPES[s].columns)
     having = f" HAVING max(CASE WHEN ROUND = '{keep_from}' THEN 1 ELSE 0 END) = 1" if keep_from else ""
     listed = ", ".join(f"'{r}'" for r in rounds)
-    return with_(RAW, RESP, POOL, score_ctes([scope], src, ("ROUND",))) + f"""SELECT AC_ID, PC_ID, N_PARTY, RES1,
+    return (start or with_(RAW, RESP, POOL, score_ctes(scopes, src, ("ROUND",)))) + f"""SELECT AC_ID, PC_ID, N_PARTY, RES1,
   {attrs}, {cols} FROM scored WHERE ROUND IN ({listed}) GROUP BY 1, 2, 3, 4{having}"""
 
 
-ORACLE["combine_rounds_wide"] = wide("ac", ["BC", "EP", "PP", "COM"], "pool")
-ORACLE["combine_rounds_wide_from_bc"] = wide("pc", ["BC", "EP", "PP"], "resp", "BC")
+ORACLE["combine_rounds_wide"] = wide(ALL, ["BC", "EP", "PP", "COM"], "pool")
+ORACLE["combine_rounds_wide_from_bc"] = wide(ALL, ["BC", "EP", "PP"], "resp", "BC")
 
 # ---- counts and ranking ------------------------------------------------------------------
 
@@ -327,6 +339,14 @@ ORACLE["score_scope_dense"] = scored(["ac"], f"""SELECT {', '.join('s.' + c for
   FROM (SELECT s.*, d.RES1 AS u, d.p, CAST(round(MAX_PER_ACWISE * 100) - round(d.p * 100) AS DOUBLE) / 100.0::DOUBLE AS m
     FROM scored s LEFT JOIN (SELECT * FROM ({_DENSE.format(k='AC_ID', p='AC_WISE_PERCENTAGE', n='ac')}) WHERE d = 2) d
     ON s.AC_ID = d.AC_ID) s""")
+_S = S.SCOPES["seq_pc"]
+ORACLE["score_rounds_dense"] = with_(RAW, RESP, POOL, score_ctes(["seq_pc"], "pool", ("ROUND",))) + f"""
+  SELECT {', '.join('s.' + c for c in S.SCORE_KEYS)}, "{_S.count}", "{_S.pct}", "{_S.max_pct}", "{_S.winner}",
+    s.p AS "{_S.second}", u AS "{_S.runner_up}", m AS "{_S.margin}", {_band('m')} AS "{_S.band}",
+    "{_S.winner}" || ' ' || CAST(m AS VARCHAR) || ' (' || u || ')' AS "{_S.summary}", ROUND
+  FROM (SELECT s.*, d.RES1 AS u, d.p, CAST(round("{_S.max_pct}" * 100) - round(d.p * 100) AS DOUBLE) / 100.0::DOUBLE AS m
+    FROM scored s LEFT JOIN (SELECT * FROM ({_DENSE.format(k='ROUND, PC_ID, N_PARTY', p=_S.pct, n='seq_pc')}) WHERE d = 2) d
+    ON s.ROUND = d.ROUND AND s.PC_ID = d.PC_ID AND s.N_PARTY = d.N_PARTY) s"""
 ORACLE["score_margin"] = one_scope("seq_pc", """SELECT DISTINCT PC_ID, N_PARTY, MAX_PER_SEQWISE_PC,
   "2ND_PER_SEQWISE_PC", MARGIN_SEQWISE_PC FROM m_seq_pc""")
 ORACLE["margin_bucket"] = one_scope(
@@ -340,15 +360,7 @@ ORACLE["union_branches"] = W + f"""SELECT CALL_ID, Campaign_Name, PC_NO FROM raw
   UNION ALL SELECT CALL_ID, Campaign_Name, PC_NO FROM raw WHERE Campaign_Name LIKE 'R1-%'
   UNION ALL SELECT CALL_ID, Campaign_Name, PC_NO FROM raw WHERE PC_NO IN ({_NUMS})"""
 ORACLE["pool_rounds"] = BASE + f"SELECT {', '.join(S.CANONICAL_COLUMNS)} FROM resp"
-_STACK_PC = S.SCORE_KEYS + S.SCOPES["pc"].columns
-_STACK_AC = S.SCOPES["ac"].columns
-ORACLE["stack_rounds"] = (
-    with_(RAW, RESP, POOL, score_ctes(["pc"], "pool", ("ROUND",), out="by_pc"),
-          score_ctes(["ac"], "resp", ("ROUND",), out="by_ac").replace("base", "base_ac"))
-    + f"""SELECT {q(_STACK_PC)}, ROUND, {', '.join(f'NULL AS "{c}"' for c in _STACK_AC)} FROM by_pc
-  WHERE ROUND IN ('COM', 'BC') UNION ALL BY NAME SELECT {q(S.SCORE_KEYS)}, {q(_STACK_AC)}, ROUND FROM by_ac
-  WHERE ROUND = 'EP'"""
-)
+ORACLE["stack_rounds"] = scored(ALL, src="pool", by=("ROUND",), extra=(POOL,))
 
 _CANON = ("DN, Start_Time, DTMF_REP, state, AC_ID, AC_NO, PC_ID, PC_NO, PART_NO, GENDER, AGE, N_PARTY, RES1, RES2, CASTE")
 
@@ -431,6 +443,11 @@ ORACLE["round_pp_party"] = W + "\nUNION ALL\n".join(
       WHERE RES1 IS NOT NULL"""
     for s in A.STATES
 )
+ORACLE["round_bc_from_tables"] = ORACLE["round_bc"]
+_EP_DATES = "Campaign_Name LIKE 'R_-EP%' AND Start_Time >= TIMESTAMP '{}' AND Start_Time < TIMESTAMP '{}'"
+ORACLE["round_unpadded_dates"] = W + f"SELECT {_CANON}, 'EP' AS ROUND FROM (" + " UNION ALL ".join([
+    latest(_EP_DATES.format("1996-09-05", "1997-10-01"), "d_a"), latest(_EP_DATES.format("1996-10-01", "1997-09-30"), "d_b"),
+]) + ")"
 ORACLE["round_overlap"] = W + f"SELECT {_CANON}, 'EP' AS ROUND FROM (" + " UNION ALL ".join([
     latest("Campaign_Name LIKE 'R_-EP%'", "o_all"),
     latest("Campaign_Name LIKE 'R_-EP-PC%' AND Start_Time <= TIMESTAMP '1997-01-01'", "o_early"),
@@ -450,14 +467,24 @@ ORACLE["run_all_states"] = with_(
     RAW, GEO, REMAP, *REGIONS, f"resp AS (SELECT * FROM ({_BUILT}))", POOL, score_ctes(ALL, "pool", ("ROUND",))
 ) + _WITH_REGION.format("scored")
 
+ORACLE["run_wide_all_scopes"] = wide(ALL, ["BC", "EP", "PP", "COM"], "pool", start=with_(
+    RAW, GEO, REMAP, f"resp AS (SELECT * FROM ({_BUILT}))", POOL, score_ctes(ALL, "pool", ("ROUND",))))
+
 # ---- report ------------------------------------------------------------------------------
 
-ORACLE["report_total"] = LONG_AC + "SELECT count(*) AS total_rows FROM scored"
-ORACLE["report_distinct"] = LONG_AC + """SELECT DISTINCT 'state' AS kind, state AS value FROM scored
+ORACLE["report_total"] = LONG + "SELECT count(*) AS total_rows FROM scored"
+ORACLE["report_distinct"] = LONG + """SELECT DISTINCT 'state' AS kind, state AS value FROM scored
   WHERE state IS NOT NULL UNION ALL SELECT DISTINCT 'RES1', RES1 FROM scored WHERE RES1 IS NOT NULL
   UNION ALL SELECT DISTINCT 'AC_NO', CAST(AC_NO AS VARCHAR) FROM scored WHERE state = 'ASIA' AND AC_NO IS NOT NULL"""
-ORACLE["report_sort"] = LONG_AC + "SELECT * FROM scored ORDER BY state, AC_NO, RES1, ROUND, PC_ID, AC_ID, N_PARTY"
-ORACLE["report_page"] = LONG_AC + """SELECT * FROM scored WHERE ROUND = 'COM'
+ORACLE["report_sort"] = LONG + "SELECT * FROM scored ORDER BY state, AC_NO, RES1, ROUND, PC_ID, AC_ID, N_PARTY"
+ORACLE["report_page"] = LONG + """SELECT * FROM scored WHERE ROUND = 'COM'
   ORDER BY state NULLS LAST, AC_NO NULLS LAST, RES1, ROUND, PC_ID NULLS LAST, AC_ID NULLS LAST, N_PARTY
   LIMIT 30 OFFSET 60"""
-ORACLE["report_slice"] = LONG_AC + "SELECT * FROM scored WHERE state = 'EUROPE' AND AC_NO = 31"
+ORACLE["report_slice"] = LONG + "SELECT * FROM scored WHERE state = 'EUROPE' AND AC_NO = 41"
+ORACLE["report_full"] = LONG + """, chosen AS (SELECT * FROM scored WHERE state = 'ASIA' AND ROUND = 'BC'),
+  counts AS (SELECT count(*) AS total, CAST(ceil(count(*) / 30.0) AS INTEGER) AS pages,
+    (SELECT count(DISTINCT state) FROM scored) AS n_states, count(DISTINCT AC_NO) AS n_ac_numbers,
+    count(DISTINCT RES1) AS n_parties FROM chosen)
+  SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (ORDER BY state NULLS LAST, AC_NO NULLS LAST, RES1, ROUND,
+    PC_ID NULLS LAST, AC_ID NULLS LAST, N_PARTY) AS place FROM chosen), counts
+  WHERE place > 30 * (least(2, pages) - 1) AND place <= 30 * least(2, pages)"""

@@ -9,7 +9,7 @@ from surveyscore.functions import scalars as fn
 from surveyscore.operators import combine, decode, dedup, enrich, filters, scoring
 from surveyscore.plans import report
 from surveyscore.plans.rounds import build_by_branch, build_round, build_rounds
-from surveyscore.plans.run import build_com, run, score_responses
+from surveyscore.plans.run import com_of, run, score_responses
 from surveyscore.plans.spec import Branch, StateRoundSpec
 from surveyscore.sources import readers, sinks
 from workload import adapter as A
@@ -44,14 +44,19 @@ def dim_region(spark, sf):
 
 @query
 def materialise_join(spark, sf):
-    resp = A.responses(spark, sf)
+    base = _base(spark, sf)
     ac, pc = (
-        sinks.materialise(_region(spark, sf, scoring.score_scope(resp, s)).withColumn("ROUND", F.lit("ALL")), s)
+        sinks.materialise(_region(spark, sf, scoring.score_base(base, (s,))).withColumn("ROUND", F.lit("ALL")), s)
         for s in ("ac", "pc")
     )
     return filters.project_layout(combine.join_stored(ac, pc), S.STORED_LAYOUT)
 
 
+def _base(spark, sf, by=()):
+    """Counts of all responses, stored: the scopes, rounds and pools of a query read these."""
+    return sinks.materialise(scoring.preaggregate(A.responses(spark, sf), by), "counts")
+
+
 def _region(spark, sf, df):
     return enrich.with_region(df, A.region_map(spark, sf))
 
@@ -278,14 +283,14 @@ def dedup_colmax(spark, sf):
 
 @query
 def join_geo_semi(spark, sf):
-    raw = A.raw_calls(spark, sf).select("CALL_ID", "AC_NO")
-    return enrich.geo_check(raw, A.geo(spark, sf), ["R0", "R2"])
+    raw = filters.derive_ids(A.raw_calls(spark, sf))
+    return enrich.geo_check(raw, A.geo(spark, sf), ["R0", "R2"]).select("CALL_ID", "AC_NO")
 
 
 @query
 def join_geo_fan_out(spark, sf):
-    raw = A.raw_calls(spark, sf).select("CALL_ID", "AC_NO")
-    return enrich.geo_check(raw, A.geo(spark, sf), ["R0", "R2"], unique=False)
+    raw = filters.derive_ids(A.raw_calls(spark, sf))
+    return enrich.geo_check(raw, A.geo(spark, sf), ["R0", "R2"], unique=False).select("CALL_ID", "AC_NO")
 
 
 @query
@@ -316,19 +321,18 @@ def anti_join_numbers(spark, sf):
 
 @query
 def combine_scopes(spark, sf):
-    resp = A.responses(spark, sf)
-    return combine.combine_scopes([scoring.score_scope(resp, s) for s in ("ac", "pc", "seq_ac", "seq_pc")])
+    base = _base(spark, sf)
+    return combine.combine_scopes([scoring.score_base(base, (s,)) for s in S.SCOPES])
 
 
 @query
 def combine_rounds_wide(spark, sf):
-    long = scoring.score_rounds(A.responses(spark, sf), scopes=("ac",))
-    return combine.combine_rounds_wide(long, ["BC", "EP", "PP", "COM"])
+    return combine.combine_rounds_wide(scoring.score_rounds(A.responses(spark, sf)), ["BC", "EP", "PP", "COM"])
 
 
 @query
 def combine_rounds_wide_from_bc(spark, sf):
-    long = scoring.score_rounds(A.responses(spark, sf), scopes=("pc",))
+    long = scoring.score_rounds(A.responses(spark, sf), pooled=None)
     return combine.combine_rounds_wide(long, ["BC", "EP", "PP"], base="BC")
 
 
@@ -392,6 +396,11 @@ def score_scope_dense(spark, sf):
     return scoring.score_scope(A.responses(spark, sf), "ac", method="dense")
 
 
+@query
+def score_rounds_dense(spark, sf):
+    return scoring.score_rounds(A.responses(spark, sf), scopes=("seq_pc",), method="dense")
+
+
 @query
 def score_margin(spark, sf):
     return scoring.margin(A.responses(spark, sf), "seq_pc")
@@ -417,18 +426,16 @@ def union_branches(spark, sf):
 
 @query
 def pool_rounds(spark, sf):
-    resp = A.responses(spark, sf)
-    return combine.pool_rounds(*[resp.filter(F.col("ROUND") == r) for r in ("EP", "PP", "BC")])
+    return combine.pool_rounds(A.responses(spark, sf).filter(F.col("ROUND").isin(*A.ROUNDS)))
 
 
 @query
 def stack_rounds(spark, sf):
-    resp = A.responses(spark, sf)
-    parts = {r: resp.filter(F.col("ROUND") == r) for r in A.ROUNDS}
-    com = scoring.score_scope(combine.pool_rounds(*parts.values()), "pc").withColumn("ROUND", F.lit("COM"))
-    bc = scoring.score_scope(parts["BC"], "pc").withColumn("ROUND", F.lit("BC"))
-    ep = scoring.score_scope(parts["EP"], "ac").withColumn("ROUND", F.lit("EP"))
-    return combine.stack_rounds([com, bc, ep])
+    """COM, BC, EP and PP in all scopes, each scored from the same stored counts."""
+    base = _base(spark, sf, ("ROUND",))
+    com = filters.with_round(scoring.score_base(base.drop("ROUND")), "COM")
+    parts = [scoring.score_base(base.filter(F.col("ROUND") == r), by=("ROUND",)) for r in A.ROUNDS]
+    return combine.stack_rounds([com, *parts])
 
 
 def _rounds(spark, sf, reg, name):
@@ -456,6 +463,21 @@ def round_pp_party(spark, sf):
     return _rounds(spark, sf, A.party_registry(), "PP")
 
 
+@query
+def round_bc_from_tables(spark, sf):
+    """Specs and arms come from stored tables."""
+    return _rounds(spark, sf, A.stored_registry(spark), "BC")
+
+
+@query
+def round_unpadded_dates(spark, sf):
+    """Two branches whose dates sort otherwise as texts than as times."""
+    book = A.books()
+    branches = (Branch("d_a", ("R_-EP%",), start="1996-9-05", end="1997-10-1", book="main"),
+                Branch("d_b", ("R_-EP%",), start="1996-10-01", end="1997-9-30 00:00", book="main"))
+    return build_rounds(A.raw_calls(spark, sf), [StateRoundSpec("ALL", "EP", branches)], book)
+
+
 @query
 def round_by_branch(spark, sf):
     reg = A.registry()
@@ -465,7 +487,7 @@ def round_by_branch(spark, sf):
 
 @query
 def round_overlap(spark, sf):
-    """A call that fits several branches is counted in each; then once per number."""
+    """A call that fits several branches is counted in each."""
     book = A.books()
     branches = (
         Branch("o_all", ("R_-EP%",), book="main"),
@@ -478,9 +500,7 @@ def round_overlap(spark, sf):
 
 @query
 def round_com(spark, sf):
-    resp = A.responses(spark, sf)
-    ep, pp, bc = (resp.filter(F.col("ROUND") == r) for r in ("EP", "PP", "BC"))
-    return build_com(ep, pp, bc, A.region_map(spark, sf))
+    return com_of(A.responses(spark, sf), A.region_map(spark, sf))
 
 
 @query
@@ -495,8 +515,14 @@ def run_all_states(spark, sf):
                         geo_remap=A.geo_remap(spark, sf), region=A.region_map(spark, sf))
 
 
+@query
+def run_wide_all_scopes(spark, sf):
+    return run(A.raw_calls(spark, sf), A.registry(), A.STATES, form="wide", geo=A.geo(spark, sf),
+               geo_remap=A.geo_remap(spark, sf))
+
+
 def _long(spark, sf):
-    return scoring.score_rounds(A.responses(spark, sf), scopes=("ac",))
+    return scoring.score_rounds(A.responses(spark, sf))
 
 
 @query
@@ -527,4 +553,13 @@ def report_page(spark, sf):
 
 @query
 def report_slice(spark, sf):
-    return report.slice_rows(_long(spark, sf), state="EUROPE", ac_no="31", res1="", round=None)
+    return report.slice_rows(_long(spark, sf), state="EUROPE", ac_no="41", res1="", round=None)
+
+
+@query
+def report_full(spark, sf):
+    """A filtered page with its totals and the sizes of the three lists to choose from."""
+    found = report.report(sinks.materialise(_long(spark, sf), "report"), page=2, state="ASIA", round="BC")
+    lists = {"n_states": found.states, "n_ac_numbers": found.ac_numbers, "n_parties": found.parties}
+    counts = {k: F.lit(v.count()) for k, v in lists.items()}
+    return found.rows.withColumns({"total": F.lit(found.total), "pages": F.lit(found.pages), **counts})
