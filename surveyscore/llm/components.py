@@ -1,13 +1,14 @@
 """Connected components by alternating large-star and small-star.
 
-Both steps keep the components and only ever link nodes to smaller ones; when nothing changes,
-every node is linked to the smallest of its component. Each step is a grouped minimum and a join
+Both steps keep the components and only ever link nodes to smaller ones; they are done when every
+node links down to one node, which links no further: then it is the smallest of its component. Each step is a grouped minimum and a join
 back. The minima are stored first, so that the join reads two plain tables and Spark can split a
 node with very many links over tasks.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +38,30 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     without other links has no row, the smallest of a component has none either.
     """
     found = store(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct(), "edges")
-    state = None
-    while True:
-        new = found.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if new == state or not new[0]:
-            return found.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        state = new
+    while not settled(found):
         found = store(small_star(large_star(found)).distinct(), "edges")
+    return found.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def settled(edges: DataFrame) -> bool:
+    """Whether every node links down to one node only, and none links to a node that links on."""
+    roots = edges.groupBy("a").agg(F.min("b").alias("b"), F.count("*").alias("n"))
+    on = roots.select(F.col("a").alias("b")).distinct()
+    return roots.where("n > 1 or b >= a").isEmpty() and roots.join(on, "b", "left_semi").isEmpty()
+
+
+def least_reached(n: int, links: np.ndarray) -> np.ndarray:
+    """Least node that each of ``n`` nodes reaches by the links."""
+    label = np.arange(n)
+    while len(links):
+        a, b = label[links[:, 0]], label[links[:, 1]]
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        if (low == high).all():
+            break
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+    return label
 
 
 def name_rows(members: DataFrame, classes: DataFrame, links: DataFrame, extra: tuple[str, ...] = (),

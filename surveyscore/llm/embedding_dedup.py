@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyscore.llm.components import name_rows
+from surveyscore.llm.components import least_reached, name_rows
 from surveyscore.llm.store import store
 
 COSINE = 0.9
@@ -101,20 +101,6 @@ def spanning(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray):
     return found[found[:, 0] != found[:, 1]]
 
 
-def least_reached(n: int, links: np.ndarray) -> np.ndarray:
-    """Least node that each of ``n`` nodes reaches by the links."""
-    label = np.arange(n)
-    while len(links):
-        a, b = label[links[:, 0]], label[links[:, 1]]
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        if (low == high).all():
-            break
-        np.minimum.at(label, high, low)
-        while (label[label] != label).any():
-            label = label[label]
-    return label
-
-
 def compare(vectors: np.ndarray, weights: np.ndarray, split: int, same: bool, cosine: float, lines: int,
             recall: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of the rows before ``split`` with those after it (or among themselves).

@@ -3,15 +3,16 @@
 1. One pass makes, for each text, a hash of its word sequence, its number of distinct shingles and
    a signature: the minima of many universal (multiply-shift) hashes over its whole shingle set.
    Texts of one word sequence become one class.
-2. Classes that agree in all rows of a band share a bucket. Each bucket names a leader, and every
-   other class of it is paired with the leader: pairs grow with the rows, whatever the bucket's size.
-3. A pair is dropped if its signatures rule the similarity out by a wide margin, and confirmed on
-   the full shingle sets otherwise. Each class first tries the leader that it shares most buckets
-   with; once components are known, only pairs between components are confirmed.
-4. Buckets whose classes still lie in several components are searched for links that no leader
-   shows: classes of different components are paired if that makes few pairs for the bucket's size,
-   and the bucket is divided by a further band otherwise, until it is small or all one component.
-5. Components by alternating large-star and small-star.
+2. Classes that agree in all rows of a band share a bucket. The leader of a bucket is its class
+   with the fullest buckets overall, which is near the middle of a group of near copies. Every
+   other class of the bucket is paired with the leader: pairs grow with the rows, whatever the
+   bucket's size. A pair is dropped if its signatures rule the similarity out by a wide margin, and
+   confirmed on the full shingle sets otherwise.
+3. Buckets whose classes then still lie in several components are searched for links that no leader
+   shows. Signatures are compared within the bucket, in blocks of bounded size, between components
+   only; classes that may still link are gathered into families, and the full sets of a family are
+   compared, again in blocks. Both searches pass on a few rows per class, never their pairs.
+4. Components by alternating large-star and small-star.
 """
 
 from __future__ import annotations
@@ -27,14 +28,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from surveyscore.llm.batches import pieces, text_list
-from surveyscore.llm.components import connected_components, name_rows
+from surveyscore.llm.components import connected_components, least_reached, name_rows
+from surveyscore.llm.grouped import by_group, sorted_groups
 from surveyscore.llm.store import store
 
 SHINGLE = 5
 BANDS = 24
 ROWS = 5  # minima of a band: at similarity 0.85 all bands miss with probability 8e-7
-MARGIN = 6.0  # standard deviations below the threshold at which a signature rules a pair out
-FEW_PAIRS = 16  # pairs for each class of a bucket up to which all are tried
+MARGIN = 5.0  # standard deviations below the threshold at which a signature rules a pair out
+BLOCK = 512  # classes of a bucket or family that are compared with as many others at a time
 SEED = 40_511
 BLOOM_BITS = 1 << 26  # most bits of the broadcast filter: 8 MB
 
@@ -76,7 +78,10 @@ def family(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 def similar(a: str, b: str, percent: int, size: int) -> bool:
     """Whether ``100 * intersection >= percent * union`` of two texts' full shingle sets."""
-    x, y = shingle_hashes(words_of(a), size), shingle_hashes(words_of(b), size)
+    return overlap(shingle_hashes(words_of(a), size), shingle_hashes(words_of(b), size), percent)
+
+
+def overlap(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return bool(both) and 100 * both >= percent * (len(x) + len(y) - both)
 
@@ -130,22 +135,31 @@ def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     return classes.select("cid", "sig").mapInArrow(run, "cid long, band int, key long")
 
 
-def leader_pairs(bucketed: DataFrame) -> DataFrame:
-    """(a, b, shared): each class with the leaders of its buckets, and how many buckets they share.
+def crowded(bucketed: DataFrame) -> DataFrame:
+    """The rows of buckets that several classes share, with their number."""
+    crowds = store(bucketed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "crowds")
+    return store(bucketed.join(crowds, ["band", "key"]).select("cid", "band", "key", "n"), "buckets")
 
-    Leaders go by a hash that differs between buckets, so a class gets several.
-    """
-    order = F.struct(F.xxhash64("cid", "band").alias("o"), "cid")
-    leaders = store(bucketed.groupBy("band", "key").agg(F.min(order).alias("lead"), F.count("*").alias("n")).where("n > 1")
-                    .select("band", "key", F.col("lead.cid").alias("b")), "leaders")
-    return (bucketed.join(leaders, ["band", "key"]).where("cid != b")
-            .groupBy(F.least("cid", "b").alias("a"), F.greatest("cid", "b").alias("b")).agg(F.count("*").alias("shared")))
+
+def leader_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): each class with the leaders of its buckets."""
+    fullness = store(shared.groupBy("cid").agg(F.sum("n").alias("fullness")), "fullness")
+    rows = store(shared.join(fullness, "cid").select("cid", "band", "key", "fullness"), "ranked")
+    leaders = store(rows.groupBy("band", "key").agg(F.max(F.struct("fullness", -F.col("cid"))).alias("lead"))
+                    .select("band", "key", (-F.col("lead.col2")).alias("b")), "leaders")
+    return (rows.join(leaders, ["band", "key"]).where("cid != b")
+            .select(F.least("cid", "b").alias("a"), F.greatest("cid", "b").alias("b")).distinct())
+
+
+def least_agreement(percent: int, count: int) -> int:
+    """Equal minima that two sets at the threshold practically always have."""
+    p = percent / 100
+    return int(max(1, count * p - MARGIN * (count * p * (1 - p)) ** 0.5))
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, percent: int, count: int) -> DataFrame:
     """Pairs whose signatures do not rule out the similarity."""
-    p = percent / 100
-    least = int(max(1, count * p - MARGIN * (count * p * (1 - p)) ** 0.5))
+    least = least_agreement(percent, count)
     one = classes.select(F.col("cid").alias("a"), F.col("sig").alias("sig_a"))
     two = classes.select(F.col("cid").alias("b"), F.col("sig").alias("sig_b"))
 
@@ -166,9 +180,8 @@ class Texts:
         self.docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
         self.classes = classes
 
-    def of(self, pairs: DataFrame) -> DataFrame:
+    def of(self, asked: DataFrame) -> DataFrame:
         """(cid, text), stored. Rows are first thinned by a Bloom filter of bounded size."""
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
         wanted = store(self.classes.join(asked, "cid", "left_semi").select("cid", "id", "h", "g"), "wanted")
         size = 1 << min(max(16 * wanted.count(), 1 << 10).bit_length(), BLOOM_BITS.bit_length() - 1)
         marks = wanted.select(F.array(*[F.xxhash64(F.lit(k), "id") for k in range(4)]).alias("at"))
@@ -212,7 +225,7 @@ def has_bit(table: np.ndarray, marks: np.ndarray, size: int) -> np.ndarray:
 def confirm(pairs: DataFrame, texts: Texts, percent: int, size: int) -> DataFrame:
     """Pairs that hold on the full shingle sets, stored."""
     pairs = store(pairs, "pairs")
-    found = texts.of(pairs)
+    found = texts.of(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
 
     @F.pandas_udf("boolean")
     def holds(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -223,38 +236,81 @@ def confirm(pairs: DataFrame, texts: Texts, percent: int, size: int) -> DataFram
     return store(pairs.join(one, "a").join(two, "b").where(holds("text_a", "text_b")).select("a", "b"), "links")
 
 
-def labelled(rows: DataFrame, found: DataFrame, column: str, label: str) -> DataFrame:
-    """Add the component of a cid column."""
-    names = found.select(F.col("node").alias(column), F.col("component").alias(label))
-    return rows.join(names, column, "left").withColumn(label, F.coalesce(label, column))
+def in_blocks(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Each row of a group of ``n`` rows with the pairs (i, j) of blocks it belongs to; own is its block."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(
+        F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
+    dealt = dealt.withColumn("cell", F.explode(cells)).select("*", "cell.i", "cell.j").drop("cell")
+    return by_group(dealt, [*group, "i", "j"])
 
 
-def mixed_pairs(bucketed: DataFrame, found: DataFrame, bands: int) -> DataFrame:
-    """Pairs of classes of one bucket that lie in different components.
+def may_link(sigs: np.ndarray, part: np.ndarray, own: np.ndarray, i: int, j: int, least: int):
+    """For each row, later rows of other components whose signatures agree enough.
 
-    A bucket that would make more than ``FEW_PAIRS`` pairs for each class is divided by the keys
-    of every further band. Pairs at the threshold agree in some 10 bands, so a division by one or
-    two further bands parts them from what else the bucket holds, not from each other.
+    In a cell of two blocks only pairs across them are looked at.
     """
-    rows = store(labelled(bucketed, found, "cid", "c").select("cid", "c", F.col("band").alias("last"),
-                                                              F.xxhash64("band", "key").alias("key")), "buckets")
-    out = None
-    for _ in range(bands):
-        counts = rows.groupBy("last", "key", "c").agg(F.count("*").alias("n")).groupBy("last", "key").agg(
-            F.sum("n").alias("n"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("made"))
-        counts = store(counts.where("made > 0"), "bucket-counts")
-        few = rows.join(counts.where(f"made <= {FEW_PAIRS} * n").select("last", "key"), ["last", "key"])
-        few = store(few.select("cid", "c", "last", "key"), "bucket-rows")
-        made = few.toDF("a", "ca", "last", "key").join(few.toDF("b", "cb", "last", "key"), ["last", "key"]).where(
-            "a < b and ca != cb").select("a", "b")
-        out = made if out is None else out.union(made)
-        large = counts.where(f"made > {FEW_PAIRS} * n and last < {bands - 1}").select("last", "key")
-        if large.isEmpty():
-            break
-        more = rows.join(large, ["last", "key"]).select("cid", "c", "last", "key")
-        rows = store(more.join(bucketed.toDF("cid", "band", "next"), "cid").where("band > last").select(
-            "cid", "c", F.col("band").alias("last"), F.xxhash64("key", "band", "next").alias("key")), "buckets")
-    return out.distinct()
+    for x in range(len(sigs) - 1):
+        rest = np.flatnonzero((part[x + 1:] != part[x]) & ((i == j) | (own[x + 1:] != own[x]))) + x + 1
+        if len(rest):
+            rest = rest[(sigs[rest] == sigs[x]).sum(axis=1) >= least]
+            if len(rest):
+                yield x, rest
+
+
+def families(shared: DataFrame, classes: DataFrame, found: DataFrame, least: int) -> DataFrame:
+    """(a, b): links that join classes which may still link, from buckets of several components."""
+    part = found.select(F.col("node").alias("cid"), F.col("component").alias("part"))
+    rows = store(shared.join(part, "cid", "left").select("cid", F.coalesce("part", "cid").alias("part"), "band", "key"), "parted")
+    mixed = store(rows.groupBy("band", "key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"))
+                  .where("low < high").select("band", "key", "n"), "mixed")
+    rows = store(rows.join(mixed, ["band", "key"]), "mixed-rows").join(classes.select("cid", "sig"), "cid")
+    cells = in_blocks(rows, ["band", "key"]).select("band", "key", "i", "j", "own", "cid", "part", "sig")
+
+    def search(batches):
+        for group in sorted_groups(batches, 4):
+            i, j = group.column(2)[0].as_py(), group.column(3)[0].as_py()
+            own, cids, part = (group.column(k).to_numpy() for k in (4, 5, 6))
+            sigs = np.stack([np.frombuffer(s, np.uint32) for s in group.column(7).to_pylist()])
+            links = [np.stack([np.full(len(rest), x), rest], 1) for x, rest in may_link(sigs, part, own, i, j, least)]
+            if links:
+                label = least_reached(len(cids), np.concatenate(links))
+                moved = label != np.arange(len(cids))
+                yield pa.RecordBatch.from_pydict({"a": cids[moved], "b": cids[label[moved]]})
+
+    return cells.mapInArrow(search, "a long, b long")
+
+
+def family_links(joined: DataFrame, found: DataFrame, texts: Texts, percent: int, size: int, count: int) -> DataFrame:
+    """(a, b): links on full sets between components, within families of classes, stored."""
+    part = found.select(F.col("node").alias("cid"), F.col("component").alias("part"))
+    named = connected_components(joined)
+    rows = named.select(F.col("node").alias("cid"), F.col("component").alias("family")).union(
+        named.select("component", "component").distinct())
+    rows = store(rows.join(part, "cid", "left").select("cid", "family", F.coalesce("part", "cid").alias("part")), "families")
+    sizes = store(rows.groupBy("family").agg(F.count("*").alias("n")), "family-sizes")
+    rows = store(rows.join(sizes, "family").join(texts.of(rows.select("cid")), "cid"), "family-rows")
+    cells = in_blocks(rows, ["family"]).select("family", "i", "j", "own", "cid", "part", "text")
+    least = least_agreement(percent, count)
+
+    def search(batches):
+        hashes = family(count)
+        for group in sorted_groups(batches, 3):
+            i, j = group.column(1)[0].as_py(), group.column(2)[0].as_py()
+            own, cids, part = (group.column(k).to_numpy().copy() for k in (3, 4, 5))
+            sets = [shingle_hashes(words_of(t), size) for t in group.column(6).to_pylist()]
+            sigs = np.stack([signature(s, *hashes) for s in sets])
+            links = []
+            for x, rest in may_link(sigs, part, own, i, j, least):
+                for y in rest:
+                    if part[x] != part[y] and overlap(sets[x], sets[y], percent):
+                        links.append((cids[x], cids[y]))
+                        part[part == part[y]] = part[x]  # their other pairs need no look in this cell
+            if links:
+                yield pa.RecordBatch.from_pydict(dict(zip("ab", np.array(links).T)))
+
+    return store(cells.mapInArrow(search, "a long, b long"), "family-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
@@ -274,22 +330,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = signed.select("id", "h", "g", "n")
     classes = signed.where("h is not null").groupBy("h", "g").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
     classes = store(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    bucketed = buckets(classes, bands, rows)
+    shared = crowded(buckets(classes, bands, rows))
     texts = Texts(docs, classes, id_col, text_col)
-
-    pairs = store(leader_pairs(bucketed), "leader-pairs")
-    both = pairs.select("a", "b", "shared").union(pairs.select("b", "a", "shared")).toDF("a", "b", "shared")
-    best = both.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-    best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = confirm(plausible(best, classes, percent, count), texts, percent, size)
+    links = confirm(plausible(leader_pairs(shared), classes, percent, count), texts, percent, size)
     found = connected_components(links)
-
-    rest = pairs.join(best, ["a", "b"], "left_anti")
-    rest = labelled(labelled(rest, found, "a", "ca"), found, "b", "cb").where("ca != cb").select("a", "b")
-    links = store(links.union(confirm(plausible(rest, classes, percent, count), texts, percent, size)), "links")
-    found = connected_components(links)
-
-    tried = mixed_pairs(bucketed, found, bands).join(pairs, ["a", "b"], "left_anti")
-    links = links.union(confirm(plausible(tried, classes, percent, count), texts, percent, size))
+    joined = store(families(shared, classes, found, least_agreement(percent, count)), "joined")
+    links = links.union(family_links(joined, found, texts, percent, size, count))
     named = name_rows(members, classes.select("h", "g", "cid", "id"), links, keep=("n",))
     return named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")

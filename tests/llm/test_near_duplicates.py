@@ -1,11 +1,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from surveyscore.llm import components as cc
 from surveyscore.llm import embedding_dedup as ed
 from surveyscore.llm import minhash_dedup as mh
+from surveyscore.llm.grouped import sorted_groups
 
 
 def groups(n, links):
@@ -22,7 +25,7 @@ def groups(n, links):
     return [find(i) for i in range(n)]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_components_equal_union_find(spark, seed):
     rnd = random.Random(seed)
     n = 300
@@ -76,9 +79,9 @@ def near_texts(seed, n=160):
     return rows
 
 
-@pytest.mark.parametrize("percent,few", [(85, 16), (80, 0)])
-def test_texts_equal_brute_force(spark, monkeypatch, percent, few):
-    monkeypatch.setattr(mh, "FEW_PAIRS", few)
+@pytest.mark.parametrize("percent,block", [(85, mh.BLOCK), (80, 3)])
+def test_texts_equal_brute_force(spark, monkeypatch, percent, block):
+    monkeypatch.setattr(mh, "BLOCK", block)
     rows = near_texts(percent)
     got = mh.near_duplicates(documents(spark, rows), percent=percent).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute_texts(rows, percent)
@@ -99,6 +102,22 @@ def test_a_bucket_of_several_components_is_searched_whole(spark):
     assert sorted((tuple(r) for r in got), key=repr) == brute_texts(rows, 85)
 
 
+def test_links_that_no_leader_shows_are_found(spark, monkeypatch):
+    """With leaders that link to nothing, the search of mixed buckets alone gives the components."""
+    rows = near_texts(3, 120)
+    with monkeypatch.context() as m:
+        m.setattr(mh, "BLOCK", 7)
+        m.setattr(mh, "leader_pairs", lambda shared: shared.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0))
+        got = mh.near_duplicates(documents(spark, rows), percent=80).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_texts(rows, 80)
+
+
+def test_groups_of_a_sorted_partition():
+    batches = [pa.RecordBatch.from_pydict({"k": k, "l": [0] * len(k), "v": k}) for k in ([1, 1, 2], [2, 2], [], [2, 3, 4], [5], [5, 5])]
+    got = [g.column(2).to_pylist() for g in sorted_groups(iter(batches), 2)]
+    assert got == [[1, 1], [2, 2, 2, 2], [3], [4], [5, 5, 5]]
+
+
 def test_signatures_estimate_the_similarity():
     factors, shifts = mh.family(400)
     a, b = mh.shingle_hashes([b"%d" % i for i in range(1000)]), mh.shingle_hashes([b"%d" % i for i in range(100, 1100)])
