@@ -45,7 +45,7 @@ FEATURES = 3
 ROUNDS = 2
 STEP = 4096  # tokens of a gradient step, and of a scored batch
 RATE = 0.1
-FLUSH = 300_000  # distinct words that a task counts before it hands them on
+FLUSH = 150_000  # distinct words that a task counts before it hands them on
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -100,7 +100,8 @@ class Vocabulary:
         self.in_table = short & (F.col("n") >= (self.least if self.least is not None else 1 << 62))
         found = [(bytes(r[0]), r[1]) for r in counts.where(self.in_table).toLocalIterator()]
         found.sort(key=lambda x: (-x[1], x[0]))
-        self.table = {w: (i, n) for i, (w, n) in enumerate(found)}
+        self.frequent = [w for w, _ in found]
+        self.counts = np.array([n for _, n in found], np.int64)
         self.model_counts = np.array([n for _, n in found[:MODEL_WORDS]], float)
 
         @F.pandas_udf("int")
@@ -130,8 +131,9 @@ class Vocabulary:
 
 def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Each row's tokens as model ids, its sums over words of the broadcast table, and its other words."""
+    packed = b"\n".join(vocabulary.frequent) if vocabulary.frequent else None  # words hold no white space
     shared = texts.sparkSession.sparkContext.broadcast(
-        (vocabulary.table, vocabulary.tokens + 0.1 * (vocabulary.words + 1), vocabulary.ending_shares))
+        (packed, vocabulary.counts, vocabulary.tokens + 0.1 * (vocabulary.words + 1), vocabulary.ending_shares))
     key = uuid.uuid4().hex
     source = texts.select("row", "id", "held", "text")
     own = "n_tokens long, ids binary, base double, known long, within double, rest array<struct<word:binary,n:int,ending:int>>"
@@ -139,14 +141,13 @@ def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def prepare():
-        table, total, shares = shared.value
-        known = {}
-        for w, (i, n) in table.items():
-            model = i if i < MODEL_WORDS else MODEL_WORDS + ending(w)
-            within = 0.0 if i < MODEL_WORDS else float(np.log10((n + 0.1) / shares[ending(w)]))
-            known[w] = len(known), model, float(np.log10((n + 0.1) / total)), within
-        numbers = np.array([v[1:] for v in known.values()]).reshape(-1, 3)
-        return {w: v[0] for w, v in known.items()}, numbers[:, 0].astype(np.uint16), numbers[:, 1], numbers[:, 2]
+        packed, counts, total, shares = shared.value
+        words = [] if packed is None else packed.split(b"\n")
+        ends = np.array([ending(w) for w in words], dtype=np.int64)
+        place = np.arange(len(words))
+        model = np.where(place < MODEL_WORDS, place, MODEL_WORDS + ends).astype(np.uint16)
+        within = np.where(place < MODEL_WORDS, 0.0, np.log10((counts + 0.1) / shares[ends]))
+        return dict(zip(words, range(len(words)))), model, np.log10((counts + 0.1) / total), within
 
     def run(batches):
         index, model, base, within = once_per_worker(key, prepare)

@@ -71,7 +71,7 @@ def test_probabilities_sum_to_one(spark):
                          - lm.log10_probability(weights, [np.array([7, 9], np.uint16)])[0]) for i in ids)
     assert abs(total - 1) < 1e-3
     listed = {w: n for w, n in counts.collect()}
-    top = {w for w, (i, _) in vocabulary.table.items() if i < lm.MODEL_WORDS}
+    top = set(vocabulary.frequent[:lm.MODEL_WORDS])
     for e in range(lm.ENDINGS):
         mine = [n for w, n in listed.items() if bytes(w) not in top and lm.ending(bytes(w)) == e]
         share = sum((n + 0.1) / vocabulary.ending_shares[e] for n in mine) + 0.1 / vocabulary.ending_shares[e]
