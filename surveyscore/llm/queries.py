@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, maxent_lm, minhash_dedup, secrets, token_count, toxicity
+from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, maxent_lm, minhash_dedup, secrets, surrogates, token_count, toxicity
 
 QUERIES = {}
 
@@ -91,3 +91,12 @@ def op9_toxicity(spark, sf):
     weights = toxicity.train(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
     return toxicity.score(docs, weights).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("offending").alias("n_offending"))
+
+
+@query
+def op7_pii_surrogates(spark, sf):
+    """The key would come from a secret store; a fixed one keeps the result the same from run to run."""
+    found = surrogates.replace_entities(table(spark, sf, "documents"), b"documents-2024")
+    count = lambda kind: F.size(F.expr(f"filter(spans, s -> s.kind = '{kind}')")).cast("long")
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_entities"),
+                        *[count(k).alias(f"n_{k}") for k in surrogates.KINDS], "text", joined("spans").alias("spans"))
