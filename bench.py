@@ -15,6 +15,9 @@ HEADLINE = [
     "score_all", "all_rounds_long", "dedup_latest", "dedup_latest_events", "dedup_colmax",
     "decode_first", "decode_later", "join_region_left", "round_bc", "round_ep",
     "round_pp", "round_pp_party", "run_all_states", "combine_rounds_wide", "report_page",
+    # the queries with the largest plans, and the same round with one scan and with one per branch
+    "combine_scopes", "materialise_join", "stack_rounds", "round_com", "score_rounds_dense", "report_full",
+    "round_bc_from_tables", "round_by_branch",
 ]
 
 

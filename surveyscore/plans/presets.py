@@ -57,7 +57,8 @@ STATES = tuple(LETTERS)
 # States whose questions started at key 3 in round EP; all others start at key 5.
 EP_BASE_3 = ("ch", "dl", "hp", "hr", "pb")
 
-# State names as the raw calls carry them, matched without case.
+# State names as the raw calls carry them, matched without case. A branch that asks for
+# another pattern names it itself.
 STATE_NAMES = {
     "ap": "Andhr%", "asm": "Assa%", "br": "Bihar%", "cg": "Chhatt%", "ch": "Chandigarh%", "dl": "Delhi%",
     "ga": "Goa%", "gj": "Gujarat%", "hp": "Himachal%", "tn": "Tamil%", "hr": "Haryana%", "jh": "Jharkhand%",
@@ -177,7 +178,7 @@ def pp_registry(orderings: Mapping[str, Iterable[str]] | None = None) -> Registr
                {"campaign_like": pb, "end": "2024-05-21", "pc_in": (12,)},
                {"campaign_like": pb, "start": "2024-05-21", "pc_in": (7,), "spelling": spelling("pb", 3)},
                {"campaign_like": pb, "start": "2024-05-29", "pc_in": (6, 8)}],
-        "rj": [{"start": "2024-03-25", "book": "rj_pp", **second}],
+        "rj": [{"state_prefix": "Rajasth%", "start": "2024-03-25", "book": "rj_pp", **second}],
         "tg": [{"start": "2024-04-05"}],
         "tn": [{"campaign_like": ("TN-%",), "start": "2024-03-22", "end": "2024-04-01", "pc_in": (20,),
                 "ordering": "vendor", "vendors": {"NDABO": (2,), "ABDNO": (4,), "DBANO": (5,), "BADNO": (9,)},

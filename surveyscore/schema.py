@@ -66,20 +66,18 @@ REGION_SCHEMA = _struct("""
     PC_REGION string
 """)
 
-# Canonical response row: fixed names, fixed order.
+# Names and order of a canonical response row.
 CANONICAL_COLUMNS = [
     "DN", "Start_Time", "DTMF_REP", "state", "AC_ID", "AC_NO", "PC_ID", "PC_NO",
     "PART_NO", "GENDER", "AGE", "N_PARTY", "RES1", "RES2", "CASTE",
 ]
 
+# Names of the keys of a score row.
 ROW_KEYS = ["AC_ID", "PC_ID", "N_PARTY", "RES1"]
 SCORE_KEYS = ["AC_ID", "PC_ID", "AC_NO", "PC_NO", "state", "N_PARTY", "RES1"]
 
-# Columns that never leave the response stage: respondent details and working totals.
-WORKING_COLUMNS = [
-    "DN", "PART_NO", "Start_Time", "DTMF_REP", "RES2", "CASTE", "GENDER", "AGE",
-    "RES_ACWISE_TOTAL", "RES_PCWISE_TOTAL", "RES_SEQWISE_TOTAL", "RES_SEQWISE_TOTAL_PC",
-]
+# Columns that never leave the response stage: what a canonical row has beyond a score row.
+WORKING_COLUMNS = [c for c in CANONICAL_COLUMNS if c not in SCORE_KEYS]
 
 
 @dataclass(frozen=True)
@@ -128,6 +126,7 @@ class Scope:
         ]
 
 
+# Names of the scopes' output columns.
 SCOPES = {
     "ac": Scope("ac", ("AC_ID",), "RES_ACWISE", "AC_WISE_PERCENTAGE", "ACWISE"),
     "pc": Scope("pc", ("PC_ID",), "RES_PCWISE", "PC_WISE_PERCENTAGE", "PCWISE"),
