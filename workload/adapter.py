@@ -8,6 +8,7 @@ constituencies are missing from it and others occur several times.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyscore import Arm, Branch, Codebook, Recode, Registry, Spelling, StateRoundSpec
@@ -222,3 +223,40 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical responses of all rounds, tagged with ROUND."""
     reg = plain_registry()
     return build_rounds(raw_calls(spark, sf_dir), reg.select(reg.keys()), reg.books)
+
+
+# ---- the presets' own states ---------------------------------------------------------------
+
+# Survey state, its code in campaign names and its name, for each region of the tables.
+PRESET_STATES = {"R0": ("ap", "AP", "Andhra Pradesh"), "R1": ("od", "OD", "Odisha"), "R2": ("up", "UP", "UTTAR PRADESH"),
+                 "R3": ("pb", "PB", "Punjab"), "R4": ("dl", "DL", "Delhi")}
+# Orderings read out in each, in the place of the five orderings above.
+PRESET_ORDERINGS = {
+    "ap": ("TYIO", "YTIO", "BIO", "IBO", "TYO"),
+    "od": ("BDIO", "DBIO", "BDO", "DBO", "IBO"),
+    "up": ("BSO", "SBO", "BSMO", "SBMO", "XBO"),  # the last has a letter that the state does not know
+    "pb": ("ABIO", "BAIO", "AIO", "IAO", "DBAO"),
+    "dl": ("ABO", "BAO", "ABIO", "BIAO", "IBO"),
+}
+
+
+def preset_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls with real state codes, names and orderings, dated into the survey's weeks."""
+    def by_region(values) -> str:
+        arms = " ".join(f"WHEN '{r}' THEN {v}" for r, v in values)
+        return f"CASE left(Campaign_Name, 2) {arms} END"
+
+    def ordering(state: str) -> str:
+        arms = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in zip(ORDERINGS, PRESET_ORDERINGS[state]))
+        return f"CASE N_PARTY {arms} END"
+
+    code = by_region((r, f"'{c}'") for r, (_, c, _) in PRESET_STATES.items())
+    name = by_region((r, f"'{n}'") for r, (_, _, n) in PRESET_STATES.items())
+    seq = by_region((r, ordering(s)) for r, (s, _, _) in PRESET_STATES.items())
+    return raw_calls(spark, sf_dir).withColumns({
+        "state": F.expr(name), "N_PARTY": F.expr(seq),
+        "Start_Time": F.expr("CAST(date_add(DATE'2024-04-10', CAST(CALL_ID % 60 AS INT)) AS TIMESTAMP_NTZ)"),
+        "DTMF_REP": F.expr("CASE WHEN CALL_ID % 2 = 0 THEN translate(DTMF_REP, '12345', '34567')"
+                           " ELSE translate(DTMF_REP, '12345', '56789') END"),
+        "Campaign_Name": F.expr(f"concat({code}, substring(Campaign_Name, 3))"),
+    })

@@ -454,6 +454,90 @@ ORACLE["round_overlap"] = W + f"SELECT {_CANON}, 'EP' AS ROUND FROM (" + " UNION
     latest("Campaign_Name LIKE 'R_-EP%-PM'", "o_party", seq="PARTY"),
 ]) + ")"
 
+# ---- ready rounds: states, dates, keys and labels written out by hand --------------------------
+
+PRESET = """calls AS MATERIALIZED (
+  SELECT * REPLACE (
+    CASE substr(Campaign_Name, 1, 2) WHEN 'R0' THEN 'AP' WHEN 'R1' THEN 'OD' WHEN 'R2' THEN 'UP' WHEN 'R3' THEN 'PB' ELSE 'DL' END
+      || substr(Campaign_Name, 3) AS Campaign_Name,
+    CASE substr(Campaign_Name, 1, 2) WHEN 'R0' THEN 'Andhra Pradesh' WHEN 'R1' THEN 'Odisha' WHEN 'R2' THEN 'UTTAR PRADESH'
+      WHEN 'R3' THEN 'Punjab' ELSE 'Delhi' END AS state,
+    CASE substr(Campaign_Name, 1, 2) || N_PARTY
+      WHEN 'R0ABCDO' THEN 'TYIO' WHEN 'R0BCDAO' THEN 'YTIO' WHEN 'R0CDABO' THEN 'BIO' WHEN 'R0DABCO' THEN 'IBO' WHEN 'R0BAO' THEN 'TYO'
+      WHEN 'R1ABCDO' THEN 'BDIO' WHEN 'R1BCDAO' THEN 'DBIO' WHEN 'R1CDABO' THEN 'BDO' WHEN 'R1DABCO' THEN 'DBO' WHEN 'R1BAO' THEN 'IBO'
+      WHEN 'R2ABCDO' THEN 'BSO' WHEN 'R2BCDAO' THEN 'SBO' WHEN 'R2CDABO' THEN 'BSMO' WHEN 'R2DABCO' THEN 'SBMO' WHEN 'R2BAO' THEN 'XBO'
+      WHEN 'R3ABCDO' THEN 'ABIO' WHEN 'R3BCDAO' THEN 'BAIO' WHEN 'R3CDABO' THEN 'AIO' WHEN 'R3DABCO' THEN 'IAO' WHEN 'R3BAO' THEN 'DBAO'
+      WHEN 'R4ABCDO' THEN 'ABO' WHEN 'R4BCDAO' THEN 'BAO' WHEN 'R4CDABO' THEN 'ABIO' WHEN 'R4DABCO' THEN 'BIAO' WHEN 'R4BAO' THEN 'IBO' END AS N_PARTY,
+    CAST(DATE '2024-04-10' + CAST(CALL_ID % 60 AS INTEGER) AS TIMESTAMP) AS Start_Time,
+    CASE WHEN CALL_ID % 2 = 0 THEN translate(DTMF_REP, '12345', '34567') ELSE translate(DTMF_REP, '12345', '56789') END AS DTMF_REP)
+  FROM raw)"""
+_AP = "TYIO: 5 TDP+, 6 YSRCP, 7 INC, 8 OTHERS; YTIO: 5 YSRCP, 6 TDP+, 7 INC, 8 OTHERS; BIO: 5 BJP, 6 INC, 8 OTHERS; " \
+      "IBO: 5 INC, 6 BJP, 8 OTHERS; TYO: 5 TDP+, 6 YSRCP, 8 OTHERS"
+_OD5 = "BDIO: 5 BJP, 6 BJD, 7 INC, 8 OTHERS; DBIO: 5 BJD, 6 BJP, 7 INC, 8 OTHERS; BDO: 5 BJP, 6 BJD, 8 OTHERS; " \
+       "DBO: 5 BJD, 6 BJP, 8 OTHERS; IBO: 5 INC, 6 BJP, 8 OTHERS"
+_OD3 = "BDIO: 3 BJP, 4 BJD, 5 INC, 6 OTHERS; DBIO: 3 BJD, 4 BJP, 5 INC, 6 OTHERS; BDO: 3 BJP, 4 BJD, 6 OTHERS; " \
+       "DBO: 3 BJD, 4 BJP, 6 OTHERS; IBO: 3 INC, 4 BJP, 6 OTHERS"
+_OD_SECOND = "BDIO: 5 BJP, 6 BJD, 7 INC, 8 OTHERS; DBIO: 5 BJD, 6 BJP, 7 INC, 8 OTHERS"
+_UP = "BSO: 5 BJP, 6 SP, 8 OTHERS; SBO: 5 SP, 6 BJP, 8 OTHERS; BSMO: 5 BJP, 6 SP, 7 BSP, 8 OTHERS; " \
+      "SBMO: 5 SP, 6 BJP, 7 BSP, 8 OTHERS; XBO: 6 BJP, 8 OTHERS"
+_PB5 = "ABIO: 5 AAP, 6 BJP, 7 INC, 8 OTHERS; BAIO: 5 BJP, 6 AAP, 7 INC, 8 OTHERS; AIO: 5 AAP, 6 INC, 8 OTHERS; " \
+       "IAO: 5 INC, 6 AAP, 8 OTHERS; DBAO: 5 SAD(A), 6 BJP, 7 AAP, 8 OTHERS"
+_PB3 = "ABIO: 3 AAP, 4 BJP, 5 INC, 6 OTHERS; BAIO: 3 BJP, 4 AAP, 5 INC, 6 OTHERS; AIO: 3 AAP, 4 INC, 6 OTHERS; " \
+       "IAO: 3 INC, 4 AAP, 6 OTHERS; DBAO: 3 SAD(A), 4 BJP, 5 AAP, 6 OTHERS"
+_DL5 = "ABO: 5 AAP, 6 BJP, 8 OTHERS; BAO: 5 BJP, 6 AAP, 8 OTHERS; ABIO: 5 AAP, 6 BJP, 7 INC, 8 OTHERS; " \
+       "BIAO: 5 BJP, 6 INC, 7 AAP, 8 OTHERS; IBO: 5 INC, 6 BJP, 8 OTHERS"
+_DL3 = "ABO: 3 AAP, 4 BJP, 6 OTHERS; BAO: 3 BJP, 4 AAP, 6 OTHERS; ABIO: 3 AAP, 4 BJP, 5 INC, 6 OTHERS; " \
+       "BIAO: 3 BJP, 4 INC, 5 AAP, 6 OTHERS; IBO: 3 INC, 4 BJP, 6 OTHERS"
+
+
+def keys(text: str, position: int = 1) -> list[Arm]:
+    return [Arm(position, code.strip(), *key.split()) for part in text.split(";")
+            for code, listed in [part.split(":")] for key in listed.split(",")]
+
+
+def ready(where: str, branch: str, labels: str, second: str = "") -> str:
+    ids = f"{CODE} || '-AC-' || AC_NO AS AC_ID, {CODE} || '-' || PC_NO AS PC_ID"
+    later = case_later(keys(second, 2)) if second else "''"
+    return f"""SELECT * EXCLUDE (rn), '{branch}' AS branch FROM (SELECT *, {ids}, {case_first(keys(labels))} AS RES1,
+      {later} AS RES2, {_LATEST.format('DN')} FROM calls WHERE {where}) WHERE rn = 1 AND RES1 IS NOT NULL"""
+
+
+def days(start=None, end=None) -> str:
+    return " AND ".join([f"Start_Time >= TIMESTAMP '{start}'"] * bool(start) + [f"Start_Time < TIMESTAMP '{end}'"] * bool(end))
+
+
+def once(*parts: str) -> str:
+    return f"SELECT {_DAY} FROM ({again(' UNION ALL '.join(parts)) if len(parts) > 1 else parts[0]})"
+
+
+_EP = "Campaign_Name LIKE '{}-EP%'"
+ORACLE["preset_ep"] = with_(RAW, PRESET) + "\nUNION ALL\n".join([
+    once(ready(_EP.format("AP"), "ep_ap_0", _AP)),
+    once(ready(_EP.format("DL"), "ep_dl_0", _DL3)),
+    once(ready(f"{_EP.format('OD')} AND {days('2024-04-19', '2024-06-01')}", "ep_od_0", _OD5),
+         ready(f"{_EP.format('OD')} AND {days('2024-06-01')}", "ep_od_1", _OD3)),
+    once(ready(f"{_EP.format('PB')} AND {days('2024-04-19')} AND PC_NO <> 12", "ep_pb_0", _PB3),
+         ready(f"{_EP.format('PB')} AND {days('2024-04-19')} AND PC_NO = 12", "ep_pb_1", _PB3)),
+    once(ready(f"{_EP.format('UP')} AND {days('2024-04-19')}", "ep_up_0", _UP),
+         ready(f"{_EP.format('UP')} AND {days('2024-05-20')}", "ep_up_1", _UP)),
+])
+_PB_CALLS = "(Campaign_Name LIKE 'PB-PP%' OR Campaign_Name LIKE 'PB-AC%')"
+_UP_WHERE = f"Campaign_Name LIKE 'UP-PP-%' AND state ILIKE 'uttar%' AND {days('2024-04-05')}"
+ORACLE["preset_pp"] = with_(RAW, PRESET) + "\nUNION ALL\n".join([
+    once(ready("Campaign_Name LIKE 'AP-PP%'", "pp_ap_0", _AP)),
+    once(ready(f"Campaign_Name LIKE 'DL-PP%' AND {days(end='2024-05-23')}", "pp_dl_0", _DL5),
+         ready(f"Campaign_Name LIKE 'DL-PP%' AND {days('2024-05-23')}", "pp_dl_1", _DL3)),
+    once(ready("Campaign_Name LIKE 'OD-PP%' AND PC_NO = 17", "pp_od_0", _OD5, _OD_SECOND),
+         ready("Campaign_Name LIKE 'OD-PP%' AND PC_NO <> 17", "pp_od_1", _OD5)),
+    once(ready(f"{_PB_CALLS} AND {days(end='2024-05-21')} AND PC_NO <> 12", "pp_pb_0", _PB5),
+         ready(f"{_PB_CALLS} AND {days(end='2024-05-21')} AND PC_NO = 12", "pp_pb_1", _PB5),
+         ready(f"{_PB_CALLS} AND {days('2024-05-21')} AND PC_NO = 7", "pp_pb_2", _PB3),
+         ready(f"{_PB_CALLS} AND {days('2024-05-29')} AND PC_NO IN (6, 8)", "pp_pb_3", _PB5)),
+    f"""SELECT {_CANON} FROM (SELECT *, STATE_CODE || '-AC-' || AC_NO AS AC_ID, STATE_CODE || '-' || PC_NO AS PC_ID,
+      {case_first(keys(_UP))} AS RES1, '' AS RES2 FROM ({colmax(_UP_WHERE).replace('FROM raw', 'FROM calls')}))
+      WHERE RES1 IS NOT NULL AND PC_NO NOT IN (37, 79, 80)""",
+])
+
 _WITH_REGION = "SELECT s.*, REGION FROM {} s LEFT JOIN region_ac g ON s.AC_ID = g.AC_ID"
 ORACLE["round_com"] = scored(ALL, "SELECT *, 'COM' AS ROUND FROM (" + _WITH_REGION.format("scored") + ")", extra=REGIONS)
 ORACLE["all_rounds_long"] = scored(ALL, _WITH_REGION.format("scored"), "pool", ("ROUND",), (POOL, *REGIONS))

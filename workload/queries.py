@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from surveyscore import schema as S
 from surveyscore.functions import scalars as fn
 from surveyscore.operators import combine, decode, dedup, enrich, filters, scoring
-from surveyscore.plans import report
+from surveyscore.plans import presets, report
 from surveyscore.plans.rounds import build_by_branch, build_round, build_rounds
 from surveyscore.plans.run import com_of, run, score_responses
 from surveyscore.plans.spec import Branch, StateRoundSpec
@@ -478,6 +478,23 @@ def round_unpadded_dates(spark, sf):
     return build_rounds(A.raw_calls(spark, sf), [StateRoundSpec("ALL", "EP", branches)], book)
 
 
+def _preset(spark, sf, make, name):
+    """A ready round of five states, closed to the orderings that were read out."""
+    reg = make(A.PRESET_ORDERINGS)
+    specs = reg.rounds([s for s, _, _ in A.PRESET_STATES.values()], [name])
+    return build_round(A.preset_calls(spark, sf), specs, reg.books)
+
+
+@query
+def preset_ep(spark, sf):
+    return _preset(spark, sf, presets.ep_registry, "EP")
+
+
+@query
+def preset_pp(spark, sf):
+    return _preset(spark, sf, presets.pp_registry, "PP")
+
+
 @query
 def round_by_branch(spark, sf):
     reg = A.registry()
