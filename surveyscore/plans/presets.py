@@ -1,9 +1,10 @@
 """Ready specs of the survey rounds, built from a small table of option letters by rule.
 
 EP and PP rounds follow the campaign name and the spelling of the ordering codes, so a state
-needs its letters and, where a question changed, the date or constituency of the change. A
-spelled book is open: it decodes every code that can be written with the state's letters. Pass
-``orderings`` to close it to the codes that were really read out.
+needs its letters and, where a question changed, the date or constituency of the change. Books are
+closed: ``orderings`` lists the codes that were really read out, by state or branch, and a state
+that it leaves out is not in the registry. ``open_codes`` asks for open books, which decode every
+code that can be written with a state's letters.
 
 BC rounds depend on a calling schedule (which vendor read which ordering in which
 constituencies). It is a parameter: ``bc_registry(schedule)``.
@@ -76,7 +77,10 @@ def spelling(state: str, base: int = 5, **letters: str) -> Spelling:
 
 
 def books() -> Codebook:
-    """Arms of the codes that do not follow their state's spelling."""
+    """Arms of the codes that do not follow their state's spelling.
+
+    Fixed values: the codes, and the keys that their letters stand on, one key per letter.
+    """
     book = Codebook()
     jh = spelling("jh", A="AJSU")
     book.add("jh", jh.arms(["JANO", "AJNO"]))
@@ -110,12 +114,16 @@ def books() -> Codebook:
     return book
 
 
-def _closed(registry: Registry, orderings: Mapping[str, Iterable[str]] | None) -> Registry:
-    """Replace open spelled books by arms of the listed codes, ``{branch id or state: codes}``."""
-    if not orderings:
-        return registry
+def _closed(registry: Registry, orderings: Mapping[str, Iterable[str]] | None, open_codes: bool) -> Registry:
+    """Replace spelled books by arms of the listed codes, ``{branch id or state: codes}``."""
+    if orderings is None and not open_codes:
+        raise ValueError("list the orderings that were read out, or ask for open_codes=True")
+    orderings = orderings or {}
     out = Registry(books=registry.books)
     for s in registry.select(registry.keys()):
+        unlisted = [b for b in s.branches if b.spelling is not None and b.branch_id not in orderings and s.state not in orderings]
+        if unlisted and not open_codes:
+            continue
         branches = []
         for b in s.branches:
             codes = orderings.get(b.branch_id, orderings.get(s.state))
@@ -131,7 +139,7 @@ def _closed(registry: Registry, orderings: Mapping[str, Iterable[str]] | None) -
     return out
 
 
-def ep_registry(orderings: Mapping[str, Iterable[str]] | None = None) -> Registry:
+def ep_registry(orderings: Mapping[str, Iterable[str]] | None = None, open_codes: bool = False) -> Registry:
     """Round EP: latest call per number; where a question changed, again across the parts."""
     reg = Registry(books=books())
     # Parts of a state's round, by date or constituency.
@@ -153,10 +161,10 @@ def ep_registry(orderings: Mapping[str, Iterable[str]] | None = None) -> Registr
             for i, part in enumerate(parts.get(state, [{}]))
         )
         reg.add(StateRoundSpec(state, "EP", branches, dedup_after_union=len(branches) > 1, date_only=True))
-    return _closed(reg, orderings)
+    return _closed(reg, orderings, open_codes)
 
 
-def pp_registry(orderings: Mapping[str, Iterable[str]] | None = None) -> Registry:
+def pp_registry(orderings: Mapping[str, Iterable[str]] | None = None, open_codes: bool = False) -> Registry:
     """Round PP: latest call in most states, column-wise maximum per number in seven."""
     reg = Registry(books=books())
     pb = ("PB-PP%", "PB-AC%")
@@ -202,7 +210,7 @@ def pp_registry(orderings: Mapping[str, Iterable[str]] | None = None) -> Registr
         )
         union = len(branches) > 1 and not by_max
         reg.add(StateRoundSpec(state, "PP", branches, dedup_after_union=union, date_only=not by_max))
-    return _closed(reg, orderings)
+    return _closed(reg, orderings, open_codes)
 
 
 def bc_registry(schedule: Iterable[Mapping], second: Codebook | None = None) -> Registry:

@@ -22,7 +22,7 @@ def labels(spark, reg, key, pairs, **fixed):
 
 
 def test_every_state_has_both_rounds():
-    ep, pp = presets.ep_registry(), presets.pp_registry()
+    ep, pp = presets.ep_registry(open_codes=True), presets.pp_registry(open_codes=True)
     assert len(ep.keys()) == len(pp.keys()) == 23
     assert ep.keys() == [f"ep_{s}" for s in presets.STATES]
     assert sum(len(s.branches) for s in ep.select(ep.keys())) == 28
@@ -32,7 +32,7 @@ def test_every_state_has_both_rounds():
 
 
 def test_ep_labels(spark):
-    ep = presets.ep_registry()
+    ep = presets.ep_registry(open_codes=True)
     got = labels(spark, ep, "ep_ap", [("TYIO", "5"), ("YBMO", "7,1"), ("YTCO", "8"), ("TYIO", "9"), ("TYIO", "55")])
     assert got == ["TDP+", "CPIM", "OTHERS", None, None]
     got = labels(spark, ep, "ep_ch", [("IBO", "3"), ("IBO", "6"), ("IBO", "5")], Campaign_Name="CH-EP-1")
@@ -46,7 +46,7 @@ def test_ep_labels(spark):
 def test_key_layout_changes_with_the_date(spark):
     import datetime
 
-    ep = presets.ep_registry()
+    ep = presets.ep_registry(open_codes=True)
     may, june = datetime.datetime(2024, 5, 1), datetime.datetime(2024, 6, 2)
     got = decoded(spark, ep, "ep_wb", [
         {"DN": "1", "N_PARTY": "ABRO", "DTMF_REP": "8", "Start_Time": may},
@@ -67,7 +67,7 @@ def test_key_layout_changes_with_the_date(spark):
 def test_pp_labels(spark):
     import datetime
 
-    pp = presets.pp_registry()
+    pp = presets.pp_registry(open_codes=True)
     april = datetime.datetime(2024, 4, 20)
     got = decoded(spark, pp, "pp_pb", [
         {"DN": "1", "N_PARTY": "ABISMO", "DTMF_REP": "0"}, {"DN": "2", "N_PARTY": "ABISMO", "DTMF_REP": "9"},
@@ -90,7 +90,7 @@ def test_pp_labels(spark):
 def test_listed_numbers_are_excluded(spark):
     import datetime
 
-    pp = presets.pp_registry()
+    pp = presets.pp_registry(open_codes=True)
     march, april = datetime.datetime(2024, 3, 25), datetime.datetime(2024, 4, 20)
     got = build_round(calls(spark, [
         {"DN": "1", "VENDOR_ID": 2, "DTMF_REP": "5", "Start_Time": march},
@@ -101,7 +101,7 @@ def test_listed_numbers_are_excluded(spark):
 
 
 def test_closed_orderings(spark):
-    open_, closed = presets.ep_registry(), presets.ep_registry({"ap": ["TYIO"], "jh": ["JANO", "BIO"]})
+    open_, closed = presets.ep_registry(open_codes=True), presets.ep_registry({"ap": ["TYIO"], "jh": ["JANO", "BIO"]}, open_codes=True)
     pairs = [("TYIO", "5"), ("TBIO", "5")]
     assert labels(spark, open_, "ep_ap", pairs) == ["TDP+", "TDP+"]
     assert labels(spark, closed, "ep_ap", pairs) == ["TDP+", None]
@@ -138,7 +138,7 @@ def test_stored_schedule(spark):
 def test_all_states_compile_to_few_scans(spark, tmp_path):
     calls(spark, [one_call("TYIO", "5", 0)]).write.parquet(str(tmp_path / "raw"))
     raw = spark.read.parquet(str(tmp_path / "raw"))
-    reg = presets.merge(presets.ep_registry(), presets.pp_registry())
+    reg = presets.merge(presets.ep_registry(open_codes=True), presets.pp_registry(open_codes=True))
     plan = build_rounds(raw, reg.select(reg.keys()), reg.books)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2  # latest call, column-wise maximum
     scored = run(raw, reg, presets.STATES, ["EP", "PP"])
@@ -151,4 +151,13 @@ def test_all_states_compile_to_few_scans(spark, tmp_path):
 
 def test_unknown_state_is_refused():
     with pytest.raises(KeyError):
-        presets.ep_registry().rounds(["zz"], ["EP"])
+        presets.ep_registry(open_codes=True).rounds(["zz"], ["EP"])
+
+
+def test_books_are_closed_unless_asked_for():
+    with pytest.raises(ValueError):
+        presets.ep_registry()
+    closed = presets.pp_registry({"ap": ["TYIO"], "pp_dl_0": ["ABO"], "pp_dl_1": ["BAO"], "pp_pb_0": ["ABIO"]})
+    # West Bengal's books hold listed arms only; Punjab's other branches have no list
+    assert sorted(closed.keys()) == ["pp_ap", "pp_dl", "pp_wb"]
+    assert all(b.spelling is None for s in closed.select(closed.keys()) for b in s.branches)
