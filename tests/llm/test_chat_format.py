@@ -40,7 +40,8 @@ def test_windows_read_back_to_the_turns(spark):
         assert list(back[c].loss_texts) == [t for r, t in turns if r == "assistant"]
     for w in windows.collect():
         turns = w.text.count("</s>")
-        assert w.n_tokens <= 100 or turns - w.n_repeated == 1
+        opening = w.window == 1 and w.conv_id % 3 == 0 and turns > 1
+        assert w.n_tokens <= 100 or turns - w.n_repeated - opening == 1
         if w.conv_id % 3 == 0 and w.window > 1:
             assert w.text.startswith("<s>system\n") and w.n_repeated >= 1
         for s in w.loss:
