@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from surveyscore.llm.batches import once_per_worker, pieces, text_list
 
 LONGEST = 48  # characters of a match that is kept in a worker's cache
-CACHED = 200_000  # entries of a worker's cache; a full cache starts anew
+CACHED = 60_000  # entries of a worker's cache; a full cache starts anew
 
 
 def read_ranks(path: str) -> list[bytes]:

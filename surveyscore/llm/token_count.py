@@ -26,7 +26,7 @@ from surveyscore.llm.batches import map_texts, once_per_worker, pieces, text_lis
 
 FREQUENT = 65_536  # entries of the broadcast table
 LONGEST = 64  # characters of a pre-token that is kept in the table or a cache
-CACHED = 200_000  # entries of a worker's cache; a full cache starts anew
+CACHED = 120_000  # entries of a worker's cache; a full cache starts anew
 # Blanks at which every pre-token ends. Other white space stays inside and is left to the library.
 BLANKS = re.compile(r"[ \t\n\r]+")
 # The split pattern for which PRETOKENS stands, and the classes of Latin-1 characters.

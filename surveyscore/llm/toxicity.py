@@ -29,7 +29,8 @@ STEPS = 128  # of a learner in a round: one pass over its share of a full sample
 RATE = 0.2
 DECAY = 1e-3
 START = -6.5  # log odds of a sentence without known words, before training
-CACHED = 300_000  # words of a worker's cache
+CACHED = 100_000  # words of a worker's cache; a full cache starts anew
+TRAINING_CACHED = 30_000  # likewise while training, where a word holds its features
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -62,6 +63,8 @@ def training_arrays(texts: list[str], cache: dict[str, list[int]]):
             sentence_at.append(len(ids))
             for w in sorted(words):
                 if w not in cache:
+                    if len(cache) >= TRAINING_CACHED:
+                        cache.clear()
                     cache[w] = features(w)
                 ids += cache[w]
             if not words:
