@@ -28,4 +28,6 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0
-    assert set(e.queries()) == set(e.oracle_sql())
+    assert set(QUERIES) <= set(e.oracle_sql()) <= set(e.queries())
+    own = {k for k in e.queries() if k != "pipeline" and not k.startswith("op")}
+    assert own == set(QUERIES)
