@@ -13,15 +13,16 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
-    """Whole rows as one column beside their text, so that operators carry them along."""
-    return docs.select(F.struct("*").alias("row"), F.col("text").alias("row_text"))
+    """A row's other columns as one column beside its text, so that operators carry them along."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels outside its held-out fold, does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     weights = toxicity.train(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
-    return toxicity.score(with_rows(docs), weights, "row", "row_text").where("predicted = 0").select("row.*")
+    found = toxicity.score(with_rows(docs), weights, "row", keep_text=True)
+    return found.where("predicted = 0").select("row.*", "text").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +42,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_contamination(with_rows(docs), benchmark, "row", "row_text")
-    return found.where("n_hit = 0").select("row.*")
+    found = decontaminate.find_contamination(with_rows(docs), benchmark, "row", keep_text=True)
+    return found.where("n_hit = 0").select("row.*", "text").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

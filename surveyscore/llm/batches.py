@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +27,23 @@ def once_per_worker(key: str, make: Callable):
     return _made[key]
 
 
+def released(run: Callable) -> Callable:
+    """A batch function that hands memory back when its task ends: workers live on, idle or reused."""
+
+    @wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def pieces(batch: pa.RecordBatch, rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
@@ -35,15 +55,16 @@ def text_list(column: pa.Array) -> list[str]:
 
 
 def map_texts(docs: DataFrame, id_col: str, text_col: str, columns: str,
-              prepare: Callable[[], Callable[[list[str]], list]]) -> DataFrame:
+              prepare: Callable[[], Callable[[list[str]], list]], keep_text: bool = False) -> DataFrame:
     """One row per input row: the id, then ``columns`` (DDL) computed from the text.
 
     ``prepare`` runs once per task and returns a function from a list of texts to one list or
-    array per column.
+    array per column. ``keep_text`` puts the text after the id.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     own = T.StructType.fromDDL(columns)
-    schema = T.StructType([T.StructField(id_col, source.schema["id"].dataType), *own.fields])
+    kept = [T.StructField("text", T.StringType())] if keep_text else []
+    schema = T.StructType([T.StructField(id_col, source.schema["id"].dataType), *kept, *own.fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
@@ -51,8 +72,8 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, columns: str,
         for batch in batches:
             for piece in pieces(batch):
                 out = work(text_list(piece.column(1)))
-                arrays = [piece.column(0).cast(arrow.field(0).type)]
-                arrays += [pa.array(v, type=f.type) for v, f in zip(out, list(arrow)[1:])]
+                arrays = [c.cast(f.type) for c, f in zip(piece.columns[:1 + keep_text], arrow)]
+                arrays += [pa.array(v, type=f.type) for v, f in zip(out, list(arrow)[1 + keep_text:])]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import once_per_worker, pieces, text_list
+from surveyscore.llm.batches import once_per_worker, pieces, released, text_list
 
 LONGEST = 48  # characters of a match that is kept in a worker's cache
 CACHED = 60_000  # entries of a worker's cache; a full cache starts anew
@@ -135,7 +135,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -171,7 +171,7 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0).cast(arrow.field(0).type), pa.array(texts, pa.binary())], schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def written(tokens: list[bytes]) -> list[str]:

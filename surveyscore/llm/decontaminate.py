@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import once_per_worker, pieces
+from surveyscore.llm.batches import once_per_worker, pieces, released
 from surveyscore.llm.store import store
 
 WINDOW = 10
@@ -95,12 +95,12 @@ def runs(hit: np.ndarray) -> list[tuple[int, int]]:
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text", size: int = WINDOW,
-                       max_windows: int = MAX_WINDOWS) -> DataFrame:
+                       max_windows: int = MAX_WINDOWS, keep_text: bool = False) -> DataFrame:
     """Words of documents that lie inside benchmark windows of ``size`` consecutive words.
 
     An item of fewer words, but not none, is one window. Returns one row per input row: the id,
     n_words, n_hit, items (sorted texts of the item ids whose windows occur), spans (runs of hit
-    words as start and end in code points of the original text). Null and empty texts have no
+    words as start and end in code points of the original text); ``keep_text`` adds the text. Null and empty texts have no
     words; an item without an id marks words and is not listed; repeated items and rows are
     harmless; without benchmark words nothing is hit.
 
@@ -113,7 +113,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                         F.expr("cast(array() as array<string>)").alias("items"))
     for part, rows in enumerate(parts):
         state = scan_part(state if part == 0 else store(state, "contamination"), rows, part == len(parts) - 1)
-    return state.select(F.col("id").alias(id_col), "n_words",
+    return state.select(F.col("id").alias(id_col), *(["text"] if keep_text else []), "n_words",
                         F.expr("aggregate(hits, 0L, (n, h) -> n + h.past - h.first)").alias("n_hit"),
                         F.array_sort(F.array_distinct("items")).alias("items"), "spans")
 
@@ -143,7 +143,7 @@ def scan_part(state: DataFrame, part: WindowPart, last: bool) -> DataFrame:
     keep = [state.schema["id"]]
     if last:
         schema = T.StructType([*keep, *T.StructType.fromDDL(
-            f"n_words long, hits {span}, items array<string>, spans array<struct<start:int,end:int>>").fields])
+            f"text string, n_words long, hits {span}, items array<string>, spans array<struct<start:int,end:int>>").fields])
     else:
         schema = T.StructType([*keep, *T.StructType.fromDDL(f"text string, hits {span}, items array<string>").fields])
     arrow = to_arrow_schema(schema)
@@ -153,9 +153,9 @@ def scan_part(state: DataFrame, part: WindowPart, last: bool) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch):
                 rows = [one(automaton, *r) for r in zip(*(piece.column(k).to_pylist() for k in (1, 2, 3)))]
-                columns = list(zip(*rows))
+                columns = [piece.column(1), *zip(*rows)]
                 if not last:
-                    columns = [piece.column(1), columns[1], columns[2]]
+                    columns = [columns[0], columns[2], columns[3]]
                 arrays = [piece.column(0).cast(arrow.field(0).type)]
                 arrays += [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                            for c, f in zip(columns, list(arrow)[1:])]
@@ -176,4 +176,4 @@ def scan_part(state: DataFrame, part: WindowPart, last: bool) -> DataFrame:
         where = [{"start": int(at[a, 0]), "end": int(at[b - 1, 1])} for a, b in spans] if last else []
         return n, [{"first": a, "past": b} for a, b in spans], [*items, *named], where
 
-    return state.mapInArrow(run, schema)
+    return state.mapInArrow(released(run), schema)

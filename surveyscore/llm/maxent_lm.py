@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import once_per_worker, pieces, text_list
+from surveyscore.llm.batches import once_per_worker, pieces, released, text_list
 from surveyscore.llm.mixing import Tables, mix
 from surveyscore.llm.store import store
 
@@ -81,7 +81,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.binary()),
                                            "n": pa.array(list(counts.values()), pa.int64())})
 
-    return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(released(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Vocabulary:
@@ -173,7 +173,7 @@ def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         listed = [{"word": w, "n": n, "ending": ends[w]} for w, n in rest.items()] if rest else []
         return len(tokens), ids.tobytes(), float(base[at].sum()), len(at), float(within[at].sum()), listed
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def feature_rows(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -345,4 +345,4 @@ def scored(encoded: DataFrame, weights: Tables) -> DataFrame:
                 columns = [c.cast(f.type) for c, f in zip(piece.columns[:7], arrow)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(log10_probability(shared.value, texts))], schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import pieces, text_list
+from surveyscore.llm.batches import pieces, released, text_list
 from surveyscore.llm.components import connected_components, least_reached, name_rows
 from surveyscore.llm.grouped import by_group, sorted_groups
 from surveyscore.llm.store import store
@@ -108,7 +108,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str, size: int, count: int) ->
                 arrays = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(arrow)[1:])]
                 yield pa.RecordBatch.from_arrays([piece.column(0).cast(arrow.field(0).type), *arrays], schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def sequence_hash(words: list[bytes]) -> tuple[int, int]:
@@ -132,7 +132,7 @@ def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
                     "cid": cids, "band": np.tile(np.arange(bands, dtype=np.int32), len(sigs)),
                     "key": keys.ravel().view(np.int64)})
 
-    return classes.select("cid", "sig").mapInArrow(run, "cid long, band int, key long")
+    return classes.select("cid", "sig").mapInArrow(released(run), "cid long, band int, key long")
 
 
 def crowded(bucketed: DataFrame) -> DataFrame:
@@ -279,7 +279,7 @@ def families(shared: DataFrame, classes: DataFrame, found: DataFrame, least: int
                 moved = label != np.arange(len(cids))
                 yield pa.RecordBatch.from_pydict({"a": cids[moved], "b": cids[label[moved]]})
 
-    return cells.mapInArrow(search, "a long, b long")
+    return cells.mapInArrow(released(search), "a long, b long")
 
 
 def family_links(joined: DataFrame, found: DataFrame, texts: Texts, percent: int, size: int, count: int) -> DataFrame:
@@ -310,7 +310,7 @@ def family_links(joined: DataFrame, found: DataFrame, texts: Texts, percent: int
             if links:
                 yield pa.RecordBatch.from_pydict(dict(zip("ab", np.array(links).T)))
 
-    return store(cells.mapInArrow(search, "a long, b long"), "family-links")
+    return store(cells.mapInArrow(released(search), "a long, b long"), "family-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,

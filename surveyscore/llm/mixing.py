@@ -15,6 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from surveyscore.llm.batches import released
+from surveyscore.llm.store import store
+
 Tables = dict[str, np.ndarray]
 
 
@@ -44,7 +47,8 @@ def mix(frame: DataFrame, weights: Tables,
         if found is not None:
             yield pa.RecordBatch.from_pydict({"moves": pa.array([pack(*found)], pa.binary())})
 
-    moves = frame.mapInArrow(run, "moves binary").rdd.map(lambda r: [pickle.loads(r[0])])
+    # Stored first, so that a task never needs two Python workers at once.
+    moves = store(frame.mapInArrow(released(run), "moves binary"), "moves").rdd.map(lambda r: [pickle.loads(r[0])])
     both = moves.treeReduce(lambda a, b: [merge(a[0], b[0])] if a and b else a or b, depth=3) if (
         moves.getNumPartitions() and not moves.isEmpty()) else []
     shared.destroy()

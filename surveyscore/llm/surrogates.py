@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import once_per_worker, pieces, text_list
+from surveyscore.llm.batches import once_per_worker, pieces, released, text_list
 from surveyscore.llm.store import store
 
 MANY = 32  # draws after which a surrogate may leave its format, for formats with little room
@@ -191,7 +191,7 @@ def find_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [piece.column(0).take(at).cast(arrow.field(0).type), pa.array([k for k, _ in pairs], pa.string()),
                      pa.array([n for _, n in pairs], pa.string())], schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def draws(found: DataFrame, key: bytes) -> DataFrame:
@@ -271,4 +271,4 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
             at = b
         return "".join([*parts, text[at:]]), spans
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)

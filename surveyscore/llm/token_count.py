@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyscore.llm.batches import map_texts, once_per_worker, pieces, text_list
+from surveyscore.llm.batches import map_texts, once_per_worker, pieces, released, text_list
 
 FREQUENT = 65_536  # entries of the broadcast table
 LONGEST = 64  # characters of a pre-token that is kept in the table or a cache
@@ -114,7 +114,7 @@ def frequent_pretokens(docs: DataFrame, text_col: str, spec: str, size: int = FR
     def merge(a: Counter, b: Counter) -> Counter:
         return keep_heavy(a + b, size)
 
-    summaries = docs.select(F.col(text_col).cast("string")).mapInArrow(summarise, "summary binary")
+    summaries = docs.select(F.col(text_col).cast("string")).mapInArrow(released(summarise), "summary binary")
     merged = summaries.rdd.map(lambda r: pickle.loads(r[0]))
     return sorted(merged.treeReduce(merge, depth=3)) if merged.getNumPartitions() else []
 

@@ -150,12 +150,12 @@ def noisy_or(logits: np.ndarray) -> float:
 
 
 def score(docs: DataFrame, weights: Tables, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = 0.5) -> DataFrame:
+          threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
     """Toxicity of every whole text.
 
     Returns one row per input row: the id, score (0 to 1), predicted (1 if score >= 0.5) and
     offending, the sentences whose own probability reaches ``threshold``: start and end in code
-    points, and the probability. A null or empty text, or one without words, counts as one
+    points, and the probability. ``keep_text`` adds the text. A null or empty text, or one without words, counts as one
     sentence without words. Null ids, repeated rows and an empty table pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
@@ -178,7 +178,7 @@ def score(docs: DataFrame, weights: Tables, id_col: str = "doc_id", text_col: st
         return work
 
     return map_texts(docs, id_col, text_col,
-                     "score double, predicted int, offending array<struct<start:int,end:int,probability:double>>", prepare)
+                     "score double, predicted int, offending array<struct<start:int,end:int,probability:double>>", prepare, keep_text)
 
 
 def held_out(id_col: Column, folds: int = 5) -> Column:
