@@ -54,11 +54,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with digests of the ids and of the bytes that they decode to."""
-    ids = byte_bpe.encode(docs.withColumn("key", F.struct("doc_id", "lang", "source")), RANKS,
-                          public_tokenizers.PATTERN, id_col="key", offsets=False)
-    back = byte_bpe.decode(ids.select(F.struct("key", "ids").alias("row"), "ids"), RANKS, "row")
-    return back.select("row.key.*", F.size("row.ids").cast("long").alias("n_tokens"), "row.ids",
-                       F.sha2(F.array_join(F.col("row.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+    both = byte_bpe.encode(docs.select(F.struct("doc_id", "lang", "source").alias("key"), "text"), RANKS,
+                           public_tokenizers.PATTERN, id_col="key", offsets=False, decoded=True)
+    return both.select("key.*", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -69,6 +69,14 @@ class Encoder:
         self.library, self.split = build_encoder(tokens), regex.compile(pattern).findall
         self.sizes = np.array([len(t) for t in tokens], dtype=np.int32)
         self.cache: dict[str, bytes] = {}
+        self.table: list[bytes] = []
+
+    def back(self) -> list[bytes]:
+        """Bytes by token id, read from the library's own vocabulary."""
+        if not self.table:
+            vocabulary = self.library.get_vocab()
+            self.table = byte_table(sorted(vocabulary, key=vocabulary.get))
+        return self.table
 
     def learn(self, new) -> dict[str, bytes]:
         new = list(new)
@@ -103,11 +111,12 @@ class Encoder:
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           offsets: bool = True) -> DataFrame:
+           offsets: bool = True, decoded: bool = False) -> DataFrame:
     """Token ids of every whole text; special strings are ordinary text.
 
     Returns one row per input row: the id, ids array<int>, n_split (tokens that begin or end
-    inside a character) and, unless ``offsets`` is off, starts and ends array<int> in code points.
+    inside a character) and, unless ``offsets`` is off, starts and ends array<int> in code points;
+    with ``decoded`` also the bytes that ``decode`` gives for the ids, worked out in the same pass.
     A null or empty text has no ids. Null ids, repeated rows and an empty table pass through.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -117,6 +126,8 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
               T.StructField("n_split", T.LongType())]
     if offsets:
         fields += [T.StructField("starts", ints), T.StructField("ends", ints)]
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
     schema = T.StructType(fields)
     arrow = to_arrow_schema(schema)
 
@@ -132,6 +143,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
                 columns = [piece.column(0), lists(ids), pa.array([n for _, _, n in found], pa.int64())]
                 if offsets:
                     columns += [lists([s for s, _, _ in found]), lists([e for _, e, _ in found])]
+                if decoded:
+                    table = encoder.back()
+                    columns.append(pa.array([b"".join(map(table.__getitem__, i.tolist())) for i in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
@@ -157,8 +171,7 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        back = {c: bytes([b]) for b, c in enumerate(byte_characters())}
-        table = [b"".join(back[c] for c in name) for name in written(shared.value)]
+        table = byte_table(written(shared.value))
         for batch in batches:
             for piece in pieces(batch):
                 sizes = [n or 0 for n in pc.list_value_length(piece.column(1)).to_pylist()]
@@ -174,6 +187,12 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
     return source.mapInArrow(released(run), schema)
 
 
+def byte_table(names: list[str]) -> list[bytes]:
+    """The bytes of each token: its characters taken back through the byte table."""
+    back = {c: bytes([b]) for b, c in enumerate(byte_characters())}
+    return [b"".join(back[c] for c in name) for name in names]
+
+
 def written(tokens: list[bytes]) -> list[str]:
     """Tokens as the library's character strings."""
     table = byte_characters()

@@ -14,10 +14,13 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import map_texts
+from surveyscore.llm.batches import map_texts, pieces, released
 
 # The base kinds in their order, with pattern, group that is measured, least length.
 BASE = {
@@ -183,11 +186,20 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "<secret>") -> D
             at = b
         return "".join([*parts, text[at:]])
 
-    @F.pandas_udf("string")
-    def masked(texts):
-        return texts.map(cover, na_action="ignore")
+    at = docs.columns.index(text_col)
+    fields = [T.StructField(f.name, T.StringType() if k == at else f.dataType) for k, f in enumerate(docs.schema.fields)]
+    schema = T.StructType(fields)
+    arrow = to_arrow_schema(schema)
 
-    return docs.withColumn(text_col, masked(F.col(text_col).cast("string")))
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                texts = [t if t is None else cover(t) for t in piece.column(at).to_pylist()]
+                arrays = [pa.array(texts, f.type) if k == at else c.cast(f.type)
+                          for k, (c, f) in enumerate(zip(piece.columns, arrow))]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(released(run), schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -26,6 +26,8 @@ def test_ids_equal_tiktoken_and_round_trip(spark, library):
     ids = bb.encode(frame(spark, [(i, t, "clash", 0, 0) for i, t in enumerate(TEXTS)]), PATH, P.PATTERN)
     got = {r.doc_id: r for r in ids.collect()}
     texts = {r.doc_id: bytes(r.decoded) for r in bb.decode(ids, PATH).collect()}
+    rows = frame(spark, [(i, t, "clash", 0, 0) for i, t in enumerate(TEXTS)])
+    assert {r.doc_id: bytes(r.decoded) for r in bb.encode(rows, PATH, P.PATTERN, decoded=True).collect()} == texts
     read = {r.doc_id: r.text for r in bb.decode_text(ids, PATH).collect()}
     for i, t in enumerate(TEXTS):
         assert list(got[i].ids) == library.encode_ordinary(t)
