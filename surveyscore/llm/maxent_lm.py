@@ -2,10 +2,13 @@
 
 P(word | history) = P(class | history) * P(word | class, history). The most frequent training words
 fill classes of equal size, in order of frequency; all other words, seen or not, fall into classes
-by their ending. Both factors of a frequent word are softmaxes over the sum of hashed features of
-the history: the last word, the last two, and the one before the last (a skip). Within an ending
-class a word has its smoothed share of the class's training tokens, with one share for what was
-never seen, so that probabilities sum to one at most.
+by their ending. Within an ending class the other words of the broadcast table are leaves of a tree
+of three levels, as is one leaf for all words beyond the table; its fan-out follows from the counts.
+Every factor is a softmax over the sum of hashed features of the history: the last word, the last
+two, and the one before the last (a skip). In a history each word of the table is itself, and any
+other word a hash of itself. Beyond the table a word has its smoothed share of its leaf's training
+tokens, with one share for what was never seen, so that probabilities sum to one at most. Feature
+tables grow with the training tokens between two bounds.
 
 Training is one pass over all training tokens in a fixed number of rounds; in each, every task
 takes Adagrad steps through its own rows and the moves are mixed (``mixing``). Scores are computed
@@ -40,7 +43,10 @@ CLASSES, SIZE = 16, 64  # classes of frequent words, words of each
 ENDINGS = 16  # classes of other words, by their last three bytes
 MODEL_WORDS = CLASSES * SIZE
 NOTHING = MODEL_WORDS + ENDINGS  # what stands before a text
-ROWS = 1 << 14  # of a weight table
+TABLE, RARE = 1 << 30, 1 << 31  # marks of codes: other words of the broadcast table, and words beyond it
+LEAF, HASH = 18, 27  # bits of a leaf's place in its ending, and of a rare word's hash
+ROW_BITS = 14, 16  # of a feature table's rows: least and most
+TOKENS_A_ROW = 1024  # training tokens for each row between these bounds
 FEATURES = 3
 ROUNDS = 2
 STEP = 4096  # tokens of a gradient step, and of a scored batch
@@ -59,6 +65,10 @@ def ending(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % ENDINGS
 
 
+def rare_code(word: bytes) -> int:
+    return RARE | ending(word) << HASH | zlib.crc32(word) & ((1 << HASH) - 1)
+
+
 def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
@@ -103,6 +113,12 @@ class Vocabulary:
         self.frequent = [w for w, _ in found]
         self.counts = np.array([n for _, n in found], np.int64)
         self.model_counts = np.array([n for _, n in found[:MODEL_WORDS]], float)
+        ends = np.array([ending(w) for w in self.frequent[MODEL_WORDS:]], np.int64)
+        leaf = np.zeros(len(ends), np.int64)
+        for e in range(ENDINGS):
+            leaf[ends == e] = 1 + np.arange((ends == e).sum())  # leaf 0 is for all words beyond the table
+        top = np.arange(min(len(found), MODEL_WORDS))
+        self.codes = np.concatenate([top, TABLE | ends << LEAF | leaf]).astype(np.uint32)
 
         @F.pandas_udf("int")
         def ending_of(word: pd.Series) -> pd.Series:
@@ -116,85 +132,118 @@ class Vocabulary:
             seen[ending(w)] -= n
             kinds[ending(w)] -= 1
         self.ending_tokens, self.ending_shares = seen, seen + 0.1 * (kinds + 1)
+        listed = self.counts[MODEL_WORDS:] + 0.1
+        self.beyond_shares = np.maximum(self.ending_shares - np.bincount(ends, listed, ENDINGS), 0.1)
+        self.fan = 2
+        while self.fan ** 3 < leaf.max(initial=0) + 1:
+            self.fan += 2
+        self.leaves = np.zeros((ENDINGS, self.fan ** 3))
+        self.leaves[ends, leaf] = listed
+        self.leaves[:, 0] = self.beyond_shares
 
     def weights(self) -> Tables:
         """Tables before training: the frequencies of classes, and of words within them."""
         words = np.concatenate([self.model_counts, np.zeros(MODEL_WORDS - len(self.model_counts))]).reshape(CLASSES, SIZE)
         masses = np.concatenate([words.sum(1), self.ending_tokens]) + 0.1
         real = np.arange(MODEL_WORDS).reshape(CLASSES, SIZE) < len(self.model_counts)
+        low, high = ROW_BITS
+        rows = 1 << min(max((self.tokens // TOKENS_A_ROW).bit_length(), low), high)
+        three = self.leaves.reshape(-1, self.fan)
+        two = three.sum(1).reshape(-1, self.fan)
+        nodes = np.concatenate([two.sum(1).reshape(-1, self.fan), two, three])
         with np.errstate(divide="ignore"):
             return {"class_base": np.log(masses / masses.sum()).astype(np.float32)[None, :],
                     "word_base": np.where(real, np.log((words + 0.1) / (words.sum(1, keepdims=True) + 0.1)), -30).astype(np.float32),
-                    "class": np.zeros((ROWS, CLASSES + ENDINGS), np.float32),
-                    "word": np.zeros((ROWS, SIZE), np.float32)}
+                    "tree_base": np.where(nodes > 0, np.log(nodes / np.maximum(nodes.sum(1, keepdims=True), 0.1)), -30).astype(np.float32),
+                    "class": np.zeros((rows, CLASSES + ENDINGS), np.float32),
+                    "word": np.zeros((rows, SIZE), np.float32),
+                    "tree": np.zeros((rows, self.fan), np.float32)}
 
 
 def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Each row's tokens as model ids, its sums over words of the broadcast table, and its other words."""
+    """Each row's tokens as codes, its sums over words of the broadcast table, and its other words."""
     packed = b"\n".join(vocabulary.frequent) if vocabulary.frequent else None  # words hold no white space
     shared = texts.sparkSession.sparkContext.broadcast(
-        (packed, vocabulary.counts, vocabulary.tokens + 0.1 * (vocabulary.words + 1), vocabulary.ending_shares))
+        (packed, vocabulary.counts, vocabulary.tokens + 0.1 * (vocabulary.words + 1), vocabulary.codes))
     key = uuid.uuid4().hex
     source = texts.select("row", "id", "held", "text")
-    own = "n_tokens long, ids binary, base double, known long, within double, rest array<struct<word:binary,n:int,ending:int>>"
+    own = "n_tokens long, ids binary, base double, known long, rest array<struct<word:binary,n:int,ending:int>>"
     schema = T.StructType([*source.schema.fields[:3], *T.StructType.fromDDL(own).fields])
     arrow = to_arrow_schema(schema)
 
     def prepare():
-        packed, counts, total, shares = shared.value
+        packed, counts, total, codes = shared.value
         words = [] if packed is None else packed.split(b"\n")
-        ends = np.array([ending(w) for w in words], dtype=np.int64)
-        place = np.arange(len(words))
-        model = np.where(place < MODEL_WORDS, place, MODEL_WORDS + ends).astype(np.uint16)
-        within = np.where(place < MODEL_WORDS, 0.0, np.log10((counts + 0.1) / shares[ends]))
-        return dict(zip(words, range(len(words)))), model, np.log10((counts + 0.1) / total), within
+        return dict(zip(words, range(len(words)))), codes, np.log10((counts + 0.1) / total)
 
     def run(batches):
-        index, model, base, within = once_per_worker(key, prepare)
+        index, codes, base = once_per_worker(key, prepare)
         for batch in batches:
             for piece in pieces(batch):
-                out = [one(tokens_of(t), index, model, base, within) for t in text_list(piece.column(3))]
+                out = [one(tokens_of(t), index, codes, base) for t in text_list(piece.column(3))]
                 passed = [c.cast(f.type) for c, f in zip(piece.columns[:3], arrow)]
                 made = [pa.array(c, f.type) for c, f in zip(zip(*out), list(arrow)[3:])]
                 yield pa.RecordBatch.from_arrays([*passed, *made], schema=arrow)
 
-    def one(tokens, index, model, base, within):
+    def one(tokens, index, codes, base):
         found = list(map(index.get, tokens))
         rest = Counter(w for w, i in zip(tokens, found) if i is None)
         at = np.array([i for i in found if i is not None], dtype=np.int64)
         if not rest:
-            ids = model[at]
+            ids = codes[at]
         else:
-            ends = {w: ending(w) for w in rest}
-            ids = np.empty(len(tokens), np.uint16)
+            rare = {w: rare_code(w) for w in rest}
+            ids = np.empty(len(tokens), np.uint32)
             mask = np.array([i is not None for i in found])
-            ids[mask] = model[at]
-            ids[~mask] = [MODEL_WORDS + ends[w] for w, i in zip(tokens, found) if i is None]
-        listed = [{"word": w, "n": n, "ending": ends[w]} for w, n in rest.items()] if rest else []
-        return len(tokens), ids.tobytes(), float(base[at].sum()), len(at), float(within[at].sum()), listed
+            ids[mask] = codes[at]
+            ids[~mask] = [rare[w] for w, i in zip(tokens, found) if i is None]
+        listed = [{"word": w, "n": n, "ending": ending(w)} for w, n in rest.items()]
+        return len(tokens), ids.tobytes(), float(base[at].sum()), len(at), listed
 
     return source.mapInArrow(released(run), schema)
 
 
-def feature_rows(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hashed features of each token's history; ``starts`` are the first tokens of texts."""
-    one = np.empty(len(ids), np.uint64)
-    one[1:] = ids[:-1]
+def features_of(codes: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """32-bit hashes of each token's history; ``starts`` are the first tokens of texts."""
+    one = np.empty(len(codes), np.uint64)
+    one[1:] = codes[:-1]
     one[starts] = NOTHING
-    two = np.empty(len(ids), np.uint64)
+    two = np.empty(len(codes), np.uint64)
     two[1:] = one[:-1]
     two[starts] = NOTHING
-    return hashed(1, one), hashed(2, one + two * np.uint64(2048)), hashed(3, two)
+    return [hashed(1, one), hashed(2, one + two * np.uint64(0xC2B2AE3D27D4EB4F)), hashed(3, two)]
 
 
 def hashed(kind: int, key: np.ndarray) -> np.ndarray:
     mixed = (key + np.uint64(kind << 40)) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(50)).astype(np.int16)  # 14 bits
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(32)).astype(np.uint32)
+
+
+def rows_of(table: np.ndarray, features, nodes: np.ndarray | None = None) -> list[np.ndarray]:
+    """Rows of a weight table: the features' own, or those of features joined with a class or node."""
+    shift = np.uint32(33 - len(table).bit_length())
+    if nodes is not None:
+        own = nodes.astype(np.uint32) * np.uint32(0x9E3779B1) + np.uint32(0x7F4A7C15)
+        features = [(f ^ own) * np.uint32(0x85EBCA77) for f in features]
+    return [(f >> shift).astype(np.uint16) for f in features]
 
 
-def with_class(rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Rows of the word table: features joined with the class."""
-    return ((rows.astype(np.int32) * 0x9E35 + classes * 0x3C6F + 0x1B87) & (ROWS - 1)).astype(np.int16)
+def parts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each code, its ending where it has one, and its leaf there (-1 without a leaf)."""
+    rare = codes >= RARE
+    ends = np.where(rare, codes >> HASH, np.where(codes >= TABLE, codes >> LEAF, codes - MODEL_WORDS)) & (ENDINGS - 1)
+    classes = np.where(codes < MODEL_WORDS, codes // SIZE, CLASSES + ends)
+    return classes, ends, np.where(rare, 0, np.where(codes >= TABLE, codes & ((1 << LEAF) - 1), -1))
+
+
+def path(ends: np.ndarray, leaves: np.ndarray, fan: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes from the endings to the leaves and the branch taken at each, one level after the other."""
+    first = ends * fan + leaves // (fan * fan)
+    second = first * fan + leaves // fan % fan
+    nodes = np.concatenate([ends, ENDINGS + first, ENDINGS * (1 + fan) + second])
+    return nodes, np.concatenate([leaves // (fan * fan), leaves // fan % fan, leaves % fan])
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -232,7 +281,7 @@ def gathered(batches, column: int):
     held, size = [], 0
     for batch in batches:
         for value in batch.column(column):
-            held.append(np.frombuffer(value.as_buffer(), np.uint16))
+            held.append(np.frombuffer(value.as_buffer(), np.uint32))
             size += len(held[-1])
             if size >= 16 * STEP:
                 yield held
@@ -247,9 +296,9 @@ def learn(weights: Tables, batches):
     counts = {k: np.zeros(len(v), np.float32) for k, v in own.items()}
     taught = 0
     for texts in gathered(batches, 0):
-        ids = np.concatenate(texts).astype(np.int32)
+        ids = np.concatenate(texts).astype(np.int64)
         starts = np.cumsum([0, *map(len, texts[:-1])])
-        features = feature_rows(ids, starts)
+        features = features_of(ids, starts)
         for at in range(0, len(ids), STEP):
             taught += teach(own, squares, counts, ids[at:at + STEP], [f[at:at + STEP] for f in features])
     if not taught:
@@ -258,36 +307,47 @@ def learn(weights: Tables, batches):
 
 
 def teach(own: Tables, squares: Tables, counts: Tables, ids: np.ndarray, features) -> int:
-    classes = np.where(ids < MODEL_WORDS, ids // SIZE, ids - MODEL_WORDS + CLASSES)
-    slopes = softmax(logits_of(own["class"], own["class_base"][0], features))
-    slopes[np.arange(len(ids)), classes] -= 1
-    descend(own["class"], squares["class"], counts["class"], features, slopes)
-    known = ids < MODEL_WORDS
-    ids, classes = ids[known], classes[known]
-    if len(ids):
-        rows = [with_class(f[known], classes) for f in features]
-        slopes = softmax(logits_of(own["word"], own["word_base"][classes], rows))
-        slopes[np.arange(len(ids)), ids % SIZE] -= 1
-        descend(own["word"], squares["word"], counts["word"], rows, slopes)
-    return len(features[0])
+    def step(name, rows, base, labels):
+        slopes = softmax(logits_of(own[name], base, rows))
+        slopes[np.arange(len(labels)), labels] -= 1
+        descend(own[name], squares[name], counts[name], rows, slopes)
+
+    classes, ends, leaves = parts(ids)
+    step("class", rows_of(own["class"], features), own["class_base"][0], classes)
+    known = np.flatnonzero(ids < MODEL_WORDS)
+    if len(known):
+        c = classes[known]
+        step("word", rows_of(own["word"], [f[known] for f in features], c), own["word_base"][c], ids[known] % SIZE)
+    deep = np.flatnonzero(leaves >= 0)
+    if len(deep):
+        nodes, branches = path(ends[deep], leaves[deep], own["tree"].shape[1])
+        step("tree", rows_of(own["tree"], [np.tile(f[deep], 3) for f in features], nodes), own["tree_base"][nodes], branches)
+    return len(ids)
 
 
 def log10_probability(weights: Tables, texts: list[np.ndarray]) -> np.ndarray:
-    """Of each text's classes and frequent words, given their histories."""
+    """Of each text's classes, frequent words and leaves, given their histories."""
+    def chance(name, rows, base, labels):
+        return softmax(logits_of(weights[name], base, rows))[np.arange(len(labels)), labels].astype(float)
+
     sizes = np.array([len(t) for t in texts])
-    ids = np.concatenate(texts).astype(np.int32)
+    ids = np.concatenate(texts).astype(np.int64)
     starts = np.cumsum([0, *sizes[:-1]])
-    features = feature_rows(ids, starts)
+    features = features_of(ids, starts)
     out = np.empty(len(ids))
     for at in range(0, len(ids), STEP):
         i, f = ids[at:at + STEP], [x[at:at + STEP] for x in features]
-        classes = np.where(i < MODEL_WORDS, i // SIZE, i - MODEL_WORDS + CLASSES)
-        p = softmax(logits_of(weights["class"], weights["class_base"][0], f))[np.arange(len(i)), classes].astype(float)
+        classes, ends, leaves = parts(i)
+        p = chance("class", rows_of(weights["class"], f), weights["class_base"][0], classes)
         known = np.flatnonzero(i < MODEL_WORDS)
         if len(known):
             c = classes[known]
-            rows = [with_class(x[known], c) for x in f]
-            p[known] *= softmax(logits_of(weights["word"], weights["word_base"][c], rows))[np.arange(len(known)), i[known] % SIZE]
+            p[known] *= chance("word", rows_of(weights["word"], [x[known] for x in f], c), weights["word_base"][c], i[known] % SIZE)
+        deep = np.flatnonzero(leaves >= 0)
+        if len(deep):
+            nodes, branches = path(ends[deep], leaves[deep], weights["tree"].shape[1])
+            rows = rows_of(weights["tree"], [np.tile(x[deep], 3) for x in f], nodes)
+            p[deep] *= chance("tree", rows, weights["tree_base"][nodes], branches).reshape(3, -1).prod(axis=0)
         out[at:at + STEP] = np.log10(np.maximum(p, 1e-300))
     return np.add.reduceat(out, starts)
 
@@ -317,13 +377,13 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
         (F.col("known") + F.coalesce("rest_known", zero)).cast("long").alias("n_known"),
         F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest_base", zero)).alias("base_score"),
-        (F.col("model") + F.col("within") + F.coalesce("rest_within", zero)).alias("score"))
+        (F.col("model") + F.coalesce("rest_within", zero)).alias("score"))
 
 
 def rare_words(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Sums over each row's words beyond the broadcast table."""
     listed = encoded.select("row", F.explode("rest").alias("r")).select("row", "r.word", F.col("r.n").alias("times"), "r.ending")
-    share = F.element_at(F.array(*[F.lit(float(x)) for x in vocabulary.ending_shares]), F.col("ending") + 1)
+    share = F.element_at(F.array(*[F.lit(float(x)) for x in vocabulary.beyond_shares]), F.col("ending") + 1)
     n = F.coalesce("n", F.lit(0)) + 0.1
     total = vocabulary.tokens + 0.1 * (vocabulary.words + 1)
     return listed.join(counts, "word", "left").groupBy("row").agg(
@@ -334,15 +394,15 @@ def rare_words(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) ->
 
 def scored(encoded: DataFrame, weights: Tables) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(weights)
-    source = encoded.select("row", "id", "held", "n_tokens", "known", "base", "within", "ids")
+    source = encoded.select("row", "id", "held", "n_tokens", "known", "base", "ids")
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("model", T.DoubleType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch):
-                texts = [np.frombuffer(v.as_buffer(), np.uint16) for v in piece.column(7)]
-                columns = [c.cast(f.type) for c, f in zip(piece.columns[:7], arrow)]
+                texts = [np.frombuffer(v.as_buffer(), np.uint32) for v in piece.column(6)]
+                columns = [c.cast(f.type) for c, f in zip(piece.columns[:6], arrow)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(log10_probability(shared.value, texts))], schema=arrow)
 
     return source.mapInArrow(released(run), schema)

@@ -112,3 +112,54 @@ def test_query_on_the_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     df = QUERIES["op2_lm_score"](spark, sf)
     assert sorted(got(df), key=repr) == sorted(expected(rows), key=repr)
+
+
+def counted(spark, extra=()):
+    rows = [(b"", 50), *[(f"w{i}".encode(), 9000 - i) for i in range(3000)], *extra]
+    return lm.Vocabulary(spark.createDataFrame(rows, "word binary, n long"))
+
+
+def test_words_beyond_the_first_classes_are_leaves_that_sum_to_one(spark):
+    vocabulary = counted(spark)
+    weights = vocabulary.weights()
+    rng = np.random.default_rng(3)
+    for k in ("class", "word", "tree"):
+        weights[k] += rng.standard_normal(weights[k].shape).astype(np.float32)
+    assert len(set(vocabulary.codes.tolist())) == len(vocabulary.frequent) == 3001
+    ends = [lm.rare_code(b"q") & ~(15 << lm.HASH) | e << lm.HASH for e in range(lm.ENDINGS)]  # a word beyond the table in each ending
+    texts = [np.array([7, 9, i], np.uint32) for i in [*vocabulary.codes.tolist(), *ends]]
+    both = lm.log10_probability(weights, texts) - lm.log10_probability(weights, [np.array([7, 9], np.uint32)])[0]
+    assert abs((10.0 ** both).sum() - 1) < 1e-3
+
+
+def test_histories_of_less_frequent_words_differ_and_teach(spark):
+    pa = lm.pa
+    vocabulary = counted(spark)
+    code = dict(zip(vocabulary.frequent, vocabulary.codes.tolist()))
+    a, b, c = code[b"w2500"], code[b"w2900"], code[b"w2901"]
+    rare = [lm.rare_code(w) for w in (b"aaxyz", b"bbxyz")]  # one ending
+    assert lm.ending(b"aaxyz") == lm.ending(b"bbxyz") and rare[0] != rare[1]
+    weights = vocabulary.weights()
+    texts = [np.array(pair, np.uint32).tobytes() for pair in [(a, b), (rare[0], b), (rare[1], c)]] * 3000
+    batch = pa.RecordBatch.from_pydict({"ids": pa.array(texts, pa.binary())})
+    for _ in range(4):
+        moves, _ = lm.learn(weights, [batch])
+        weights = {k: w + moves[k] for k, w in weights.items()}
+    last = lambda x, y: (lm.log10_probability(weights, [np.array([x, y], np.uint32)]) - lm.log10_probability(weights, [np.array([x], np.uint32)]))[0]
+    assert last(a, b) > last(a, c) + 0.5
+    assert last(rare[0], b) > last(rare[0], c) + 0.5 and last(rare[1], c) > last(rare[1], b) + 0.5
+
+
+def test_scores_are_the_same_whatever_room_the_table_has_left(spark, monkeypatch):
+    held = lm.held_out(F.col("doc_id"))
+    words = len({w for i, t in ROWS if zlib.crc32(str("" if i is None else i).encode()) % 10 for w in lm.tokens_of(t or "")})
+    scores = []
+    for room in (lm.FREQUENT, words):
+        monkeypatch.setattr(lm, "FREQUENT", room)
+        scores.append(sorted((repr(r.doc_id), r.n_tokens, round(r.score, 6)) for r in lm.score(frame(spark, ROWS).coalesce(1), held).collect()))
+    assert scores[0] == scores[1]
+
+
+def test_feature_tables_follow_the_counts(spark):
+    assert len(counted(spark).weights()["tree"]) == 1 << 15
+    assert len(counted(spark, [(b"more", 1 << 40)]).weights()["class"]) == 1 << lm.ROW_BITS[1]
