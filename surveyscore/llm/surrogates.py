@@ -45,6 +45,12 @@ NAMES = {
     "greek": (["βα", "γι", "δο", "θα", "κα", "λι", "μα", "νο", "πα", "ρο", "σε", "τι", "φο", "χα", "ψε", "ξα"],
               {"m": ["ος", "ης", "ας"], "f": ["α", "η", "ία"], "n": ["ι", "ο", "ε"], "s": ["ίδης", "άκης", "όπουλος", "άς", "ης"]}),
 }
+# Characters of an IBAN by country, from the registry.
+IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 PATTERNS = re.compile("|".join([
     r"(?P<email>(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))",
     r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))",
@@ -72,27 +78,41 @@ def mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def iban_end(found: str) -> int | None:
+    """Where the IBAN at the start of a match ends: what follows may look like further groups.
+
+    The country's length comes first, then the longest run of whole groups whose check digits hold.
+    """
+    ends = [k for k in range(len(found), 11, -1) if k == len(found) or found[k] == " "]
+    plain = {k: found[:k].replace(" ", "") for k in ends}
+    length = IBAN_LENGTHS.get(found[:2])
+    ends.sort(key=lambda k: len(plain[k]) != length)
+    return next((k for k in ends if len(plain[k]) > 11 and mod97(plain[k]) == 1), None)
+
+
 def entities(text: str) -> list[tuple[str, int, int, str]]:
     """Leftmost entities as (kind, start, end, normal form). A name is one entity per word."""
-    out = []
-    for m in PATTERNS.finditer(text):
+    out, at = [], 0
+    while m := PATTERNS.search(text, at):
+        at = m.end()
         kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in KINDS if m[k] is not None)
         found = m[kind]
         if kind == "person":
-            gender, at = _GENDER[m["title"].lower()], m.start("names")
+            gender, start = _GENDER[m["title"].lower()], m.start("names")
             words = list(re.finditer(r"\w+", m["names"]))
             for k, w in enumerate(words):
                 role = "s" if k == len(words) - 1 else gender
-                out.append(("person", at + w.start(), at + w.end(), f"{role}:{w[0].lower()}"))
+                out.append(("person", start + w.start(), start + w.end(), f"{role}:{w[0].lower()}"))
         elif kind == "email":
             out.append((kind, *m.span(), found.lower()))
         elif kind == "ip":
             if all(int(x) < 256 for x in found.split(".")):
                 out.append((kind, *m.span(), ".".join(str(int(x)) for x in found.split("."))))
         elif kind == "iban":
-            plain = found.replace(" ", "")
-            if mod97(plain) == 1:
-                out.append((kind, *m.span(), plain))
+            end = iban_end(found)
+            at = m.start() + (end or 4)  # the rest may hold other entities
+            if end:
+                out.append((kind, m.start(), at, found[:end].replace(" ", "")))
         elif kind == "phone":
             code = re.match(r"\+\d{1,3}(?=[ .(-])", found)
             digits = re.sub(r"\D", "", found)

@@ -72,3 +72,17 @@ def test_query_on_the_whole_table(spark):
         for (k, _, _, n), (kind, _, _, m) in zip(old, new):
             assert k == kind and (k, m) not in real and seen.setdefault((k, n), m) == m
     assert len(set(seen.items())) == len({(k, m) for (k, _), m in seen.items()}) > 10
+
+
+def test_an_iban_ends_where_its_country_says(spark):
+    ibans = ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874"]
+    after = ["", " BIC", " EUR", " 100", " COBADEFF", " 2024 OK", ", then"]
+    for iban in [*ibans, *(i.replace(" ", "") for i in ibans)]:
+        for more in after:
+            assert normal(f"to {iban}{more}") == [("iban", iban, iban.replace(" ", ""))], (iban, more)
+    assert [k for k, _, _ in normal("BE68 5390 0754 7034 ANN@FIRM.ORG")] == ["iban", "email"]
+    assert [k for k, _, _ in normal("BE69 5390 0754 7034 EUR")] == []
+    rows = list(enumerate(f"to {i}{a}" for i in ibans for a in after))
+    for r in sg.replace_entities(frame(spark, rows), KEY).collect():
+        old, new = rows[r.doc_id][1], r.spans[0].new
+        assert r.text == f"to {new}{old[3 + len(new):]}" and new not in old and sg.mod97(new.replace(" ", "")) == 1
