@@ -2,10 +2,12 @@
 
 A surrogate follows from a secret key, the entity's kind and its normal form, so an entity gets the
 same one in every document and in every way of writing it. It keeps kind, script, gender and format:
-separators, letter case, digit counts, country codes and whether a check digit holds. Surrogates
+separators, letter case, digit counts, country codes and whether a check digit holds. A name is
+known by its word alone: whether it is a surname, and its gender, are settled over the table, and
+mentions without title in a document that has the name with one are replaced too. Surrogates
 are proposed for the distinct entities of the whole table and checked there: none may be an entity
-that occurs, or be shared by two. The few that must be drawn again are joined to their documents;
-all others are worked out where the text is, so texts are not shuffled.
+that occurs, or be shared by two. Those that must be drawn again, and names that occur in several
+roles, are joined to their documents; all others are worked out where the text is, so texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -51,6 +53,7 @@ IBAN_LENGTHS = {country: n for n, countries in {
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
     26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
     30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+_NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ωά-ώѐ-џ]\w+"
 PATTERNS = re.compile("|".join([
     r"(?P<email>(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))",
     r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))",
@@ -59,8 +62,9 @@ PATTERNS = re.compile("|".join([
     r"|(?<!\w)\(\d{3}\)[ ]?\d{3}[.-]\d{4}(?!\w)|(?<![\w.-])\d{3}([.-])\d{3}\5\d{4}(?![\w-]))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<number>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))",
-    rf"(?P<person>(?<!\w)(?P<title>{_TITLE})\.?[ ](?P<names>[^\W\d_a-zà-öø-ÿа-яα-ω]\w+(?:[ -][^\W\d_a-zà-öø-ÿа-яα-ω]\w+){{0,2}}))",
+    rf"(?P<person>(?<!\w)(?P<title>{_TITLE})\.?[ ](?:(?P<more>{_TITLE})\.?[ ])*(?P<names>{_NAME}(?:[ -]{_NAME})*))",
 ]))
+WORD = re.compile(rf"(?<!\w){_NAME}")
 KINDS = ["email", "iban", "ip", "phone", "ssn", "number", "person"]
 
 
@@ -91,18 +95,29 @@ def iban_end(found: str) -> int | None:
 
 
 def entities(text: str) -> list[tuple[str, int, int, str]]:
-    """Leftmost entities as (kind, start, end, normal form). A name is one entity per word."""
-    out, at = [], 0
+    """Leftmost entities as (kind, start, end, normal form). A name is one entity per word.
+
+    The words after a title are names up to the next title. Elsewhere in the text, a capitalised word
+    that is one of these names is a mention of it, in the role it first had.
+    """
+    out, at, roles = [], 0, {}
     while m := PATTERNS.search(text, at):
         at = m.end()
         kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in KINDS if m[k] is not None)
         found = m[kind]
         if kind == "person":
             gender, start = _GENDER[m["title"].lower()], m.start("names")
+            if gender == "n" and m["more"]:
+                gender = _GENDER[m["more"].lower()]
             words = list(re.finditer(r"\w+", m["names"]))
+            for k, w in enumerate(words[1:-1], 1):
+                if w[0].lower() in _GENDER:
+                    words, at = words[:k], start + w.start()
+                    break
             for k, w in enumerate(words):
                 role = "s" if k == len(words) - 1 else gender
                 out.append(("person", start + w.start(), start + w.end(), f"{role}:{w[0].lower()}"))
+                roles.setdefault(w[0].lower(), role)
         elif kind == "email":
             out.append((kind, *m.span(), found.lower()))
         elif kind == "ip":
@@ -119,7 +134,29 @@ def entities(text: str) -> list[tuple[str, int, int, str]]:
             out.append((kind, *m.span(), f"{len(code[0]) - 1 if code else 0}:{digits}"))
         else:
             out.append((kind, *m.span(), re.sub(r"\D", "", found)))
-    return out
+    return with_mentions(text, out, roles) if roles else out
+
+
+def with_mentions(text: str, found: list[tuple[str, int, int, str]], roles: dict[str, str]) -> list[tuple[str, int, int, str]]:
+    """The entities found, and mentions of the names ``roles`` between them."""
+    out, at = [], 0
+    for one in [*found, (None, len(text), len(text), None)]:
+        for w in WORD.finditer(text, at, one[1]):
+            role = roles.get(w[0].lower())
+            if role and (w.end() == len(text) or not re.match(r"\w", text[w.end()])):
+                out.append(("person", *w.span(), f"{role}:{w[0].lower()}"))
+        out.append(one)
+        at = one[2]
+    return out[:-1]
+
+
+def parted(kind: str, normal: str) -> tuple[str, str]:
+    """What an entity is known by, and its role: a name's normal form holds both."""
+    return tuple(normal.split(":")[::-1]) if kind == "person" else (normal, "")
+
+
+def joined(kind: str, normal: str, role: str) -> str:
+    return f"{role}:{normal}" if kind == "person" else normal
 
 
 class Stream:
@@ -150,7 +187,7 @@ class Stream:
 
 def surrogate(key: bytes, kind: str, normal: str, draw: int = 0) -> str:
     """Normal form of an entity's replacement."""
-    s = Stream(key, kind, normal, draw)
+    s = Stream(key, kind, parted(kind, normal)[0], draw)
     room = "" if draw < MANY else str(s.below(10 ** (1 + draw // MANY)))
     if kind == "email":
         local, domain = normal.split("@")
@@ -196,51 +233,61 @@ def written(kind: str, original: str, normal: str) -> str:
 
 
 def find_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, kind, normal): the distinct entities of each row that has any."""
+    """(id, kind, normal, role): the distinct entities of each row that has any; names by their word."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([source.schema["id"], *T.StructType.fromDDL("kind string, normal string").fields])
+    schema = T.StructType([source.schema["id"], *T.StructType.fromDDL("kind string, normal string, role string").fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch):
-                found = [sorted({(k, n) for k, _, _, n in entities(t)}) for t in text_list(piece.column(1))]
+                found = [sorted({(k, *parted(k, n)) for k, _, _, n in entities(t)}) for t in text_list(piece.column(1))]
                 at = pa.array([r for r, f in enumerate(found) for _ in f], pa.int64())
-                pairs = [p for f in found for p in f]
+                rows = [p for f in found for p in f]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0).take(at).cast(arrow.field(0).type), pa.array([k for k, _ in pairs], pa.string()),
-                     pa.array([n for _, n in pairs], pa.string())], schema=arrow)
+                    [piece.column(0).take(at).cast(arrow.field(0).type), *[pa.array([r[k] for r in rows], pa.string()) for k in range(3)]],
+                    schema=arrow)
 
     return source.mapInArrow(released(run), schema)
 
 
+def settled(roles):
+    """The role of a name of several: a gender that titles agree on, none if they do not, else surname."""
+    has = lambda r: F.array_contains(roles, r)
+    return F.when(has("n") | has("m") & has("f"), F.when(has("m") & ~has("f"), "m").when(has("f") & ~has("m"), "f").otherwise("n")).when(
+        has("m"), "m").when(has("f"), "f").when(has("s"), "s").otherwise("")
+
+
 def draws(found: DataFrame, key: bytes) -> DataFrame:
-    """(kind, normal, draw) of entities whose first surrogate would not do, stored.
+    """(kind, normal, role, draw) of names of several roles and of entities whose first surrogate would not do, stored.
 
     A surrogate that is an entity of the table, or that several would share, is drawn again by all
-    but the least of those that share it, until none is left.
+    but the least of those that share it, until none is left. Names are compared as words, whatever
+    their roles.
     """
 
     @F.pandas_udf("string")
-    def propose(kind: pd.Series, normal: pd.Series, draw: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(key, *x) for x in zip(kind, normal, draw)], dtype=object)
+    def propose(kind: pd.Series, normal: pd.Series, role: pd.Series, draw: pd.Series) -> pd.Series:
+        return pd.Series([parted(k, surrogate(key, k, joined(k, n, r), d))[0] for k, n, r, d in zip(kind, normal, role, draw)], dtype=object)
 
-    real = store(found.select("kind", "normal").distinct(), "entities")
+    roles = found.groupBy("kind", "normal").agg(F.collect_set("role").alias("roles"))
+    real = store(roles.select("kind", "normal", settled(F.col("roles")).alias("role"), (F.size("roles") > 1).alias("several")), "entities")
     open_ = real.withColumn("draw", F.lit(0))
+    own = ["kind", "normal", "role", "several", "draw"]
     taken = None
     while True:
-        proposed = store(open_.withColumn("new", propose("kind", "normal", "draw")), "proposed")
+        proposed = store(open_.withColumn("new", propose("kind", "normal", "role", "draw")), "proposed")
         used = real.select("kind", F.col("normal").alias("new"))
         if taken is not None:
             used = used.union(taken.select("kind", "new"))
         first = proposed.groupBy("kind", "new").agg(F.min("normal").alias("first"))
         won = first.join(used, ["kind", "new"], "left_anti")
-        kept = store(proposed.join(won, ["kind", "new"]).where("normal = first").select("kind", "normal", "draw", "new"), "kept")
+        kept = store(proposed.join(won, ["kind", "new"]).where("normal = first").select(*own, "new"), "kept")
         taken = kept if taken is None else taken.union(kept)
         lost = store(proposed.join(kept.select("kind", "normal"), ["kind", "normal"], "left_anti")
-                     .select("kind", "normal", (F.col("draw") + 1).alias("draw")), "lost")
+                     .select(*own[:-1], (F.col("draw") + 1).alias("draw")), "lost")
         if lost.isEmpty():
-            return taken.where("draw > 0").select("kind", "normal", "draw")
+            return taken.where("draw > 0 or several").select("kind", "normal", "role", "draw")
         open_ = lost
 
 
@@ -250,14 +297,15 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     Returns one row per input row: the id, text (null stays null) and spans, an array of (kind,
     start, end, new) with code points of the original text. Kinds: email, iban (with its check
     digits), ip, phone, ssn, number (13 to 19 digits; the Luhn digit holds if it held), and person:
-    the capitalised words after a title, the last as surname, the others by the title's gender.
+    the capitalised words after a title, the last as surname, the others by the title's gender, and
+    their capitalised mentions elsewhere in the document. A name is its word in any case and role.
     Equal entities of the whole table get equal surrogates, different ones of a kind different
     surrogates, none of which occurs as an entity. Null ids and repeated rows pass through.
     """
     found = store(find_entities(docs, id_col, text_col), "found")
     again = draws(found, key)
-    fixes = store(found.join(again, ["kind", "normal"]).groupBy("id").agg(
-        F.collect_set(F.struct("kind", "normal", "draw")).alias("fixes")), "fixes")
+    fixes = store(found.drop("role").join(again, ["kind", "normal"]).groupBy("id").agg(
+        F.collect_set(F.struct("kind", "normal", "role", "draw")).alias("fixes")), "fixes")
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     source = source.join(fixes.select(F.col("id").alias("fixed"), "fixes"), F.col("id").eqNullSafe(F.col("fixed")), "left").drop("fixed")
     schema = T.StructType([T.StructField(id_col, source.schema["id"].dataType), *T.StructType.fromDDL(
@@ -269,7 +317,7 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
         cache = once_per_worker(name, dict)
         for batch in batches:
             for piece in pieces(batch):
-                out = [replaced(t, {(f["kind"], f["normal"]): f["draw"] for f in fixed or ()}, cache)
+                out = [replaced(t, {(f["kind"], f["normal"]): (f["role"], f["draw"]) for f in fixed or ()}, cache)
                        for t, fixed in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist())]
                 texts, spans = zip(*out)
                 yield pa.RecordBatch.from_arrays([piece.column(0).cast(arrow.field(0).type), pa.array(texts, pa.string()),
@@ -280,7 +328,9 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
             return None, []
         parts, at, spans = [], 0, []
         for kind, a, b, normal in entities(text):
-            which = kind, normal, fixed.get((kind, normal), 0)
+            known, role = parted(kind, normal)
+            role, draw = fixed.get((kind, known), (role, 0))
+            which = kind, joined(kind, known, role), draw
             if which not in cache:
                 if len(cache) >= CACHED:
                     cache.clear()

@@ -86,3 +86,30 @@ def test_an_iban_ends_where_its_country_says(spark):
     for r in sg.replace_entities(frame(spark, rows), KEY).collect():
         old, new = rows[r.doc_id][1], r.spans[0].new
         assert r.text == f"to {new}{old[3 + len(new):]}" and new not in old and sg.mod97(new.replace(" ", "")) == 1
+
+
+def test_all_words_of_a_name_and_its_mentions(spark):
+    text = "Smith came. Mr John Ronald Reuel Smith-Jones and Mrs Ann Lee met Prof Dr Maria Berg; SMITH said, Lee's a smith, Smithers, Berg_1, Leeds."
+    found = normal(text)
+    assert [w for _, w, _ in found] == ["Smith", "John", "Ronald", "Reuel", "Smith", "Jones", "Ann", "Lee", "Maria", "Berg", "SMITH", "Lee"]
+    assert {k for k, _, _ in found} == {"person"} and found[0][2] == found[4][2] == found[10][2] == "m:smith"
+    assert [n for _, _, n in normal("Mr Adam Mrs Eve Hill met")] == ["s:adam", "f:eve", "s:hill"]
+    row = sg.replace_entities(frame(spark, [(1, text)]), KEY).first()
+    new = [s.new for s in row.spans]
+    assert new[0] == new[4] and new[10] == new[0].upper() and new[7] == new[11]
+    assert not re.search(r"\b(John|Ronald|Reuel|Smith|SMITH|Jones|Ann|Lee|Maria|Berg)\b", row.text)
+    assert row.text.endswith("'s a smith, Smithers, Berg_1, Leeds.")
+
+
+def test_a_name_has_one_surrogate_in_all_roles(spark):
+    rows = [(1, "Mr John"), (2, "Mr John Smith"), (3, "Dr Maria Smith"), (4, "Mrs Maria Smith"), (5, "Frau Smith Berg"), (6, "Mr Kim Lee"), (7, "Mrs Kim Lee")]
+    out = {r.doc_id: [s.new for s in r.spans] for r in sg.replace_entities(frame(spark, rows), KEY).collect()}
+    assert out[1][0] == out[2][0] and out[3] == out[4] and out[2][1] == out[3][1] == out[5][0] and out[6] == out[7]
+    assert len({n for ns in out.values() for n in ns}) == 6
+
+
+def test_no_surrogate_is_a_name_in_another_role(spark):
+    first = sg.replace_entities(frame(spark, [(1, "Mr John Smith")]), KEY).first().spans[0].new  # a given name
+    out = sg.replace_entities(frame(spark, [(1, "Mr John Smith"), (2, f"Mrs {first}")]), KEY).collect()
+    new = {r.doc_id: [s.new for s in r.spans] for r in out}
+    assert first not in new[1] + new[2] and len(set(new[1] + new[2])) == 3
