@@ -12,6 +12,7 @@ roles, are joined to their documents; all others are worked out where the text i
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
 import re
@@ -37,6 +38,7 @@ TITLES = {
     "n": ("Dr", "Prof"),
 }
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
+_GENDERED = [t for ts in TITLES.values() for t in ts]
 _GENDER = {t.lower(): g for g, ts in TITLES.items() for t in ts}
 # Syllables of made-up names by script, and endings by gender.
 NAMES = {
@@ -54,7 +56,7 @@ IBAN_LENGTHS = {country: n for n, countries in {
     26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
     30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ωά-ώѐ-џ]\w+"
-PATTERNS = re.compile("|".join([
+_KINDS = [
     r"(?P<email>(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))",
     r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))",
     r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))",
@@ -63,7 +65,9 @@ PATTERNS = re.compile("|".join([
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<number>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))",
     rf"(?P<person>(?<!\w)(?P<title>{_TITLE})\.?[ ](?:(?P<more>{_TITLE})\.?[ ])*(?P<names>{_NAME}(?:[ -]{_NAME})*))",
-]))
+]
+PATTERNS = re.compile("|".join(_KINDS))
+DIGIT = re.compile(r"\d")
 WORD = re.compile(rf"(?<!\w){_NAME}")
 KINDS = ["email", "iban", "ip", "phone", "ssn", "number", "person"]
 
@@ -82,6 +86,21 @@ def mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+@functools.cache
+def patterns(at: bool, digit: bool, title: bool) -> re.Pattern:
+    """The patterns that can match; the others' groups stay, so that groups keep their numbers."""
+    never = ["(?P<email>(?!))", *["(?!)"] * 2, "(?!)()", *["(?!)"] * 2, "(?P<person>(?!)(?P<title>)(?P<more>)(?P<names>))"]
+    can = [at, *[digit] * 5, title]
+    named = [n if n.startswith("(?P") else f"(?P<{k}>{n})" for k, n in zip(KINDS, never)]
+    return re.compile("|".join(p if c else n for p, c, n in zip(_KINDS, can, named)))
+
+
+def possible(text: str) -> re.Pattern | None:
+    """Patterns for a text: an email has an @, a name a title and every other kind a digit."""
+    can = "@" in text, bool(DIGIT.search(text)), any(t in text for t in _GENDERED)
+    return patterns(*can) if any(can) else None
+
+
 def iban_end(found: str) -> int | None:
     """Where the IBAN at the start of a match ends: what follows may look like further groups.
 
@@ -101,7 +120,8 @@ def entities(text: str) -> list[tuple[str, int, int, str]]:
     that is one of these names is a mention of it, in the role it first had.
     """
     out, at, roles = [], 0, {}
-    while m := PATTERNS.search(text, at):
+    pattern = possible(text)
+    while m := pattern and pattern.search(text, at):
         at = m.end()
         kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in KINDS if m[k] is not None)
         found = m[kind]

@@ -113,3 +113,15 @@ def test_no_surrogate_is_a_name_in_another_role(spark):
     out = sg.replace_entities(frame(spark, [(1, "Mr John Smith"), (2, f"Mrs {first}")]), KEY).collect()
     new = {r.doc_id: [s.new for s in r.spans] for r in out}
     assert first not in new[1] + new[2] and len(set(new[1] + new[2])) == 3
+
+
+def test_patterns_left_out_cannot_match():
+    for at in (True, False):
+        for digit in (True, False):
+            for title in (True, False):
+                assert sg.patterns(at, digit, title).groups == sg.PATTERNS.groups
+                assert sg.patterns(at, digit, title).groupindex == sg.PATTERNS.groupindex
+    for text in (TEXT, "ann@firm.org", "212-555-0101 and 212.555.0102", "Mr John", "plain", ""):
+        whole = [m.span() for m in sg.PATTERNS.finditer(text)]
+        pattern = sg.possible(text)
+        assert [m.span() for m in pattern.finditer(text)] == whole if pattern else not whole
