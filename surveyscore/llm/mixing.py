@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 
 from surveyscore.llm.batches import released
 from surveyscore.llm.store import store
+from surveyscore.sources.sinks import drop_stored
 
 Tables = dict[str, np.ndarray]
 
@@ -38,8 +39,12 @@ def merge(a: dict, b: dict) -> dict:
 
 
 def mix(frame: DataFrame, weights: Tables,
-        learn: Callable[[Tables, Iterator[pa.RecordBatch]], tuple[Tables, Tables] | None]) -> Tables:
-    """One round: weights after all tasks' moves. ``learn`` returns moves and counts, or None."""
+        learn: Callable[[Tables, Iterator[pa.RecordBatch]], tuple[Tables, Tables] | None],
+        together: int = 1) -> Tables:
+    """One round: weights after all tasks' moves. ``learn`` returns moves and counts, or None.
+
+    A task merges the stored moves of ``together`` others before any are shuffled.
+    """
     shared = frame.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
@@ -48,10 +53,14 @@ def mix(frame: DataFrame, weights: Tables,
             yield pa.RecordBatch.from_pydict({"moves": pa.array([pack(*found)], pa.binary())})
 
     # Stored first, so that a task never needs two Python workers at once.
-    moves = store(frame.mapInArrow(released(run), "moves binary"), "moves").rdd.map(lambda r: [pickle.loads(r[0])])
+    stored = store(frame.mapInArrow(released(run), "moves binary"), "moves")
+    moves = stored.rdd.map(lambda r: [pickle.loads(r[0])])
+    if together > 1:
+        moves = moves.coalesce(max(1, -(-moves.getNumPartitions() // together)))
     both = moves.treeReduce(lambda a, b: [merge(a[0], b[0])] if a and b else a or b, depth=3) if (
         moves.getNumPartitions() and not moves.isEmpty()) else []
     shared.destroy()
+    drop_stored(stored)
     if not both:
         return weights
     return {k: (w + both[0][k][0].astype(w.dtype)).astype(w.dtype) for k, w in weights.items()}
