@@ -54,9 +54,8 @@ def mix(frame: DataFrame, weights: Tables,
 
     # Stored first, so that a task never needs two Python workers at once.
     stored = store(frame.mapInArrow(released(run), "moves binary"), "moves")
-    moves = stored.rdd.map(lambda r: [pickle.loads(r[0])])
-    if together > 1:
-        moves = moves.coalesce(max(1, -(-moves.getNumPartitions() // together)))
+    near = stored.coalesce(max(1, -(-stored.rdd.getNumPartitions() // together))) if together > 1 else stored
+    moves = near.rdd.map(lambda r: [pickle.loads(r[0])])
     both = moves.treeReduce(lambda a, b: [merge(a[0], b[0])] if a and b else a or b, depth=3) if (
         moves.getNumPartitions() and not moves.isEmpty()) else []
     shared.destroy()
