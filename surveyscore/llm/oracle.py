@@ -120,3 +120,26 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIG
   coalesce(n, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents
+), num AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM cut
+), part AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+         THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM num
+), split AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM part
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CAST(CASE WHEN form != 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form != 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                   WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM split
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, maxent_lm, minhash_dedup, secrets, surrogates, token_count, toxicity
+from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, fill_in_middle, maxent_lm, minhash_dedup, secrets, surrogates, token_count, toxicity
 
 QUERIES = {}
 
@@ -100,3 +100,10 @@ def op7_pii_surrogates(spark, sf):
     count = lambda kind: F.size(F.expr(f"filter(spans, s -> s.kind = '{kind}')")).cast("long")
     return found.select("doc_id", F.size("spans").cast("long").alias("n_entities"),
                         *[count(k).alias(f"n_{k}") for k in surrogates.KINDS], "text", joined("spans").alias("spans"))
+
+
+@query
+def op13_fill_in_middle(spark, sf):
+    made = fill_in_middle.rearrange(table(spark, sf, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
