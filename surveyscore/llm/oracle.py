@@ -143,3 +143,39 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
   sha256(text) AS restored_sha256
 FROM split
 """
+
+
+def vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Brute force: every part against every entry, in long form. The rounds are written out."""
+    def assigned(name: str, book: str) -> str:
+        return f"""{name} AS (
+  SELECT row, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT p.row, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS d
+    FROM piece p JOIN {book} b ON p.part = b.part AND p.place = b.place GROUP BY ALL) GROUP BY ALL
+)"""
+
+    ctes = [f"""v AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""", f"""piece AS (
+  SELECT row, (i - 1) // (len(e) // {parts}) AS part, (i - 1) % (len(e) // {parts}) AS place, e[i] AS x
+  FROM v, unnest(range(1, len(e) + 1)) AS t(i)
+)""", f"book0 AS (SELECT row - 1 AS entry, part, place, x FROM piece WHERE row <= {entries})"]
+    for k in range(rounds):
+        ctes += [assigned(f"near{k}", f"book{k}"), f"""book{k + 1} AS (
+  SELECT entry, part, place, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN (
+    SELECT n.entry, part, place, CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+    FROM piece p JOIN near{k} n USING (row, part) GROUP BY ALL) m USING (entry, part, place)
+)"""]
+    ctes += [assigned("near", f"book{rounds}"), """coded AS (
+  SELECT row, string_agg(lower(printf('%02x', CAST(entry AS INTEGER))), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near GROUP BY row
+)"""]
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM v JOIN coded USING (row)"""
+
+
+ORACLE["op11_vector_codes"] = vector_codes_sql()

@@ -5,7 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from surveyscore.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, fill_in_middle, maxent_lm, minhash_dedup, secrets, surrogates, token_count, toxicity
+from surveyscore.llm import (
+    byte_bpe, chat_format, decontaminate, embedding_dedup, fill_in_middle, maxent_lm, minhash_dedup, secrets, surrogates, token_count,
+    toxicity, vector_codes,
+)
+from surveyscore.llm.store import store
 
 QUERIES = {}
 
@@ -107,3 +111,13 @@ def op13_fill_in_middle(spark, sf):
     made = fill_in_middle.rearrange(table(spark, sf, "documents"))
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query
+def op11_vector_codes(spark, sf):
+    found, books = vector_codes.compress(table(spark, sf, "embeddings"), carried=("label",))
+    coded = store(found, "codes")
+    total = coded.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of_label")
+    return coded.join(total, F.col("label").eqNullSafe(F.col("of_label"))).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.fingerprint(books)).alias("codebooks_sha256"))
