@@ -7,6 +7,7 @@ import gc
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,15 @@ def text_list(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The UTF-8 of all texts of a column in a row, and where each begins and the last ends; null is empty."""
+    column = column.fill_null("").cast(pa.large_string())
+    _, ends, data = column.buffers()
+    at = np.frombuffer(ends, np.int64)[column.offset:column.offset + len(column) + 1]
+    raw = data.to_pybytes()[at[0]:at[-1]] if data is not None else b""
+    return raw, at - at[0]
+
+
 def map_texts(docs: DataFrame, id_col: str, text_col: str, columns: str,
               prepare: Callable[[], Callable[[list[str]], list]], keep_text: bool = False) -> DataFrame:
     """One row per input row: the id, then ``columns`` (DDL) computed from the text.

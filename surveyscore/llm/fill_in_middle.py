@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import pieces, released
+from surveyscore.llm.batches import pieces, released, text_bytes
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
@@ -66,15 +66,6 @@ class RankIndex:
         return self.predict(ranks) + self.residuals[ranks]
 
 
-def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
-    """All texts of a column in a row, and where each begins (and the last one ends); null is empty."""
-    column = column.fill_null("").cast(pa.large_string())
-    _, ends, data = column.buffers()
-    at = np.frombuffer(ends, np.int64)[column.offset:column.offset + len(column) + 1]
-    raw = data.to_pybytes()[at[0]:at[-1]] if data is not None else b""
-    return raw, at - at[0]
-
-
 def borders(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte offsets of all borders of lines, each text's own beginning and end among them.
 

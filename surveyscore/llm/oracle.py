@@ -179,3 +179,17 @@ FROM v JOIN coded USING (row)"""
 
 
 ORACLE["op11_vector_codes"] = vector_codes_sql()
+
+ORACLE["op12_substring_dedup"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS nth
+  FROM doc, unnest(range(1, len(w) - 18)) AS t(i)
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places FROM win, unnest(range(i, i + 20)) AS t(p) WHERE nth > 1 GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, k: NOT list_contains(coalesce(places, []), k)), ' ')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (doc_id)
+"""

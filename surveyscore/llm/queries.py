@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from surveyscore.llm import (
-    byte_bpe, chat_format, decontaminate, embedding_dedup, fill_in_middle, maxent_lm, minhash_dedup, secrets, surrogates, token_count,
-    toxicity, vector_codes,
+    byte_bpe, chat_format, decontaminate, embedding_dedup, fill_in_middle, maxent_lm, minhash_dedup, secrets,
+    substring_dedup, surrogates, token_count, toxicity, vector_codes,
 )
 from surveyscore.llm.store import store
 
@@ -121,3 +121,9 @@ def op11_vector_codes(spark, sf):
     return coded.join(total, F.col("label").eqNullSafe(F.col("of_label"))).select(
         "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
         F.lit(vector_codes.fingerprint(books)).alias("codebooks_sha256"))
+
+
+@query
+def op12_substring_dedup(spark, sf):
+    found = substring_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
