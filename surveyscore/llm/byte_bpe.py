@@ -11,7 +11,9 @@ from __future__ import annotations
 import base64
 import os
 import uuid
-from itertools import accumulate
+from array import array
+from itertools import accumulate, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from surveyscore.llm.batches import once_per_worker, pieces, released, text_list
 
 LONGEST = 48  # characters of a match that is kept in a worker's cache
-CACHED = 60_000  # entries of a worker's cache; a full cache starts anew
+CACHED = 160_000  # entries of each of the two generations of a worker's cache
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -63,12 +65,17 @@ def build_encoder(tokens: list[bytes]):
 
 
 class Encoder:
-    """Ids of texts: the library sees each distinct match of the pattern once per cache filling."""
+    """Ids of texts: the library sees a distinct match of the pattern once, as long as it recurs.
+
+    The cache has two generations. Matches found or met again go to the young one; when that is
+    full it becomes the old one, and what has not been met since the last change is given up.
+    """
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.library, self.split = build_encoder(tokens), regex.compile(pattern).findall
         self.sizes = np.array([len(t) for t in tokens], dtype=np.int32)
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.table: list[bytes] = []
 
     def back(self) -> list[bytes]:
@@ -78,24 +85,33 @@ class Encoder:
             self.table = byte_table(sorted(vocabulary, key=vocabulary.get))
         return self.table
 
-    def learn(self, new) -> dict[str, bytes]:
-        new = list(new)
-        found = self.library.encode_batch(new, add_special_tokens=False)
-        return {w: np.array(e.ids, dtype=np.int32).tobytes() for w, e in zip(new, found)}
+    def learn(self, new: list[str]) -> list[bytes]:
+        return [array("i", e.ids).tobytes() for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.young) > CACHED:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
         split = [self.split(t) for t in texts]
-        new = set().union(*split).difference(self.cache)
-        if len(self.cache) + len(new) > CACHED:
-            self.cache.clear()
-            new = set().union(*split)
-        found = self.learn(new)
-        long = {w for w in found if len(w) > LONGEST}
-        self.cache.update(found)
-        out = [np.frombuffer(b"".join(map(self.cache.__getitem__, ws)), dtype=np.int32) for ws in split]
-        for w in long:
-            del self.cache[w]
-        return out
+        found = [list(map(young.get, ws)) for ws in split]
+        missing = set()
+        for ws, ids in zip(split, found):
+            missing.update(compress(ws, map(not_, ids)))
+        new = []
+        for w in missing:
+            ids = old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                young[w] = ids
+        young.update(zip(new, self.learn(new)))
+        for ws, ids in zip(split, found):
+            for k in list(compress(range(len(ws)), map(not_, ids))):
+                ids[k] = young[ws[k]]
+        for w in new:
+            if len(w) > LONGEST:
+                del young[w]
+        return [np.frombuffer(b"".join(ids), dtype=np.int32) for ids in found]
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """Start and end of each token in code points, and how many tokens cut a character."""

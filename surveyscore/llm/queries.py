@@ -38,11 +38,10 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 @query
 def op3_byte_bpe(spark, sf):
-    ids = byte_bpe.encode(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN, offsets=False)
-    back = byte_bpe.decode(ids.withColumn("doc_id", F.struct("doc_id", "ids", "n_split")), RANKS)
-    return back.select("doc_id.doc_id", F.size("doc_id.ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("doc_id.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"), "doc_id.n_split")
+    both = byte_bpe.encode(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN, offsets=False, decoded=True)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"), "n_split")
 
 
 @query
