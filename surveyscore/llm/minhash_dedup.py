@@ -18,6 +18,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,9 @@ from surveyscore.llm.grouped import by_group, sorted_groups
 from surveyscore.llm.store import store
 
 SHINGLE = 5
-BANDS = 24
-ROWS = 5  # minima of a band: at similarity 0.85 all bands miss with probability 8e-7
+ROWS = 5  # most minima of a band
+MOST_BANDS = 64  # beyond it a band takes fewer minima
+MISSED = 1e-6  # most probability that a pair at the threshold shares no band
 MARGIN = 5.0  # standard deviations below the threshold at which a signature rules a pair out
 BLOCK = 512  # classes of a bucket or family that are compared with as many others at a time
 SEED = 40_511
@@ -76,6 +78,16 @@ def family(count: int) -> tuple[np.ndarray, np.ndarray]:
     return odd, rng.integers(0, 1 << 63, count, dtype=np.uint64)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands, and minima of a band: all bands miss a pair at the threshold with probability ``MISSED`` at most."""
+    for rows in range(ROWS, 0, -1):
+        agree = (percent / 100) ** rows
+        bands = 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))
+        if bands <= MOST_BANDS or rows == 1:
+            return bands, rows
+    raise ValueError("percent must be positive")
+
+
 def similar(a: str, b: str, percent: int, size: int) -> bool:
     """Whether ``100 * intersection >= percent * union`` of two texts' full shingle sets."""
     return overlap(shingle_hashes(words_of(a), size), shingle_hashes(words_of(b), size), percent)
@@ -314,7 +326,7 @@ def family_links(joined: DataFrame, found: DataFrame, texts: Texts, percent: int
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
-                    size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    size: int = SHINGLE) -> DataFrame:
     """Components of texts whose shingle sets satisfy ``100 * intersection >= percent * union``.
 
     Words are runs without ASCII white space, A-Z in lower case; a text of fewer words than
@@ -323,8 +335,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id is that). Null texts and texts without words have no shingles and no links. Rows that share
     an id are one node and each gets a row; a row without an id has no links, a null component and
     is kept. Links are confirmed on full sets; a link at the threshold escapes all bands with
-    probability below one in a million.
+    probability below one in a million, whatever the threshold (``banding``).
     """
+    bands, rows = banding(percent)
     count = bands * rows
     signed = store(sign(docs, id_col, text_col, size, count), "signatures")
     members = signed.select("id", "h", "g", "n")

@@ -185,3 +185,24 @@ def test_calibrated_count_keeps_pairs_at_the_threshold():
     half = ed.WIDTH * np.sqrt(0.2)
     count = (np.abs(ed.project(x, ed.LINES) - ed.project(y, ed.LINES)) <= half).sum(1)
     assert (count >= ed.calibrate(ed.LINES, ed.WIDTH, ed.RECALL)).mean() > 0.999
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 90, 100])
+def test_bands_follow_from_the_threshold(percent):
+    from surveyscore.llm.minhash_dedup import banding
+
+    bands, rows = banding(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= 1e-6 and bands * rows <= 320
+    assert percent != 85 or (bands, rows) == (24, 5)
+
+
+def test_recall_of_pairs_at_eighty_percent(spark):
+    """Pairs of one similarity, 0.8 exactly: 45 shared shingles and up to 5.6 of either's own."""
+    from surveyscore.llm.minhash_dedup import near_duplicates
+
+    rows = []
+    for k in range(400):
+        words = [f"w{k}x{j}" for j in range(40)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-4] + [f"z{k}y{j}" for j in range(4)]))]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=80).collect()
+    assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in found) and {r.n_shingles for r in found} == {36}
