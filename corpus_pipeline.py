@@ -26,17 +26,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each component; rows that share an id count as one document.
+    """One document of each component of near copies: the one of least id, then of least text digest.
 
-    Among rows of one id the least by their other columns stays. Rows without an id all stay.
+    A document is an id with its text: rows that share both count as one, of which the least by
+    the other columns stays; rows that share an id only are told apart. Rows without an id all stay.
     """
-    found = minhash_dedup.near_duplicates(docs, percent=80)
-    copies = store(found.where("not kept").select("doc_id").distinct(), "copies")
-    others = [c for c in docs.columns if c != "doc_id"]
-    one = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(
-        F.min(F.struct(*others)).alias("row"))
-    kept = one.select("doc_id", "row.*").unionByName(docs.where("doc_id is null"))
-    return kept.select(docs.columns)
+    known = F.col("doc_id").isNotNull()
+    key = F.when(known, F.struct("doc_id", F.when(known, F.xxhash64("text")).alias("text")))
+    rows = docs.select(F.struct("*").alias("whole"), key.alias("key"), "text")
+    found = minhash_dedup.near_duplicates(rows, id_col="key", percent=80)
+    copies = store(found.where("not kept").select("key").distinct(), "copies")
+    others = F.to_json(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]))
+    named = docs.select(F.struct("*").alias("whole"), key.alias("key"), others.alias("others"))
+    one = named.where("key is not null").join(copies, "key", "left_anti").groupBy("key").agg(
+        F.min_by("whole", "others").alias("whole"))
+    return one.select("whole.*").unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,14 +51,17 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets masked in their texts and n_chars counted anew."""
+    """All documents, secrets masked in their texts and n_chars, if there, counted anew."""
     masked = secrets.redact(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.select(docs.columns)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with digests of the ids and of the bytes that they decode to."""
-    both = byte_bpe.encode(docs.select(F.struct("doc_id", "lang", "source").alias("key"), "text"), RANKS,
+    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    both = byte_bpe.encode(docs.select(F.struct(*kept).alias("key"), "text"), RANKS,
                            public_tokenizers.PATTERN, id_col="key", offsets=False, decoded=True)
     return both.select("key.*", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
