@@ -78,6 +78,25 @@ def test_edge_rows_pass_through(spark):
     assert cp.to_tokens(spark, docs, SF).count() == 6
 
 
+def test_one_id_with_two_texts_keeps_both(spark):
+    odd = [(5, "first text of its own with some words"), (5, "second and quite another text it is"), (6, "a third one"),
+           (7, "second and quite another text it is"), (4, "a third one"), (8, "first text of its own with some words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted((r.doc_id, r.text[:5]) for r in kept) == [(4, "a thi"), (5, "first"), (5, "secon")]
+
+
+def test_extra_and_missing_columns(spark):
+    docs = spark.createDataFrame(
+        [(1, "some words to keep here", {"a": 1}, "x", 2), (2, "some words to keep here", {"b": 2}, "y", 3), (2, "some words to keep here", {"a": 2}, "y", 3)],
+        "doc_id long, text string, key map<string,int>, row string, predicted int")
+    for name, stage in cp.STAGES[:-1]:
+        docs = cp.store(stage(spark, docs, SF), name)
+        assert docs.columns == ["doc_id", "text", "key", "row", "predicted"]
+    assert [tuple(r)[:3] for r in docs.collect()] == [(1, "some words to keep here", {"a": 1})]
+    assert cp.to_tokens(spark, docs, SF).count() == 1
+
+
 def test_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in cp.STAGES:
