@@ -137,29 +137,33 @@ def tag_branches(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, i
     return out.selectExpr("*", f"explode(array_except({found}, array(CAST(NULL AS INT)))) AS {BRANCH}")
 
 
-def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int],
-               tie: list[str] | None = None) -> DataFrame:
-    """Tag and de-duplicate within each branch. Both rules give the same columns.
+def tagged_calls(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int], style: str) -> DataFrame:
+    """What the build keeps of the calls of the branches that de-duplicate by ``style``."""
+    code = "substring(Campaign_Name, 1, 2) AS STATE_CODE"
+    extra = ["CALL_ID"] if style == "latest" and "CALL_ID" in raw.columns else []
+    return tag_branches(raw, branches, numbers).selectExpr(BRANCH, code, *_USED, *extra)
+
+
+def collapse(calls: DataFrame, style: str, tie: list[str] | None = None, by: str = BRANCH) -> DataFrame:
+    """One row per number and branch. Collapsed rows may be collapsed again with further calls.
 
     The number comes before the branch in the keys: sorts compare the first key by a binary
-    prefix, which tells numbers apart at once but a handful of branches hardly.
+    prefix, which tells numbers apart at once but a handful of branches hardly. Equal times are
+    settled by the call id, when there is one; otherwise by ``tie``, or all columns.
     """
+    if style == "colmax":
+        return dedup.collapse_max(calls, ["DN", by])
+    return dedup.latest_per_key(calls, ["DN", by], tie=["CALL_ID"] if "CALL_ID" in calls.columns else tie)
+
+
+def _collapsed(raw: DataFrame, branches: list[Branch], numbers: Mapping[str, int],
+               tie: list[str] | None = None) -> DataFrame:
+    """Tag and de-duplicate within each branch. Both rules give the same columns."""
     out = []
     for style in ("latest", "colmax"):
         group = [b for b in branches if b.dedup == style]
-        if not group:
-            continue
-        tagged = tag_branches(raw, group, numbers)
-        code = "substring(Campaign_Name, 1, 2) AS STATE_CODE"
-        if style == "colmax":
-            rows = dedup.collapse_max(tagged.selectExpr(BRANCH, code, *_USED), ["DN", BRANCH])
-        else:
-            # Equal times are settled by the call id, when there is one; otherwise by all columns.
-            by = ["CALL_ID"] if "CALL_ID" in raw.columns else tie
-            extra = ["CALL_ID"] if by == ["CALL_ID"] else []
-            tagged = tagged.selectExpr(BRANCH, code, *_USED, *extra)
-            rows = dedup.latest_per_key(tagged, ["DN", BRANCH], tie=by).drop(*extra)
-        out.append(rows)
+        if group:
+            out.append(collapse(tagged_calls(raw, group, numbers, style), style, tie).drop("CALL_ID"))
     return union_all(out)
 
 
@@ -236,7 +240,7 @@ def _excluded(df: DataFrame) -> DataFrame:
     return df.selectExpr("*", held).filter(f"NOT coalesce({gone}, false)").drop("__held")
 
 
-def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, remap) -> DataFrame:
+def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, remap, carry=()) -> DataFrame:
     branches = [b for s in specs for b in s.branches]
     numbers = _numbers(specs)
     df = df.join(rule_table(df.sparkSession, _branch_rows(specs), _BRANCH_SCHEMA), BRANCH)
@@ -290,7 +294,7 @@ def _finish(df: DataFrame, specs: list[StateRoundSpec], books: Codebook, geo, re
     elif any(s.date_only for s in specs):
         kind = df.schema["Start_Time"].dataType.simpleString()
         start = f"CASE WHEN __day THEN CAST(CAST(Start_Time AS DATE) AS {kind}) ELSE Start_Time END AS Start_Time"
-    return df.selectExpr(*[start if c == "Start_Time" else c for c in S.CANONICAL_COLUMNS], "ROUND")
+    return df.selectExpr(*[start if c == "Start_Time" else c for c in S.CANONICAL_COLUMNS], "ROUND", *carry)
 
 
 # What a score depends on. Calls that agree on all of these score alike, whichever is kept.

@@ -58,10 +58,7 @@ def materialise(df: DataFrame, name: str | None = None, path: str | None = None,
     session's file system closes; ``drop_stored`` removes it sooner.
     """
     spark = df.sparkSession
-    target = path or f"{shared_folder(spark)}/{name or 'result'}-{uuid.uuid4().hex}"
-    if path is None:
-        files, at = _file_system(spark, target)
-        files.deleteOnExit(at)
+    target = path or fresh_folder(spark, name or "result")
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -81,6 +78,24 @@ def drop_stored(df: DataFrame) -> None:
         files.delete(at, True)
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, which goes when the session's file system closes."""
+    target = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    files, at = _file_system(spark, target)
+    files.deleteOnExit(at)
+    return target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
 def save_scores(df: DataFrame, path: str, replace_all: bool = False) -> None:
     """Store score rows partitioned by round and state, so reports prune to what they show.
 

@@ -1,0 +1,118 @@
+import os
+import random
+
+import pytest
+from conftest import calls, rows
+
+from surveyscore import Branch, Registry, Spelling, StateRoundSpec
+from surveyscore.operators import scoring
+from surveyscore.plans import incremental, rounds
+from surveyscore.sources import sinks
+
+SPELL = Spelling(1, {"A": "ALPHA", "B": "BRAVO", "O": "OTHERS"})
+
+
+def registry():
+    reg = Registry()
+    for s in ("AP", "TN"):
+        reg.add(StateRoundSpec(s, "EP", (Branch(f"{s}_a", (f"{s}-EP%",), end="2024-01-05", spelling=SPELL),
+                                         Branch(f"{s}_b", (f"{s}-EP%",), start="2024-01-03", spelling=SPELL)), dedup_after_union=s == "AP"))
+        reg.add(StateRoundSpec(s, "BC", (Branch(f"{s}_max", (f"{s}-BC%",), dedup="colmax", spelling=SPELL),)))
+        reg.add(StateRoundSpec(s, "PP", (Branch(f"{s}_hid", (f"{s}-PP%",), end="2024-01-04", spelling=SPELL, emit=False),
+                                         Branch(f"{s}_all", (f"{s}-PP%",), spelling=SPELL, exclude_numbers_of=f"{s}_hid"))))
+    return reg
+
+
+def some_calls(spark, n, seed, hot=0):
+    rnd = random.Random(seed)
+    data = [{"DN": rnd.choice([None, *(f"n{k}" for k in range(12))]) if i >= hot else "hot", "DTMF_REP": rnd.choice(["1", "2", "3", "1,2", "", None, "9"]),
+             "Campaign_Name": f"{rnd.choice(['AP', 'TN'])}-{rnd.choice(['EP', 'BC', 'PP'])}-PC1", "AC_NO": rnd.choice([1, 2, None]),
+             "PC_NO": rnd.choice([1, None]), "N_PARTY": rnd.choice(["ABO", "BAO"]), "Start_Time": rnd.choice([1, 2, 3, 4, 5, 6, None])}
+            for i in range(n)]
+    from pyspark.sql import functions as F
+
+    df = calls(spark, data).coalesce(1)
+    ids = list(range(n))
+    rnd.shuffle(ids)
+    pairs = spark.createDataFrame(list(enumerate(ids)), "i long, CALL_ID long")
+    return df.withColumn("i", F.monotonically_increasing_id()).join(pairs, "i").drop("i")
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 0, 1), (1, 2, 1, 0)])
+def test_batches_in_any_order_give_the_full_rebuild(spark, order):
+    reg, raw, path = registry(), sinks.materialise(some_calls(spark, 150, 4, hot=50), "raw"), sinks.fresh_folder(spark, "inc")
+    for k in order:
+        incremental.update(path, raw.where(f"CALL_ID % 3 = {k}"), reg.select(reg.keys()), reg.books)
+    want = rounds.build_rounds(raw, reg.select(reg.keys()), reg.books)
+    columns = scoring.score_rounds(want).columns
+    assert rows(incremental.stored_scores(spark, path), *columns) == rows(scoring.score_rounds(want), *columns)
+
+
+def batch(spark, *data):
+    ids = [d.pop("CALL_ID") for d in data]
+    from pyspark.sql import functions as F
+
+    df = calls(spark, [{"Campaign_Name": "AP-EP-PC1", "N_PARTY": "ABO", **d} for d in data]).coalesce(1)
+    listed = F.array(*[F.lit(i).cast("long") for i in ids])
+    return df.withColumn("CALL_ID", F.element_at(listed, (F.monotonically_increasing_id() + 1).cast("int")))
+
+
+def counted(spark, path):
+    return rows(incremental.stored_counts(spark, path), "ROUND", "AC_ID", "RES1", "__n")
+
+
+def test_a_later_call_takes_the_earlier_label_back(spark):
+    reg, path = registry(), sinks.fresh_folder(spark, "inc")
+    specs = reg.select(reg.keys())
+    assert incremental.update(path, batch(spark, {"DN": "x", "DTMF_REP": "1", "Start_Time": 6, "CALL_ID": 1}), specs) == [("EP", "AP")]
+    assert counted(spark, path) == [("EP", "AP-AC-1", "ALPHA", 1)]
+    # an earlier call that arrives late changes nothing
+    incremental.update(path, batch(spark, {"DN": "x", "DTMF_REP": "2", "Start_Time": 5, "CALL_ID": 2}), specs)
+    assert counted(spark, path) == [("EP", "AP-AC-1", "ALPHA", 1)]
+    # equal times: the greater call id; a new place; then an unusable answer removes the number
+    incremental.update(path, batch(spark, {"DN": "x", "DTMF_REP": "2", "Start_Time": 6, "AC_NO": 7, "CALL_ID": 3}), specs)
+    assert counted(spark, path) == [("EP", "AP-AC-7", "BRAVO", 1)]
+    incremental.update(path, batch(spark, {"DN": "x", "DTMF_REP": None, "Start_Time": 7, "CALL_ID": 4}), specs)
+    assert counted(spark, path) == []
+
+
+def files_of(path, part):
+    folder = f"{path}/counts/ROUND={part[0]}/part={part[1]}"
+    return {f: os.stat(f"{folder}/{f}").st_mtime_ns for f in os.listdir(folder)}
+
+
+def test_only_touched_parts_are_written(spark):
+    reg, path = registry(), sinks.fresh_folder(spark, "inc")
+    specs = reg.select(reg.keys())
+    assert incremental.update(path, some_calls(spark, 100, 9), specs) == sorted((r, s) for r in ("BC", "EP", "PP") for s in ("AP", "TN"))
+    before = {p: files_of(path, p) for p in [("EP", "AP"), ("EP", "TN"), ("BC", "AP")]}
+    incremental.update(path, batch(spark, {"DN": "n1", "DTMF_REP": "1", "Start_Time": 7, "Campaign_Name": "TN-EP-PC1", "CALL_ID": 1000}), specs)
+    after = {p: files_of(path, p) for p in before}
+    assert before[("EP", "AP")] == after[("EP", "AP")] and before[("BC", "AP")] == after[("BC", "AP")]
+    assert before[("EP", "TN")] != after[("EP", "TN")]
+
+
+def test_an_update_cut_short_is_completed_or_dropped(spark, monkeypatch):
+    reg, path = registry(), sinks.fresh_folder(spark, "inc")
+    specs, raw = reg.select(reg.keys()), sinks.materialise(some_calls(spark, 80, 3), "raw")
+    incremental.update(path, raw.where("CALL_ID % 2 = 0"), specs)
+    real, state = incremental.complete, counted(spark, path)
+    monkeypatch.setattr(incremental, "complete", lambda *a: None)
+    incremental.update(path, raw.where("CALL_ID % 2 = 1"), specs)  # written beside the store, not yet in place
+    monkeypatch.setattr(incremental, "complete", real)
+    assert counted(spark, path) == state
+    assert real(spark, path) and not real(spark, path)
+    want = rows(scoring.score_rounds(rounds.build_rounds(raw, specs, reg.books)))
+    assert rows(incremental.stored_scores(spark, path)) == want
+    # contents without the mark that they are whole are dropped
+    spark.range(1).write.parquet(f"{path}/pending/counts")
+    assert not real(spark, path) and not sinks.folder_exists(spark, f"{path}/pending")
+
+
+def test_empty_batches_and_calls_of_no_branch(spark):
+    reg, path = registry(), sinks.fresh_folder(spark, "inc")
+    specs = reg.select(reg.keys())
+    assert incremental.update(path, some_calls(spark, 5, 1).limit(0), specs) == []
+    assert incremental.update(path, batch(spark, {"DN": "x", "DTMF_REP": "1", "Campaign_Name": "ZZ-EP", "CALL_ID": 1}), specs) == []
+    with pytest.raises(ValueError):
+        incremental.update(path, batch(spark, {"DN": "x", "CALL_ID": 1}).drop("CALL_ID"), specs)

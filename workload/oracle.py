@@ -551,6 +551,8 @@ ORACLE["run_all_states"] = with_(
     RAW, GEO, REMAP, *REGIONS, f"resp AS (SELECT * FROM ({_BUILT}))", POOL, score_ctes(ALL, "pool", ("ROUND",))
 ) + _WITH_REGION.format("scored")
 
+ORACLE["run_incremental"] = ORACLE["run_all_states"]
+
 ORACLE["run_wide_all_scopes"] = wide(ALL, ["BC", "EP", "PP", "COM"], "pool", start=with_(
     RAW, GEO, REMAP, f"resp AS (SELECT * FROM ({_BUILT}))", POOL, score_ctes(ALL, "pool", ("ROUND",))))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from surveyscore import schema as S
 from surveyscore.functions import scalars as fn
 from surveyscore.operators import combine, decode, dedup, enrich, filters, scoring
-from surveyscore.plans import presets, report
+from surveyscore.plans import incremental, presets, report
 from surveyscore.plans.rounds import build_by_branch, build_round, build_rounds
 from surveyscore.plans.run import com_of, run, score_responses
 from surveyscore.plans.spec import Branch, StateRoundSpec
@@ -538,6 +538,17 @@ def run_wide_all_scopes(spark, sf):
                geo_remap=A.geo_remap(spark, sf))
 
 
+@query
+def run_incremental(spark, sf):
+    """The same from three batches of calls, out of order; the second repeats those of the first."""
+    reg, raw, path = A.registry(), A.raw_calls(spark, sf), sinks.fresh_folder(spark, "scores")
+    geography = {"geo": A.geo(spark, sf), "geo_remap": A.geo_remap(spark, sf)}
+    for own in ([2], [0, 2], [1]):
+        incremental.update(path, raw.where(F.pmod(F.xxhash64("CALL_ID"), F.lit(3)).isin(own)), reg.select(reg.keys()), reg.books, **geography)
+    scored = enrich.with_region(incremental.stored_scores(spark, path), A.region_map(spark, sf))
+    return scored.select(*S.layout(list(S.SCOPES), ("REGION", "ROUND")))
+
+
 def _long(spark, sf):
     return scoring.score_rounds(A.responses(spark, sf))
 
