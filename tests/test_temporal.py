@@ -1,0 +1,128 @@
+"""Interval join, value in force and sessions against brute force in Python."""
+
+import datetime as dt
+import random
+
+import pytest
+from conftest import rows
+
+from surveyscore.operators import temporal
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def at(minutes):
+    return None if minutes is None else T0 + dt.timedelta(minutes=minutes)
+
+
+def key_of(rnd):
+    return rnd.choice([1, 1, 1, 1, 2, 3, None])
+
+
+@pytest.mark.parametrize("split", [5, 10**6])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_interval_join(spark, split, kind):
+    rnd = random.Random(split)
+    points = [(i, key_of(rnd), rnd.choice([None, *range(-500, 3000, 7)])) for i in range(200)]
+    points += [(900, 1, 60)] * 30  # a hot time, and repeated rows
+    spans = []
+    for i in range(80):
+        a = rnd.choice([None, *range(-600, 3000, 11)])
+        b = None if rnd.random() < 0.15 or a is None else a + rnd.choice([-5, 0, 1, 8, 64, 512, 100_000])
+        spans.append((i, key_of(rnd), a, b))
+    spans += [(99, 1, 50, 70)] * 2
+    p = spark.createDataFrame([(i, k, at(t)) for i, k, t in points], f"pid int, k int, t {kind}")
+    s = spark.createDataFrame([(i, k, at(a), at(b)) for i, k, a, b in spans], f"sid int, k int, a {kind}, b {kind}")
+    want = sorted((i, j) for i, k, t in points for j, k2, a, b in spans
+                  if None not in (k, k2, t, a) and k == k2 and a <= t and (b is None or t < b))
+    assert rows(temporal.interval_join(p, s, "t", "a", "b", ["k"], split=split), "pid", "sid") == sorted(want, key=repr)
+
+
+def test_interval_join_without_keys_and_of_empty_tables(spark):
+    p = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 5))], "pid int, t date")
+    s = spark.createDataFrame([(1, dt.date(2024, 1, 1), dt.date(2024, 1, 5)), (2, dt.date(2024, 1, 3), None)], "sid int, a date, b date")
+    assert rows(temporal.interval_join(p, s, "t", "a", "b"), "pid", "sid") == [(1, 1), (2, 2)]
+    assert temporal.interval_join(p.limit(0), s, "t", "a", "b").count() == 0
+    assert temporal.interval_join(p, s.limit(0), "t", "a", "b").count() == 0
+    with pytest.raises(ValueError):
+        temporal.interval_join(p, s.withColumnRenamed("sid", "pid"), "t", "a", "b")
+
+
+def test_intervals_lie_in_two_bins_at_most(spark):
+    s = spark.range(200).selectExpr("id AS sid", "timestamp_micros(id * 999983) AS a", "timestamp_micros(id * 999983 + (id * id * id) + 1) AS b")
+    p = spark.createDataFrame([(1, T0)], "pid int, t timestamp")
+    plan = temporal.interval_join(p, s, "t", "a", "b")
+    assert "Nested" not in plan._jdf.queryExecution().executedPlan().toString() and plan.count() == 0
+
+
+def test_value_in_force(spark):
+    rnd = random.Random(2)
+    facts = [(i, key_of(rnd), rnd.choice([None, *range(0, 400_000, 997)])) for i in range(300)] + [(777, 1, 5000)] * 3
+    values = [(key_of(rnd), rnd.choice([None, *range(0, 400_000, 9970)]), rnd.randint(0, 50), rnd.choice("xy")) for _ in range(120)]
+    values += [(1, 0, 7, None), (1, 0, 7, "a"), (2, 5, None, "n")]
+    f = spark.createDataFrame([(i, k, at(t)) for i, k, t in facts], "fid int, k int, t timestamp")
+    v = spark.createDataFrame([(k, at(t), n, x) for k, t, n, x in values], "k int, since timestamp, n int, x string")
+
+    def rank(row):
+        k, t, n, x = row
+        return (t, n is not None, n or 0, x is not None, x or "")
+
+    want = []
+    for i, k, t in facts:
+        fit = [r for r in values if None not in (k, t, r[0], r[1]) and r[0] == k and r[1] <= t]
+        best = max(fit, key=rank) if fit else (None,) * 4
+        want.append((i, k, at(t), at(best[1]), best[2], best[3]))
+    for days in (1, 30, 10_000):
+        got = temporal.asof_join(f, v, "t", "since", "k", part_days=days, tie="n")
+        assert got.columns == ["fid", "k", "t", "since", "n", "x"] and rows(got) == sorted(want, key=repr)
+
+
+def test_value_in_force_of_empty_tables(spark):
+    f = spark.createDataFrame([(1, 1, T0)], "fid int, k int, t timestamp")
+    v = spark.createDataFrame([(1, T0, "now")], "k int, since timestamp, x string")
+    assert rows(temporal.asof_join(f, v.limit(0), "t", "since", "k")) == [(1, 1, T0, None, None)]
+    assert temporal.asof_join(f.limit(0), v, "t", "since", "k").count() == 0
+    assert rows(temporal.asof_join(f, v, "t", "since", "k"), "x") == [("now",)]
+
+
+def test_a_hot_key_is_cut_into_parts(spark):
+    f = spark.range(5000).selectExpr("id AS fid", "1 AS k", "timestamp_seconds(id * 86400) AS t")
+    v = spark.createDataFrame([(1, dt.datetime(1970, 1, 2), 9)], "k int, since timestamp, x int")
+    got = temporal.asof_join(f, v, "t", "since", "k")
+    assert got.where("x = 9").count() == 4999
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "[k#" in plan and "__part" in plan and "Python" not in plan
+
+
+def plain_sessions(events, gap):
+    out, by = [], {}
+    for k, t, e in events:
+        if t is not None:
+            by.setdefault(k, []).append((t, e))
+    for k, es in by.items():
+        es.sort(key=lambda x: x[0])
+        runs = [[es[0]]]
+        for x in es[1:]:
+            if x[0] - runs[-1][-1][0] > gap:
+                runs.append([])
+            runs[-1].append(x)
+        for r in runs:
+            hit = min((t for t, e in r if e == "yes"), default=None)
+            out.append((k, at(r[0][0]), at(r[-1][0]), len(r), at(hit), None if hit is None else (hit - r[0][0]) * 60.0))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("days", [1, 7])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_sessions(spark, days, kind):
+    rnd = random.Random(days)
+    events = [(key_of(rnd), rnd.choice([None, *range(0, 6000, 13)]), rnd.choice(["yes", "no", None])) for _ in range(400)]
+    events += [(5, m, "no") for m in range(0, 20_000, 30)]  # one session over many parts, gaps of exactly 30 minutes
+    events += [(6, m, "yes") for m in range(0, 9_000, 31)] + [(7, 1439, "no"), (7, 1441, "yes"), (7, 1441, "yes")]
+    df = spark.createDataFrame([(k, at(t), e) for k, t, e in events], f"who int, ts {kind}, e string")
+    assert rows(temporal.sessions(df, "who", "ts", 30, "e = 'yes'", part_days=days)) == plain_sessions(events, 30)
+
+
+def test_sessions_of_an_empty_table(spark):
+    df = spark.createDataFrame([(1, None)], "who int, ts timestamp")
+    assert temporal.sessions(df, "who", "ts").count() == 0

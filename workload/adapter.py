@@ -260,3 +260,49 @@ def preset_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
                            " ELSE translate(DTMF_REP, '12345', '56789') END"),
         "Campaign_Name": F.expr(f"concat({code}, substring(Campaign_Name, 3))"),
     })
+
+
+# ---- branches, windows and schedules derived from the suppliers -----------------------------
+
+SUPPLIER_BRANCH = [
+    "concat('S', s_suppkey) AS branch_id",
+    "array(concat('R', n_regionkey, '-', CASE s_suppkey % 3 WHEN 0 THEN 'BC' WHEN 1 THEN 'EP' ELSE 'PP' END, '-PC', n_nationkey, '-%'),"
+    " CASE WHEN s_suppkey % 4 = 0 THEN concat('R', n_regionkey, '-%-PM') WHEN s_suppkey % 4 = 1 THEN '%-PC7-LSE' END) AS campaign_like",
+    "CASE WHEN s_suppkey % 5 = 0 THEN array('%-PC1%') END AS campaign_not_like",
+    "CASE WHEN s_suppkey % 7 = 0 THEN 'a%' END AS state_prefix",
+    "CASE WHEN s_suppkey % 6 = 0 THEN 'LSE_2019' END AS q2_type",
+    "CASE WHEN s_suppkey % 8 = 0 THEN TIMESTAMP_NTZ'1995-01-01' END AS start",
+    "CASE WHEN s_suppkey % 9 = 0 THEN TIMESTAMP_NTZ'1997-06-01' END AS end",
+    "CASE WHEN s_suppkey % 10 = 0 THEN array(n_nationkey, 3) END AS pc_in",
+    "CASE WHEN s_suppkey % 11 = 0 THEN array(n_nationkey) END AS pc_not_in",
+]
+
+
+def supplier_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One branch per supplier, over the campaigns of its nation."""
+    return _supplier_nation(spark, sf_dir).selectExpr(*SUPPLIER_BRANCH)
+
+
+def question_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One window per supplier: from a few days to years long, every tenth without an end."""
+    opens = "CAST(date_add(DATE'1992-01-01', CAST(s_suppkey * 37 % 2300 AS INT)) AS TIMESTAMP_NTZ)"
+    closes = "CAST(date_add(DATE'1992-01-01', CAST(s_suppkey * 37 % 2300 + pow(3, s_suppkey % 7) AS INT)) AS TIMESTAMP_NTZ)"
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS window_id", "s_nationkey AS PC_NO", f"{opens} AS opens", f"CASE WHEN s_suppkey % 10 <> 0 THEN {closes} END AS closes")
+
+
+def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One schedule per supplier: the constituencies of a nation change it on several days, some of them shared."""
+    since = "CAST(date_add(DATE'1992-01-01', CAST(s_suppkey * 53 % 120 * 20 AS INT)) AS TIMESTAMP_NTZ)"
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_nationkey AS pc", f"{since} AS valid_from", "s_suppkey AS schedule_id", "s_acctbal AS budget")
+
+
+CALL_LEVELS = {"ac": ("state", "PC_NO", "AC_NO"), "pc": ("state", "PC_NO"), "state": ("state",), "all": ()}
+
+
+def priced_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls with a duration of many distinct values: the order's price in tenths of a second."""
+    raw = raw_calls(spark, sf_dir).select("CALL_ID", "state", "PC_NO", "AC_NO")
+    price = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS CALL_ID", "CASE WHEN o_orderkey % 31 <> 0 THEN o_totalprice / 10 END AS duration")
+    return raw.join(price, "CALL_ID")

@@ -574,3 +574,54 @@ ORACLE["report_full"] = LONG + """, chosen AS (SELECT * FROM scored WHERE state
   SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (ORDER BY state NULLS LAST, AC_NO NULLS LAST, RES1, ROUND,
     PC_ID NULLS LAST, AC_ID NULLS LAST, N_PARTY) AS place FROM chosen), counts
   WHERE place > 30 * (least(2, pages) - 1) AND place <= 30 * least(2, pages)"""
+
+# ---- many branches, time, levels -----------------------------------------------------------
+
+ORACLE["match_stored_branches"] = with_(RAW, """branches AS (
+  SELECT 'S' || s_suppkey AS branch_id, n_nationkey AS pc, s_suppkey AS k, 'R' || n_regionkey AS r,
+    CASE s_suppkey % 3 WHEN 0 THEN 'BC' WHEN 1 THEN 'EP' ELSE 'PP' END AS round
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey)""") + """
+SELECT branch_id, count(*) AS n_calls, min(CALL_ID) AS first_call
+FROM raw JOIN branches ON (Campaign_Name LIKE r || '-' || round || '-PC' || pc || '-%'
+    OR (k % 4 = 0 AND Campaign_Name LIKE r || '-%-PM') OR (k % 4 = 1 AND Campaign_Name LIKE '%-PC7-LSE'))
+  AND (k % 5 <> 0 OR NOT Campaign_Name LIKE '%-PC1%') AND (k % 7 <> 0 OR state ILIKE 'a%')
+  AND (k % 6 <> 0 OR Q2_Type = 'LSE_2019') AND (k % 8 <> 0 OR Start_Time >= TIMESTAMP '1995-01-01')
+  AND (k % 9 <> 0 OR Start_Time < TIMESTAMP '1997-06-01')
+  AND (k % 10 <> 0 OR PC_NO IN (pc, 3)) AND (k % 11 <> 0 OR PC_NO <> pc)
+GROUP BY branch_id"""
+
+ORACLE["calls_in_windows"] = with_(RAW, """windows AS (
+  SELECT s_suppkey AS window_id, s_nationkey AS pc, DATE '1992-01-01' + CAST(s_suppkey * 37 % 2300 AS INTEGER) AS opens,
+    CASE WHEN s_suppkey % 10 <> 0 THEN DATE '1992-01-01' + CAST(s_suppkey * 37 % 2300 + pow(3, s_suppkey % 7) AS INTEGER) END AS closes
+  FROM supplier)""") + """
+SELECT window_id, count(*) AS n_calls, max(CALL_ID) AS last_call
+FROM raw JOIN windows ON PC_NO = pc AND Start_Time >= opens AND (closes IS NULL OR Start_Time < closes) GROUP BY window_id"""
+
+ORACLE["schedule_in_force"] = with_(RAW, """schedules AS (
+  SELECT s_nationkey AS pc, DATE '1992-01-01' + CAST(s_suppkey * 53 % 120 * 20 AS INTEGER) AS valid_from,
+    s_suppkey AS schedule_id, s_acctbal AS budget FROM supplier)""") + """
+SELECT CALL_ID, PC_NO AS pc, Start_Time, CAST(valid_from AS TIMESTAMP) AS valid_from, schedule_id, budget
+FROM raw LEFT JOIN schedules s ON s.pc = PC_NO AND valid_from <= Start_Time
+QUALIFY row_number() OVER (PARTITION BY CALL_ID ORDER BY valid_from DESC NULLS LAST, schedule_id DESC) = 1"""
+
+ORACLE["call_sessions"] = """
+WITH cut AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new
+  FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+), numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM cut)
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS attempts,
+  min(CASE WHEN event_type = 'purchase' THEN ts END) AS first_answer,
+  (epoch_us(min(CASE WHEN event_type = 'purchase' THEN ts END)) - epoch_us(min(ts))) / 1000000.0 AS seconds_to_answer
+FROM numbered GROUP BY user_id, s"""
+
+_LEVELS = {"state": "state", "pc": "state, PC_ID", "ac": "state, PC_ID, AC_ID", "ordering": "state, PC_ID, AC_ID, N_PARTY", "all": ""}
+ORACLE["distinct_respondents"] = with_(RAW, RESP) + " UNION ALL ".join(
+    f"""SELECT '{name}' AS level, {', '.join(c if c in keys.split(', ') else f'NULL AS {c}' for c in ('state', 'PC_ID', 'AC_ID', 'N_PARTY'))},
+    count(DISTINCT DN) AS respondents FROM resp {'GROUP BY ' + keys if keys else ''}""" for name, keys in _LEVELS.items())
+
+_CALL_LEVELS = {"ac": "state, PC_NO, AC_NO", "pc": "state, PC_NO", "state": "state", "all": ""}
+ORACLE["duration_percentiles"] = with_(RAW, """timed AS (
+  SELECT raw.*, o_totalprice / 10 AS duration FROM raw JOIN orders ON o_orderkey = CALL_ID WHERE o_orderkey % 31 <> 0)""") + " UNION ALL ".join(
+    f"""SELECT '{name}' AS level, {', '.join(c if c in keys.split(', ') else f'NULL AS {c}' for c in ('state', 'PC_NO', 'AC_NO'))},
+    count(*) AS n, quantile_disc(duration, 0.5) AS p50, quantile_disc(duration, 0.9) AS p90, quantile_disc(duration, 0.99) AS p99
+    FROM timed {'GROUP BY ' + keys if keys else ''}""" for name, keys in _CALL_LEVELS.items())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from surveyscore import schema as S
 from surveyscore.functions import scalars as fn
-from surveyscore.operators import combine, decode, dedup, enrich, filters, scoring
+from surveyscore.operators import combine, decode, dedup, enrich, filters, match, scoring, summaries, temporal
 from surveyscore.plans import incremental, presets, report
 from surveyscore.plans.rounds import build_by_branch, build_round, build_rounds
 from surveyscore.plans.run import com_of, run, score_responses
@@ -591,3 +591,56 @@ def report_full(spark, sf):
     lists = {"n_states": found.states, "n_ac_numbers": found.ac_numbers, "n_parties": found.parties}
     counts = {k: F.lit(v.count()) for k, v in lists.items()}
     return found.rows.withColumns({"total": F.lit(found.total), "pages": F.lit(found.pages), **counts})
+
+
+# ---- many branches, time, levels -----------------------------------------------------------
+
+
+@query
+def match_stored_branches(spark, sf):
+    """Calls per branch, for branches that are derived from the suppliers: one plan for any number."""
+    found = match.match_branches(A.raw_calls(spark, sf), A.supplier_branches(spark, sf))
+    return found.groupBy("branch_id").agg(F.count("*").alias("n_calls"), F.min("CALL_ID").alias("first_call"))
+
+
+@query
+def calls_in_windows(spark, sf):
+    """Calls of a constituency in each question window of it; some windows are open."""
+    windows, points = A.question_windows(spark, sf), A.raw_calls(spark, sf).select("CALL_ID", "PC_NO", "Start_Time")
+    found = temporal.interval_join(points, windows, "Start_Time", "opens", "closes", ["PC_NO"], split=100)
+    return found.groupBy("window_id").agg(F.count("*").alias("n_calls"), F.max("CALL_ID").alias("last_call"))
+
+
+@query
+def schedule_in_force(spark, sf):
+    """Each call with the schedule of its constituency that is in force when it starts."""
+    calls = A.raw_calls(spark, sf).select("CALL_ID", F.col("PC_NO").alias("pc"), "Start_Time")
+    return temporal.asof_join(calls, A.schedules(spark, sf), "Start_Time", "valid_from", ["pc"], tie="schedule_id")
+
+
+@query
+def call_sessions(spark, sf):
+    """Sessions by a gap of 30 minutes, with attempts and the time to the first purchase."""
+    events = A.table(spark, sf, "events")
+    return temporal.sessions(events, "user_id", "ts", 30, answered="event_type = 'purchase'").withColumnRenamed("n_events", "attempts")
+
+
+LEVELS = {"state": ("state",), "pc": ("state", "PC_ID"), "ac": ("state", "PC_ID", "AC_ID"),
+          "ordering": ("state", "PC_ID", "AC_ID", "N_PARTY"), "all": ()}
+
+
+@query
+def distinct_respondents(spark, sf):
+    """Distinct numbers per state, PC, AC, ordering and overall, pooled over rounds stored one by one."""
+    resp = sinks.materialise(A.responses(spark, sf), "responses")
+    finest = LEVELS["ordering"]
+    numbers = summaries.number_respondents(resp, finest)
+    stored = [sinks.materialise(summaries.respondent_bitmaps(resp.where(F.col("ROUND") == r), finest, numbers), "bitmaps") for r in A.ROUNDS]
+    return summaries.distinct_levels(combine.union_all(stored), LEVELS)
+
+
+@query
+def duration_percentiles(spark, sf):
+    """Exact percentiles of a call's price, standing for its duration, per AC, PC, state and overall."""
+    calls = A.priced_calls(spark, sf)
+    return summaries.percentiles(calls, "duration", {k: v for k, v in A.CALL_LEVELS.items()}, (0.5, 0.9, 0.99))
