@@ -22,6 +22,7 @@ from surveyscore.operators.combine import union_all
 from surveyscore.operators.decode import Codebook
 from surveyscore.plans.spec import Branch, StateRoundSpec
 from surveyscore.rules import broadcast_if_small, rule_table
+from surveyscore.sources.bucketed import store_by_number
 
 # What the build reads from a raw call. Other respondent details are never scanned.
 _USED = [
@@ -78,7 +79,7 @@ def branch_predicate(b: Branch, raw: DataFrame) -> str:
 
 
 def _literal_prefix(pattern: str) -> str:
-    cut = min((i for i in (pattern.find("%"), pattern.find("_")) if i >= 0), default=len(pattern))
+    cut = min((i for i in map(pattern.find, ("%", "_", "\\")) if i >= 0), default=len(pattern))
     return pattern[:cut]
 
 
@@ -303,16 +304,19 @@ SCORED = ["STATE_CODE", "state", "DTMF_REP", "N_PARTY", "PARTY", "VENDOR_ID", "A
 
 def build_rounds(raw: DataFrame, specs: list[StateRoundSpec], books: Codebook | None = None,
                  geo: DataFrame | None = None, geo_remap: DataFrame | None = None,
-                 tie: list[str] | None = None) -> DataFrame:
+                 tie: list[str] | None = None, by_number: bool = False) -> DataFrame:
     """Canonical responses of all specs, tagged with ROUND, from one scan per de-duplication rule.
 
     ``tie`` orders calls of one number at one time (default: all columns). With ``SCORED`` the
-    scan can skip respondent details that only the canonical rows carry.
+    scan can skip respondent details that only the canonical rows carry. With ``by_number`` the
+    de-duplicated calls are stored in buckets by number first: exclusions and de-duplication across
+    branches then have no exchange, and what they need is not worked out again for a second look.
     """
     S.require(raw, ["Campaign_Name", *_USED], "raw calls")
     branches = [b for s in specs for b in s.branches]
     books = Codebook() if books is None else books
-    return _finish(_collapsed(raw, branches, _numbers(specs), tie), specs, books, geo, geo_remap)
+    rows = _collapsed(raw, branches, _numbers(specs), tie)
+    return _finish(store_by_number(rows) if by_number else rows, specs, books, geo, geo_remap)
 
 
 def build_round(raw: DataFrame, specs, books: Codebook | None = None, geo=None, geo_remap=None) -> DataFrame:

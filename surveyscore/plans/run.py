@@ -54,8 +54,11 @@ def score_responses(resp: DataFrame, region: DataFrame | None = None, form: str
 
 
 def run(raw: DataFrame, registry: Registry, states, rounds=USUAL_ROUNDS, form: str = "long",
-        geo=None, geo_remap=None, region=None, pooled: str | None = "COM") -> DataFrame:
-    """All requested rounds of the requested states, scored."""
+        geo=None, geo_remap=None, region=None, pooled: str | None = "COM", by_number: bool = False) -> DataFrame:
+    """All requested rounds of the requested states, scored.
+
+    ``by_number`` stores the de-duplicated calls in buckets, as in ``build_rounds``.
+    """
     specs = registry.rounds(states, rounds)
-    resp = build_rounds(raw, specs, registry.books, geo, geo_remap, tie=SCORED)
+    resp = build_rounds(raw, specs, registry.books, geo, geo_remap, tie=SCORED, by_number=by_number)
     return score_responses(resp, region, form, pooled, rounds=[s.round for s in specs])

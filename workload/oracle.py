@@ -551,7 +551,7 @@ ORACLE["run_all_states"] = with_(
     RAW, GEO, REMAP, *REGIONS, f"resp AS (SELECT * FROM ({_BUILT}))", POOL, score_ctes(ALL, "pool", ("ROUND",))
 ) + _WITH_REGION.format("scored")
 
-ORACLE["run_incremental"] = ORACLE["run_all_states"]
+ORACLE["run_incremental"] = ORACLE["run_by_number"] = ORACLE["run_all_states"]
 
 ORACLE["run_wide_all_scopes"] = wide(ALL, ["BC", "EP", "PP", "COM"], "pool", start=with_(
     RAW, GEO, REMAP, f"resp AS (SELECT * FROM ({_BUILT}))", POOL, score_ctes(ALL, "pool", ("ROUND",))))
@@ -566,7 +566,7 @@ ORACLE["report_sort"] = LONG + "SELECT * FROM scored ORDER BY state, AC_NO, RES1
 ORACLE["report_page"] = LONG + """SELECT * FROM scored WHERE ROUND = 'COM'
   ORDER BY state NULLS LAST, AC_NO NULLS LAST, RES1, ROUND, PC_ID NULLS LAST, AC_ID NULLS LAST, N_PARTY
   LIMIT 30 OFFSET 60"""
-ORACLE["report_slice"] = LONG + "SELECT * FROM scored WHERE state = 'EUROPE' AND AC_NO = 41"
+ORACLE["report_slice"] = LONG + "SELECT * FROM scored WHERE state = 'EUROPE' AND AC_NO = 37"
 ORACLE["report_full"] = LONG + """, chosen AS (SELECT * FROM scored WHERE state = 'ASIA' AND ROUND = 'BC'),
   counts AS (SELECT count(*) AS total, CAST(ceil(count(*) / 30.0) AS INTEGER) AS pages,
     (SELECT count(DISTINCT state) FROM scored) AS n_states, count(DISTINCT AC_NO) AS n_ac_numbers,
@@ -625,3 +625,21 @@ ORACLE["duration_percentiles"] = with_(RAW, """timed AS (
     f"""SELECT '{name}' AS level, {', '.join(c if c in keys.split(', ') else f'NULL AS {c}' for c in ('state', 'PC_NO', 'AC_NO'))},
     count(*) AS n, quantile_disc(duration, 0.5) AS p50, quantile_disc(duration, 0.9) AS p90, quantile_disc(duration, 0.99) AS p99
     FROM timed {'GROUP BY ' + keys if keys else ''}""" for name, keys in _CALL_LEVELS.items())
+
+# ---- stored and streamed -------------------------------------------------------------------
+
+ORACLE["answers_of_two_rounds"] = with_(RAW, RESP) + """
+SELECT b.state AS state, e.state AS state_ep, b.RES1 AS answer_bc, e.RES1 AS answer_ep, count(*) AS numbers
+FROM resp b JOIN resp e ON b.DN = e.DN AND b.ROUND = 'BC' AND e.ROUND = 'EP' GROUP BY ALL"""
+
+_VOTES = "SELECT AC_ID, PC_ID, N_PARTY, RES1, state, ROUND, count(DN) AS votes FROM resp {} GROUP BY ALL"
+ORACLE["compare_two_runs"] = with_(RAW, RESP, f"old AS ({_VOTES.format('')})", """new AS (
+  SELECT AC_ID, PC_ID, N_PARTY, RES1, state, ROUND, count(DN) AS votes FROM resp
+  WHERE coalesce(NOT (state = 'EUROPE' AND AGE % 7 = 0), false) GROUP BY ALL)""", """diff AS (
+  SELECT *, -1 AS n FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)
+  UNION ALL SELECT *, 1 AS n FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old))""") + """
+SELECT * EXCLUDE n, CAST(n AS BIGINT) AS n, CASE WHEN min(n) OVER k * max(n) OVER k < 0 THEN 'changed' WHEN n > 0 THEN 'added' ELSE 'removed' END AS change
+FROM diff WINDOW k AS (PARTITION BY AC_ID, PC_ID, N_PARTY, RES1, ROUND)"""
+
+ORACLE["stream_windows"] = """SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total
+FROM events WHERE ts IS NOT NULL GROUP BY ALL"""

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from surveyscore import schema as S
 from surveyscore.functions import scalars as fn
 from surveyscore.operators import combine, decode, dedup, enrich, filters, match, scoring, summaries, temporal
-from surveyscore.plans import incremental, presets, report
+from surveyscore.plans import compare, incremental, presets, report
 from surveyscore.plans.rounds import build_by_branch, build_round, build_rounds
 from surveyscore.plans.run import com_of, run, score_responses
 from surveyscore.plans.spec import Branch, StateRoundSpec
 from surveyscore.sources import readers, sinks
+from surveyscore.sources.bucketed import store_by_number
+from surveyscore.streaming import events as stream
 from workload import adapter as A
 
 QUERIES = {}
@@ -538,6 +540,48 @@ def run_wide_all_scopes(spark, sf):
                geo_remap=A.geo_remap(spark, sf))
 
 
+@query
+def run_by_number(spark, sf):
+    """The same with the de-duplicated calls stored in buckets by number."""
+    return run(A.raw_calls(spark, sf), A.registry(), A.STATES, geo=A.geo(spark, sf), geo_remap=A.geo_remap(spark, sf),
+               region=A.region_map(spark, sf), by_number=True)
+
+
+@query
+def answers_of_two_rounds(spark, sf):
+    """How numbers answered in round BC, and how in EP: two stored tables, joined bucket by bucket."""
+    resp = A.responses(spark, sf).select("DN", "state", "RES1", "ROUND")
+    bc, ep = (store_by_number(resp.where(F.col("ROUND") == r).drop("ROUND"), buckets=8) for r in ("BC", "EP"))
+    pairs = bc.join(ep.withColumnsRenamed({"state": "state_ep", "RES1": "answer_ep"}), "DN")
+    return pairs.groupBy("state", "state_ep", F.col("RES1").alias("answer_bc"), "answer_ep").agg(F.count("*").alias("numbers"))
+
+
+def _votes(resp):
+    return resp.groupBy("AC_ID", "PC_ID", "N_PARTY", "RES1", "state", "ROUND").agg(F.count("DN").alias("votes"))
+
+
+@query
+def compare_two_runs(spark, sf):
+    """Two stored runs, the second without some responses of one state: what was added, removed, changed."""
+    resp = sinks.materialise(A.responses(spark, sf), "responses")
+    old, new = (sinks.fresh_folder(spark, "run") for _ in range(2))
+    compare.save_run(_votes(resp), old)
+    compare.save_run(_votes(resp.where("NOT (state = 'EUROPE' AND AGE % 7 = 0)")), new)
+    return compare.compare_runs(spark, old, new)
+
+
+@query
+def stream_windows(spark, sf):
+    """Events of a stream of several files, out of order and partly repeated, per day and kind."""
+    events, folder, target = A.table(spark, sf, "events"), sinks.fresh_folder(spark, "incoming"), sinks.fresh_folder(spark, "windows")
+    for k in range(3):  # the second file repeats a part of the first
+        part = events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)).isin([k, min(k + 1, 3)] if k != 1 else [0, 1]))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    stream.count_windows(spark, folder, events.schema, target, delay="4000 days", files_per_batch=1)
+    return stream.read_windows(spark, target).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type",
+                                                     "n", F.round("total", 4).alias("total"))
+
+
 @query
 def run_incremental(spark, sf):
     """The same from three batches of calls, out of order; the second repeats those of the first."""
@@ -581,7 +625,7 @@ def report_page(spark, sf):
 
 @query
 def report_slice(spark, sf):
-    return report.slice_rows(_long(spark, sf), state="EUROPE", ac_no="41", res1="", round=None)
+    return report.slice_rows(_long(spark, sf), state="EUROPE", ac_no="37", res1="", round=None)
 
 
 @query
