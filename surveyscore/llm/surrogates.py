@@ -15,8 +15,11 @@ from __future__ import annotations
 import functools
 import hashlib
 import hmac
+import ipaddress
+import math
 import re
 import uuid
+from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
@@ -33,12 +36,12 @@ CACHED = 100_000  # surrogates of a worker's cache; a full cache starts anew
 
 # Titles that announce a name, by the gender they tell.
 TITLES = {
-    "m": ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Don", "Signor", "господин", "κύριος"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Doña", "Signora", "госпожа", "κυρία"),
+    "m": ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Don", "Signor", "M.", "господин", "κύριος"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "Signora", "госпожа", "κυρία"),
     "n": ("Dr", "Prof"),
 }
-_TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
-_GENDERED = [t for ts in TITLES.values() for t in ts]
+_GENDERED = [w for ts in TITLES.values() for t in ts for w in dict.fromkeys((t, t.upper()))]
+_TITLE = "|".join(map(re.escape, sorted(_GENDERED, key=len, reverse=True)))
 _GENDER = {t.lower(): g for g, ts in TITLES.items() for t in ts}
 # Syllables of made-up names by script, and endings by gender.
 NAMES = {
@@ -49,26 +52,33 @@ NAMES = {
     "greek": (["βα", "γι", "δο", "θα", "κα", "λι", "μα", "νο", "πα", "ρο", "σε", "τι", "φο", "χα", "ψε", "ξα"],
               {"m": ["ος", "ης", "ας"], "f": ["α", "η", "ία"], "n": ["ι", "ο", "ε"], "s": ["ίδης", "άκης", "όπουλος", "άς", "ης"]}),
 }
+# Country calling codes of one and two digits, from the numbering plan; all others have three.
+CALLING_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
 # Characters of an IBAN by country, from the registry.
 IBAN_LENGTHS = {country: n for n, countries in {
     15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
     26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
     30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
-_NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ωά-ώѐ-џ]\w+"
+_CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яα-ωά-ώѐ-џ]"
+_NAME = rf"{_CAPITAL}(?:['’]{_CAPITAL})?\w+"
+_INITIALS = rf"(?:{_CAPITAL}\.[ ]?)*"  # passed over: a letter names nobody
 _KINDS = [
     r"(?P<email>(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))",
     r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))",
-    r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))",
+    r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)|(?<![\w:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]))",
     r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
-    r"|(?<!\w)\(\d{3}\)[ ]?\d{3}[.-]\d{4}(?!\w)|(?<![\w.-])\d{3}([.-])\d{3}\5\d{4}(?![\w-]))",
+    r"|(?<!\w)\(\d{3}\)[ ]?\d{3}[.-]\d{4}(?!\w)|(?<![\w.-])\d{3}([.-])\d{3}\5\d{4}(?![\w-])"
+    r"|(?<![\w.+-])0\d(?:[ .]\d{2}){4}(?![\w-]|[ .]\d)|(?<![\w.+-])0\d{2,4}[ /]\d{5,8}(?![\w-]|[ .]\d))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<number>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))",
-    rf"(?P<person>(?<!\w)(?P<title>{_TITLE})\.?[ ](?:(?P<more>{_TITLE})\.?[ ])*(?P<names>{_NAME}(?:[ -]{_NAME})*))",
+    rf"(?P<person>(?<!\w)(?P<title>{_TITLE})\.?[ ](?:(?P<more>{_TITLE})\.?[ ])*{_INITIALS}(?P<names>{_NAME}(?:[ -]{_INITIALS}{_NAME})*))",
 ]
 PATTERNS = re.compile("|".join(_KINDS))
 DIGIT = re.compile(r"\d")
 WORD = re.compile(rf"(?<!\w){_NAME}")
+WORDS = re.compile(_NAME)
+BEGINS = re.compile(r"(?:[.!?…]|\A)[\"'»”)\s]*\Z|\n\s*\Z")  # what stands before the first word of a sentence
 KINDS = ["email", "iban", "ip", "phone", "ssn", "number", "person"]
 
 
@@ -86,6 +96,20 @@ def mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def calling_code(digits: str) -> int:
+    """How many digits of an international number are its country's code."""
+    return next((n for n in (1, 2) if digits[:n] in CALLING_CODES), 3)
+
+
+def six(found: str) -> str | None:
+    """An IPv6 address with all its groups; None if it is none, or too short to be told from a time."""
+    try:
+        known = ipaddress.IPv6Address(found).exploded
+    except ValueError:
+        return None
+    return known if len(found.replace(":", "")) >= 4 and DIGIT.search(found) else None
+
+
 @functools.cache
 def patterns(at: bool, digit: bool, title: bool) -> re.Pattern:
     """The patterns that can match; the others' groups stay, so that groups keep their numbers."""
@@ -127,9 +151,12 @@ def entities(text: str) -> list[tuple[str, int, int, str]]:
         found = m[kind]
         if kind == "person":
             gender, start = _GENDER[m["title"].lower()], m.start("names")
+            if m["title"].isupper() and m["title"] not in TITLES["m"] and not m["names"][:2].isupper():
+                at = start  # an abbreviation before a capitalised word, such as a firm's
+                continue
             if gender == "n" and m["more"]:
                 gender = _GENDER[m["more"].lower()]
-            words = list(re.finditer(r"\w+", m["names"]))
+            words = list(WORDS.finditer(m["names"]))
             for k, w in enumerate(words[1:-1], 1):
                 if w[0].lower() in _GENDER:
                     words, at = words[:k], start + w.start()
@@ -140,6 +167,12 @@ def entities(text: str) -> list[tuple[str, int, int, str]]:
                 roles.setdefault(w[0].lower(), role)
         elif kind == "email":
             out.append((kind, *m.span(), found.lower()))
+        elif kind == "ip" and ":" in found:
+            known = six(found)
+            if known:
+                out.append((kind, *m.span(), known))
+            else:
+                at = m.start() + 1 + found.index(":")  # the rest may hold other entities
         elif kind == "ip":
             if all(int(x) < 256 for x in found.split(".")):
                 out.append((kind, *m.span(), ".".join(str(int(x)) for x in found.split("."))))
@@ -149,20 +182,33 @@ def entities(text: str) -> list[tuple[str, int, int, str]]:
             if end:
                 out.append((kind, m.start(), at, found[:end].replace(" ", "")))
         elif kind == "phone":
-            code = re.match(r"\+\d{1,3}(?=[ .(-])", found)
             digits = re.sub(r"\D", "", found)
-            out.append((kind, *m.span(), f"{len(code[0]) - 1 if code else 0}:{digits}"))
+            out.append((kind, *m.span(), f"{calling_code(digits) if found[0] == '+' else 0}:{digits}"))
         else:
             out.append((kind, *m.span(), re.sub(r"\D", "", found)))
     return with_mentions(text, out, roles) if roles else out
 
 
+def plain_word(name: str, text: str) -> bool:
+    """Whether a text has a name more often as a word in lower case than capitalised within a sentence."""
+    used = Counter()
+    for w in re.finditer(rf"(?<!\w){re.escape(name)}(?!\w)", text, re.IGNORECASE):
+        if w[0] == name:
+            used["lower"] += 1
+        elif not BEGINS.search(text, max(0, w.start() - 4), w.start()):
+            used["capital"] += 1
+    return used["lower"] > used["capital"]
+
+
 def with_mentions(text: str, found: list[tuple[str, int, int, str]], roles: dict[str, str]) -> list[tuple[str, int, int, str]]:
     """The entities found, and mentions of the names ``roles`` between them."""
     out, at = [], 0
+    common = {w for w in roles if plain_word(w, text)}
     for one in [*found, (None, len(text), len(text), None)]:
         for w in WORD.finditer(text, at, one[1]):
             role = roles.get(w[0].lower())
+            if role and w[0].lower() in common and BEGINS.search(text, max(0, w.start() - 4), w.start()):
+                continue
             if role and (w.end() == len(text) or not re.match(r"\w", text[w.end()])):
                 out.append(("person", *w.span(), f"{role}:{w[0].lower()}"))
         out.append(one)
@@ -205,8 +251,13 @@ class Stream:
         return "".join(out)
 
 
-def surrogate(key: bytes, kind: str, normal: str, draw: int = 0) -> str:
-    """Normal form of an entity's replacement."""
+def syllables_for(names: int) -> int:
+    """Syllables of made-up names, so that few of so many are drawn twice: a hundred times the room."""
+    return max(2, math.ceil(math.log(100 * names + 1, 16)))
+
+
+def surrogate(key: bytes, kind: str, normal: str, draw: int = 0, syllables: int = 2) -> str:
+    """Normal form of an entity's replacement; ``syllables`` before the ending of a name."""
     s = Stream(key, kind, parted(kind, normal)[0], draw)
     room = "" if draw < MANY else str(s.below(10 ** (1 + draw // MANY)))
     if kind == "email":
@@ -216,6 +267,8 @@ def surrogate(key: bytes, kind: str, normal: str, draw: int = 0) -> str:
             kept = "example"
         labels = domain.split(".")[:-kept.count(".") - 1]
         return "@".join([s.like(local) + room, ".".join([*map(s.like, labels), kept])])
+    if kind == "ip" and ":" in normal:  # the range kept for documents
+        return ":".join(["2001", "0db8", *[f"{s.below(65536):04x}" for _ in range(6)]])
     if kind == "ip":
         widths = [(0, 10), (10, 90), (100, 156)]
         return ".".join(str(low + s.below(n)) for low, n in (widths[len(x) - 1] if draw < MANY else (0, 256) for x in normal.split(".")))
@@ -224,11 +277,12 @@ def surrogate(key: bytes, kind: str, normal: str, draw: int = 0) -> str:
         return f"{normal[:2]}{98 - mod97(normal[:2] + '00' + body):02d}{body}"
     if kind == "phone":
         size, digits = normal.split(":")
-        return f"{size}:{digits[:int(size)]}{s.like(digits[int(size):])}{room}"
+        kept = int(size) or len(digits) - len(digits.lstrip("0"))  # the country's code, or the zeros before an area
+        return f"{size}:{digits[:kept]}{s.like(digits[kept:])}{room}"
     if kind == "person":
         role, word = normal.split(":")
-        syllables, endings = NAMES[script(word)]
-        body = "".join(syllables[s.below(len(syllables))] for _ in range(2 + draw // MANY))
+        parts, endings = NAMES[script(word)]
+        body = "".join(parts[s.below(len(parts))] for _ in range(syllables + draw // MANY))
         return f"{role}:{body}{endings[role][s.below(len(endings[role]))]}"
     body = s.like(normal) + room
     if kind == "number":
@@ -246,7 +300,8 @@ def written(kind: str, original: str, normal: str) -> str:
     if kind == "email":
         return normal.upper() if original.isupper() else normal
     if kind == "ip":
-        return normal
+        new = ipaddress.ip_address(normal).compressed if "::" in original else normal
+        return new.upper() if original.isupper() else new
     rest = iter(normal.split(":")[-1])
     out = [c if not c.isalnum() else next(rest, "") for c in original]
     return "".join([*out, *rest])
@@ -278,7 +333,7 @@ def settled(roles):
         has("m"), "m").when(has("f"), "f").when(has("s"), "s").otherwise("")
 
 
-def draws(found: DataFrame, key: bytes) -> DataFrame:
+def draws(found: DataFrame, key: bytes, syllables: int) -> DataFrame:
     """(kind, normal, role, draw) of names of several roles and of entities whose first surrogate would not do, stored.
 
     A surrogate that is an entity of the table, or that several would share, is drawn again by all
@@ -288,7 +343,7 @@ def draws(found: DataFrame, key: bytes) -> DataFrame:
 
     @F.pandas_udf("string")
     def propose(kind: pd.Series, normal: pd.Series, role: pd.Series, draw: pd.Series) -> pd.Series:
-        return pd.Series([parted(k, surrogate(key, k, joined(k, n, r), d))[0] for k, n, r, d in zip(kind, normal, role, draw)], dtype=object)
+        return pd.Series([parted(k, surrogate(key, k, joined(k, n, r), d, syllables))[0] for k, n, r, d in zip(kind, normal, role, draw)], dtype=object)
 
     roles = found.groupBy("kind", "normal").agg(F.collect_set("role").alias("roles"))
     real = store(roles.select("kind", "normal", settled(F.col("roles")).alias("role"), (F.size("roles") > 1).alias("several")), "entities")
@@ -316,14 +371,17 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
 
     Returns one row per input row: the id, text (null stays null) and spans, an array of (kind,
     start, end, new) with code points of the original text. Kinds: email, iban (with its check
-    digits), ip, phone, ssn, number (13 to 19 digits; the Luhn digit holds if it held), and person:
-    the capitalised words after a title, the last as surname, the others by the title's gender, and
-    their capitalised mentions elsewhere in the document. A name is its word in any case and role.
+    digits), ip (of both versions), phone (known by its digits and country, however it is spaced), ssn, number (13 to 19 digits; the Luhn digit holds if it held), and person:
+    the capitalised words after a title (initials are passed over), the last as surname, the others by
+    the title's gender, and their capitalised mentions elsewhere in the document, unless those begin a
+    sentence and the document has the word mostly in lower case. Names without any title are not found. A name is its word in any case and role.
     Equal entities of the whole table get equal surrogates, different ones of a kind different
     surrogates, none of which occurs as an entity. Null ids and repeated rows pass through.
     """
     found = store(find_entities(docs, id_col, text_col), "found")
-    again = draws(found, key)
+    names = found.where("kind = 'person'").select("normal").distinct().count()
+    syllables = syllables_for(names)
+    again = draws(found, key, syllables)
     fixes = store(found.drop("role").join(again, ["kind", "normal"]).groupBy("id").agg(
         F.collect_set(F.struct("kind", "normal", "role", "draw")).alias("fixes")), "fixes")
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -354,7 +412,7 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
             if which not in cache:
                 if len(cache) >= CACHED:
                     cache.clear()
-                cache[which] = surrogate(key, *which)
+                cache[which] = surrogate(key, *which, syllables)
             new = written(kind, text[a:b], cache[which])
             parts += [text[at:a], new]
             spans.append({"kind": kind, "start": a, "end": b, "new": new})

@@ -125,3 +125,44 @@ def test_patterns_left_out_cannot_match():
         whole = [m.span() for m in sg.PATTERNS.finditer(text)]
         pattern = sg.possible(text)
         assert [m.span() for m in pattern.finditer(text)] == whole if pattern else not whole
+
+
+# Texts with their personal data listed by hand, not by the code under test.
+LISTED = [
+    ("Call +49 30 1234567 or +49301234567.", ["+49 30 1234567", "+49301234567"]),
+    ("Berlin 030 1234567, Paris 06 12 34 56 78, +44 20 7946 0958.", ["030 1234567", "06 12 34 56 78", "+44 20 7946 0958"]),
+    ("Mr. J. Smith wrote to Mr O'Brien.", ["Smith", "O'Brien"]),
+    ("MR JOHN SMITH signed.", ["JOHN", "SMITH"]),
+    ("Sr. García y Sra. López; M. Dupont et Mme Durand.", ["García", "López", "Dupont", "Durand"]),
+    ("Hosts 2001:db8:85a3::8a2e:370:7334 and FE80::1 answered.", ["2001:db8:85a3::8a2e:370:7334", "FE80::1"]),
+    ("Mrs Rose Hill met us. Hill smiled; the rose and one more rose. Rose petals fell.", ["Rose", "Hill", "Hill"]),
+    ("At 10:00:00 the std::map of MS Word, v1.2.3, room 12, 05.12.2024.", []),
+    ("Dr A. B. Müller-Lüdenscheidt, tel. (555) 123-4567", ["Müller", "Lüdenscheidt", "(555) 123-4567"]),
+]
+
+
+def test_entities_listed_by_hand(spark):
+    assert [[t[a:b] for _, a, b, _ in sg.entities(t)] for t, _ in LISTED] == [found for _, found in LISTED]
+    out = {r.doc_id: r.text for r in sg.replace_entities(frame(spark, [(k, t) for k, (t, _) in enumerate(LISTED)]), KEY).collect()}
+    for k, (text, found) in enumerate(LISTED):
+        assert (out[k] == text) == (not found) and not [f for f in found if f in out[k] and f not in ("Rose", "Hill")]
+
+
+def test_a_number_has_one_surrogate_however_it_is_written():
+    one, two = ([sg.written(k, t[a:b], sg.surrogate(KEY, k, n)) for k, a, b, n in sg.entities(t)][0] for t in ("+49 30 1234567", "+49301234567"))
+    assert re.sub(r"\D", "", one) == re.sub(r"\D", "", two) and one.startswith("+49 ") and two.startswith("+49")
+    for text, code in (("+15551234567", "+1"), ("+351 21 123 4567", "+351"), ("+7 495 123 45 67", "+7"), ("+8613912345678", "+86")):
+        (k, a, b, n), = sg.entities(text)
+        assert sg.written(k, text, sg.surrogate(KEY, k, n)).startswith(code) and n == f"{len(code) - 1}:{text[1:].replace(' ', '')}"
+    (k, a, b, n), = sg.entities("030 1234567")
+    assert re.fullmatch(r"0\d\d \d{7}", sg.written(k, "030 1234567", sg.surrogate(KEY, k, n)))
+
+
+def test_many_names_are_drawn_in_few_rounds(spark, monkeypatch):
+    names = [f"Mr {a}{b}{c}{d}" for a in "BCDFGHKLMN" for b in ("ab", "el", "in", "or", "us") for c in "bcdfghklmn" for d in ("o", "a", "er", "is")]
+    rounds, real = [], sg.store
+    monkeypatch.setattr(sg, "store", lambda df, name: (rounds.append(name), real(df, name))[1])
+    out = sg.replace_entities(frame(spark, enumerate(names)), KEY).collect()
+    assert len({r.text for r in out}) == len(names) == 2000 and not {r.text for r in out} & set(names)
+    assert rounds.count("proposed") <= 3
+    assert sg.syllables_for(100_000) == 6
