@@ -28,6 +28,11 @@ def once_per_worker(key: str, make: Callable):
     return _made[key]
 
 
+def forget() -> None:
+    """Give up what this worker keeps for operators whose turn is over."""
+    _made.clear()
+
+
 def released(run: Callable) -> Callable:
     """A batch function that hands memory back when its task ends: workers live on, idle or reused."""
 

@@ -49,7 +49,7 @@ ROW_BITS = 14, 16  # of a feature table's rows: least and most
 TOKENS_A_ROW = 1024  # training tokens for each row between these bounds
 FEATURES = 3
 ROUNDS = 2
-MERGED = 8  # tasks' moves that one task merges before any are shuffled
+TOGETHER = 3  # partitions that one task learns from
 STEP = 4096  # tokens of a gradient step, and of a scored batch
 RATE = 0.1
 FLUSH = 150_000  # distinct words that a task counts before it hands them on
@@ -370,7 +370,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     weights = vocabulary.weights()
     for k in range(ROUNDS):
         part = encoded.where(~F.col("held") & (F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == k))
-        weights = mix(part.select("ids"), weights, learn, MERGED)
+        weights = mix(part.select("ids"), weights, learn, TOGETHER)
     beyond = rare_words(encoded, counts.where(~vocabulary.in_table), vocabulary)
     zero = F.lit(0)
     return scored(encoded, weights).join(beyond, "row", "left").select(

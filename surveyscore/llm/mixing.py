@@ -1,41 +1,63 @@
 """Distributed gradient updates by parameter mixing.
 
-Weights are a few tables of fixed size. In each round every task starts from the same tables,
-takes gradient steps through its own rows, and returns how far it moved, with a count of updates
-for each table row. Moves are averaged by these counts, as a tree over the executors, so a table
-row is moved by the tasks that saw it. The driver only ever holds one set of tables.
+Weights are a few tables of fixed size. In each round every task starts from the same tables, takes
+gradient steps through its own rows, and returns how far it moved, with a count of updates for each
+table row. Moves are rows of a frame, one for each block of table rows that a task touched; Spark
+brings a block's moves together, and they are averaged by their counts one after the other, so a
+table row is moved by the tasks that saw it. No task holds more than one set of tables and a block,
+and the driver only one set of tables.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from surveyscore.llm.batches import released
-from surveyscore.llm.store import store
-from surveyscore.sources.sinks import drop_stored
+from surveyscore.llm.batches import forget, released
 
+BLOCK = 1024  # table rows whose moves travel together
+MOVES = "name int, block int, task int, moves binary, counts binary"
 Tables = dict[str, np.ndarray]
 
 
-def pack(moves: Tables, counts: Tables) -> bytes:
-    return pickle.dumps({k: (moves[k].astype(np.float16), counts[k].astype(np.float32)) for k in moves})
+def moved(moves: Tables, counts: Tables, task: int) -> Iterator[pa.RecordBatch]:
+    """The blocks that were touched, as ``MOVES``."""
+    for k, name in enumerate(sorted(moves)):
+        for block, at in enumerate(range(0, len(moves[name]), BLOCK)):
+            n = counts[name][at:at + BLOCK]
+            if n.any():
+                x = moves[name][at:at + BLOCK].astype(np.float16)
+                yield pa.RecordBatch.from_pydict({
+                    "name": pa.array([k], pa.int32()), "block": pa.array([block], pa.int32()), "task": pa.array([task], pa.int32()),
+                    "moves": pa.array([x.tobytes()], pa.binary()), "counts": pa.array([n.astype(np.float32).tobytes()], pa.binary())})
 
 
-def merge(a: dict, b: dict) -> dict:
-    """Average of two sets of moves, weighted by the counts of each table row."""
-    out = {}
-    for k, (x, n) in a.items():
-        y, m = b[k]
-        total = n + m
-        share = np.divide(n, total, out=np.zeros_like(n), where=total > 0)
-        shape = (-1,) + (1,) * (x.ndim - 1)
-        out[k] = ((x * share.reshape(shape) + y * (1 - share).reshape(shape)).astype(np.float16), total)
-    return out
+def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``MOVES`` in order of blocks: one row for each block, its moves averaged by their counts."""
+    key, total, weight = None, None, None
+
+    def row():
+        mean = (total / np.maximum(weight, 1e-30)[:, None]).astype(np.float32)
+        return pa.RecordBatch.from_pydict({"name": pa.array([key[0]], pa.int32()), "block": pa.array([key[1]], pa.int32()),
+                                           "moves": pa.array([mean.tobytes()], pa.binary())})
+
+    for batch in batches:
+        for k, block, x, n in zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4))):
+            counts = np.frombuffer(n, np.float32).astype(np.float64)
+            moves = np.frombuffer(x, np.float16).reshape(len(counts), -1).astype(np.float64) * counts[:, None]
+            if (k, block) != key:
+                if key is not None:
+                    yield row()
+                key, total, weight = (k, block), moves, counts
+            else:
+                total += moves
+                weight += counts
+    if key is not None:
+        yield row()
 
 
 def mix(frame: DataFrame, weights: Tables,
@@ -43,23 +65,23 @@ def mix(frame: DataFrame, weights: Tables,
         together: int = 1) -> Tables:
     """One round: weights after all tasks' moves. ``learn`` returns moves and counts, or None.
 
-    A task merges the stored moves of ``together`` others before any are shuffled.
+    A task learns from ``together`` partitions, one after the other, so that moves stay few beside
+    what they were learnt from.
     """
+    if together > 1:
+        frame = frame.coalesce(max(1, -(-frame.rdd.getNumPartitions() // together)))
     shared = frame.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
+        forget()
         found = learn(shared.value, batches)
         if found is not None:
-            yield pa.RecordBatch.from_pydict({"moves": pa.array([pack(*found)], pa.binary())})
-
-    # Stored first, so that a task never needs two Python workers at once.
-    stored = store(frame.mapInArrow(released(run), "moves binary"), "moves")
-    near = stored.coalesce(max(1, -(-stored.rdd.getNumPartitions() // together))) if together > 1 else stored
-    moves = near.rdd.map(lambda r: [pickle.loads(r[0])])
-    both = moves.treeReduce(lambda a, b: [merge(a[0], b[0])] if a and b else a or b, depth=3) if (
-        moves.getNumPartitions() and not moves.isEmpty()) else []
+            yield from moved(*found, TaskContext.get().partitionId())
+
+    moves = frame.mapInArrow(released(run), MOVES).repartition("name", "block").sortWithinPartitions("name", "block", "task")
+    out, names = {k: v.copy() for k, v in weights.items()}, sorted(weights)
+    for k, block, move in moves.mapInArrow(released(averaged), "name int, block int, moves binary").collect():
+        rows = out[names[k]][block * BLOCK:(block + 1) * BLOCK]
+        rows += np.frombuffer(move, np.float32).reshape(rows.shape)
     shared.destroy()
-    drop_stored(stored)
-    if not both:
-        return weights
-    return {k: (w + both[0][k][0].astype(w.dtype)).astype(w.dtype) for k, w in weights.items()}
+    return out
