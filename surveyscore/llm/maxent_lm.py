@@ -23,6 +23,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections import Counter
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -50,7 +51,7 @@ TOKENS_A_ROW = 1024  # training tokens for each row between these bounds
 FEATURES = 3
 ROUNDS = 2
 TOGETHER = 3  # partitions that one task learns from
-STEP = 4096  # tokens of a gradient step, and of a scored batch
+STEP = 8192  # tokens of a gradient step, and of a scored batch
 RATE = 0.1
 FLUSH = 150_000  # distinct words that a task counts before it hands them on
 
@@ -181,25 +182,28 @@ def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         index, codes, base = once_per_worker(key, prepare)
         for batch in batches:
             for piece in pieces(batch):
-                out = [one(tokens_of(t), index, codes, base) for t in text_list(piece.column(3))]
                 passed = [c.cast(f.type) for c, f in zip(piece.columns[:3], arrow)]
-                made = [pa.array(c, f.type) for c, f in zip(zip(*out), list(arrow)[3:])]
-                yield pa.RecordBatch.from_arrays([*passed, *made], schema=arrow)
+                sizes, ids, sums, known, rest = zip(*[one(tokens_of(t), index, codes, base) for t in text_list(piece.column(3))])
+                words = list(chain.from_iterable(rest))
+                listed = pa.StructArray.from_arrays(
+                    [pa.array(words, pa.binary()), pa.array(list(chain.from_iterable(r.values() for r in rest)), pa.int32()),
+                     pa.array(list(map(ending, words)), pa.int32())], names=["word", "n", "ending"])
+                offsets = pa.array(np.cumsum([0, *map(len, rest)]), pa.int32())
+                made = [pa.array(c, f.type) for c, f in zip((sizes, ids, sums, known), list(arrow)[3:])]
+                last = pa.ListArray.from_arrays(offsets, listed).cast(arrow.field("rest").type)
+                yield pa.RecordBatch.from_arrays([*passed, *made, last], schema=arrow)
 
     def one(tokens, index, codes, base):
-        found = list(map(index.get, tokens))
-        rest = Counter(w for w, i in zip(tokens, found) if i is None)
-        at = np.array([i for i in found if i is not None], dtype=np.int64)
-        if not rest:
-            ids = codes[at]
-        else:
-            rare = {w: rare_code(w) for w in rest}
-            ids = np.empty(len(tokens), np.uint32)
-            mask = np.array([i is not None for i in found])
-            ids[mask] = codes[at]
-            ids[~mask] = [rare[w] for w, i in zip(tokens, found) if i is None]
-        listed = [{"word": w, "n": n, "ending": ending(w)} for w, n in rest.items()]
-        return len(tokens), ids.tobytes(), float(base[at].sum()), len(at), listed
+        at = np.fromiter(map(index.get, tokens, repeat(-1)), np.int64, len(tokens))
+        beyond = at < 0
+        if not beyond.any():
+            return len(tokens), codes[at].tobytes(), float(base[at].sum()), len(at), {}
+        others = list(compress(tokens, beyond.tolist()))
+        ids = np.empty(len(tokens), np.uint32)
+        ids[beyond] = np.fromiter(map(rare_code, others), np.uint32, len(others))
+        at = at[~beyond]
+        ids[~beyond] = codes[at]
+        return len(tokens), ids.tobytes(), float(base[at].sum()), len(at), Counter(others)
 
     return source.mapInArrow(released(run), schema)
 
@@ -247,11 +251,19 @@ def path(ends: np.ndarray, leaves: np.ndarray, fan: int) -> tuple[np.ndarray, np
     return nodes, np.concatenate([leaves // (fan * fan), leaves // fan % fan, leaves % fan])
 
 
-def softmax(logits: np.ndarray) -> np.ndarray:
+def powers_of(logits: np.ndarray) -> np.ndarray:
     np.clip(logits, -80, 80, out=logits)  # far beyond what weights reach; exp stays finite
-    np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
-    return logits
+    return np.exp(logits, out=logits)
+
+
+def totals_of(powers: np.ndarray) -> np.ndarray:
+    return powers @ np.ones(powers.shape[1], powers.dtype)
+
+
+def softmax(logits: np.ndarray) -> np.ndarray:
+    powers = powers_of(logits)
+    powers /= totals_of(powers)[:, None]
+    return powers
 
 
 def logits_of(table: np.ndarray, base: np.ndarray, features) -> np.ndarray:
@@ -271,9 +283,10 @@ def descend(table: np.ndarray, squares: np.ndarray, counts: np.ndarray, features
         pairs = slopes.take(order, axis=0).view(np.complex64)  # two columns are added at a time
         g = np.add.reduceat(pairs, first).view(np.float32)
         at = rows[first]
-        squares[at] += np.einsum("nd,nd->n", g, g) / g.shape[1]
+        seen = squares.take(at) + np.einsum("nd,nd->n", g, g) / g.shape[1]
+        squares[at] = seen
         counts[at] += 1
-        g *= (RATE / np.sqrt(squares[at]))[:, None]
+        g *= (RATE / np.sqrt(seen))[:, None]
         table[at] -= g
 
 
@@ -329,7 +342,8 @@ def teach(own: Tables, squares: Tables, counts: Tables, ids: np.ndarray, feature
 def log10_probability(weights: Tables, texts: list[np.ndarray]) -> np.ndarray:
     """Of each text's classes, frequent words and leaves, given their histories."""
     def chance(name, rows, base, labels):
-        return softmax(logits_of(weights[name], base, rows))[np.arange(len(labels)), labels].astype(float)
+        powers = powers_of(logits_of(weights[name], base, rows))
+        return powers[np.arange(len(labels)), labels].astype(float) / totals_of(powers)
 
     sizes = np.array([len(t) for t in texts])
     ids = np.concatenate(texts).astype(np.int64)

@@ -163,3 +163,68 @@ def test_scores_are_the_same_whatever_room_the_table_has_left(spark, monkeypatch
 def test_feature_tables_follow_the_counts(spark):
     assert len(counted(spark).weights()["tree"]) == 1 << 15
     assert len(counted(spark, [(b"more", 1 << 40)]).weights()["class"]) == 1 << lm.ROW_BITS[1]
+
+
+def slow_log10(weights, codes):
+    """One text's log10 probability, token by token and outcome by outcome."""
+    import math
+
+    def mixed(kind, key):
+        x = (key + (kind << 40)) * 0x9E3779B97F4A7C15 % 2**64
+        x ^= x >> 29
+        return x * 0xBF58476D1CE4E5B9 % 2**64 >> 32
+
+    def factor(name, base, features, label):
+        table = weights[name]
+        logits = [float(base[k]) + sum(float(table[f >> (33 - len(table).bit_length())][k]) for f in features) for k in range(table.shape[1])]
+        return math.log10(math.exp(logits[label]) / sum(map(math.exp, logits)))
+
+    def joined(features, node):
+        own = (node * 0x9E3779B1 + 0x7F4A7C15) % 2**32
+        return [(f ^ own) * 0x85EBCA77 % 2**32 for f in features]
+
+    total, one, two, fan = 0.0, lm.NOTHING, lm.NOTHING, weights["tree"].shape[1]
+    for c in map(int, codes):
+        features = [mixed(1, one), mixed(2, (one + two * 0xC2B2AE3D27D4EB4F) % 2**64), mixed(3, two)]
+        if c < lm.MODEL_WORDS:
+            kind, label = c // lm.SIZE, c % lm.SIZE
+            total += factor("word", weights["word_base"][kind], joined(features, kind), label)
+        else:
+            e = (c >> lm.HASH if c >= lm.RARE else c >> lm.LEAF) % lm.ENDINGS
+            leaf, kind = 0 if c >= lm.RARE else c % 2**lm.LEAF, lm.CLASSES + e
+            first = e * fan + leaf // fan**2
+            for node, branch in ((e, leaf // fan**2), (lm.ENDINGS + first, leaf // fan % fan),
+                                 (lm.ENDINGS * (1 + fan) + first * fan + leaf // fan % fan, leaf % fan)):
+                total += factor("tree", weights["tree_base"][node], joined(features, node), branch)
+        total += factor("class", weights["class_base"][0], features, kind)
+        one, two = c, one
+    return total
+
+
+def test_scores_equal_a_slow_scorer(spark):
+    vocabulary = counted(spark)
+    weights, rng = vocabulary.weights(), np.random.default_rng(9)
+    for k in ("class", "word", "tree"):
+        weights[k] += rng.standard_normal(weights[k].shape).astype(np.float32)
+    words = [*rng.choice(vocabulary.codes, 60), *(lm.rare_code(f"zz{k}".encode()) for k in range(20))]
+    texts = [np.array(rng.permutation(words)[:n], np.uint32) for n in (1, 2, 7, 40)]
+    assert np.allclose(lm.log10_probability(weights, texts), [slow_log10(weights, t) for t in texts], atol=1e-3)
+
+
+def test_moves_are_averaged_block_by_block():
+    from surveyscore.llm import mixing
+
+    rng = np.random.default_rng(1)
+    tasks = []
+    for t in range(3):
+        n = {"a": rng.integers(0, 3, 2500).astype(np.float32), "b": np.zeros(5, np.float32)}
+        n["a"][1024:2048] = 0  # a block that no task touched
+        tasks.append(({"a": rng.standard_normal((2500, 4)).astype(np.float32), "b": np.zeros(5, np.float32)}, n))
+    rows = [(k.as_py(), b.as_py(), t, batch) for t, (x, n) in enumerate(tasks) for batch in mixing.moved(x, n, t)
+            for k, b in [(batch.column(0)[0], batch.column(1)[0])]]
+    got = {(r.column(0)[0].as_py(), r.column(1)[0].as_py()): np.frombuffer(r.column(2)[0].as_py(), np.float32).reshape(-1, 4)
+           for r in mixing.averaged(r[3] for r in sorted(rows, key=lambda r: r[:3]))}
+    assert sorted(got) == [(0, 0), (0, 2)]
+    weight = sum(n["a"] for _, n in tasks)
+    mean = sum(x["a"] * n["a"][:, None] for x, n in tasks) / np.maximum(weight, 1e-9)[:, None]
+    assert np.allclose(np.concatenate([got[0, 0], got[0, 2]]), np.concatenate([mean[:1024], mean[2048:]]), atol=2e-3)
