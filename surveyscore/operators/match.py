@@ -1,9 +1,9 @@
 """Calls to branches that are rows of a table, however many there are.
 
 Compiled branches become literals of one plan, which suits dozens. Here no branch reaches the plan:
-the literal beginnings of their patterns are an index, by length and text. A call probes the few
-lengths that occur, an equi-join finds the patterns that may fit, and the rest of each branch's
-condition is checked on the pair.
+the literal beginnings and ends of their patterns are an index, by length and text. A call probes
+the few lengths that occur, an equi-join finds the patterns that may fit, and the rest of each
+branch's condition is checked on the pair.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyscore.rules import broadcast_if_small
+from surveyscore.sources.sinks import materialise
 
 #: What a branch may ask of a call; every column but the first two may be NULL, which asks nothing.
 BRANCHES = ("branch_id string, campaign_like array<string>, campaign_not_like array<string>, state_prefix string,"
@@ -19,16 +20,36 @@ BRANCHES = ("branch_id string, campaign_like array<string>, campaign_not_like ar
 _COLUMNS = [c.split()[0] for c in BRANCHES.split(", ")]
 
 
-def literal_prefix(pattern: str) -> str:
-    """SQL for what a LIKE pattern begins with, up to its first wildcard or escape."""
-    return rf"regexp_extract({pattern}, '^[^%_\\\\]*', 0)"
+def _parsed(pattern: str) -> str:
+    """SQL for what a LIKE pattern asks: most are a text, a beginning and an end, or a text within."""
+    begin, rest = rf"regexp_extract({pattern}, '^[^%_\\\\]*', 0)", rf"regexp_extract({pattern}, '[^%_\\\\]*$', 0)"
+    inner = rf"regexp_extract({pattern}, '^%([^%_\\\\]+)%$', 1)"
+    kind = f"""CASE WHEN {begin} = {pattern} THEN 'text' WHEN {inner} <> '' THEN 'inner'
+        WHEN contains({pattern}, '%') AND length({begin}) + length({rest}) + 1 = length({pattern}) THEN 'ends' ELSE 'like' END"""
+    return f"named_struct('p', {pattern}, 'kind', {kind}, 'a', CASE WHEN {inner} <> '' THEN {inner} ELSE {begin} END, 'z', {rest})"
+
+
+def _fits(parsed: str) -> str:
+    """SQL for whether a campaign name fits; only patterns of other shapes are matched as such."""
+    return f"""CASE {parsed}.kind WHEN 'text' THEN Campaign_Name = {parsed}.p WHEN 'inner' THEN contains(Campaign_Name, {parsed}.a)
+        WHEN 'ends' THEN startswith(Campaign_Name, {parsed}.a) AND endswith(Campaign_Name, {parsed}.z)
+            AND length(Campaign_Name) >= length({parsed}.a) + length({parsed}.z)
+        ELSE Campaign_Name LIKE {parsed}.p END"""
 
 
 def pattern_index(branches: DataFrame) -> DataFrame:
-    """One row per branch and pattern, with the pattern's literal beginning and its length."""
-    rows = branches.selectExpr(*_COLUMNS).selectExpr(*[f"{c} AS b_{c}" for c in _COLUMNS])
-    listed = rows.selectExpr("*", "posexplode(array_distinct(filter(b_campaign_like, p -> p IS NOT NULL))) AS (b_pos, b_pattern)")
-    return listed.selectExpr("*", f"{literal_prefix('b_pattern')} AS b_prefix").selectExpr("*", "length(b_prefix) AS b_length")
+    """One row per branch and pattern, with the longer of the texts that it begins and ends with."""
+    rows = branches.selectExpr(*_COLUMNS).selectExpr(*[f"{c} AS b_{'end_time' if c == 'end' else c}" for c in _COLUMNS])
+    parsed = f"transform(array_distinct(filter(b_campaign_like, p -> p IS NOT NULL)), p -> {_parsed('p')})"
+    none = f"transform(filter(b_campaign_not_like, p -> p IS NOT NULL), p -> {_parsed('p')})"
+    rows = rows.selectExpr("*", f"{parsed} AS b_all", f"{none} AS b_none").drop("b_campaign_like", "b_campaign_not_like")
+    listed = rows.selectExpr("*", "posexplode(b_all) AS (b_pos, b_one)").selectExpr("*", "slice(b_all, 1, b_pos) AS b_earlier").drop("b_all")
+    # After an escape a wildcard is a letter, so such a pattern's end is not taken as it stands.
+    listed = listed.selectExpr("*", r"CASE WHEN contains(b_one.p, '\\') THEN '' ELSE b_one.z END AS b_end",
+                               "CASE WHEN b_one.kind = 'inner' THEN '' ELSE b_one.a END AS b_begin")
+    listed = listed.withColumn("b_back", F.expr("length(b_end) > length(b_begin)"))
+    listed = listed.withColumn("b_anchor", F.expr("CASE WHEN b_back THEN b_end ELSE b_begin END"))
+    return listed.withColumn("b_length", F.length("b_anchor"))
 
 
 def match_branches(calls: DataFrame, branches: DataFrame) -> DataFrame:
@@ -36,21 +57,22 @@ def match_branches(calls: DataFrame, branches: DataFrame) -> DataFrame:
 
     ``branches`` has the columns of ``BRANCHES``; one without a pattern takes no call. A call fits
     if one of the patterns fits its Campaign_Name and no excluded one does, and the other conditions
-    hold; a NULL in the call meets none. Branches are broadcast if few, else joined by prefix, where
-    Spark splits a prefix that very many calls share.
+    hold; a NULL in the call meets none. Branches are broadcast if few, else joined by the indexed
+    text, where Spark splits one that very many calls share.
     """
-    index = pattern_index(branches)
-    # At most as many lengths as a campaign name has letters.
-    lengths = sorted(r[0] for r in index.select("b_length").distinct().collect())
-    probes = calls.withColumn("b_probe", F.explode(F.array(*[F.lit(n) for n in lengths]))) if lengths else calls.withColumn("b_probe", F.lit(0))
-    probes = probes.where("length(Campaign_Name) >= b_probe").withColumn("b_text", F.expr("substring(Campaign_Name, 1, b_probe)"))
-    fits = """b_text = b_prefix AND b_probe = b_length AND Campaign_Name LIKE b_pattern
-        AND NOT exists(slice(array_distinct(filter(b_campaign_like, p -> p IS NOT NULL)), 1, b_pos), p -> Campaign_Name LIKE p)
-        AND NOT coalesce(exists(b_campaign_not_like, p -> Campaign_Name LIKE p), false)
+    index = materialise(pattern_index(branches), "patterns")
+    # At most twice as many as a campaign name has letters.
+    kinds = sorted(tuple(r) for r in index.select("b_back", "b_length").distinct().collect())
+    looks = F.array(*[F.struct(F.lit(back).alias("back"), F.lit(n).alias("n")) for back, n in kinds]).cast("array<struct<back:boolean,n:int>>")
+    probes = calls.withColumn("b_probe", F.explode(looks)).where("length(Campaign_Name) >= b_probe.n")
+    probes = probes.withColumn("b_text", F.expr("CASE WHEN b_probe.back THEN right(Campaign_Name, b_probe.n) ELSE left(Campaign_Name, b_probe.n) END"))
+    fits = f"""b_text = b_anchor AND b_probe.n = b_length AND b_probe.back = b_back AND {_fits('b_one')}
         AND (b_state_prefix IS NULL OR upper(state) LIKE upper(b_state_prefix))
         AND (b_q2_type IS NULL OR Q2_Type = b_q2_type)
-        AND (b_start IS NULL OR Start_Time >= b_start) AND (b_end IS NULL OR Start_Time < b_end)
+        AND (b_start IS NULL OR Start_Time >= b_start) AND (b_end_time IS NULL OR Start_Time < b_end_time)
         AND (b_pc_in IS NULL OR array_contains(b_pc_in, PC_NO))
-        AND (b_pc_not_in IS NULL OR NOT array_contains(b_pc_not_in, PC_NO))"""
+        AND (b_pc_not_in IS NULL OR NOT array_contains(b_pc_not_in, PC_NO))
+        AND (size(b_earlier) = 0 OR NOT exists(b_earlier, e -> Campaign_Name LIKE e.p))
+        AND (b_none IS NULL OR NOT exists(b_none, e -> Campaign_Name LIKE e.p))"""
     found = probes.join(broadcast_if_small(index), F.expr(fits))
     return found.select(*calls.columns, F.col("b_branch_id").alias("branch_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyscore.operators.combine import union_all
+from surveyscore.rules import broadcast_if_small
 from surveyscore.sources.sinks import materialise
 
 BINS = 256  # bins that an interval is cut into at a time
@@ -95,8 +96,10 @@ def percentiles(rows: DataFrame, value: str, levels: Mapping[str, Sequence[str]]
         rest = open_.where("low < high")
         if rest.isEmpty():
             break
-        spans = rest.select("g", "h", "low", "high").distinct()
-        inside = values.select("g", "h", "v", "w").join(spans, ["g", "h"]).where("v BETWEEN low AND high")
+        spans = rest.select(F.struct("g", "h").alias("of"), "low", "high").distinct()
+        # Joined by another key than is grouped by: rows of a large group are then counted where they
+        # lie, and only counts per bin meet.
+        inside = values.select("g", "h", "v", "w").join(broadcast_if_small(spans), F.struct("g", "h") == F.col("of")).where("v BETWEEN low AND high")
         place = f"least({bins - 1}, CAST(floor((v / 2 - low / 2) / (high / 2 - low / 2) * {bins}) AS INT))"
         # A step below the resolution of doubles would put all in one bin: the least value is a bin of its own.
         place = f"CASE WHEN v = low THEN -1 WHEN v = high THEN {bins} ELSE {place} END"
