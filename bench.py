@@ -18,6 +18,9 @@ HEADLINE = [
     # the queries with the largest plans, and the same round with one scan and with one per branch
     "combine_scopes", "materialise_join", "stack_rounds", "round_com", "score_rounds_dense", "report_full",
     "round_bc_from_tables", "round_by_branch",
+    # batches, buckets, branches as a table, time, levels
+    "run_incremental", "run_by_number", "match_stored_branches", "calls_in_windows", "schedule_in_force",
+    "call_sessions", "distinct_respondents", "duration_percentiles",
 ]
 
 
