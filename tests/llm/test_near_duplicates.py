@@ -152,10 +152,13 @@ def brute_vectors(rows, cosine):
     return sorted(((ids[i], count[i], least.get(root[i]), ids[i] is None or ids[i] == least[root[i]]) for i in range(len(rows))), key=repr)
 
 
-@pytest.mark.parametrize("block,tile", [(8192, 512), (40, 16)])
-def test_vectors_equal_brute_force(spark, monkeypatch, block, tile):
+@pytest.mark.parametrize("block,tile,copy", [(8192, 512, 1024), (40, 16, 1024), (8192, 512, 4), (20, 8, 4)])
+def test_vectors_equal_brute_force(spark, monkeypatch, block, tile, copy):
+    """One cell, one cell of many blocks, cells of many groups, and those in blocks."""
     monkeypatch.setattr(ed, "BLOCK", block)
     monkeypatch.setattr(ed, "TILE", tile)
+    monkeypatch.setattr(ed, "COPY", copy)
+    assert (ed.plan_groups(290, 0.9, ed.RECALL)[1] > 5) == (copy == 4)
     rng = np.random.default_rng(block)
     rows, held = [], []
     for i in range(260):
@@ -187,6 +190,63 @@ def test_calibrated_count_keeps_pairs_at_the_threshold():
     assert (count >= ed.calibrate(ed.LINES, ed.WIDTH, ed.RECALL)).mean() > 0.999
 
 
+def pairs_at(cosine, n, length, seed):
+    rng = np.random.default_rng(seed)
+    x, y = ed.unit(rng.standard_normal((n, length))), rng.standard_normal((n, length))
+    return x, cosine * x + np.sqrt(1 - cosine**2) * ed.unit(y - (x * y).sum(1, keepdims=True) * x)
+
+
+def test_recall_of_vectors_at_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(ed, "COPY", 16)
+    x, y = pairs_at(0.9001, 2000, 48, 8)
+    data = [(2 * k + side, [float(c) for c in v]) for k in range(2000) for side, v in enumerate((x[k], y[k]))]
+    assert ed.plan_groups(4000, 0.9, ed.RECALL)[0] > 4
+    found = {r.vec_id: r.component_id for r in ed.near_duplicates(vectors(spark, data)).collect()}
+    assert np.mean([found[2 * k + 1] == 2 * k for k in range(2000)]) > 0.99
+
+
+def test_cells_keep_their_recall_where_vectors_share_a_direction():
+    """The middle of a line parts a pair by its angle alone, also in a narrow cone."""
+    x, y = pairs_at(0.9, 4000, 32, 9)
+    lean = np.zeros(32)
+    lean[0] = 4
+    x = ed.unit(x + lean)
+    y = ed.unit(np.random.default_rng(1).standard_normal((4000, 32)))
+    y = 0.9 * x + np.sqrt(0.19) * ed.unit(y - (x * y).sum(1, keepdims=True) * x)
+    g, groups = ed.plan_groups(100_000, 0.9, ed.RECALL)
+    assert (ed.cell_keys(x, g, groups) == ed.cell_keys(y, g, groups)).any(axis=1).mean() > 0.997
+
+
+def test_comparisons_grow_less_than_the_power_of_one_point_three():
+    def work(n):
+        g, groups = ed.plan_groups(n, 0.9, ed.RECALL)
+        return groups * (ed.COPY + n / 2**g) * n
+
+    assert all(work(10 * n) < work(n) * 10**1.3 for n in (10**5, 10**6, 10**7, 10**8))
+
+
+def test_a_pair_of_vectors_counts_once_and_only_if_it_never_met():
+    x, y = pairs_at(0.95, 30, 16, 3)
+    v, ones = np.concatenate([x, y]), np.ones(60, np.int64)
+    none = np.zeros((60, 0), np.int32)
+    linked, _ = ed.compare(v, ones, none, 60, True, 0.9, ed.LINES, 1e-4)
+    assert linked[:30].min() >= 1
+    met = np.arange(60, dtype=np.int32)[:, None] % 30 % 10  # partners met if this is equal
+    later, _ = ed.compare(v, ones, met, 60, True, 0.9, ed.LINES, 1e-4)
+    apart, _ = ed.compare(v, ones, np.arange(60, dtype=np.int32)[:, None], 60, True, 0.9, ed.LINES, 1e-4)
+    assert later.max() <= linked.max() - 1 and (apart == linked).all()
+
+
+def test_the_product_and_the_sum_decide_alike():
+    x, y = pairs_at(0.9, 64, 24, 4)
+    v = np.concatenate([ed.unit(x), ed.unit(y)])
+    r, c = np.arange(64), np.arange(64, 128)
+    i, j = (a.ravel() for a in np.mgrid[:64, :64])
+    many = ed.verified(r, c, i, j, v, 0.9)
+    few = np.concatenate([ed.verified(r, c, i[k:k + 8], j[k:k + 8], v, 0.9) for k in range(0, len(i), 8)])
+    assert (many == few).all()
+
+
 @pytest.mark.parametrize("percent", [50, 80, 85, 90, 100])
 def test_bands_follow_from_the_threshold(percent):
     from surveyscore.llm.minhash_dedup import banding
