@@ -72,6 +72,19 @@ def test_random_texts(spark):
     assert sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got), key=repr) == brute(docs, items, 4)
 
 
+def test_a_passage_of_many_items_travels_as_one_number(spark):
+    """Items that share a passage: its windows carry one set, members are listed once."""
+    items = [(i, f"{TEN} eleven twelve" + (" thirteen" if i % 2 else "")) for i in range(200)] + [(None, TEN), (500, "alone"), (None, "unnamed")]
+    docs, benchmark = frames(spark, [(1, f"x {TEN} eleven twelve y"), (1, f"{TEN} eleven twelve thirteen"), (None, "ALONE " + TEN), (3, "unnamed")], items)
+    found, members = dc.windows(benchmark, "item_id", "text", 10)
+    assert found.count() == 6 and found.select("items").distinct().count() == 4  # all, odd ones, one, none
+    assert members.count() == 200 + 100 + 1
+    got = sorted((len(r["items"]), r.n_hit) for r in dc.find_contamination(docs, benchmark).collect())
+    assert got == [(0, 1), (200, 12), (200, 13), (201, 11)]
+    plain = dc.find_contamination(docs, benchmark, with_items=False)
+    assert "items" not in plain.columns and sorted(r.n_hit for r in plain.collect()) == [1, 11, 12, 13]
+
+
 def test_empty_tables(spark):
     assert found(spark, [], ITEMS) == []
     assert [(r.n_words, r.n_hit, r["items"]) for r in found(spark, [(1, "a b")], [])] == [(2, 0, [])]
