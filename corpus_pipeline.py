@@ -46,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_contamination(with_rows(docs), benchmark, "row", keep_text=True)
+    found = decontaminate.find_contamination(with_rows(docs), benchmark, "row", keep_text=True, with_items=False)
     return found.where("n_hit = 0").select("row.*", "text").select(docs.columns)
 
 
