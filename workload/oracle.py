@@ -566,7 +566,7 @@ ORACLE["report_sort"] = LONG + "SELECT * FROM scored ORDER BY state, AC_NO, RES1
 ORACLE["report_page"] = LONG + """SELECT * FROM scored WHERE ROUND = 'COM'
   ORDER BY state NULLS LAST, AC_NO NULLS LAST, RES1, ROUND, PC_ID NULLS LAST, AC_ID NULLS LAST, N_PARTY
   LIMIT 30 OFFSET 60"""
-ORACLE["report_slice"] = LONG + "SELECT * FROM scored WHERE state = 'EUROPE' AND AC_NO = 37"
+ORACLE["report_slice"] = LONG + "SELECT * FROM scored WHERE state = 'EUROPE' AND AC_NO = 1"
 ORACLE["report_full"] = LONG + """, chosen AS (SELECT * FROM scored WHERE state = 'ASIA' AND ROUND = 'BC'),
   counts AS (SELECT count(*) AS total, CAST(ceil(count(*) / 30.0) AS INTEGER) AS pages,
     (SELECT count(DISTINCT state) FROM scored) AS n_states, count(DISTINCT AC_NO) AS n_ac_numbers,

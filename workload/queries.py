@@ -625,7 +625,7 @@ def report_page(spark, sf):
 
 @query
 def report_slice(spark, sf):
-    return report.slice_rows(_long(spark, sf), state="EUROPE", ac_no="37", res1="", round=None)
+    return report.slice_rows(_long(spark, sf), state="EUROPE", ac_no="1", res1="", round=None)
 
 
 @query
