@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyscore.llm.batches import pieces, released
-from surveyscore.llm.components import least_reached, name_rows
+from surveyscore.llm.components import drop, least_reached, name_rows
 from surveyscore.llm.grouped import sorted_groups
 from surveyscore.llm.store import store
 
@@ -224,13 +224,14 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
     classes = keyed.where("h is not null").groupBy("h", "g").agg(
         F.min("id").alias("id"), F.count("*").alias("weight"), F.first("v").alias("v"))
     classes = store(classes.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
-    found = None
+    found, used = None, []
     for length, n in sorted(tuple(r) for r in classes.groupBy(F.size("v")).count().collect()):
-        part = link_classes(classes.where(F.size("v") == length), n, cosine, lines, recall)
+        part = link_classes(classes.where(F.size("v") == length), n, cosine, lines, recall, used)
         found = part if found is None else found.union(part)
     if found is None:
         found = members.sparkSession.createDataFrame([], "cid long, links long, root long")
     found = store(found, "vector-links")
+    drop(*used)
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     counted = store(classes.select("h", "g", "cid", "id", "weight").join(links, "cid", "left").select(
         "h", "g", "cid", "id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "vector-counts")
@@ -260,15 +261,16 @@ def with_cells(classes: DataFrame, g: int, groups: int) -> DataFrame:
     return store(source.mapInArrow(released(run), schema), "vector-cells")
 
 
-def dealt(placed: DataFrame) -> DataFrame:
+def dealt(placed: DataFrame, used: list[DataFrame]) -> DataFrame:
     """Rows once for every group of lines and every pair of blocks that they belong to.
 
     A cell of at most ``BLOCK`` rows is one block. Larger ones are counted first; their rows are
-    dealt over blocks by id.
+    dealt over blocks by id. Stored tables that the result reads are added to ``used``.
     """
     met = placed.select("cid", "weight", "v", "cells", F.posexplode("cells").alias("turn", "cell"))
     large = store(placed.select(F.posexplode("cells").alias("turn", "cell")).groupBy("turn", "cell").agg(F.count("*").alias("rows"))
                   .where(F.col("rows") > BLOCK), "vector-large-cells")
+    used += [placed, large]
     n = large.count()
     if n:
         met = met.join(F.broadcast(large) if n <= LISTED else large, ["turn", "cell"], "left")
@@ -281,7 +283,7 @@ def dealt(placed: DataFrame) -> DataFrame:
                       "weight", F.slice("cells", F.lit(1), F.col("turn")).alias("earlier"), "v")
 
 
-def link_classes(classes: DataFrame, n: int, cosine: float, lines: int, recall: float) -> DataFrame:
+def link_classes(classes: DataFrame, n: int, cosine: float, lines: int, recall: float, used: list[DataFrame]) -> DataFrame:
     """Links of distinct vectors of one length: (cid, links, root) for each row and pair of blocks."""
     g, groups = plan_groups(n, cosine, 1 - (1 - recall) * IN_CELLS)
     lost = (1 - recall) * (1 - IN_CELLS)
@@ -302,7 +304,7 @@ def link_classes(classes: DataFrame, n: int, cosine: float, lines: int, recall:
             yield pa.RecordBatch.from_arrays([pa.array(cid[at]), pa.array(linked[at]), pa.array(cid[root[at]])],
                                              names=["cid", "links", "root"])
 
-    cells = dealt(with_cells(classes, g, groups))
+    cells = dealt(with_cells(classes, g, groups), used)
     keys = ["turn", "cell", "i", "j"]
     width = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = cells.repartition(max(width, math.ceil(n * groups / 65536)), *keys).sortWithinPartitions(*keys)
