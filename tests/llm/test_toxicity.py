@@ -1,3 +1,6 @@
+import math
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +66,31 @@ def test_offending_sentences_are_located(trained):
     assert np.mean([bool(x) for x in right]) > 0.9
 
 
+def slow_score(text, weights):
+    """One minus the product of what each sentence leaves, sentences and words read letter by letter."""
+    def beginnings(word):
+        return [word] + [f"{k}{word[:k]}" for k in (3, 4, 5, 6, 7) if len(word) > k]
+
+    sentences, clean = "".join("\n" if c in ".!?" else c for c in text or "").split("\n"), 1.0
+    for sentence in sentences:
+        words = set("".join(c if c.isalpha() else " " for c in sentence.lower()).split())
+        if words or sentences == [""]:
+            z = float(weights["base"][0])
+            for w in words:
+                for b in beginnings(w):
+                    z += float(weights["words"][zlib.crc32(b.encode()) % 2**18])
+            clean *= 1 / (1 + math.exp(z))
+    return 1 - clean
+
+
+def test_scores_equal_a_slow_noisy_or(spark, trained):
+    weights, docs, texts, _ = trained
+    extra = {1000: "Vile! w1 w2? Rottenest\nW3 vile, 7 w4", 1001: "Größe rottenly; 漢字 vile... w9", 1002: ""}
+    found = docs.select("doc_id", "text").union(spark.createDataFrame(list(extra.items()), "doc_id long, text string"))
+    for r in tx.score(found, weights).collect():
+        assert r.score == pytest.approx(slow_score({**texts, **extra}[r.doc_id], weights), abs=1e-6)
+
+
 def test_scores_edge_cases(spark, trained):
     weights = trained[0]
     rows = [(1, None), (2, ""), (3, "... 123"), (None, "w1 vile."), (4, "w1 vile."), (4, "w1 vile."), (5, "w1 " * 50000 + "vile")]
