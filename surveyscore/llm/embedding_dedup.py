@@ -11,7 +11,7 @@ follow from the same figures (``calibrate``). Pairs that reach the count are ver
 A pair counts in the first group where its rows share a cell, so no link is counted twice. A cell
 yields one row per vector (its new links, and the least vector it is connected to there), never its
 pairs. A cell with more than ``BLOCK`` rows is compared in pairs of blocks, each a task's worth; tiles whose
-rows all shared an earlier cell are passed over. Comparisons grow as the rows to the power of 1.22
+rows all shared an earlier cell are passed over. Comparisons grow as the rows to the power of 1.2 to 1.3
 where vectors spread over directions; vectors near each other are all compared, as their number of
 links has to be counted.
 """
