@@ -1,8 +1,8 @@
 """Near-duplicate vectors by counting collisions of one-dimensional projections.
 
 Unit vectors are projected on many Gaussian lines. Lines are taken in rounds of independent groups:
-each line of a group, in its sorted order, is cut in the middle, and rows that fall on the same
-sides of all lines of the group share a cell. A cut parts two vectors with a probability given by
+each line of a group is cut at zero, the middle of its order, and rows that fall on the same sides
+of all lines of the group share a cell. A cut parts two vectors with a probability given by
 their angle alone, so the lines of a group and the number of groups (``plan_groups``) follow from the
 cosine, the recall and the number of rows, whatever the data. Within a cell two vectors collide on a
 line if one lies in the window centred on the other; the window and the least count of collisions
