@@ -196,37 +196,43 @@ class Texts:
         """(cid, text), stored. Rows are first thinned by a Bloom filter of bounded size."""
         wanted = store(self.classes.join(asked, "cid", "left_semi").select("cid", "id", "h", "g"), "wanted")
         size = 1 << min(max(16 * wanted.count(), 1 << 10).bit_length(), BLOOM_BITS.bit_length() - 1)
-        marks = wanted.select(F.array(*[F.xxhash64(F.lit(k), "id") for k in range(4)]).alias("at"))
-        bloom = self.docs.sparkSession.sparkContext.broadcast(bit_table(marks, size))
+        bloom = self.docs.sparkSession.sparkContext.broadcast(bit_table(wanted.select(*marks("id")), size))
+        # One Python node: two in a stage would hold two workers a task, which Spark then keeps and deals tasks to in turn.
+        named = thinned(self.docs, bloom, size).join(wanted.select("id").distinct(), "id", "left_semi")
+        return store(named.join(wanted, ["id", "h", "g"]).select("cid", "text").dropDuplicates(["cid"]), "texts")
 
-        @F.pandas_udf("boolean")
-        def marked(*at: pd.Series) -> pd.Series:
-            table = np.frombuffer(bloom.value, np.uint8)
-            return pd.Series(np.logical_and.reduce([has_bit(table, a.to_numpy(), size) for a in at]))
 
-        near = self.docs.where(marked(*[F.xxhash64(F.lit(k), "id") for k in range(4)]))
+def marks(id_col: str) -> list:
+    """Where an id stands in a Bloom filter, before its size is taken."""
+    return [F.xxhash64(F.lit(k), id_col).alias(f"at{k}") for k in range(4)]
 
-        @F.pandas_udf("h long, g long")
-        def sequence(text: pd.Series) -> pd.DataFrame:
-            found = [sequence_hash(words_of(t or "")) for t in text]
-            return pd.DataFrame(found, columns=["h", "g"])
 
-        named = near.join(wanted.select("id").distinct(), "id", "left_semi").select("id", "text", sequence("text").alias("s"))
-        named = named.select("id", "text", "s.h", "s.g")
-        return store(named.join(wanted, ["id", "h", "g"]).select("cid", "text").dropDuplicates(["cid"]), "texts")
+def thinned(docs: DataFrame, bloom, size: int) -> DataFrame:
+    """(id, text, h, g) of the rows whose ids the filter lets through."""
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL("h long, g long").fields])
+    arrow = to_arrow_schema(schema)
 
+    def run(batches):
+        table = np.frombuffer(bloom.value, np.uint8)
+        for batch in batches:
+            near = np.logical_and.reduce([has_bit(table, batch.column(k).to_numpy(), size) for k in range(2, batch.num_columns)])
+            for piece in pieces(batch.select([0, 1]).filter(pa.array(near))):
+                found = [sequence_hash(words_of(t)) for t in text_list(piece.column(1))]
+                arrays = [c.cast(f.type) for c, f in zip(piece.columns, arrow)]
+                arrays += [pa.array([x[k] for x in found], pa.int64()) for k in range(2)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-def bit_table(marks: DataFrame, size: int) -> bytes:
-    """A table of ``size`` bits, those of all marks set; partial tables are merged as a tree."""
+    return docs.select("id", "text", *marks("id")).mapInArrow(released(run), schema)
 
-    def fill(rows):
-        table = np.zeros(size // 8, np.uint8)
-        for r in rows:
-            at = np.asarray(r[0], dtype=np.int64).view(np.uint64) & np.uint64(size - 1)
-            np.bitwise_or.at(table, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        yield table
 
-    return marks.rdd.mapPartitions(fill).treeReduce(np.bitwise_or, depth=3).tobytes()
+def bit_table(marks: DataFrame, size: int) -> bytes:
+    """A table of ``size`` bits, those of all marks set, from one row for every 64 of them."""
+    at = F.explode(F.array(*marks.columns)).alias("at")
+    rows = marks.select(at).select(F.col("at").bitwiseAND(F.lit(size - 1)).alias("at"))
+    words = rows.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits"))
+    table, found = np.zeros(size // 64, "<i8"), words.toArrow()
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return table.tobytes()
 
 
 def has_bit(table: np.ndarray, marks: np.ndarray, size: int) -> np.ndarray:

@@ -112,6 +112,35 @@ def test_links_that_no_leader_shows_are_found(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=repr) == brute_texts(rows, 80)
 
 
+def test_texts_are_looked_up_by_one_python_node(spark, monkeypatch):
+    """Two in a stage hold two workers a task, all of which later stages fill with their own tables."""
+    plans, store = {}, mh.store
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(mh, "store", noted)
+    docs = spark.createDataFrame([(i, f"text {i}" if i % 9 else None) for i in range(500)], "doc_id long, text string")
+    texts = [(i, t, *mh.sequence_hash(mh.words_of(t or ""))) for i, t in docs.collect()]
+    classes = spark.createDataFrame([(i + 1000, i, h, g) for i, t, h, g in texts if t], "cid long, id long, h long, g long")
+    asked = spark.createDataFrame([(i + 1000,) for i in range(0, 500, 7)], "cid long")
+    found = mh.Texts(docs, classes, "doc_id", "text").of(asked)
+    assert sorted(map(tuple, found.collect())) == [(i + 1000, t) for i, t, _, _ in texts if t and i % 7 == 0]
+    assert sum(plans["texts"].count(node) for node in ("EvalPython", "MapInArrow")) == 1
+
+
+def test_bits_of_the_filter(spark):
+    rng = np.random.default_rng(1)
+    marks = rng.integers(-(1 << 63), 1 << 63, (300, 2), np.int64)
+    want = np.zeros(1 << 12, np.uint8)
+    want[marks.ravel() & ((1 << 12) - 1)] = 1
+    table = mh.bit_table(spark.createDataFrame(marks.tolist(), "at0 long, at1 long"), 1 << 12)
+    assert (np.unpackbits(np.frombuffer(table, np.uint8), bitorder="little") == want).all()
+    assert all(mh.has_bit(np.frombuffer(table, np.uint8), marks[:, 0], 1 << 12))
+    assert not any(mh.bit_table(spark.createDataFrame([], "at0 long, at1 long"), 1 << 10))
+
+
 def test_groups_of_a_sorted_partition():
     batches = [pa.RecordBatch.from_pydict({"k": k, "l": [0] * len(k), "v": k}) for k in ([1, 1, 2], [2, 2], [], [2, 3, 4], [5], [5, 5])]
     got = [g.column(2).to_pylist() for g in sorted_groups(iter(batches), 2)]
