@@ -6,6 +6,7 @@ import time
 
 import pytest
 from conftest import calls, rows
+from pyspark.sql import functions as F
 
 from surveyscore import Branch
 from surveyscore.operators import match
@@ -42,6 +43,40 @@ def test_equals_the_compiled_branches(spark):
     assert sorted(rows(match.match_branches(raw, listed), "DN", "branch_id")) == want and len({b for _, b in want}) >= 7
 
 
+def brute_counts(raw, listed):
+    found = match.match_branches(raw, listed).groupBy("branch_id").agg(F.count("*").alias("n_calls"), F.min("DN").alias("first_call"))
+    return rows(found, "branch_id", "n_calls", "first_call")
+
+
+@pytest.mark.parametrize("most", [match.MOST_TIMES, 0])
+def test_counts_equal_the_matches(spark, monkeypatch, most):
+    import datetime
+
+    monkeypatch.setattr(match, "MOST_TIMES", most)
+    rnd, likes = random.Random(5), ["AP-EP%", "AP%LSE", "TN-B_-PC%", "%", "%PC1%", "TN-BC", "", "A\\_P\\%x", None]
+    days = [None, None, datetime.datetime(2024, 1, 1, 12), datetime.datetime(2024, 1, 2), datetime.datetime(2024, 1, 3)]
+    data = [{"branch_id": rnd.choice(["x", "y", None, f"b{k}"]), "campaign_like": rnd.sample(likes, 2), "campaign_not_like": rnd.choice([None, ["%PM"], ["AP%", None]]),
+             "state_prefix": rnd.choice([None, "a%"]), "q2_type": rnd.choice([None, "LSE"]), "start": rnd.choice(days), "end": rnd.choice(days),
+             "pc_in": rnd.choice([None, [1], [1, 2]]), "pc_not_in": rnd.choice([None, None, [2], [None, 1]])} for k in range(250)]
+    raw, listed = some_calls(spark, 300, 2), table(spark, [*data, *data[:7], {"branch_id": "none"}])
+    want = brute_counts(raw, listed)
+    assert rows(match.count_branches(raw, listed, "DN"), "branch_id", "n_calls", "first_call") == want and len(want) > 30
+
+
+def test_counting_makes_no_pairs_of_calls_and_branches(spark, monkeypatch):
+    listed = table(spark, [{"branch_id": f"b{k}", "campaign_like": ["AP%"], "q2_type": ["LSE", None][k % 2]} for k in range(3000)])
+    raw, pairs, match_branches = some_calls(spark, 2000), [], match.match_branches
+
+    def noted(calls, branches):
+        pairs.append(calls.count() * branches.count())
+        return match_branches(calls, branches)
+
+    monkeypatch.setattr(match, "match_branches", noted)
+    found = match.count_branches(raw, listed, "DN")
+    assert found.count() == 3000 and sum(pairs) <= 8
+    assert match.count_branches(raw, table(spark, []), "DN").count() == 0
+
+
 def test_ten_thousand_branches_plan_quickly(spark):
     rnd = random.Random(3)
     data = [{"branch_id": f"b{k}", "campaign_like": [f"S{k % 97:02d}-{k}-PC%", f"S{k % 97:02d}%-{k % 13}"]} for k in range(10_000)]
