@@ -12,7 +12,9 @@ tables grow with the training tokens between two bounds.
 
 Training is one pass over all training tokens in a fixed number of rounds; in each, every task
 takes Adagrad steps through its own rows and the moves are mixed (``mixing``). Scores are computed
-in numpy batches over the feature rows that a batch touches.
+in numpy batches over the feature rows that a batch touches. Tables are raised to powers once a task:
+a history's powers are then products of table rows, and a step multiplies rows, so that no power is
+taken for a token.
 
 Word counts are exact and cover the whole corpus. Tokens of words frequent enough for a bounded
 broadcast table are looked up in the task; the rest, none of them frequent, are joined by word.
@@ -22,18 +24,17 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections import Counter
-from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyscore.llm.batches import once_per_worker, pieces, released, text_list
+from surveyscore.llm.batches import once_per_worker, pieces, released
 from surveyscore.llm.mixing import Tables, mix
 from surveyscore.llm.store import store
 
@@ -53,7 +54,11 @@ ROUNDS = 2
 TOGETHER = 3  # partitions that one task learns from
 STEP = 4096  # tokens of a gradient step, and of a scored batch
 RATE = 0.1
-FLUSH = 150_000  # distinct words that a task counts before it hands them on
+HALF = np.float32(0.5**0.5)
+HIGHEST = 25.0  # bound of a weight whose power is taken, far beyond what training reaches
+FEW = 6  # steps of a table row, up to which they are added one after the other
+FLUSH = 1 << 25  # bytes of words that a task counts before it hands them on
+CODED = 1 << 22  # bytes of texts that are looked up at once
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -63,12 +68,31 @@ def tokens_of(text: str) -> list[bytes]:
     return words
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``tokens_of`` without ends, of all texts in a row, and how many each text has; null is empty."""
+    texts = pc.ascii_trim_whitespace(texts.fill_null(""))
+    full = pc.greater(pc.binary_length(texts), 0)  # an empty text would be split into one empty word
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.filter(full)))
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[full.to_numpy(zero_copy_only=False)] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return lists.flatten(), sizes
+
+
+def endings(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w[-3:]) for w in words), np.int64, len(words)) % ENDINGS
+
+
 def ending(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % ENDINGS
+    return int(endings([word])[0])
+
+
+def rare_codes(words: list[bytes], ends: np.ndarray) -> np.ndarray:
+    hashes = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+    return (RARE | ends << HASH | hashes & ((1 << HASH) - 1)).astype(np.uint32)
 
 
 def rare_code(word: bytes) -> int:
-    return RARE | ending(word) << HASH | zlib.crc32(word) & ((1 << HASH) - 1)
+    return int(rare_codes([word], endings([word]))[0])
 
 
 def held_out(id_col: Column) -> Column:
@@ -79,19 +103,23 @@ def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over the column text; each task sums its own counts first."""
 
     def run(batches):
-        counts = Counter()
+        held, size, ends = [], 0, 0
         for batch in batches:
             for piece in pieces(batch):
-                for text in text_list(piece.column(0)):
-                    counts.update(tokens_of(text))
-                if len(counts) >= FLUSH:
-                    yield rows(counts)
-                    counts.clear()
-        yield rows(counts)
-
-    def rows(counts):
-        return pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.binary()),
-                                           "n": pa.array(list(counts.values()), pa.int64())})
+                words, sizes = words_of(piece.column(0))
+                held.append(words)
+                size += words.nbytes
+                ends += len(sizes)
+                if size >= FLUSH:
+                    yield rows(*pc.value_counts(pa.chunked_array(held)).flatten())
+                    held, size = [], 0
+        if ends:
+            if held:
+                yield rows(*pc.value_counts(pa.chunked_array(held)).flatten())
+            yield rows(pa.array([END]), pa.array([ends]))
+
+    def rows(words, counts):
+        return pa.RecordBatch.from_arrays([words.cast(pa.binary()), counts.cast(pa.int64())], names=["word", "n"])
 
     return texts.select("text").mapInArrow(released(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -115,7 +143,7 @@ class Vocabulary:
         self.frequent = [w for w, _ in found]
         self.counts = np.array([n for _, n in found], np.int64)
         self.model_counts = np.array([n for _, n in found[:MODEL_WORDS]], float)
-        ends = np.array([ending(w) for w in self.frequent[MODEL_WORDS:]], np.int64)
+        ends = endings(self.frequent[MODEL_WORDS:])
         leaf = np.zeros(len(ends), np.int64)
         for e in range(ENDINGS):
             leaf[ends == e] = 1 + np.arange((ends == e).sum())  # leaf 0 is for all words beyond the table
@@ -124,7 +152,7 @@ class Vocabulary:
 
         @F.pandas_udf("int")
         def ending_of(word: pd.Series) -> pd.Series:
-            return pd.Series([ending(bytes(w)) for w in word], dtype="int32")
+            return pd.Series(endings(list(map(bytes, word))), dtype="int32")
 
         totals = counts.groupBy(ending_of("word").alias("e")).agg(F.sum("n"), F.count("*")).collect()
         seen, kinds = np.zeros(ENDINGS), np.zeros(ENDINGS)
@@ -176,34 +204,43 @@ def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def prepare():
         packed, counts, total, codes = shared.value
         words = [] if packed is None else packed.split(b"\n")
-        return dict(zip(words, range(len(words)))), codes, np.log10((counts + 0.1) / total)
+        return pa.array(words, pa.binary()), words.index(END) if END in words else None, codes, np.log10((counts + 0.1) / total)
 
     def run(batches):
-        index, codes, base = once_per_worker(key, prepare)
+        listed, end, codes, base = once_per_worker(key, prepare)
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, max(1, CODED * batch.num_rows // max(batch.nbytes, CODED))):
                 passed = [c.cast(f.type) for c, f in zip(piece.columns[:3], arrow)]
-                sizes, ids, sums, known, rest = zip(*[one(tokens_of(t), index, codes, base) for t in text_list(piece.column(3))])
-                words = list(chain.from_iterable(rest))
-                listed = pa.StructArray.from_arrays(
-                    [pa.array(words, pa.binary()), pa.array(list(chain.from_iterable(r.values() for r in rest)), pa.int32()),
-                     pa.array(list(map(ending, words)), pa.int32())], names=["word", "n", "ending"])
-                offsets = pa.array(np.cumsum([0, *map(len, rest)]), pa.int32())
-                made = [pa.array(c, f.type) for c, f in zip((sizes, ids, sums, known), list(arrow)[3:])]
-                last = pa.ListArray.from_arrays(offsets, listed).cast(arrow.field("rest").type)
-                yield pa.RecordBatch.from_arrays([*passed, *made, last], schema=arrow)
-
-    def one(tokens, index, codes, base):
-        at = np.fromiter(map(index.get, tokens, repeat(-1)), np.int64, len(tokens))
-        beyond = at < 0
-        if not beyond.any():
-            return len(tokens), codes[at].tobytes(), float(base[at].sum()), len(at), {}
-        others = list(compress(tokens, beyond.tolist()))
-        ids = np.empty(len(tokens), np.uint32)
-        ids[beyond] = np.fromiter(map(rare_code, others), np.uint32, len(others))
-        at = at[~beyond]
-        ids[~beyond] = codes[at]
-        return len(tokens), ids.tobytes(), float(base[at].sum()), len(at), Counter(others)
+                made = coded(*words_of(piece.column(3)), listed, end, codes, base)
+                yield pa.RecordBatch.from_arrays([*passed, *(c.cast(f.type) for c, f in zip(made, list(arrow)[3:]))], schema=arrow)
+
+    def coded(words, sizes, listed, end, codes, base):
+        words = words.cast(pa.binary())
+        at = pc.index_in(words, value_set=listed)
+        beyond = words.filter(at.is_null()).dictionary_encode()
+        kinds = pa.concat_arrays([beyond.dictionary, pa.array([END], pa.binary())])  # distinct words beyond the table, and an end
+        others = kinds.to_numpy(zero_copy_only=False).tolist()
+        ends = endings(others)
+        at = at.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        at[at < 0] = len(listed) + beyond.indices.to_numpy(zero_copy_only=False)
+        stops = np.cumsum(sizes + 1)
+        starts = stops - sizes - 1
+        tokens = np.full(stops[-1], len(listed) + len(others) - 1 if end is None else end, np.int64)
+        inside = np.ones(len(tokens), bool)
+        inside[stops - 1] = False
+        tokens[inside] = at
+        ids = np.concatenate([codes, rare_codes(others, ends)]).take(tokens)
+        ids = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.append(0, 4 * stops).astype(np.int32)), pa.py_buffer(ids)])
+        sums = np.add.reduceat(np.append(base, np.zeros(len(others))).take(tokens), starts)
+        where = np.flatnonzero(tokens >= len(listed))
+        pairs = np.searchsorted(stops, where, side="right") * len(others) + tokens.take(where) - len(listed)
+        pairs, times = np.unique(pairs, return_counts=True)
+        kind = pairs % len(others)
+        offsets = np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(others))
+        known = sizes + 1 - np.diff(np.append(0, np.cumsum(times))[offsets])
+        rest = pa.StructArray.from_arrays([kinds.take(pa.array(kind)), pa.array(times.astype(np.int32)), pa.array(ends[kind].astype(np.int32))],
+                                          names=["word", "n", "ending"])
+        return pa.array(sizes + 1), ids, pa.array(sums), pa.array(known), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), rest)
 
     return source.mapInArrow(released(run), schema)
 
@@ -260,12 +297,15 @@ def totals_of(powers: np.ndarray) -> np.ndarray:
     return powers @ np.ones(powers.shape[1], powers.dtype)
 
 
-def softmax(logits: np.ndarray) -> np.ndarray:
-    powers = powers_of(logits)
-    powers /= totals_of(powers)[:, None]
+def shares_of(powers: np.ndarray) -> np.ndarray:
+    powers *= (1 / totals_of(powers))[:, None]
     return powers
 
 
+def softmax(logits: np.ndarray) -> np.ndarray:
+    return shares_of(powers_of(logits))
+
+
 def logits_of(table: np.ndarray, base: np.ndarray, features) -> np.ndarray:
     out = table.take(features[0], axis=0)
     for f in features[1:]:
@@ -274,20 +314,67 @@ def logits_of(table: np.ndarray, base: np.ndarray, features) -> np.ndarray:
     return out
 
 
-def descend(table: np.ndarray, squares: np.ndarray, counts: np.ndarray, features, slopes: np.ndarray) -> None:
-    """Adagrad on the rows that features touch, one rate per row."""
-    for f in features:
-        order = np.argsort(f, kind="stable")
-        rows = f.take(order)
-        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        pairs = slopes.take(order, axis=0).view(np.complex64)  # two columns are added at a time
-        g = np.add.reduceat(pairs, first).view(np.float32)
-        at = rows[first]
-        seen = squares.take(at) + np.einsum("nd,nd->n", g, g) / g.shape[1]
-        squares[at] = seen
-        counts[at] += 1
-        g *= (RATE / np.sqrt(seen))[:, None]
-        table[at] -= g
+def products_of(powers: np.ndarray, features) -> np.ndarray:
+    """The powers of ``logits_of`` without a base, from the powers of the table."""
+    out = powers.take(features[0], axis=0)
+    for f in features[1:]:
+        out *= powers.take(f, axis=0)
+    return out
+
+
+def raised(weights: Tables) -> Tables:
+    """The powers of all tables. Three rows at a bound and a base, multiplied, stay finite and above zero."""
+    return {k: np.exp(v if k.endswith("base") else np.clip(v, -HIGHEST, HIGHEST)) for k, v in weights.items()}
+
+
+def whole_rows(table: np.ndarray) -> np.ndarray:
+    """The rows of a table as single items, which numpy copies at once."""
+    return table.view(np.dtype((np.void, table.shape[1] * table.itemsize))).ravel()
+
+
+def slopes_by_row(features, slopes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows that features touch, and the sum of slopes of each."""
+    at, tokens = np.concatenate(features), np.tile(np.arange(len(slopes)), len(features))
+    order = np.argsort(at, kind="stable")
+    rows, tokens = at.take(order), tokens.take(order)
+    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    times = np.diff(first, append=len(rows))
+    often = np.flatnonzero(times > 1)
+    often = often.take(np.argsort(times.take(often).astype(np.uint16), kind="stable")[::-1])  # longest runs first, then rows touched once
+    by = np.concatenate([often, np.flatnonzero(times == 1)])
+    first, times = first.take(by), times.take(often)
+    more = np.searchsorted(-times, -np.arange(FEW + 1))  # rows that are touched more than k times
+    long = more[FEW]
+    out = np.empty((len(first), slopes.shape[1]), np.float32)
+    slopes.take(tokens.take(first[long:]), axis=0, out=out[long:], mode="clip")
+    for k in range(1, FEW):
+        out[long:more[k]] += slopes.take(tokens.take(first[long:more[k]] + k), axis=0)
+    if long:
+        times = times[:long]
+        starts = np.cumsum(times) - times
+        own = tokens.take(np.arange(times.sum()) + np.repeat(first[:long] - starts, times))
+        pairs = slopes.take(own, axis=0).view(np.complex64)  # two columns are added at a time
+        np.add.reduceat(pairs, starts, out=out[:long].view(np.complex64))
+    return rows.take(first).astype(np.int64), out
+
+
+def descend(powers: np.ndarray, seen: np.ndarray, features, slopes: np.ndarray) -> None:
+    """Adagrad on the rows that features touch, one rate per row; ``powers`` is a table raised to powers.
+
+    ``seen`` has a row's sum of squares as real part and its number of steps as imaginary part. A
+    weight's step s multiplies its power by e^s, here 1 + s + s^2 / 2 = (s / 2^0.5 + 0.5^0.5)^2 + 0.5,
+    which is above zero; the error is of third order in a step that one rate keeps small.
+    """
+    rows, g = slopes_by_row(features, slopes)
+    now = seen.take(rows)
+    now += np.einsum("nd,nd->n", g, g) / g.shape[1] + np.complex64(1j)
+    seen[rows] = now
+    g *= (-RATE * HALF / np.sqrt(now.real))[:, None]
+    g += HALF
+    g *= g
+    g += np.float32(0.5)
+    g *= powers.take(rows, axis=0)
+    whole_rows(powers)[rows] = whole_rows(g)
 
 
 def gathered(batches, column: int):
@@ -305,65 +392,74 @@ def gathered(batches, column: int):
 
 
 def learn(weights: Tables, batches):
-    own = {k: v.copy() for k, v in weights.items()}
-    squares = {k: np.ones(len(v), np.float32) for k, v in own.items()}
-    counts = {k: np.zeros(len(v), np.float32) for k, v in own.items()}
+    own = raised(weights)
+    seen = {k: np.ones(len(v), np.complex64) for k, v in own.items()}
     taught = 0
     for texts in gathered(batches, 0):
         ids = np.concatenate(texts).astype(np.int64)
         starts = np.cumsum([0, *map(len, texts[:-1])])
         features = features_of(ids, starts)
         for at in range(0, len(ids), STEP):
-            taught += teach(own, squares, counts, ids[at:at + STEP], [f[at:at + STEP] for f in features])
+            taught += teach(own, seen, ids[at:at + STEP], [f[at:at + STEP] for f in features])
     if not taught:
         return None
-    return {k: own[k] - weights[k] for k in own}, counts
+    return {k: np.log(own[k]) - weights[k] for k in own}, {k: v.imag for k, v in seen.items()}
 
 
-def teach(own: Tables, squares: Tables, counts: Tables, ids: np.ndarray, features) -> int:
+def teach(own: Tables, seen: Tables, ids: np.ndarray, features) -> int:
     def step(name, rows, base, labels):
-        slopes = softmax(logits_of(own[name], base, rows))
-        slopes[np.arange(len(labels)), labels] -= 1
-        descend(own[name], squares[name], counts[name], rows, slopes)
+        powers = products_of(own[name], rows)
+        powers *= base
+        slopes = shares_of(powers)
+        slopes.ravel()[np.arange(0, slopes.size, slopes.shape[1]) + labels] -= 1
+        descend(own[name], seen[name], rows, slopes)
 
     classes, ends, leaves = parts(ids)
     step("class", rows_of(own["class"], features), own["class_base"][0], classes)
     known = np.flatnonzero(ids < MODEL_WORDS)
     if len(known):
         c = classes[known]
-        step("word", rows_of(own["word"], [f[known] for f in features], c), own["word_base"][c], ids[known] % SIZE)
+        step("word", rows_of(own["word"], [f[known] for f in features], c), own["word_base"].take(c, axis=0), ids[known] % SIZE)
     deep = np.flatnonzero(leaves >= 0)
     if len(deep):
         nodes, branches = path(ends[deep], leaves[deep], own["tree"].shape[1])
-        step("tree", rows_of(own["tree"], [np.tile(f[deep], 3) for f in features], nodes), own["tree_base"][nodes], branches)
+        step("tree", rows_of(own["tree"], [np.tile(f[deep], 3) for f in features], nodes), own["tree_base"].take(nodes, axis=0), branches)
     return len(ids)
 
 
 def log10_probability(weights: Tables, texts: list[np.ndarray]) -> np.ndarray:
     """Of each text's classes, frequent words and leaves, given their histories."""
-    def chance(name, rows, base, labels):
-        powers = powers_of(logits_of(weights[name], base, rows))
-        return powers[np.arange(len(labels)), labels].astype(float) / totals_of(powers)
+    return log10_by_powers(raised(weights), texts)
+
+
+def log10_by_powers(powers: Tables, texts: list[np.ndarray]) -> np.ndarray:
+    def chance(name, rows, kinds, labels):
+        products, base = products_of(powers[name], rows), powers[name + "_base"]
+        width = products.shape[1]
+        own = products.ravel().take(np.arange(0, products.size, width) + labels) * base.ravel().take(kinds * width + labels)
+        return own.astype(float) / np.einsum("nd,nd->n", products, base.take(kinds, axis=0))
 
     sizes = np.array([len(t) for t in texts])
     ids = np.concatenate(texts).astype(np.int64)
     starts = np.cumsum([0, *sizes[:-1]])
     features = features_of(ids, starts)
+    order = np.argsort((features[0] >> np.uint32(16)).astype(np.uint16), kind="stable")  # equal histories use the same rows
+    ids, features = ids.take(order), [f.take(order) for f in features]
     out = np.empty(len(ids))
     for at in range(0, len(ids), STEP):
         i, f = ids[at:at + STEP], [x[at:at + STEP] for x in features]
         classes, ends, leaves = parts(i)
-        p = chance("class", rows_of(weights["class"], f), weights["class_base"][0], classes)
+        p = chance("class", rows_of(powers["class"], f), np.zeros(len(i), np.int64), classes)
         known = np.flatnonzero(i < MODEL_WORDS)
         if len(known):
             c = classes[known]
-            p[known] *= chance("word", rows_of(weights["word"], [x[known] for x in f], c), weights["word_base"][c], i[known] % SIZE)
+            p[known] *= chance("word", rows_of(powers["word"], [x[known] for x in f], c), c, i[known] % SIZE)
         deep = np.flatnonzero(leaves >= 0)
         if len(deep):
-            nodes, branches = path(ends[deep], leaves[deep], weights["tree"].shape[1])
-            rows = rows_of(weights["tree"], [np.tile(x[deep], 3) for x in f], nodes)
-            p[deep] *= chance("tree", rows, weights["tree_base"][nodes], branches).reshape(3, -1).prod(axis=0)
-        out[at:at + STEP] = np.log10(np.maximum(p, 1e-300))
+            nodes, branches = path(ends[deep], leaves[deep], powers["tree"].shape[1])
+            rows = rows_of(powers["tree"], [np.tile(x[deep], 3) for x in f], nodes)
+            p[deep] *= chance("tree", rows, nodes, branches).reshape(3, -1).prod(axis=0)
+        out[order[at:at + STEP]] = np.log10(np.maximum(p, 1e-300))
     return np.add.reduceat(out, starts)
 
 
@@ -401,7 +497,7 @@ def rare_words(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) ->
     share = F.element_at(F.array(*[F.lit(float(x)) for x in vocabulary.beyond_shares]), F.col("ending") + 1)
     n = F.coalesce("n", F.lit(0)) + 0.1
     total = vocabulary.tokens + 0.1 * (vocabulary.words + 1)
-    return listed.join(counts, "word", "left").groupBy("row").agg(
+    return listed.join(counts.hint("shuffle_hash"), "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(n / total)).alias("rest_base"),
         F.sum(F.col("times") * F.log10(n / share)).alias("rest_within"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("rest_known"))
@@ -409,15 +505,17 @@ def rare_words(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) ->
 
 def scored(encoded: DataFrame, weights: Tables) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(weights)
+    key = uuid.uuid4().hex
     source = encoded.select("row", "id", "held", "n_tokens", "known", "base", "ids")
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("model", T.DoubleType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        powers = once_per_worker(key, lambda: raised(shared.value))
         for batch in batches:
             for piece in pieces(batch):
                 texts = [np.frombuffer(v.as_buffer(), np.uint32) for v in piece.column(6)]
                 columns = [c.cast(f.type) for c, f in zip(piece.columns[:6], arrow)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(log10_probability(shared.value, texts))], schema=arrow)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(log10_by_powers(powers, texts))], schema=arrow)
 
     return source.mapInArrow(released(run), schema)

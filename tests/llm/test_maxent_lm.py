@@ -228,3 +228,82 @@ def test_moves_are_averaged_block_by_block():
     weight = sum(n["a"] for _, n in tasks)
     mean = sum(x["a"] * n["a"][:, None] for x, n in tasks) / np.maximum(weight, 1e-9)[:, None]
     assert np.allclose(np.concatenate([got[0, 0], got[0, 2]]), np.concatenate([mean[:1024], mean[2048:]]), atol=2e-3)
+
+
+def test_no_power_is_taken_for_a_token(spark, monkeypatch):
+    vocabulary = counted(spark)
+    weights, rng, taken, exp = vocabulary.weights(), np.random.default_rng(4), [], np.exp
+    texts = [rng.choice(vocabulary.codes, 500) for _ in range(300)]
+    batch = lm.pa.RecordBatch.from_pydict({"ids": lm.pa.array([t.tobytes() for t in texts], lm.pa.binary())})
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: taken.append(np.size(x)) or exp(x, *a, **k))
+    size = sum(t.size for t in weights.values())
+    lm.learn(weights, [batch])
+    assert sum(taken) <= size
+    taken.clear()
+    lm.log10_probability(weights, texts)
+    assert sum(taken) <= size
+
+
+def test_words_of_many_texts_are_those_of_each(spark):
+    odd = "".join(map(chr, range(256)))
+    texts = [None, "", " \t\n", "A b", " x\x0by\x1cz ", odd, odd * 3, "É é\x85 İ", "\x00 \x00", "a" * 9000]
+    for chosen in (texts, texts[:3], []):
+        words, sizes = lm.words_of(lm.pa.array(chosen, lm.pa.string()))
+        each = [lm.tokens_of(t or "")[:-1] for t in chosen]
+        assert words.cast(lm.pa.binary()).to_pylist() == [w for t in each for w in t]
+        assert sizes.tolist() == list(map(len, each))
+
+
+@pytest.mark.parametrize("frequent", [lm.FREQUENT, 3])
+def test_codes_and_words_beyond_the_table(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    texts = frame(spark, ROWS).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), F.lit(False).alias("held"), "text")
+    vocabulary = lm.Vocabulary(lm.count_words(texts.where("id % 2 = 0")))
+    code = dict(zip(vocabulary.frequent, vocabulary.codes.tolist()))
+    rows = lm.encode(texts, vocabulary).join(texts.select("row", "text"), "row").collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        tokens = lm.tokens_of(r.text or "")
+        beyond = Counter(w for w in tokens if w not in code)
+        assert np.frombuffer(r.ids, np.uint32).tolist() == [code.get(w, lm.rare_code(w)) for w in tokens]
+        assert sorted((bytes(x.word), x.n, x.ending) for x in r.rest) == sorted((w, n, lm.ending(w)) for w, n in beyond.items())
+        assert (r.n_tokens, r.known) == (len(tokens), len(tokens) - sum(beyond.values()))
+
+
+def test_products_are_the_powers_of_sums():
+    rng = np.random.default_rng(5)
+    table, base = rng.standard_normal((64, 8)).astype(np.float32), rng.standard_normal(8).astype(np.float32)
+    features = [rng.integers(0, 64, 30).astype(np.uint16) for _ in range(3)]
+    products = lm.products_of(np.exp(table), features) * np.exp(base)
+    assert np.allclose(lm.shares_of(products), lm.softmax(lm.logits_of(table, base, features)), atol=1e-6)
+
+
+def test_slopes_of_a_row_are_added_however_often_it_is_touched():
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 700):
+        features = [(rng.zipf(1.3, n) % 500).astype(np.uint16) for _ in range(3)]
+        slopes = rng.standard_normal((n, 6)).astype(np.float32)
+        rows, sums = lm.slopes_by_row(features, slopes)
+        slow = np.zeros((500, 6))
+        for f in features:
+            np.add.at(slow, f, slopes)
+        assert sorted(rows.tolist()) == sorted(set(np.concatenate(features).tolist()))
+        assert np.allclose(sums, slow[rows], atol=1e-3)
+
+
+def test_a_step_is_that_of_adagrad_on_the_weights():
+    rng = np.random.default_rng(7)
+    weights = rng.standard_normal((50, 4)).astype(np.float32)
+    powers, seen = np.exp(weights), np.ones(50, np.complex64)
+    squares, times = np.ones(50), np.zeros(50)
+    for _ in range(3):
+        features, slopes = [rng.integers(0, 40, 25).astype(np.uint16) for _ in range(3)], rng.uniform(-1, 1, (25, 4)).astype(np.float32)
+        lm.descend(powers, seen, features, slopes)
+        g = np.zeros((50, 4))
+        for f in features:
+            np.add.at(g, f, slopes)
+        squares += (g * g).mean(axis=1)
+        times += (g != 0).any(axis=1)
+        weights = weights - lm.RATE * g / np.sqrt(squares)[:, None]
+    assert np.allclose(np.log(powers), weights, atol=3e-3) and np.allclose(np.log(powers)[40:], weights[40:], atol=1e-6)
+    assert np.allclose(seen.real, squares, rtol=1e-5) and np.array_equal(seen.imag, times)
