@@ -26,7 +26,6 @@ import uuid
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -52,7 +51,9 @@ TOKENS_A_ROW = 1024  # training tokens for each row between these bounds
 FEATURES = 3
 ROUNDS = 2
 TOGETHER = 3  # partitions that one task learns from
-STEP = 4096  # tokens of a gradient step, and of a scored batch
+STEP = 4096  # tokens of a gradient step
+WINDOW = 16 * STEP  # tokens whose feature rows are found at once
+SCORED = 16384  # tokens of a scored batch
 RATE = 0.1
 HALF = np.float32(0.5**0.5)
 HIGHEST = 25.0  # bound of a weight whose power is taken, far beyond what training reaches
@@ -150,11 +151,8 @@ class Vocabulary:
         top = np.arange(min(len(found), MODEL_WORDS))
         self.codes = np.concatenate([top, TABLE | ends << LEAF | leaf]).astype(np.uint32)
 
-        @F.pandas_udf("int")
-        def ending_of(word: pd.Series) -> pd.Series:
-            return pd.Series(endings(list(map(bytes, word))), dtype="int32")
-
-        totals = counts.groupBy(ending_of("word").alias("e")).agg(F.sum("n"), F.count("*")).collect()
+        ending_of = F.crc32(F.substring("word", -3, 3)) % ENDINGS
+        totals = counts.groupBy(ending_of.alias("e")).agg(F.sum("n"), F.count("*")).collect()
         seen, kinds = np.zeros(ENDINGS), np.zeros(ENDINGS)
         for e, n, v in totals:
             seen[e], kinds[e] = n, v
@@ -281,11 +279,26 @@ def parts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def path(ends: np.ndarray, leaves: np.ndarray, fan: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes from the endings to the leaves and the branch taken at each, one level after the other."""
-    first = ends * fan + leaves // (fan * fan)
-    second = first * fan + leaves // fan % fan
-    nodes = np.concatenate([ends, ENDINGS + first, ENDINGS * (1 + fan) + second])
-    return nodes, np.concatenate([leaves // (fan * fan), leaves // fan % fan, leaves % fan])
+    """Nodes from the endings to the leaves and the branch taken at each, three for one token after the other."""
+    two = leaves // fan
+    one = two // fan
+    first = ends * fan + one
+    second = first * fan + two - one * fan
+    nodes = np.stack([ends, ENDINGS + first, ENDINGS * (1 + fan) + second], axis=1)
+    return nodes.ravel(), np.stack([one, two - one * fan, leaves - two * fan], axis=1).ravel()
+
+
+def factors(tables: Tables, ids: np.ndarray, features):
+    """For each table the tokens that it predicts, in order, with feature rows, rows of its base, and outcomes."""
+    classes, ends, leaves = parts(ids)
+    yield "class", np.arange(len(ids)), rows_of(tables["class"], features), np.zeros(len(ids), np.int64), classes
+    known = np.flatnonzero(ids < MODEL_WORDS)
+    own = classes[known]
+    yield "word", known, rows_of(tables["word"], [f[known] for f in features], own), own, ids[known] % SIZE
+    deep = np.flatnonzero(leaves >= 0)
+    nodes, branches = path(ends[deep], leaves[deep], tables["tree"].shape[1])
+    deep = np.repeat(deep, 3)
+    yield "tree", deep, rows_of(tables["tree"], [f[deep] for f in features], nodes), nodes, branches
 
 
 def powers_of(logits: np.ndarray) -> np.ndarray:
@@ -378,13 +391,13 @@ def descend(powers: np.ndarray, seen: np.ndarray, features, slopes: np.ndarray)
 
 
 def gathered(batches, column: int):
-    """Tokens of many texts as one array, some ``STEP`` at a time, with where texts start."""
+    """Tokens of many texts, some ``WINDOW`` at a time."""
     held, size = [], 0
     for batch in batches:
         for value in batch.column(column):
             held.append(np.frombuffer(value.as_buffer(), np.uint32))
             size += len(held[-1])
-            if size >= 16 * STEP:
+            if size >= WINDOW:
                 yield held
                 held, size = [], 0
     if held:
@@ -399,32 +412,29 @@ def learn(weights: Tables, batches):
         ids = np.concatenate(texts).astype(np.int64)
         starts = np.cumsum([0, *map(len, texts[:-1])])
         features = features_of(ids, starts)
-        for at in range(0, len(ids), STEP):
-            taught += teach(own, seen, ids[at:at + STEP], [f[at:at + STEP] for f in features])
+        for at in range(0, len(ids), WINDOW):
+            teach(own, seen, ids[at:at + WINDOW], [f[at:at + WINDOW] for f in features])
+        taught += len(ids)
     if not taught:
         return None
     return {k: np.log(own[k]) - weights[k] for k in own}, {k: v.imag for k, v in seen.items()}
 
 
-def teach(own: Tables, seen: Tables, ids: np.ndarray, features) -> int:
-    def step(name, rows, base, labels):
-        powers = products_of(own[name], rows)
-        powers *= base
-        slopes = shares_of(powers)
-        slopes.ravel()[np.arange(0, slopes.size, slopes.shape[1]) + labels] -= 1
-        descend(own[name], seen[name], rows, slopes)
+def teach(own: Tables, seen: Tables, ids: np.ndarray, features) -> None:
+    """Steps of ``STEP`` tokens, table by table: no table depends on another."""
+    for name, tokens, rows, kinds, labels in factors(own, ids, features):
+        borders = np.searchsorted(tokens, np.arange(0, len(ids) + STEP, STEP)).tolist()
+        for a, b in zip(borders[:-1], borders[1:]):
+            if a < b:
+                step(own[name], own[name + "_base"], seen[name], [r[a:b] for r in rows], kinds[a:b], labels[a:b])
 
-    classes, ends, leaves = parts(ids)
-    step("class", rows_of(own["class"], features), own["class_base"][0], classes)
-    known = np.flatnonzero(ids < MODEL_WORDS)
-    if len(known):
-        c = classes[known]
-        step("word", rows_of(own["word"], [f[known] for f in features], c), own["word_base"].take(c, axis=0), ids[known] % SIZE)
-    deep = np.flatnonzero(leaves >= 0)
-    if len(deep):
-        nodes, branches = path(ends[deep], leaves[deep], own["tree"].shape[1])
-        step("tree", rows_of(own["tree"], [np.tile(f[deep], 3) for f in features], nodes), own["tree_base"].take(nodes, axis=0), branches)
-    return len(ids)
+
+def step(powers: np.ndarray, base: np.ndarray, seen: np.ndarray, rows, kinds: np.ndarray, labels: np.ndarray) -> None:
+    products = products_of(powers, rows)
+    products *= base[0] if len(base) == 1 else base.take(kinds, axis=0)
+    slopes = shares_of(products)
+    slopes.ravel()[np.arange(0, slopes.size, slopes.shape[1]) + labels] -= 1
+    descend(powers, seen, rows, slopes)
 
 
 def log10_probability(weights: Tables, texts: list[np.ndarray]) -> np.ndarray:
@@ -437,7 +447,8 @@ def log10_by_powers(powers: Tables, texts: list[np.ndarray]) -> np.ndarray:
         products, base = products_of(powers[name], rows), powers[name + "_base"]
         width = products.shape[1]
         own = products.ravel().take(np.arange(0, products.size, width) + labels) * base.ravel().take(kinds * width + labels)
-        return own.astype(float) / np.einsum("nd,nd->n", products, base.take(kinds, axis=0))
+        totals = products @ base[0] if len(base) == 1 else np.einsum("nd,nd->n", products, base.take(kinds, axis=0))
+        return own.astype(float) / totals
 
     sizes = np.array([len(t) for t in texts])
     ids = np.concatenate(texts).astype(np.int64)
@@ -446,20 +457,15 @@ def log10_by_powers(powers: Tables, texts: list[np.ndarray]) -> np.ndarray:
     order = np.argsort((features[0] >> np.uint32(16)).astype(np.uint16), kind="stable")  # equal histories use the same rows
     ids, features = ids.take(order), [f.take(order) for f in features]
     out = np.empty(len(ids))
-    for at in range(0, len(ids), STEP):
-        i, f = ids[at:at + STEP], [x[at:at + STEP] for x in features]
-        classes, ends, leaves = parts(i)
-        p = chance("class", rows_of(powers["class"], f), np.zeros(len(i), np.int64), classes)
-        known = np.flatnonzero(i < MODEL_WORDS)
-        if len(known):
-            c = classes[known]
-            p[known] *= chance("word", rows_of(powers["word"], [x[known] for x in f], c), c, i[known] % SIZE)
-        deep = np.flatnonzero(leaves >= 0)
-        if len(deep):
-            nodes, branches = path(ends[deep], leaves[deep], powers["tree"].shape[1])
-            rows = rows_of(powers["tree"], [np.tile(x[deep], 3) for x in f], nodes)
-            p[deep] *= chance("tree", rows, nodes, branches).reshape(3, -1).prod(axis=0)
-        out[order[at:at + STEP]] = np.log10(np.maximum(p, 1e-300))
+    for at in range(0, len(ids), SCORED):
+        i, f = ids[at:at + SCORED], [x[at:at + SCORED] for x in features]
+        p = np.ones(len(i))
+        for name, tokens, rows, kinds, labels in factors(powers, i, f):
+            own = chance(name, rows, kinds, labels)
+            if name == "tree":
+                tokens, own = tokens[::3], own[::3] * own[1::3] * own[2::3]
+            p[tokens] *= own
+        out[order[at:at + SCORED]] = np.log10(np.maximum(p, 1e-300))
     return np.add.reduceat(out, starts)
 
 

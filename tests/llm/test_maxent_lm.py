@@ -307,3 +307,25 @@ def test_a_step_is_that_of_adagrad_on_the_weights():
         weights = weights - lm.RATE * g / np.sqrt(squares)[:, None]
     assert np.allclose(np.log(powers), weights, atol=3e-3) and np.allclose(np.log(powers)[40:], weights[40:], atol=1e-6)
     assert np.allclose(seen.real, squares, rtol=1e-5) and np.array_equal(seen.imag, times)
+
+
+def test_totals_of_endings_count_short_words(spark):
+    words = {b"": 9, b"a": 5, b"ab": 4, b"abc": 3, b"xabc": 2, "né".encode(): 7, b"\xff\x00\x80\x7f": 6}
+    vocabulary = lm.Vocabulary(spark.createDataFrame([*words.items(), *[(f"w{i}".encode(), 99) for i in range(lm.MODEL_WORDS)]], "word binary, n long"))
+    slow = np.zeros(lm.ENDINGS)
+    for w, n in words.items():
+        slow[lm.ending(w)] += n
+    assert np.array_equal(vocabulary.ending_tokens, slow)
+
+
+def test_steps_are_the_same_in_windows_of_any_size(spark, monkeypatch):
+    vocabulary = counted(spark)
+    weights, text = vocabulary.weights(), np.random.default_rng(8).choice(vocabulary.codes, 3000)
+    batch = lm.pa.RecordBatch.from_pydict({"ids": lm.pa.array([text.tobytes()], lm.pa.binary())})
+    monkeypatch.setattr(lm, "STEP", 64)
+    found = []
+    for window in (64, 128, 6400):
+        monkeypatch.setattr(lm, "WINDOW", window)
+        found.append(lm.learn(weights, [batch]))
+    for moves, counts in found[1:]:
+        assert all(np.allclose(moves[k], found[0][0][k], atol=1e-6) and np.array_equal(counts[k], found[0][1][k]) for k in weights)
