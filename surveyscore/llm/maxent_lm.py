@@ -228,7 +228,7 @@ def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         inside[stops - 1] = False
         tokens[inside] = at
         ids = np.concatenate([codes, rare_codes(others, ends)]).take(tokens)
-        ids = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.append(0, 4 * stops).astype(np.int32)), pa.py_buffer(ids)])
+        ids = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(np.append(0, 4 * stops)), pa.py_buffer(ids)])
         sums = np.add.reduceat(np.append(base, np.zeros(len(others))).take(tokens), starts)
         where = np.flatnonzero(tokens >= len(listed))
         pairs = np.searchsorted(stops, where, side="right") * len(others) + tokens.take(where) - len(listed)
